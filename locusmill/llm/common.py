@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 
@@ -58,6 +59,9 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+LONG_WORD, STRETCH = 1 << 16, 50_000
+
+
 class PhraseHasher:
     """64-bit hashes of every run of k words, from prefix sums over a text's bytes (no loop over words)."""
 
@@ -71,18 +75,30 @@ class PhraseHasher:
         self.power = np.multiply.accumulate(steps)
         self.inverse = np.multiply.accumulate(back)
 
-    def phrases(self, words: list[bytes], k: int) -> np.ndarray:
-        """Hashes of each run of k words in order; of the whole sequence where there are fewer words, but not none."""
-        if not words:
-            return np.empty(0, dtype=np.uint64)
-        line = np.frombuffer(b" ".join(words) + b" ", dtype=np.uint8)
+    def ranges(self, line: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Hashes of the bytes from ``first`` to ``last`` of a line, wherever they stand."""
         n = len(line)
         if n >= len(self.power):
             self._grow(2 * n)
         total = np.zeros(n + 1, dtype=np.uint64)
         np.cumsum(BYTE_CODES[line] * self.power[:n], out=total[1:])
-        ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1)
-        starts = np.concatenate(([0], ends[:-1]))
-        k = min(k, len(words))
-        first, last = starts[: len(words) - k + 1], ends[k - 1 :]
         return mixed((total[last] - total[first]) * self.inverse[first] + (last - first).astype(np.uint64))
+
+    def phrases(self, words: list[bytes], k: int) -> np.ndarray:
+        """Hashes of each run of k words in order; of the whole sequence where there are fewer words, but not none.
+
+        Long texts are taken in stretches that overlap by k - 1 words; a word beyond LONG_WORD bytes stands for its digest.
+        """
+        if not words:
+            return np.empty(0, dtype=np.uint64)
+        if max(map(len, words)) > LONG_WORD:
+            words = [w if len(w) <= LONG_WORD else hashlib.sha256(w).hexdigest().encode() for w in words]
+        k = min(k, len(words))
+        parts = []
+        for at in range(0, len(words) - k + 1, STRETCH):
+            some = words[at : at + STRETCH + k - 1]
+            line = np.frombuffer(b" ".join(some) + b" ", dtype=np.uint8)
+            ends = np.cumsum(np.fromiter(map(len, some), dtype=np.int64, count=len(some)) + 1)
+            starts = np.concatenate(([0], ends[:-1]))
+            parts.append(self.ranges(line, starts[: len(some) - k + 1], ends[k - 1 :]))
+        return parts[0] if len(parts) == 1 else np.concatenate(parts)
