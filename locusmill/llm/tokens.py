@@ -15,24 +15,26 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, no_text, shared_path, table
+from .common import PhraseHasher, materialise, no_text, shared_path, table
 from .wavelet import WaveletFile, encode
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 #: A shard ends with the document that reaches so many tokens; it bounds what a task holds.
 SHARD_TOKENS = 2_000_000
-#: Encoded words that a task keeps.
-CACHE = 500_000
-_STEP = 400
+#: Encoded stretches that a worker keeps, about 200 bytes each.
+CACHE = 1_000_000
+_SLOTS = 21
+_STEP, _CHARS = 2000, 1 << 20
 
 
 class Encoder:
-    """Token ids of whole texts, equal to the library's; words that were seen are looked up instead of encoded again.
+    """Token ids of whole texts, equal to the library's; stretches that were seen are looked up instead of encoded again.
 
     The tokenizer splits at white space and its pieces never cross it, so a text's ids are those of its stretches between
-    spaces. Plain words are encoded together in one call and cut at the ids that end a word; other stretches one by one. A
-    full stop or comma is set apart only where no other punctuation touches it.
+    spaces; a full stop or comma after a letter or digit is a stretch of its own at the end of one. Stretches are found and
+    hashed (64 bits) for many texts at once. New plain words are encoded together in one call and cut at the ids that end a
+    word, other stretches one by one.
     """
 
     def __init__(self, path: str | None, vocabulary: str) -> None:
@@ -49,48 +51,119 @@ class Encoder:
         ends = np.zeros(max(words.values()) + 1, dtype=bool)
         ends[[i for w, i in words.items() if w.endswith("</w>")]] = True
         #: Only vocabularies with word ends, lower case and no marks of leading spaces can be looked up word by word.
-        self.by_word = bool(ends.any()) and self.raw(["The a"])[0] == self.raw(["the"])[0] + self.raw(["a"])[0]
+        self.by_word = bool(ends.any()) and self.raw(["The a,"])[0] == b"".join(self.raw(["the", "a", ","]))
         self.ends = ends
-        self.known: dict[str, bytes] = {}
         self.plain = re.compile("[a-zà-öø-ÿ]+")
-        self.touching = re.compile(r"[^\w\s][.,]|_[.,]")
         self.simple = re.compile(r"[\x00-į]*")
+        self.hasher = PhraseHasher()
+        self._forget()
+
+    def _forget(self) -> None:
+        self.at: dict[int, int] = {0: 0}
+        self.slot = np.zeros(1 << _SLOTS, dtype=np.int32)
+        self.keys, self.first, self.size = np.zeros(1 << 16, np.uint64), np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int32)
+        self.ids, self.used = np.zeros(1 << 20, dtype=self.kind), 0
 
     def raw(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype=self.kind).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, need: list[str]) -> None:
+    def _encoded(self, need: list[str]) -> list[np.ndarray]:
         plain = [w for w in need if self.plain.fullmatch(w)]
+        found = {}
         if plain:
             ids = np.array(self.library.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, dtype=self.kind)
-            at = (np.flatnonzero(self.ends[ids]) + 1) * ids.itemsize
+            at = np.flatnonzero(self.ends[ids]) + 1
             if len(at) != len(plain):
                 raise ValueError("a plain word was not one piece")
-            raw, start = ids.tobytes(), 0
-            for w, end in zip(plain, at.tolist()):
-                self.known[w] = raw[start:end]
-                start = end
-        odd = list(set(need).difference(plain))
-        self.known.update(zip(odd, self.raw(odd)))
+            found = dict(zip(plain, np.split(ids, at[:-1])))
+        odd = [w for w in need if w not in found]
+        found.update(zip(odd, (np.frombuffer(b, dtype=self.kind) for b in self.raw(odd))))
+        return [found[w] for w in need]
+
+    def _learn(self, keys: np.ndarray, words: list[str]) -> None:
+        n, more = len(self.at), len(keys)
+        while n + more > len(self.keys):
+            self.keys, self.first, self.size = (np.concatenate((x, np.zeros_like(x))) for x in (self.keys, self.first, self.size))
+        got = self._encoded(words)
+        sizes = np.fromiter(map(len, got), dtype=np.int64, count=more)
+        total = int(sizes.sum())
+        while self.used + total > len(self.ids):
+            self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
+        self.ids[self.used : self.used + total] = np.concatenate(got)
+        self.keys[n : n + more], self.size[n : n + more] = keys, sizes
+        self.first[n : n + more] = self.used + np.cumsum(sizes) - sizes
+        self.used += total
+        self.at.update(zip(keys.tolist(), range(n, n + more)))
+        self.slot[(keys >> np.uint64(64 - _SLOTS)).astype(np.int64)] = np.arange(n, n + more)
+
+    def _places(self, keys: np.ndarray, raw: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Entry of each stretch; new ones are encoded first."""
+        place = self.slot[(keys >> np.uint64(64 - _SLOTS)).astype(np.int64)]
+        lost = np.flatnonzero(self.keys[place] != keys)
+        if len(lost):
+            new, first, back = np.unique(keys[lost], return_index=True, return_inverse=True)
+            where = np.fromiter((self.at.get(k, -1) for k in new.tolist()), dtype=np.int64, count=len(new))
+            unknown = np.flatnonzero(where < 0)
+            if len(unknown):
+                n = len(self.at)
+                at = lost[first[unknown]]
+                self._learn(new[unknown], [raw[a:b].decode() for a, b in zip(starts[at].tolist(), ends[at].tolist())])
+                where[unknown] = np.arange(n, n + len(unknown))
+            place[lost] = where[back]
+        return place
+
+    def _lines(self, texts: list[str]) -> tuple[list[str], list[int]]:
+        """Texts with spaces for line ends, long ones cut at spaces; and the text of each."""
+        lines, owner = [], []
+        for i, t in enumerate(texts):
+            if self.simple.fullmatch(t) and "İ" not in t:
+                t = t.lower()
+            t = t.replace("\n", " ")
+            while len(t) > 2 * _CHARS and (cut := t.find(" ", _CHARS)) >= 0:
+                lines.append(t[:cut])
+                owner.append(i)
+                t = t[cut + 1 :]
+            lines.append(t)
+            owner.append(i)
+        return lines, owner
+
+    def _some(self, lines: list[str]) -> list[bytes]:
+        raw = "\n".join(lines).encode() + b"\n"
+        line = np.frombuffer(raw, dtype=np.uint8)
+        ends = np.flatnonzero((line == 32) | (line == 10))
+        starts = np.concatenate(([0], ends[:-1] + 1))
+        last, before = line[np.maximum(ends - 1, 0)], line[np.maximum(ends - 2, 0)]
+        stop = (ends - starts > 1) & ((last == 46) | (last == 44)) & (((before >= 97) & (before <= 122)) | ((before >= 48) & (before <= 57)))
+        # A stretch with a stop is two: the word, and the stop.
+        rep = np.repeat(np.arange(len(ends)), stop + 1)
+        second = np.concatenate(([False], rep[1:] == rep[:-1]))
+        word = stop[rep] & ~second
+        starts, ends, done = np.where(second, ends[rep] - 1, starts[rep]), ends[rep] - word, (line[ends[rep]] == 10) & ~word
+        keys = self.hasher.ranges(line, starts, ends)
+        if len(self.at) > CACHE:
+            self._forget()
+        place = self._places(keys, raw, starts, ends)
+        size = np.where(ends > starts, self.size[place], 0).astype(np.int64)
+        until = np.cumsum(size)
+        flat = self.ids[np.repeat(self.first[place] - (until - size), size) + np.arange(int(until[-1]))]
+        cuts = np.concatenate(([0], until[np.flatnonzero(done)])).tolist()
+        return [flat[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.by_word:
             return self.raw(texts)
-        split = []
-        for t in texts:
-            if self.simple.fullmatch(t) and "İ" not in t:
-                t = t.lower()
-            t = t.replace("\n", " ")
-            if not self.touching.search(t):
-                t = t.replace(". ", " . ").replace(", ", " , ")
-            split.append(t.split(" "))
-        need = set().union(*split)
-        if len(self.known) > CACHE:
-            self.known.clear()
-        need.difference_update(self.known)
-        self._learn(list(need))
-        get = self.known.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+        lines, owner = self._lines(texts)
+        out: list[list[bytes]] = [[] for _ in texts]
+        at = 0
+        while at < len(lines):
+            to, size = at, 0
+            while to < len(lines) and (to == at or size + len(lines[to]) <= 2 * _CHARS):
+                size += len(lines[to])
+                to += 1
+            for i, ids in zip(owner[at:to], self._some(lines[at:to])):
+                out[i].append(ids)
+            at = to
+        return [b"".join(parts) for parts in out]
 
 
 def _encoder(path: str | None, vocabulary: str) -> Encoder:
