@@ -52,10 +52,10 @@ def _offset(source: Column, draw: int, seed: str) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 6), 16, 10).cast("long")
 
 
-def mix(docs: DataFrame, seed: str = SEED, weights=WEIGHTS, share=SHARE, limit=LIMIT) -> DataFrame:
+def mix(docs: DataFrame, seed: str = SEED, weights=WEIGHTS, share=SHARE, limit=LIMIT, carry: tuple[str, ...] = ("*",)) -> DataFrame:
     """Each row of ``docs`` (columns doc_id, source, text among any others) with its part in the mix.
 
-    Returns ``row`` (the whole input row as a struct, so that no column name can clash), size, source_size, target, copies.
+    Returns ``row`` (the columns to ``carry`` as a struct, so that no column name can clash), size, source_size, target, copies.
     Rows lie in order of source, size and doc_id over all tasks, so a hot source spreads like any other; a task's rows are
     counted, and the counts' prefix sums give every row its place within its source. Expected copies are target /
     source_size; a row is emitted once per integer that its stretch of the prefix sum, shifted by one seeded offset,
@@ -65,7 +65,7 @@ def mix(docs: DataFrame, seed: str = SEED, weights=WEIGHTS, share=SHARE, limit=L
     Repeated rows are rows like others. Sources of size 0 have target 0 and no copies.
     """
     size = word_count(F.col("text"))
-    rows = docs.select(F.struct("*").alias("row"), F.col("source").alias("source"), size.alias("size"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("tie"))
+    rows = docs.select(F.struct(*carry).alias("row"), F.col("source").alias("source"), size.alias("size"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("tie"))
     order = ["source", "size", "id", "tie"]
     rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id())
     rows = materialise(rows, "mix-rows").withColumn("part", F.shiftright("at", 33))
@@ -100,7 +100,7 @@ def mixed_documents(docs: DataFrame, **how) -> DataFrame:
 
 
 def op2_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text").alias("d"))
+    out = mix(table(spark, sf_dir, "documents"), carry=("doc_id",))
     return out.select("row.doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
 
 
