@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import hashlib
+import sys
 import tempfile
+import types
 import uuid
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,6 +48,42 @@ def no_text(col: Column) -> Column:
     return F.coalesce(col, F.lit(""))
 
 
+#: Rows of one Arrow batch: texts are long, and an executor holds a few batches for each task.
+BATCH_ROWS = 1000
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Keep Arrow batches small for this session from now on."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
+
+
+def tidy() -> None:
+    """Give memory that a finished task no longer needs back to the system; workers live on."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def tidied(run):
+    """``run`` (a function for mapInArrow) with ``tidy`` at the end of each task."""
+
+    def whole(batches):
+        try:
+            yield from run(batches)
+        finally:
+            tidy()
+
+    return whole
+
+
+def worker_state() -> dict:
+    """What this worker process keeps from one task to the next."""
+    return vars(sys.modules.setdefault("_locusmill_worker", types.ModuleType("_locusmill_worker"))).setdefault("kept", {})
+
+
 # ---------------------------------------------------------------- hashes of words and shingles
 
 _RNG = np.random.default_rng(20240229)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialise, table
+from .common import bounded_batches, materialise, table, tidied
 
 WINDOW = 13
 #: A document is contaminated where hit words are at least one in so many.
@@ -197,7 +197,7 @@ def _passes(docs: DataFrame, keep: list[str], items: DataFrame, window: int, blo
                 yield pa.RecordBatch.from_arrays([*arrays, pa.array(n_words, pa.int64()), pa.array(spans, pa.list_(pa.int32())), pa.array(found, pa.list_(pa.string()))], names=[*names, "_n", "_spans", "_items"])
 
         schema = T.StructType([*kept, T.StructField("_n", T.LongType()), T.StructField("_spans", T.ArrayType(T.IntegerType())), T.StructField("_items", T.ArrayType(T.StringType()))])
-        part = docs.select(*keep, F.col("_text_source").cast("binary").alias("_text")).mapInArrow(scan, schema)
+        part = docs.select(*keep, F.col("_text_source").cast("binary").alias("_text")).mapInArrow(tidied(scan), schema)
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -214,6 +214,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
     Nulls: a null text has no words and is never contaminated; an item without id or words matches nothing. Repeated rows
     are rows like others; empty tables give no rows.
     """
+    bounded_batches(docs.sparkSession)
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), "text").where("item is not null")
     base = docs.select(F.struct("*").alias("row"), F.col("text").alias("_text_source"))
     total = items.agg(F.sum(F.regexp_count("text", F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")))).first()[0] or 0

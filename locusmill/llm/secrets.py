@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import no_text, table
+from .common import bounded_batches, no_text, table, tidied
 
 KINDS = ("assign", "access", "hex")
 
@@ -119,8 +119,9 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
 
     Nulls: a null text is empty; a null id stays. Repeated rows are rows like others, other columns are not looked at.
     """
+    bounded_batches(docs.sparkSession)
     schema = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_entropy long"
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), no_text(F.col("text")).alias("text")).mapInArrow(_scan, schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), no_text(F.col("text")).alias("text")).mapInArrow(tidied(_scan), schema)
 
 
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

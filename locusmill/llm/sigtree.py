@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import PhraseHasher, materialise, mixed, table
+from .common import PhraseHasher, bounded_batches, materialise, mixed, table, tidied, worker_state
 from .graph import components
 
 ROWS = 4
@@ -53,6 +53,7 @@ def _keys(sets: np.ndarray, n: int, rows: int) -> np.ndarray:
 
 def _signing(k: int, n: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state().clear()
         hasher = PhraseHasher()
         for whole in batches:
             for at in range(0, whole.num_rows, 1000):
@@ -216,7 +217,7 @@ def _verified(texts: DataFrame, members: DataFrame, k: int, threshold: tuple[int
     rows = members.join(texts, "doc_id").select("unit", "side", "grp", "doc_id", "text")
     n = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.repartition(n, "unit").sortWithinPartitions("unit", "side", "doc_id")
-    return rows.mapInArrow(_joining(k, threshold), "a long, b long")
+    return rows.mapInArrow(tidied(_joining(k, threshold)), "a long, b long")
 
 
 def _roots(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -237,10 +238,11 @@ def similar_sets(docs: DataFrame, k: int, threshold: tuple[int, int]) -> DataFra
     Nulls: null and empty texts have no set and link with nothing; rows without id take no part and have no component. Rows
     of the same id are one document: it has the links of all of them. Empty tables give no rows.
     """
+    bounded_batches(docs.sparkSession)
     num, den = threshold
     n = bands(num / den)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    signed = materialise(rows.mapInArrow(_signing(k, n, ROWS), "doc_id long, n_shingles long, digest binary, bands array<long>"), "signatures")
+    signed = materialise(rows.mapInArrow(tidied(_signing(k, n, ROWS)), "doc_id long, n_shingles long, digest binary, bands array<long>"), "signatures")
     some = signed.where("doc_id is not null and n_shingles > 0")
     owners = materialise(some.groupBy("digest").agg(F.min("doc_id").alias("owner")), "set-owners")
     owned = some.select("doc_id", "digest").join(owners, "digest").where("doc_id <> owner").select(F.col("doc_id").alias("a"), F.col("owner").alias("b"))

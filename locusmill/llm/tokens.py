@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import os
 import re
-import sys
-import types
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -15,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import PhraseHasher, materialise, no_text, shared_path, table
+from .common import PhraseHasher, bounded_batches, materialise, no_text, shared_path, table, tidied, worker_state
 from .wavelet import WaveletFile, encode
 
 VOCABULARY = "word_bpe_49k.json"
@@ -23,9 +21,9 @@ END_ID = 1
 #: A shard ends with the document that reaches so many tokens; it bounds what a task holds.
 SHARD_TOKENS = 2_000_000
 #: Encoded stretches that a worker keeps, about 200 bytes each.
-CACHE = 1_000_000
+CACHE = 400_000
 _SLOTS = 21
-_STEP, _CHARS = 2000, 1 << 20
+_STEP, _CHARS = 1000, 1 << 18
 
 
 class Encoder:
@@ -167,8 +165,8 @@ class Encoder:
 
 
 def _encoder(path: str | None, vocabulary: str) -> Encoder:
-    """One encoder for each worker process; the words it knows serve all tasks that run there."""
-    kept = vars(sys.modules.setdefault("_locusmill_worker", types.ModuleType("_locusmill_worker"))).setdefault("encoders", {})
+    """One encoder for each worker process; the words it knows serve all its tasks, until another operator comes."""
+    kept = worker_state()
     if (path, vocabulary) not in kept:
         kept[path, vocabulary] = Encoder(path, vocabulary)
     return kept[path, vocabulary]
@@ -231,6 +229,7 @@ def write_tokens(docs: DataFrame, folder: str | None = None, path: str | None =
     Nulls: a null text is empty (its end id only); null ids come first. Rows of the same id lie next to each other in order
     of their tokens. An empty table has no shards. Other columns are not looked at.
     """
+    bounded_batches(docs.sparkSession)
     spark = docs.sparkSession
     folder = folder or shared_path(spark, "tokens")
     n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -239,9 +238,9 @@ def write_tokens(docs: DataFrame, folder: str | None = None, path: str | None =
     bounds = sorted({int(b) for b in bounds})
     kind = "<u2" if Encoder(path, vocabulary).kind == "<u2" else "<u4"
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), no_text(F.col("text")).alias("text"))
-    rows = rows.mapInArrow(_encoding(path, vocabulary, bounds, end_id), "bucket int, doc_id long, ids binary")
+    rows = rows.mapInArrow(tidied(_encoding(path, vocabulary, bounds, end_id)), "bucket int, doc_id long, ids binary")
     rows = rows.repartitionById(len(bounds) + 1, F.col("bucket")).sortWithinPartitions("bucket", F.col("doc_id").asc_nulls_first(), "ids")
-    shards = rows.mapInArrow(_writing(folder, kind, shard_tokens), "bucket int, shard int, file string, n_docs long, n_tokens long")
+    shards = rows.mapInArrow(tidied(_writing(folder, kind, shard_tokens)), "bucket int, shard int, file string, n_docs long, n_tokens long")
     shards = materialise(shards, "token-shards")
     totals = shards.groupBy("bucket").agg(F.sum("n_tokens").alias("n"))
     before = totals.select("bucket", F.coalesce(F.sum("n").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
@@ -272,7 +271,7 @@ def read_tokens(manifest: DataFrame, folder: str) -> DataFrame:
     """What the files hold, per document: doc_id, start, n_tokens, ids_crc32."""
     n = max(1, int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     files = manifest.select("file", "start").repartition(n)
-    return files.mapInArrow(_reading(folder), "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return files.mapInArrow(tidied(_reading(folder)), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def op5_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:

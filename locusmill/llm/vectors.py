@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, table
+from .common import bounded_batches, materialise, table, tidied
 from .graph import components
 
 THRESHOLD = 0.95
@@ -231,7 +231,7 @@ def _search(distinct: DataFrame, dim: int, total: int, threshold: float, recall:
     if dim % 2:
         x = np.column_stack((x, np.zeros(len(x))))
     index = spark.sparkContext.broadcast(MultiIndex(x, total, threshold, recall))
-    entries = materialise(distinct.select("own", "copies", "vector").mapInArrow(_indexing(index, dim), _ENTRY), "vector-entries")
+    entries = materialise(distinct.select("own", "copies", "vector").mapInArrow(tidied(_indexing(index, dim)), _ENTRY), "vector-entries")
     held = entries.groupBy("cell").agg(F.ceil(F.count_if(F.col("visitor") == 0) / UNIT_MEMBERS).alias("m"), F.ceil(F.count_if(F.col("visitor") == 1) / UNIT_VISITORS).alias("v")).where("m > 0 and v > 0")
     rows = entries.join(held, "cell")
     # Members of a hot cell are dealt to m parts and its visitors to v; each part meets each.
@@ -240,7 +240,7 @@ def _search(distinct: DataFrame, dim: int, total: int, threshold: float, recall:
     units = rows.select(F.explode(of).alias("part"), "cell", "visitor", "home", "own", "copies", "vector", "visits")
     units = units.select(F.xxhash64("cell", "part").alias("unit"), "visitor", "home", "own", "copies", "vector", "visits")
     units = units.repartition(n, "unit").sortWithinPartitions("unit", "visitor")
-    return units.mapInArrow(_joining(dim, threshold), "own long, n long, least long")
+    return units.mapInArrow(tidied(_joining(dim, threshold)), "own long, n long, least long")
 
 
 def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
@@ -254,6 +254,7 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, recall: float
     Nulls: vectors that are null, empty, zero or hold null or non-finite components link with nothing; rows without id have
     no links and no component. Rows that repeat an id link like others, but share its component. Empty tables give no rows.
     """
+    bounded_batches(docs.sparkSession)
     usable = "embedding is not null and size(embedding) > 0 and not exists(embedding, x -> x is null or isnan(x) or abs(x) = double('infinity')) and exists(embedding, x -> x <> 0)"
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
     good = rows.where(usable).where("vec_id is not null")

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, no_text, shared_path, table
+from .common import bounded_batches, materialise, no_text, shared_path, table, tidied
 
 #: Payloads of fewer bytes are never revisits.
 MIN_BYTES = 1000
@@ -91,6 +91,7 @@ def write_archives(pages: DataFrame, folder: str | None = None, min_bytes: int =
     Nulls: a null html is an empty payload, a null url is ``urn:none``; pages without id revisit one that has an id. Rows that
     repeat the largest id are all responses. An empty table has no archives.
     """
+    bounded_batches(pages.sparkSession)
     spark = pages.sparkSession
     folder = folder or shared_path(spark, "warc")
     html = no_text(F.col("html"))
@@ -100,7 +101,7 @@ def write_archives(pages: DataFrame, folder: str | None = None, min_bytes: int =
     known = F.broadcast(again) if again.count() <= BROADCAST_ROWS else again
     rows = rows.join(known, (F.col("digest") == F.col("same")) & (F.col("n_bytes") >= min_bytes), "left")
     rows = rows.select("page_id", "url", "html", "digest", "n_bytes", F.when(~F.col("target").eqNullSafe(F.col("page_id")), F.col("target")).alias("target"))
-    return materialise(rows.mapInArrow(_writing(folder, archive_bytes), "file string, n long"), "warc-manifest"), folder
+    return materialise(rows.mapInArrow(tidied(_writing(folder, archive_bytes)), "file string, n long"), "warc-manifest"), folder
 
 
 def records(f) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -173,7 +174,7 @@ def _reading(folder: str, blocks: bool):
 def read_records(manifest: DataFrame, folder: str, blocks: bool = False) -> DataFrame:
     """A row per record of the archives; ``blocks`` carries their contents too."""
     n = max(1, int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return manifest.select("file").repartition(n).mapInArrow(_reading(folder, blocks), _RECORD_DDL)
+    return manifest.select("file").repartition(n).mapInArrow(tidied(_reading(folder, blocks)), _RECORD_DDL)
 
 
 def captures(found: DataFrame) -> DataFrame:
