@@ -254,7 +254,7 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, recall: float
     Nulls: vectors that are null, empty, zero or hold null or non-finite components link with nothing; rows without id have
     no links and no component. Rows that repeat an id link like others, but share its component. Empty tables give no rows.
     """
-    bounded_batches(docs.sparkSession)
+    bounded_batches(vectors.sparkSession)
     usable = "embedding is not null and size(embedding) > 0 and not exists(embedding, x -> x is null or isnan(x) or abs(x) = double('infinity')) and exists(embedding, x -> x <> 0)"
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
     good = rows.where(usable).where("vec_id is not null")
