@@ -1,4 +1,294 @@
 """Queries that apply the library's operators to the driver's tables, with the SQL that gives the same rows."""
 
-QUERIES: dict = {}
-ORACLE: dict = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from locusmill.functions import biology as bio
+from locusmill.functions import fields
+from locusmill.operators import intervals as iv
+from locusmill.operators import relational as rel
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE: dict[str, str] = {}
+
+
+class Tables:
+    def __init__(self, spark: SparkSession, folder: str) -> None:
+        self.spark, self.folder = spark, folder
+
+    def __getattr__(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+
+
+def query(sql: str):
+    def add(build: Callable[[Tables], DataFrame]):
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return build(Tables(spark, sf_dir))
+
+        QUERIES[build.__name__], ORACLE[build.__name__] = run, sql
+        return build
+
+    return add
+
+
+count = lambda: F.count(F.lit(1)).cast("long")
+LINE = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice"]
+_CHECKS = [("quantity", F.col("l_quantity") >= 10), ("discount", F.col("l_discount") <= 0.05), ("tax", F.col("l_tax") <= 0.04)]
+_AUDIT = "CASE WHEN l_quantity >= 10 THEN NULL ELSE 'quantity' END, CASE WHEN l_discount <= 0.05 THEN NULL ELSE 'discount' END, CASE WHEN l_tax <= 0.04 THEN NULL ELSE 'tax' END"
+_OK = "l_quantity >= 10 AND l_discount <= 0.05 AND l_tax <= 0.04"
+_PASS = "pass_quantity AND pass_discount AND pass_tax"
+
+
+def _audited(t: Tables) -> DataFrame:
+    return rel.audit(t.lineitem, _CHECKS)
+
+
+@query(f"SELECT {', '.join(LINE)}, l_quantity >= 10 AS pass_quantity, l_discount <= 0.05 AS pass_discount, l_tax <= 0.04 AS pass_tax, {_OK} AS overall_pass, concat_ws(';', {_AUDIT}) AS failure_reasons FROM lineitem")
+def threshold_audit(t):
+    return _audited(t).select(*LINE, "pass_quantity", "pass_discount", "pass_tax", "overall_pass", "failure_reasons")
+
+
+@query(f"SELECT reason, count(*) AS n FROM (SELECT unnest(list_filter([{_AUDIT}], lambda x: x IS NOT NULL)) AS reason FROM lineitem) GROUP BY reason")
+def reason_histogram(t):
+    return rel.tag_histogram(_audited(t).where("not overall_pass"), F.split("failure_reasons", ";"), "reason")
+
+
+@query(f"SELECT l_returnflag, count(*) AS accepted, round(count(*) / ((SELECT sum(p_size) FROM part) / 1000.0), 6) AS per_unit FROM lineitem WHERE {_OK} GROUP BY l_returnflag")
+def burden_per_unit(t):
+    size = t.part.agg(F.sum("p_size").alias("size"))
+    n = _audited(t).where("overall_pass").groupBy("l_returnflag").agg(count().alias("accepted"))
+    return n.crossJoin(F.broadcast(size)).select("l_returnflag", "accepted", F.round(F.col("accepted") / (F.col("size") / 1000.0), 6).alias("per_unit"))
+
+
+@query("SELECT o_custkey, o_orderkey, o_orderstatus FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END, o_totalprice DESC, o_orderkey) AS k FROM orders) WHERE k = 1")
+def best_annotation(t):
+    rank = F.when(F.col("o_orderstatus") == "F", 0).when(F.col("o_orderstatus") == "O", 1).otherwise(2)
+    return rel.best(t.orders, ["o_custkey"], [rank, F.desc("o_totalprice"), F.col("o_orderkey")]).select("o_custkey", "o_orderkey", "o_orderstatus")
+
+
+@query("""WITH d AS (SELECT DISTINCT l_suppkey, date_diff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE)) AS s, date_diff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE)) + 3 AS e FROM lineitem),
+r AS (SELECT *, max(e) OVER (PARTITION BY l_suppkey ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM d),
+i AS (SELECT *, sum(CASE WHEN reach >= s THEN 0 ELSE 1 END) OVER (PARTITION BY l_suppkey ORDER BY s, e) AS island FROM r),
+m AS (SELECT l_suppkey, min(s) AS s, max(e) AS e FROM i GROUP BY l_suppkey, island)
+SELECT l_suppkey, count(*) AS islands, CAST(sum(e - s) AS BIGINT) AS days FROM m GROUP BY l_suppkey""")
+def interval_merge(t):
+    day = F.datediff(F.col("l_shipdate").cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
+    merged = iv.merge(t.lineitem.select("l_suppkey", day.alias("start"), (day + 3).alias("end")), ["l_suppkey"])
+    return merged.groupBy("l_suppkey").agg(count().alias("islands"), iv.covered(merged).cast("long").alias("days"))
+
+
+@query(f"SELECT {', '.join(LINE)}, l_quantity FROM lineitem WHERE EXISTS (SELECT 1 FROM part WHERE p_partkey = l_partkey AND l_quantity - 1 >= p_size AND l_quantity - 1 < p_size + 5)")
+def interval_semi_keyed(t):
+    sides = t.part.select("p_partkey", F.col("p_size").alias("start"), (F.col("p_size") + 5).alias("end"))
+    return iv.contained(t.lineitem.select(*LINE, "l_quantity"), sides, F.col("l_quantity") - 1, {"l_partkey": "p_partkey"}, 5.0)
+
+
+def _decades(t: Tables) -> DataFrame:
+    return t.nation.select((F.col("n_nationkey") * 10).alias("start"), (F.col("n_nationkey") * 10 + 4).alias("end"))
+
+
+@query("SELECT event_id, value FROM events e WHERE EXISTS (SELECT 1 FROM nation WHERE e.value >= n_nationkey * 10 AND e.value < n_nationkey * 10 + 4)")
+def interval_semi_pure(t):
+    return iv.contained(t.events.select("event_id", "value"), _decades(t), F.col("value"), {}, 4.0)
+
+
+@query("SELECT event_id, min(CASE WHEN value >= n * 10 AND value < n * 10 + 4 THEN 0.0 ELSE least(abs(value - (n * 10 + 4)), abs(n * 10 - value)) END) AS distance, bool_or(value >= n * 10 AND value < n * 10 + 4) AS inside FROM events, (SELECT n_nationkey AS n FROM nation) GROUP BY event_id")
+def nearest_interval(t):
+    out = iv.nearest(t.events.select("event_id", "value"), _decades(t), F.col("value"), F.col("value"), {}, 10.0)
+    inside = F.col("inside")
+    return out.select("event_id", "distance", inside.alias("inside"))
+
+
+@query("""WITH l AS (SELECT p_partkey AS k, p_brand AS b, p_type AS y FROM part WHERE p_partkey % 4 = 0), r AS (SELECT p_partkey AS k, p_brand AS b, p_type AS y FROM part WHERE p_partkey % 4 = 1),
+f AS (SELECT b, y, min(k) AS k, count(*) AS n FROM r GROUP BY b, y), g AS (SELECT b, min(k) AS k, count(*) AS n FROM r GROUP BY b)
+SELECT l.k AS p_partkey, CASE WHEN f.n IS NOT NULL THEN 'brand_type' WHEN g.n IS NOT NULL THEN 'brand' ELSE 'none' END AS match_level, coalesce(f.k, g.k) AS match_key, coalesce(f.n, g.n, 0) AS n_candidates
+FROM l LEFT JOIN f ON l.b = f.b AND l.y = f.y LEFT JOIN g ON l.b = g.b""")
+def precedence_match(t):
+    left, right = t.part.where("p_partkey % 4 = 0"), t.part.where("p_partkey % 4 = 1").select([F.col(c).alias(f"r_{c}") for c in t.part.columns])
+    levels = [("brand_type", [F.col("p_brand"), F.col("p_type")], [F.col("r_p_brand"), F.col("r_p_type")]), ("brand", [F.col("p_brand")], [F.col("r_p_brand")])]
+    return rel.precedence_match(left, right, levels, F.col("r_p_partkey")).select("p_partkey", "match_level", "match_key", "n_candidates")
+
+
+@query("""WITH c AS (SELECT c_nationkey, floor(c_acctbal / 1000) AS band, count(*) AS n, min(c_custkey) AS k, min(c_acctbal) AS v FROM customer GROUP BY 1, 2)
+SELECT s_suppkey, k AS match_key FROM supplier JOIN c ON s_nationkey = c_nationkey AND floor(s_acctbal / 1000) = band WHERE n = 1 AND abs(s_acctbal - v) <= 500""")
+def unique_band_match(t):
+    key = lambda n, v: F.struct(F.col(n), F.floor(F.col(v) / 1000))
+    out = rel.unique_band_match(t.supplier, t.customer, key("s_nationkey", "s_acctbal"), key("c_nationkey", "c_acctbal"), F.col("s_acctbal"), F.col("c_acctbal"), 500, F.col("c_custkey"))
+    return out.select("s_suppkey", "match_key")
+
+
+@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM events WHERE user_id IS NOT NULL)")
+def anti_only_ours(t):
+    return rel.only_left(t.customer, t.events, "c_custkey", "user_id").select("c_custkey", "c_name")
+
+
+@query("SELECT user_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, min(event_type) AS event_type, count(*) AS n FROM events GROUP BY 1, 2 HAVING count(DISTINCT event_type) = 1")
+def consensus(t):
+    return rel.consensus(t.events.withColumn("day", F.col("ts").cast("date").cast("string")), ["user_id", "day"], "event_type")
+
+
+@query("SELECT user_id, event_id, k FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k FROM events) WHERE k <= 5")
+def cap_per_start(t):
+    order = [F.col("ts"), F.col("event_id")]
+    out = rel.best(t.events, ["user_id"], order, 5)
+    return out.select("user_id", "event_id", F.row_number().over(Window.partitionBy("user_id").orderBy(*order)).cast("long").alias("k"))
+
+
+@query("SELECT event_type, count(*) AS n, count(*) FILTER (value >= 50) AS n_high, count(DISTINCT user_id) AS users, round(avg(value), 4) AS mean_value, round(median(value), 4) AS median_value FROM events GROUP BY event_type")
+def evidence_summary(t):
+    return t.events.groupBy("event_type").agg(count().alias("n"), F.count_if(F.col("value") >= 50).cast("long").alias("n_high"), F.countDistinct("user_id").alias("users"), F.round(F.avg("value"), 4).alias("mean_value"), F.round(F.median("value"), 4).alias("median_value"))
+
+
+_RATIO = "p_retailprice / (SELECT sum(p_retailprice * p_size) / sum(p_size) FROM part)"
+
+
+@query(f"SELECT p_partkey, round({_RATIO}, 6) AS ratio, round(log2({_RATIO}), 6) AS log2_ratio, CASE WHEN {_RATIO} < 0.75 THEN 'LOW' WHEN {_RATIO} > 1.25 THEN 'HIGH' ELSE 'OK' END AS qc_flag FROM part")
+def depth_ratio(t):
+    out = rel.depth_ratio(t.part, "p_retailprice", "p_size")
+    return out.select("p_partkey", F.round("ratio", 6).alias("ratio"), F.round("log2_ratio", 6).alias("log2_ratio"), "qc_flag")
+
+
+@query(f"SELECT {', '.join(LINE)}, coalesce(sum(l_quantity) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS position FROM lineitem")
+def cumulative_position(t):
+    order = [F.col(c) for c in ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")]
+    return rel.running_before(t.lineitem, ["l_orderkey"], order, "l_quantity", "position").select(*LINE, "position")
+
+
+@query("SELECT p_type, count(*) AS n FROM part GROUP BY p_type ORDER BY n DESC, p_type LIMIT 8")
+def filter_histogram(t):
+    return rel.tag_histogram(t.part, F.array("p_type"), "p_type", 8)
+
+
+@query("SELECT p_partkey, n_nationkey, CAST((p_size * 37 + n_nationkey * 11) % 101 AS BIGINT) AS score, CASE WHEN (p_size * 37 + n_nationkey * 11) % 101 <= 50 THEN 'yes' ELSE 'no' END AS binder FROM part, nation WHERE p_partkey <= 200")
+def cross_score(t):
+    pairs = t.part.where("p_partkey <= 200").select("p_partkey", "p_size").crossJoin(F.broadcast(t.nation.select("n_nationkey")))  # a fixed list of 25
+    score = ((F.col("p_size") * 37 + F.col("n_nationkey") * 11) % 101).cast("long")
+    return pairs.select("p_partkey", "n_nationkey", score.alias("score"), F.when(score <= 50, "yes").otherwise("no").alias("binder"))
+
+
+@query(f"SELECT count(*) AS raw, count(*) FILTER (l_quantity >= 10) AS pass, count(*) FILTER ({_OK}) AS manual FROM lineitem")
+def funnel(t):
+    a = _audited(t)
+    return a.agg(count().alias("raw"), F.count_if("pass_quantity").cast("long").alias("pass"), F.count_if("overall_pass").cast("long").alias("manual"))
+
+
+@query("SELECT event_type, CAST(floor(value) AS BIGINT) AS level, event_id FROM (SELECT *, row_number() OVER (PARTITION BY event_type, floor(value) ORDER BY event_id) AS k FROM events) WHERE k = 1")
+def first_seen(t):
+    rows = t.events.withColumn("level", F.floor("value").cast("long"))
+    return rel.best(rows, ["event_type", "level"], [F.col("event_id")]).select("event_type", "level", "event_id")
+
+
+@query("SELECT CASE WHEN value IS NULL THEN 'NOT_DETERMINED' WHEN value >= 20 THEN 'MSI-H' WHEN value >= 3 THEN 'MSI-L' ELSE 'MSS' END AS status, count(*) AS n FROM events GROUP BY 1")
+def score_class(t):
+    return t.events.groupBy(bio.msi_class(F.col("value")).alias("status")).agg(count().alias("n"))
+
+
+@query("SELECT event_id, CASE WHEN event_id & 1 = 0 THEN 'unpaired' WHEN ((event_id & 64 <> 0) AND (event_id & 16 = 0)) OR ((event_id & 64 = 0) AND (event_id & 16 <> 0)) THEN 'F1R2' ELSE 'F2R1' END AS orientation FROM events")
+def flag_orientation(t):
+    return t.events.select("event_id", bio.orientation(F.col("event_id")).alias("orientation"))
+
+
+@query(f"SELECT {', '.join(LINE)}, CASE WHEN {_OK} THEN 'accepted' ELSE 'rejected' END AS status FROM lineitem")
+def split_union(t):
+    a = _audited(t)
+    part = lambda ok, name: a.where(ok).select(*LINE, F.lit(name).alias("status"))
+    return part("overall_pass", "accepted").unionByName(part("not overall_pass", "rejected"))
+
+
+@query("""WITH k AS (SELECT DISTINCT text[i : i + 8] AS kmer FROM benchmark, range(1, length(text) - 7) t(i)),
+d AS (SELECT doc_id, text[i : i + 8] AS kmer FROM documents, range(1, length(text) - 7) t(i))
+SELECT doc_id, count(DISTINCT kmer) AS n_novel FROM d WHERE kmer NOT IN (SELECT kmer FROM k) GROUP BY doc_id""")
+def novel_kmers(t):
+    known = t.benchmark.select(F.explode(rel.kmers(F.col("text"), 9)).alias("kmer")).distinct()
+    own = t.documents.select("doc_id", F.explode(rel.kmers(F.col("text"), 9)).alias("kmer")).distinct()
+    return own.join(known, "kmer", "left_anti").groupBy("doc_id").agg(count().alias("n_novel"))
+
+
+@query("SELECT l_returnflag, round(sum(l_extendedprice * l_quantity) / sum(l_quantity), 4) AS weighted_price FROM lineitem GROUP BY l_returnflag")
+def weighted_mean(t):
+    return t.lineitem.groupBy("l_returnflag").agg(F.round(F.sum(F.col("l_extendedprice") * F.col("l_quantity")) / F.sum("l_quantity"), 4).alias("weighted_price"))
+
+
+@query("SELECT event_type, CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS k_sum FROM events GROUP BY event_type")
+def json_metric(t):
+    return t.events.groupBy("event_type").agg(F.sum(F.get_json_object("props", "$.k").try_cast("long")).alias("k_sum"))
+
+
+@query("SELECT page_id, regexp_replace(lower(url), '^[a-z]+://', '') AS plain, regexp_extract(lower(url), '^[a-z]+://([^/]+)', 1) AS host FROM pages")
+def url_normalise(t):
+    url = F.lower("url")
+    return t.pages.select("page_id", F.regexp_replace(url, "^[a-z]+://", "").alias("plain"), F.regexp_extract(url, "^[a-z]+://([^/]+)", 1).alias("host"))
+
+
+@query("SELECT s_suppkey, coalesce(n_name, 'no_entry') AS entry FROM supplier LEFT JOIN (SELECT * FROM nation WHERE n_regionkey <= 1) ON s_nationkey = n_nationkey")
+def knowledge_join(t):
+    base = t.nation.where("n_regionkey <= 1").select(F.col("n_nationkey").alias("s_nationkey"), "n_name")
+    return rel.with_default(t.supplier, base, ["s_nationkey"], "n_name", "no_entry", "entry").select("s_suppkey", "entry")
+
+
+@query(f"SELECT unnest(['input', 'passed', 'failed']) AS metric, unnest([count(*), count(*) FILTER ({_OK}), count(*) FILTER (NOT ({_OK}))]) AS value FROM lineitem")
+def summary_unpivot(t):
+    row = _audited(t).agg(count().alias("input"), F.count_if("overall_pass").cast("long").alias("passed"), F.count_if(~F.col("overall_pass")).cast("long").alias("failed"))
+    return rel.unpivot(row)
+
+
+@query("SELECT conv_id, turn, role, lead(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS next_role FROM conversations")
+def adjacent_pair(t):
+    by = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    return t.conversations.select("conv_id", "turn", "role", F.lead("role").over(by).alias("next_role"))
+
+
+@query("SELECT role, first(text ORDER BY conv_id, turn, text) AS text FROM conversations GROUP BY role")
+def first_write_wins(t):
+    return t.conversations.groupBy("role").agg(F.min_by("text", F.struct("conv_id", "turn", "text")).alias("text"))
+
+
+@query("SELECT p_partkey, translate(reverse(upper(p_name)), 'ACGT', 'TGCA') AS rc FROM part")
+def reverse_complement(t):
+    return t.part.select("p_partkey", bio.reverse_complement(F.col("p_name")).alias("rc"))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderstatus = 'O' THEN coalesce(c_mktsegment, '') ELSE '' END AS segment FROM orders LEFT JOIN customer ON o_custkey = c_custkey")
+def conditional_update(t):
+    rows = t.orders.join(t.customer.select("c_custkey", "c_mktsegment"), F.col("o_custkey") == F.col("c_custkey"), "left")
+    return rows.select("o_orderkey", F.when(F.col("o_orderstatus") == "O", F.coalesce("c_mktsegment", F.lit(""))).otherwise("").alias("segment"))
+
+
+@query(f"SELECT l_partkey FROM (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R' INTERSECT SELECT l_partkey FROM lineitem WHERE {_OK} EXCEPT SELECT l_partkey FROM lineitem WHERE l_quantity >= 49)")
+def set_algebra(t):
+    a = _audited(t)
+    key = lambda ok: a.where(ok).select("l_partkey")
+    return key("l_returnflag = 'R'").intersect(key("overall_pass")).subtract(key("l_quantity >= 49"))
+
+
+@query("SELECT p_brand, count(DISTINCT p_type) AS n_types, min(p_type) AS first_type, max(p_type) AS last_type, string_agg(DISTINCT p_type, '&' ORDER BY p_type) AS types FROM part GROUP BY p_brand")
+def gene_multimap(t):
+    types = F.array_sort(F.collect_set("p_type"))
+    return t.part.groupBy("p_brand").agg(F.size(types).cast("long").alias("n_types"), F.min("p_type").alias("first_type"), F.max("p_type").alias("last_type"), F.array_join(types, "&").alias("types"))
+
+
+@query("SELECT p_partkey, CAST(length(p_name) - length(p_brand) AS BIGINT) AS gap, CAST((SELECT count(*) FROM range(1, least(length(p_name), length(p_type)) + 1) t(i) WHERE left(p_name, i) = left(p_type, i)) AS BIGINT) AS common FROM part")
+def common_prefix(t):
+    return t.part.select("p_partkey", (F.length("p_name") - F.length("p_brand")).cast("long").alias("gap"), fields.common_prefix(F.col("p_name"), F.col("p_type")).cast("long").alias("common"))
+
+
+@query("SELECT event_id, CASE WHEN event_id % 3 = 0 THEN NULL ELSE value END AS parsed FROM events")
+def lenient_number(t):
+    text = F.when(F.col("event_id") % 3 == 0, F.when(F.col("event_id") % 2 == 0, "NA").otherwise("1.0d")).otherwise(F.col("value").cast("string"))
+    return t.events.select("event_id", fields.number(text).alias("parsed"))
+
+
+@query("SELECT s_suppkey, s_nationkey FROM supplier WHERE s_acctbal < 0 UNION ALL SELECT s_suppkey, s_nationkey FROM supplier WHERE s_acctbal >= 5000")
+def union_all(t):
+    s = t.supplier.select("s_suppkey", "s_nationkey", "s_acctbal")
+    return s.where("s_acctbal < 0").unionByName(s.where("s_acctbal >= 5000")).select("s_suppkey", "s_nationkey")
+
+
+@query("SELECT doc_id, list_reduce(list_prepend(CAST(0 AS BIGINT), list_transform(string_split(coalesce(text, ''), ' '), lambda w: CAST(length(w) AS BIGINT))), lambda a, n: (a * 31 + n) % 1000003) AS walked FROM documents")
+def fold_positions(t):
+    words = F.split(F.coalesce("text", F.lit("")), " ", -1)
+    return t.documents.select("doc_id", F.aggregate(words, F.lit(0).cast("long"), lambda a, w: (a * 31 + F.length(w)) % 1000003).alias("walked"))
