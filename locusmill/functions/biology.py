@@ -82,7 +82,7 @@ def mutant_protein(supplied: Column, wild: Column, terms: Column, position: Colu
     one = (F.length(ref) == 1) & (F.length(alt) == 1) & alt.rlike(f"^[{STANDARD}]$")
     head, tail = F.left(wild, position - 1), lambda k: F.substring(wild, position + k, n)
     rules = [
-        (F.coalesce(supplied, F.lit("")) != "", case("custom_mutant_protein", supplied, cs=F.coalesce(position, F.lit(1)), ce=F.length(supplied))),
+        (F.coalesce(supplied, F.lit("")) != "", case("custom_mutant_protein", supplied, cs=F.coalesce(position, F.lit(1)), ce=F.coalesce(position, F.lit(1)))),
         (wild.isNull(), fail("missing_wildtype_protein")),
         (position.isNull() | (position < 1) | (position > n), fail("invalid_or_missing_protein_position")),
         (~has("stop_gained") & ~change.contains("/"), fail("missing_amino_acid_change")),

@@ -40,19 +40,12 @@ def mutant_proteins(changes: DataFrame, aliases: DataFrame, sample: str) -> Data
     rows = changes.join(a, plain(F.col("e.ENSP")) == F.col("_p"), "left").join(b, plain(F.col("e.Feature")) == F.col("_t"), "left")
     rows = rows.withColumn("wildtype_protein", F.coalesce("_ps", "_ts")).withColumn("position", fd.first_int(F.col("e.Protein_position")).cast("int"))
     rows = rows.withColumn("m", bio.mutant_protein(F.col("supplied"), F.col("wildtype_protein"), F.col("terms"), F.col("position"), F.col("e.Amino_acids")))
-    return rows.select(F.lit(sample).alias("sample"), "variant_id", F.col("e.SYMBOL").alias("gene"), F.col("e.Feature").alias("feature"), F.col("e.ENSP").alias("protein_id"), F.col("e.Consequence").alias("vep_consequence"), bio.event_type(F.col("terms")).alias("event_type"), F.col("e.HGVSc").alias("hgvsc"), F.col("e.HGVSp").alias("hgvsp"), F.col("e.Protein_position").alias("protein_position"), F.col("e.Amino_acids").alias("amino_acids"), F.col("m.method").alias("method"), "wildtype_protein", F.col("m.protein").alias("mutant_protein"), "position", F.col("m.reason").alias("reason"), "at")
-
-
-def _changed(proteins: DataFrame) -> DataFrame:
-    """The first and last place where the mutant differs from the wild type."""
-    w, m = F.coalesce("wildtype_protein", F.lit("")), F.col("mutant_protein")
-    head = fd.common_prefix(w, m)
-    return proteins.withColumn("change_start", F.greatest(F.lit(1), F.least(head + 1, F.length(m)))).withColumn("change_end", F.when(F.col("method") == "custom_mutant_protein", F.length(m)).otherwise(F.col("change_start")))
+    return rows.select(F.lit(sample).alias("sample"), "variant_id", F.col("e.SYMBOL").alias("gene"), F.col("e.Feature").alias("feature"), F.col("e.ENSP").alias("protein_id"), F.col("e.Consequence").alias("vep_consequence"), bio.event_type(F.col("terms")).alias("event_type"), F.col("e.HGVSc").alias("hgvsc"), F.col("e.HGVSp").alias("hgvsp"), F.col("e.Protein_position").alias("protein_position"), F.col("e.Amino_acids").alias("amino_acids"), F.col("m.method").alias("method"), "wildtype_protein", F.col("m.protein").alias("mutant_protein"), "position", F.col("m.change_start").alias("change_start"), F.col("m.change_end").alias("change_end"), F.col("m.reason").alias("reason"), "at")
 
 
 def new_peptides(proteins: DataFrame, mers: list[int]) -> DataFrame:
     """Windows over the changed places, of standard residues, that the wild type does not hold."""
-    rows = _changed(proteins.where(F.col("mutant_protein").isNotNull())).withColumn("mer", F.explode(F.array(*map(F.lit, mers))))
+    rows = proteins.where(F.col("mutant_protein").isNotNull()).withColumn("mer", F.explode(F.array(*map(F.lit, mers))))
     first, last = F.greatest(F.lit(1), F.col("change_start") - F.col("mer") + 1), F.least(F.col("change_end"), F.length("mutant_protein") - F.col("mer") + 1)
     rows = rows.withColumn("lo", first).withColumn("hi", last).where("lo <= hi").withColumn("mutant_peptide_start", F.explode(F.sequence("lo", "hi")))
     rows = rows.withColumn("mutant_peptide", F.substring("mutant_protein", F.col("mutant_peptide_start"), F.col("mer"))).withColumn("mutant_peptide_end", F.col("mutant_peptide_start") + F.col("mer") - 1)
