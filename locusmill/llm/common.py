@@ -39,6 +39,15 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of ids and a few numbers that are sent to every task at most, some 50 MB; more are joined by a shuffle.
+BROADCAST_ROWS = 500_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """``df`` (a written table, or columns of one) marked for broadcast if its rows are few enough, else as it is."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` evaluated once, even where ``body`` uses it inside other lambdas."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

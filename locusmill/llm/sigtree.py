@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import PhraseHasher, bounded_batches, materialise, mixed, table, tidied, worker_state
+from .common import PhraseHasher, bounded_batches, materialise, mixed, small, table, tidied, worker_state
 from .graph import components
 
 ROWS = 4
@@ -214,7 +214,7 @@ def _joining(k: int, threshold: tuple[int, int]):
 
 def _verified(texts: DataFrame, members: DataFrame, k: int, threshold: tuple[int, int]) -> DataFrame:
     """Links found within units. ``members``: unit, side, grp, doc_id; a document can be in several units."""
-    rows = members.join(texts, "doc_id").select("unit", "side", "grp", "doc_id", "text")
+    rows = texts.join(small(members), "doc_id").select("unit", "side", "grp", "doc_id", "text")
     n = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.repartition(n, "unit").sortWithinPartitions("unit", "side", "doc_id")
     return rows.mapInArrow(tidied(_joining(k, threshold)), "a long, b long")
@@ -286,7 +286,7 @@ def similar_sets(docs: DataFrame, k: int, threshold: tuple[int, int]) -> DataFra
         unit = F.xxhash64("a.tree", "a.part", "b.part")
         side = F.explode(F.array(F.struct(F.col("a.part").alias("part"), F.lit(0).alias("side")), F.struct(F.col("b.part").alias("part"), F.lit(1).alias("side")))).alias("s")
         pairs = open_.select(F.col("a.tree").alias("tree"), unit.alias("unit"), side).select("tree", "unit", "s.part", "s.side")
-        across = pairs.join(grouped, ["tree", "part"]).select("unit", "side", "grp", "doc_id")
+        across = materialise(pairs.join(grouped, ["tree", "part"]).select("unit", "side", "grp", "doc_id"), "set-across")
         edges = materialise(edges.union(_verified(texts, across, k, threshold)), "set-links")
 
     found = materialise(components(edges.union(owned)), "set-components")
@@ -297,6 +297,7 @@ def similar_sets(docs: DataFrame, k: int, threshold: tuple[int, int]) -> DataFra
 def keep_one(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (80, 100)) -> DataFrame:
     """``docs`` with one document of each group, that of least id; rows without id stay, and all columns do."""
     lost = similar_sets(docs, k, threshold).where("doc_id <> component_id").select(F.col("doc_id").alias("_lost")).distinct()
+    lost = small(materialise(lost, "lost"))
     rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("long").alias("_id"))
     return rows.join(lost, F.col("_id") == F.col("_lost"), "left_anti").select("_row.*")
 
