@@ -221,7 +221,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
     if total > block_words:  # perhaps more than one block: rows need a key to unite what several passes find
         base = materialise(base.withColumn("_at", F.monotonically_increasing_id()), "docs")
         found = _passes(base, ["_at"], items, window, block_words)
-        places = F.flatten(F.transform(F.collect_list("_spans"), lambda s: F.transform(F.sequence(F.lit(1), F.size(s) / 2), lambda i: F.struct(F.get(s, 2 * i - 2).alias("a"), F.get(s, 2 * i - 1).alias("b")))))
+        places = F.flatten(F.transform(F.collect_list("_spans"), lambda s: F.transform(F.sequence(F.lit(1), (F.size(s) / 2).cast("int")), lambda i: F.struct(F.get(s, 2 * i - 2).alias("a"), F.get(s, 2 * i - 1).alias("b")))))
         united = found.where("size(_spans) > 0").groupBy("_at").agg(F.array_sort(places).alias("_pairs"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("_items")))).alias("_items"))
         first = found.groupBy("_at").agg(F.max("_n").alias("_n"))
         rows = base.drop("_text_source").join(first, "_at").join(united, "_at", "left")

@@ -132,13 +132,17 @@ def find_pii(docs: DataFrame) -> DataFrame:
     return each.select("doc_id", F.concat(*KINDS, *ADDED).alias("findings"))
 
 
+def _redacted(kind: str, text: Column) -> Column:
+    said = lambda g, m: F.concat(g, F.when(m.isNull(), "").when(_valid(kind, m), f"[{kind}]").otherwise(m))
+    pieces = let(F.regexp_extract_all(text, F.lit(PATTERNS[kind]), F.lit(0)), lambda found: F.array_join(F.zip_with(F.split(text, PATTERNS[kind], -1), found, said), ""))
+    return F.when(text.rlike(NEEDS[kind]), pieces).otherwise(text)
+
+
 def redact(docs: DataFrame) -> DataFrame:
-    """``docs`` with every base match that holds replaced by its kind in brackets; all columns stay."""
-    text = F.col("text")
+    """``docs`` with every base match that holds replaced by its kind in brackets, kind after kind; all columns stay."""
     for kind in KINDS:
-        found = F.filter(F.array_distinct(F.regexp_extract_all(text, F.lit(PATTERNS[kind]), F.lit(0))), lambda m, k=kind: _valid(k, m))
-        text = F.aggregate(F.reverse(F.array_sort(F.coalesce(found, F.array().cast("array<string>")))), text, lambda t, m, k=kind: F.replace(t, m, F.lit(f"[{k}]")))
-    return docs.withColumn("text", text)
+        docs = docs.withColumn("text", _redacted(kind, F.col("text")))
+    return docs
 
 
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
