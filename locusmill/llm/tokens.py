@@ -20,9 +20,11 @@ VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 #: A shard ends with the document that reaches so many tokens; it bounds what a task holds.
 SHARD_TOKENS = 2_000_000
-#: Encoded stretches that a worker keeps, about 200 bytes each.
-CACHE = 400_000
+#: Encoded stretches that a worker keeps, about 40 bytes each; beyond that, those that did not come again go.
+CACHE = 1_000_000
 _SLOTS = 21
+#: New stretches encoded in one call, some 500 bytes each while it lasts.
+_TOGETHER = 20_000
 _STEP, _CHARS = 1000, 1 << 18
 
 
@@ -57,57 +59,105 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.at: dict[int, int] = {0: 0}
+        self._fill(*(np.zeros(1, dtype=k) for k in (np.uint64, np.int32)), np.zeros(0, dtype=self.kind))
+
+    def _fill(self, keys: np.ndarray, size: np.ndarray, ids: np.ndarray) -> None:
+        """Know these stretches only; entry 0 is the empty one."""
+        self.n, self.used = len(keys), len(ids)
+        self.keys, self.size, self.first = keys, size, (np.cumsum(size) - size).astype(np.int32)
+        self.ids, self.again = ids, np.zeros(len(keys), dtype=bool)
         self.slot = np.zeros(1 << _SLOTS, dtype=np.int32)
-        self.keys, self.first, self.size = np.zeros(1 << 16, np.uint64), np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int32)
-        self.ids, self.used = np.zeros(1 << 20, dtype=self.kind), 0
+        self._deal(keys[1:], np.arange(1, self.n, dtype=np.int32))
+
+    def _shrink(self) -> None:
+        """Keep stretches that came again since the last time; none if those are most of all."""
+        keep = np.flatnonzero(self.again[: self.n])
+        keep = np.concatenate(([0], keep[keep > 0]))
+        if len(keep) > 3 * CACHE // 4:
+            return self._forget()
+        self._fill(self.keys[keep], self.size[keep], self._flat(keep, self.size[keep]))
+
+    def _flat(self, place: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Ids of these entries, one after the other."""
+        until = np.cumsum(size, dtype=np.int64)
+        return self.ids[np.repeat(self.first[place] - (until - size), size) + np.arange(int(until[-1]))]
+
+    def _deal(self, keys: np.ndarray, entries: np.ndarray) -> None:
+        """Put entries into the first free slots from their own on."""
+        at = (keys >> np.uint64(64 - _SLOTS)).astype(np.int64)
+        while len(at):
+            free = self.slot[at] == 0
+            self.slot[at[free]] = entries[free]
+            left = self.slot[at] != entries
+            at, entries = (at[left] + 1) & (len(self.slot) - 1), entries[left]
 
     def raw(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype=self.kind).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _encoded(self, need: list[str]) -> list[np.ndarray]:
-        plain = [w for w in need if self.plain.fullmatch(w)]
-        found = {}
+    def _encoded(self, need: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of stretches one after the other, and how many each has."""
+        is_plain = np.fromiter((self.plain.fullmatch(w) is not None for w in need), dtype=bool, count=len(need))
+        plain, odd = [w for w, p in zip(need, is_plain) if p], [w for w, p in zip(need, is_plain) if not p]
+        ids = [np.zeros(0, dtype=self.kind)]
+        size = np.zeros(len(need), dtype=np.int32)
         if plain:
-            ids = np.array(self.library.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, dtype=self.kind)
-            at = np.flatnonzero(self.ends[ids]) + 1
+            ids.append(np.array(self.library.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, dtype=self.kind))
+            at = np.flatnonzero(self.ends[ids[-1]]) + 1
             if len(at) != len(plain):
                 raise ValueError("a plain word was not one piece")
-            found = dict(zip(plain, np.split(ids, at[:-1])))
-        odd = [w for w in need if w not in found]
-        found.update(zip(odd, (np.frombuffer(b, dtype=self.kind) for b in self.raw(odd))))
-        return [found[w] for w in need]
+            size[is_plain] = np.diff(at, prepend=0)
+        if odd:
+            raw = self.raw(odd)
+            ids.append(np.frombuffer(b"".join(raw), dtype=self.kind))
+            size[~is_plain] = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw)) // ids[-1].itemsize
+        # Plain words lie first in the ids, the others after them: back to the order of the call.
+        order = np.concatenate((np.flatnonzero(is_plain), np.flatnonzero(~is_plain)))
+        first = np.zeros(len(need), dtype=np.int64)
+        first[order] = np.cumsum(size[order], dtype=np.int64) - size[order]
+        until = np.cumsum(size, dtype=np.int64)
+        return np.concatenate(ids)[np.repeat(first - (until - size), size) + np.arange(int(until[-1]))], size
 
     def _learn(self, keys: np.ndarray, words: list[str]) -> None:
-        n, more = len(self.at), len(keys)
-        while n + more > len(self.keys):
-            self.keys, self.first, self.size = (np.concatenate((x, np.zeros_like(x))) for x in (self.keys, self.first, self.size))
-        got = self._encoded(words)
-        sizes = np.fromiter(map(len, got), dtype=np.int64, count=more)
-        total = int(sizes.sum())
-        while self.used + total > len(self.ids):
-            self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
-        self.ids[self.used : self.used + total] = np.concatenate(got)
-        self.keys[n : n + more], self.size[n : n + more] = keys, sizes
-        self.first[n : n + more] = self.used + np.cumsum(sizes) - sizes
-        self.used += total
-        self.at.update(zip(keys.tolist(), range(n, n + more)))
-        self.slot[(keys >> np.uint64(64 - _SLOTS)).astype(np.int64)] = np.arange(n, n + more)
+        for at in range(0, len(words), _TOGETHER):
+            some = keys[at : at + _TOGETHER]
+            ids, size = self._encoded(words[at : at + _TOGETHER])
+            n, more = self.n, len(some)
+            while n + more > len(self.keys):
+                self.keys, self.first, self.size, self.again = (np.concatenate((x, np.zeros(len(x), x.dtype))) for x in (self.keys, self.first, self.size, self.again))
+            while self.used + len(ids) > len(self.ids):
+                self.ids = np.concatenate((self.ids, np.zeros(max(1 << 16, len(self.ids)), dtype=self.kind)))
+            self.ids[self.used : self.used + len(ids)] = ids
+            self.keys[n : n + more], self.size[n : n + more] = some, size
+            self.first[n : n + more] = self.used + np.cumsum(size) - size
+            self.again[n : n + more] = False
+            self.used += len(ids)
+            self.n += more
+            self._deal(some, np.arange(n, n + more, dtype=np.int32))
+
+    def _find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Entry of each key, and which keys have none."""
+        at = (keys >> np.uint64(64 - _SLOTS)).astype(np.int64)
+        place = self.slot[at]
+        lost = np.flatnonzero(self.keys[place] != keys)
+        unknown = []
+        while len(lost):
+            no = place[lost] == 0
+            unknown.append(lost[no])
+            lost = lost[~no]
+            at[lost] = (at[lost] + 1) & (len(self.slot) - 1)
+            place[lost] = self.slot[at[lost]]
+            lost = lost[self.keys[place[lost]] != keys[lost]]
+        return place, np.concatenate(unknown) if unknown else lost
 
     def _places(self, keys: np.ndarray, raw: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Entry of each stretch; new ones are encoded first."""
-        place = self.slot[(keys >> np.uint64(64 - _SLOTS)).astype(np.int64)]
-        lost = np.flatnonzero(self.keys[place] != keys)
+        place, lost = self._find(keys)
+        self.again[place] = True
         if len(lost):
             new, first, back = np.unique(keys[lost], return_index=True, return_inverse=True)
-            where = np.fromiter((self.at.get(k, -1) for k in new.tolist()), dtype=np.int64, count=len(new))
-            unknown = np.flatnonzero(where < 0)
-            if len(unknown):
-                n = len(self.at)
-                at = lost[first[unknown]]
-                self._learn(new[unknown], [raw[a:b].decode() for a, b in zip(starts[at].tolist(), ends[at].tolist())])
-                where[unknown] = np.arange(n, n + len(unknown))
-            place[lost] = where[back]
+            n, at = self.n, lost[first]
+            self._learn(new, [raw[a:b].decode() for a, b in zip(starts[at].tolist(), ends[at].tolist())])
+            place[lost] = n + back
         return place
 
     def _lines(self, texts: list[str]) -> tuple[list[str], list[int]]:
@@ -138,12 +188,12 @@ class Encoder:
         word = stop[rep] & ~second
         starts, ends, done = np.where(second, ends[rep] - 1, starts[rep]), ends[rep] - word, (line[ends[rep]] == 10) & ~word
         keys = self.hasher.ranges(line, starts, ends)
-        if len(self.at) > CACHE:
-            self._forget()
+        if self.n > CACHE:
+            self._shrink()
         place = self._places(keys, raw, starts, ends)
         size = np.where(ends > starts, self.size[place], 0).astype(np.int64)
         until = np.cumsum(size)
-        flat = self.ids[np.repeat(self.first[place] - (until - size), size) + np.arange(int(until[-1]))]
+        flat = self._flat(place, size)
         cuts = np.concatenate(([0], until[np.flatnonzero(done)])).tolist()
         return [flat[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
 

@@ -238,6 +238,16 @@ def test_tokens(spark):
     assert tokens.read_tokens(*tokens.write_tokens(frame(spark, []))).count() == 0
 
 
+@pytest.mark.parametrize("cache", [50, 400, 1_000_000])
+def test_encoder_forgets_words_and_stays_exact(monkeypatch, cache):
+    monkeypatch.setattr(tokens, "CACHE", cache)
+    monkeypatch.setattr(tokens, "_TOGETHER", 70)
+    encoder = tokens.Encoder(None, tokens.VOCABULARY)
+    texts = [prose(80, i) + f" odd{i}, x-{i}." for i in range(30)] + ["", " ", "\n\n", "a  b.", "İß, ñé.", "日本 語", "x" * 600_000, "y, " * 200_000]
+    got = [ids for at in range(0, len(texts), 4) for ids in encoder.encode(texts[at : at + 4])]
+    assert got == encoder.raw(texts)
+
+
 def test_toxicity(spark):
     bad = ["nastyword", "vileterm", "foulness"]
     docs, marks = [], []
