@@ -25,7 +25,8 @@ CACHE = 1_000_000
 _SLOTS = 21
 #: New stretches encoded in one call, some 500 bytes each while it lasts.
 _TOGETHER = 20_000
-_STEP, _CHARS = 1000, 1 << 18
+#: Rows and half the characters that are looked up at once: small, since tables of numbers are many times the text.
+_STEP, _CHARS = 250, 1 << 15
 
 
 class Encoder:
@@ -241,6 +242,7 @@ def _writing(folder: str, kind: str, most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
+        worker_state().clear()  # the encoder has done its work
         store, root = fs.FileSystem.from_uri(folder)
         store.create_dir(root, recursive=True)
         bucket, number, docs, parts, size = None, 0, [], [], 0
