@@ -86,6 +86,30 @@ def test_components(spark):
     assert got == {1: 1, 2: 1, 3: 1, 7: 7, 8: 7, 9: 7} | {100 + i: 100 for i in range(51)}
 
 
+def test_components_over_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr("locusmill.llm.graph.CHUNK", 7)
+    r = np.random.default_rng(8)
+    ids = r.permutation(2000) - 500  # negative ids too
+    links = [(int(ids[i]), int(ids[i + 1])) for i in range(600)] + [(int(a), int(b)) for a, b in zip(r.choice(ids[700:], 900), r.choice(ids[700:], 900))]
+    up = {i: i for pair in links for i in pair}
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for a, b in links:
+        x, y = root(a), root(b)
+        up[max(x, y)] = min(x, y)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        got = {x["node"]: x["component"] for x in components(spark.createDataFrame(links, "a long, b long").repartition(13)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == {i: root(i) for a, b in links if a != b for i in (a, b)}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
 def test_phrase_hashes_do_not_depend_on_the_stretch(monkeypatch):
     w = prose(500, 9).encode().split()
     whole = PhraseHasher().phrases(w, 5)
