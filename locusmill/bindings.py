@@ -161,9 +161,9 @@ def filter_histogram(t):
     return rel.tag_histogram(t.part, F.array("p_type"), "p_type", 8)
 
 
-@query("SELECT p_partkey, n_nationkey, CAST((p_size * 37 + n_nationkey * 11) % 101 AS BIGINT) AS score, CASE WHEN (p_size * 37 + n_nationkey * 11) % 101 <= 50 THEN 'yes' ELSE 'no' END AS binder FROM part, nation WHERE p_partkey <= 200")
+@query("SELECT p_partkey, n_nationkey, CAST((p_size * 37 + n_nationkey * 11) % 101 AS BIGINT) AS score, CASE WHEN (p_size * 37 + n_nationkey * 11) % 101 <= 50 THEN 'yes' ELSE 'no' END AS binder FROM part, nation")
 def cross_score(t):
-    pairs = t.part.where("p_partkey <= 200").select("p_partkey", "p_size").crossJoin(F.broadcast(t.nation.select("n_nationkey")))  # a fixed list of 25
+    pairs = t.part.select("p_partkey", "p_size").crossJoin(F.broadcast(t.nation.select("n_nationkey")))  # a fixed list of 25
     score = ((F.col("p_size") * 37 + F.col("n_nationkey") * 11) % 101).cast("long")
     return pairs.select("p_partkey", "n_nationkey", score.alias("score"), F.when(score <= 50, "yes").otherwise("no").alias("binder"))
 
