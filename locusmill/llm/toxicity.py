@@ -152,7 +152,7 @@ def ancestry(keys: np.ndarray, parents: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 class Model:
-    """Log-likelihood ratios of nodes, by a table of slots with fingerprints."""
+    """Log-likelihood ratios of nodes, by their sorted keys and an index over the keys' first bits."""
 
     def __init__(self, keys: np.ndarray, up: np.ndarray, depth: np.ndarray, docs: np.ndarray, ordinary: np.ndarray, toxic: np.ndarray, sizes: tuple[int, int], corpus: int) -> None:
         # Counts of either class are brought to the size of the smaller; discounts follow the size.
@@ -168,14 +168,20 @@ class Model:
             leaning[now] = t / (t + o)
         ratio = np.log(leaning) - np.log1p(-leaning)
         self.bits = max(10, int(3 * len(keys)).bit_length())
-        self.slot = np.zeros(1 << self.bits, dtype=np.uint32)
-        self.ratio = np.zeros(1 << self.bits, dtype=np.float32)
-        order = np.argsort(ordinary + toxic, kind="stable")
-        place, print_ = self._place(keys[order])
-        self.slot[place], self.ratio[place] = print_, ratio[order]
-
-    def _place(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return (keys >> np.uint64(64 - self.bits)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.uint32) | np.uint32(1)
+        order = np.argsort(keys)
+        # The last key ends every search.
+        self.keys = np.append(keys[order], np.uint64(2**64 - 1))
+        self.ratio = np.append(ratio[order], 0).astype(np.float32)
+        self.first = np.searchsorted(self.keys, np.arange(1 << self.bits, dtype=np.uint64) << np.uint64(64 - self.bits)).astype(np.int32)
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place of each key, and whether it is that of a learned node."""
+        at = self.first[(keys >> np.uint64(64 - self.bits)).astype(np.int64)]
+        late = np.flatnonzero(self.keys[at] < keys)
+        while len(late):
+            at[late] += 1
+            late = late[self.keys[at[late]] < keys[late]]
+        return at, (self.keys[at] == keys) & (at < len(self.keys) - 1)
 
     def features(self, nodes: Nodes, text: bytes) -> tuple[float, ...]:
         """Log-likelihood ratios by length: of all words, of the span and of the few words most toxic; log of the length."""
@@ -184,8 +190,8 @@ class Model:
             return (0.0,) * len(FEATURES)
         word = np.zeros(len(keys), dtype=np.float32)
         for k in range(keys.shape[1]):
-            place, print_ = self._place(keys[:, k])
-            word = np.where(there[:, k] & (self.slot[place] == print_), self.ratio[place], word)
+            place, learned = self.find(keys[:, k])
+            word = np.where(there[:, k] & learned, self.ratio[place], word)
         n = min(SPAN_WORDS, len(word))
         sums = np.concatenate(([0.0], np.cumsum(word, dtype=np.float64)))
         top = np.partition(word, len(word) - TOP_WORDS)[-TOP_WORDS:] if len(word) > TOP_WORDS else word

@@ -291,6 +291,20 @@ def test_toxicity(spark):
     assert toxicity.drop_toxic(frame(spark, docs), labels).columns == frame(spark, docs).columns
 
 
+def test_toxicity_finds_every_learned_node():
+    keys = np.random.default_rng(5).integers(1, 2**64 - 1, 50_000, dtype=np.uint64)
+    seen = np.full(len(keys), 3)
+    model = toxicity.Model(keys, np.full(len(keys), -1), np.zeros(len(keys), np.int8), seen, np.where(keys % 2 == 0, 3, 0), np.where(keys % 2 == 0, 0, 3), (100, 100), 1000)
+
+    class One:
+        def of(self, text):
+            k = keys[int(text)]
+            return np.array([[k]], np.uint64), np.zeros((1, 1), np.uint64), np.ones((1, 1), bool)
+
+    ratio = [model.features(One(), str(i).encode())[0] for i in range(0, len(keys), 10)]
+    assert [np.sign(r) for r in ratio] == [-1 if k % 2 == 0 else 1 for k in keys[::10]]
+
+
 def test_vectors(spark):
     r = np.random.default_rng(2)
     x = r.normal(size=(300, 16))
