@@ -9,6 +9,8 @@ counts as its beginning does.
 
 from __future__ import annotations
 
+import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +31,10 @@ BACKOFF, SHARED = 2.0, 0.05
 THRESHOLD = 0.3
 SPAN_WORDS = 50
 TOP_WORDS = 6
+#: Characters of scripts that write no spaces between words: Thai, Lao, Tibetan, Burmese, Khmer, Kana and Han.
+_UNSPACED = re.compile(rb"(?:\xe0[\xb8-\xbf][\x80-\xbf]|\xe1[\x80-\x82\x9e\x9f][\x80-\xbf]|\xe3[\x81-\xbf][\x80-\xbf]|[\xe4-\xe9][\x80-\xbf]{2}|\xef[\xa4-\xab][\x80-\xbf]|\xf0[\xa0-\xb3][\x80-\xbf]{2})+")
+#: Their first bytes, looked for before all else.
+_LEADS = re.compile(rb"[\xe0\xe1\xe3-\xe9\xef\xf0]")
 _FOLD = bytes(c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
 
 
@@ -37,17 +43,26 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string")), F.lit(4)) == 2, F.lit(False))
 
 
+def _pairs(run: re.Match) -> bytes:
+    """A run of such characters as its pairs of neighbours, or the only character, set off by spaces."""
+    chars = run[0].decode()
+    return f" {' '.join(a + b for a, b in zip(chars, chars[1:])) or chars} ".encode()
+
+
 class Nodes(PhraseHasher):
     """Hashes of the nodes of every word of a text."""
 
     def of(self, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Rows are words; columns are prefixes and the whole word: hash, parent's hash (0: root), and whether there is such a node."""
-        words = text.translate(_FOLD).split()
+        """Rows are words (pairs of characters where a script has no spaces); columns are prefixes and the whole word: hash, parent's hash (0: root), and whether there is such a node."""
+        text = text.translate(_FOLD)
+        if not text.isascii() and _LEADS.search(text):
+            text = _UNSPACED.sub(_pairs, text)
+        words = text.split()
         levels = len(PREFIXES) + 1
         if not words:
             return np.zeros((0, levels), np.uint64), np.zeros((0, levels), np.uint64), np.zeros((0, levels), bool)
         if max(map(len, words)) > LONG_WORD:
-            words = [w if len(w) <= LONG_WORD else w[:LONG_WORD] for w in words]
+            words = [w if len(w) <= LONG_WORD else w[: PREFIXES[-1]] + hashlib.sha256(w).hexdigest().encode() for w in words]
         parts = [self._some(words[at : at + STRETCH]) for at in range(0, len(words), STRETCH)]
         return parts[0] if len(parts) == 1 else tuple(np.concatenate(x) for x in zip(*parts))
 

@@ -305,6 +305,15 @@ def test_toxicity_finds_every_learned_node():
     assert [np.sign(r) for r in ratio] == [-1 if k % 2 == 0 else 1 for k in keys[::10]]
 
 
+def test_toxicity_reads_long_words_and_text_without_spaces():
+    nodes = toxicity.Nodes()
+    (a, _, _), (b, _, _) = nodes.of(b"x" * 70_000 + b"one"), nodes.of(b"x" * 70_000 + b"two")
+    assert a[0, -1] != b[0, -1] and (a[0, :-1] == b[0, :-1]).all()
+    held = set(nodes.of("毒物".encode())[0][:, -1].tolist())
+    assert held <= set(nodes.of("这里有毒物吗 caf\u00e9".encode())[0][:, -1].tolist()) and len(nodes.of("这里有毒物吗 caf\u00e9 \ud55c\uad6d\uc5b4".encode())[0]) == 7
+    assert [len(nodes.of(t.encode())[0]) for t in ("毒", "สวัสดี", "na\u00efve \u201cquote\u201d")] == [1, 5, 2]
+
+
 def test_vectors(spark):
     r = np.random.default_rng(2)
     x = r.normal(size=(300, 16))
