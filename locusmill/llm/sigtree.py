@@ -66,7 +66,7 @@ def _signing(k: int, n: int, rows: int):
                     keys.append(_keys(s, n, rows).view(np.int64) if len(s) else np.empty(0, np.int64))
                 ends = np.concatenate(([0], np.cumsum([len(x) for x in keys])))
                 keys = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(keys) if keys else []).cast(pa.int64()))
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), keys], names=["doc_id", "n_shingles", "digest", "bands"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), keys], names=["doc_id", "name", "n_shingles", "digest", "bands"])
 
     return run
 
@@ -179,7 +179,7 @@ def links(docs: list[int], sets: list[np.ndarray], sides: list[int], threshold:
 
 
 def _joining(k: int, threshold: tuple[int, int]):
-    """Rows come in order of unit; columns: unit, side, group, doc_id, text."""
+    """Rows come in order of unit, side, doc_id and name; columns: unit, side, group, doc_id, text. A document has an entry for each of its sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = PhraseHasher()
@@ -196,10 +196,11 @@ def _joining(k: int, threshold: tuple[int, int]):
                     if len(docs) > 1:
                         out += links(docs, sets, sides, threshold, groups)
                     unit, docs, sets, sides, groups = u, [], [], [], []
-                if docs and docs[-1] == doc and sides[-1] == side:
+                own = shingles(hasher, text.as_py(), k)
+                if docs and docs[-1] == doc and sides[-1] == side and np.array_equal(sets[-1], own):
                     continue
                 docs.append(doc)
-                sets.append(shingles(hasher, text.as_py(), k))
+                sets.append(own)
                 sides.append(side)
                 groups.append(group)
             if len(out) > 10_000:
@@ -213,10 +214,10 @@ def _joining(k: int, threshold: tuple[int, int]):
 
 
 def _verified(texts: DataFrame, members: DataFrame, k: int, threshold: tuple[int, int]) -> DataFrame:
-    """Links found within units. ``members``: unit, side, grp, doc_id; a document can be in several units."""
-    rows = texts.join(small(members), "doc_id").select("unit", "side", "grp", "doc_id", "text")
+    """Links found within units. ``members``: unit, side, grp, doc_id, name (of a text of the document); a text can be in several units."""
+    rows = texts.join(small(members), ["doc_id", "name"]).select("unit", "side", "grp", "doc_id", "name", "text")
     n = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.repartition(n, "unit").sortWithinPartitions("unit", "side", "doc_id")
+    rows = rows.repartition(n, "unit").sortWithinPartitions("unit", "side", "doc_id", "name").drop("name")
     return rows.mapInArrow(tidied(_joining(k, threshold)), "a long, b long")
 
 
@@ -236,13 +237,14 @@ def similar_sets(docs: DataFrame, k: int, threshold: tuple[int, int]) -> DataFra
     so.
 
     Nulls: null and empty texts have no set and link with nothing; rows without id take no part and have no component. Rows
-    of the same id are one document: it has the links of all of them. Empty tables give no rows.
+    of the same id are one document: it has the links of all of them, each text under its hash as a name. Empty tables give
+    no rows.
     """
     bounded_batches(docs.sparkSession)
     num, den = threshold
     n = bands(num / den)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    signed = materialise(rows.mapInArrow(tidied(_signing(k, n, ROWS)), "doc_id long, n_shingles long, digest binary, bands array<long>"), "signatures")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"), F.xxhash64("text").alias("name"))
+    signed = materialise(rows.mapInArrow(tidied(_signing(k, n, ROWS)), "doc_id long, name long, n_shingles long, digest binary, bands array<long>"), "signatures")
     some = signed.where("doc_id is not null and n_shingles > 0")
     owners = materialise(some.groupBy("digest").agg(F.min("doc_id").alias("owner")), "set-owners")
     owned = some.select("doc_id", "digest").join(owners, "digest").where("doc_id <> owner").select(F.col("doc_id").alias("a"), F.col("owner").alias("b"))
@@ -253,13 +255,13 @@ def similar_sets(docs: DataFrame, k: int, threshold: tuple[int, int]) -> DataFra
     near = keyed.join(buckets, "band").where("doc_id <> least").select("doc_id", "least")
     trees = components(near)
 
-    placed = trees.select(F.col("node").alias("doc_id"), F.col("component").alias("tree")).join(distinct.groupBy("doc_id").agg(F.max("n_shingles").alias("size")), "doc_id")
+    placed = trees.select(F.col("node").alias("doc_id"), F.col("component").alias("tree")).join(distinct.groupBy("doc_id", "name").agg(F.max("n_shingles").alias("size")), "doc_id")
     counts = placed.groupBy("tree").agg(F.greatest(F.ceil(F.count(F.lit(1)) / UNIT_DOCS), F.ceil(F.sum("size") / UNIT_SHINGLES)).cast("long").alias("units"))
-    placed = placed.join(counts, "tree").select("doc_id", "tree", F.when(F.col("units") > 1, F.pmod(F.xxhash64("doc_id"), F.col("units"))).otherwise(0).alias("part"), "units")
+    placed = placed.join(counts, "tree").select("doc_id", "name", "tree", F.when(F.col("units") > 1, F.pmod(F.xxhash64("doc_id", "name"), F.col("units"))).otherwise(0).alias("part"), "units")
     placed = materialise(placed, "set-units")
 
     texts = rows.where("doc_id is not null")
-    own = placed.select(F.xxhash64("tree", "part").alias("unit"), F.lit(0).alias("side"), F.col("doc_id").alias("grp"), "doc_id")
+    own = placed.select(F.xxhash64("tree", "part").alias("unit"), F.lit(0).alias("side"), F.col("doc_id").alias("grp"), "doc_id", "name")
     edges = materialise(_verified(texts, own, k, threshold), "set-links")
 
     wide = placed.where("units > 1")
@@ -268,14 +270,14 @@ def similar_sets(docs: DataFrame, k: int, threshold: tuple[int, int]) -> DataFra
         grouped = materialise(_roots(wide, edges), "set-groups")
         before = None
         while True:
-            heads = grouped.where("doc_id = grp").select("tree", "doc_id", "grp")
+            heads = grouped.where("doc_id = grp").select("tree", "doc_id", "name", "grp")
             size = heads.groupBy("tree").agg(F.ceil(F.count(F.lit(1)) / UNIT_DOCS).cast("long").alias("units"), F.count(F.lit(1)).alias("n"))
             size = materialise(size.where("n > 1"), "set-heads")
             total = size.agg(F.sum("n")).first()[0] or 0
             if not total or (before is not None and total > 0.7 * before):
                 break
             before = total
-            again = heads.join(size, "tree").select(F.xxhash64("tree", F.pmod(F.xxhash64("doc_id", F.lit(total)), F.col("units"))).alias("unit"), F.lit(0).alias("side"), "grp", "doc_id")
+            again = heads.join(size, "tree").select(F.xxhash64("tree", F.pmod(F.xxhash64("doc_id", "name", F.lit(total)), F.col("units"))).alias("unit"), F.lit(0).alias("side"), "grp", "doc_id", "name")
             edges = materialise(edges.union(_verified(texts, again, k, threshold)), "set-links")
             grouped = materialise(_roots(wide, edges), "set-groups")
         # Pairs of units that still hold different groups.
@@ -286,7 +288,7 @@ def similar_sets(docs: DataFrame, k: int, threshold: tuple[int, int]) -> DataFra
         unit = F.xxhash64("a.tree", "a.part", "b.part")
         side = F.explode(F.array(F.struct(F.col("a.part").alias("part"), F.lit(0).alias("side")), F.struct(F.col("b.part").alias("part"), F.lit(1).alias("side")))).alias("s")
         pairs = open_.select(F.col("a.tree").alias("tree"), unit.alias("unit"), side).select("tree", "unit", "s.part", "s.side")
-        across = materialise(pairs.join(grouped, ["tree", "part"]).select("unit", "side", "grp", "doc_id"), "set-across")
+        across = materialise(pairs.join(grouped, ["tree", "part"]).select("unit", "side", "grp", "doc_id", "name"), "set-across")
         edges = materialise(edges.union(_verified(texts, across, k, threshold)), "set-links")
 
     found = materialise(components(edges.union(owned)), "set-components")

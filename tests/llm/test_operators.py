@@ -80,6 +80,19 @@ def test_similar_sets(spark, monkeypatch, units):
     assert sigtree.similar_sets(frame(spark, []), 4, (85, 100)).count() == 0
 
 
+@pytest.mark.parametrize("units", [256, 2])
+def test_similar_sets_keeps_the_links_of_every_text_of_an_id(spark, monkeypatch, units):
+    monkeypatch.setattr(sigtree, "UNIT_DOCS", units)
+    docs = [(50, None, "a", "x", 1), (50, "", "a", "x", 1), (3, "", "a", "x", 1), (4, prose(200, 90), "a", "x", 1)]
+    for i in range(6):  # six texts under one id, each with a near copy of its own
+        text = prose(200, 70 + i)
+        near = text.split()
+        near[100] = "changed"
+        docs += [(50, text, "a", "x", 1), (50, text.upper(), "a", "x", 1), (10 + i, " ".join(near), "a", "x", 1)]
+    got = {(r["doc_id"], r["component_id"]) for r in sigtree.similar_sets(frame(spark, docs), 4, (85, 100)).collect()}
+    assert got == {(3, 3), (4, 4), (50, 10), *((10 + i, 10) for i in range(6))}
+
+
 def test_components(spark):
     edges = spark.createDataFrame([(1, 2), (2, 3), (3, 1), (7, 9), (9, 8), (5, 5), (None, 4)] + [(100 + i, 101 + i) for i in range(50)], "a long, b long")
     got = {r["node"]: r["component"] for r in components(edges).collect()}
