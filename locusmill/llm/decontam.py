@@ -239,19 +239,23 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
-    """``docs`` without the documents whose hit words reach the limit of coverage; the others stay as they are."""
-    return contamination(docs, benchmark, **how).where(~F.col("contaminated")).select("row.*")
+    """``docs`` without the documents whose hit words reach the limit of coverage; the others lose their hit words."""
+    return _cut(contamination(docs, benchmark, **how).where(~F.col("contaminated")), docs.columns)
 
 
 def cut_spans(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
     """``docs`` with the hit words of every document taken out of its text (words keep what follows them)."""
-    word = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]|[A-Z]"
-    found = contamination(docs, benchmark, **how)
-    pieces = F.regexp_extract_all(F.col("row.text"), F.lit(rf"(?s)^(?:(?!{word}).)+|(?:{word})+(?:(?!{word}).)*"), F.lit(0))
-    lead = F.when(F.col("row.text").rlike(rf"^(?:{word})"), 0).otherwise(1)
+    return _cut(contamination(docs, benchmark, **how), docs.columns)
+
+
+def _cut(found: DataFrame, columns: list[str]) -> DataFrame:
+    """The rows of ``contamination`` as they were, without their hit words. Both classes are single ones, so that Java's matcher loops and does not recur."""
+    other = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"
+    pieces = F.regexp_extract_all(F.col("row.text"), F.lit(rf"^[{other}]+|[^{other}]+[{other}]*"), F.lit(0))
+    lead = F.when(F.col("row.text").rlike(rf"^[^{other}]"), 0).otherwise(1)
     kept = F.filter(pieces, lambda p, i: ~F.exists("spans", lambda s: (i - lead >= s["a"]) & (i - lead < s["b"])))
     text = F.when(F.col("n_hit") > 0, F.array_join(kept, "")).otherwise(F.col("row.text"))
-    return found.select(*[text.alias(c) if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    return found.select(*[text.alias(c) if c == "text" else F.col(f"row.`{c}`").alias(c) for c in columns])
 
 
 def op6_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -253,6 +253,16 @@ def test_decontamination(spark, block):
     assert {r["doc_id"] for r in decontam.decontaminate(frame(spark, docs[:6]), frame(spark, items, "item_id long, text string")).collect()} == {r["row"]["doc_id"] for r in got if not r["contaminated"] and r["row"]["doc_id"] in range(100, 106)}
 
 
+@pytest.mark.parametrize("block", [decontam.BLOCK_WORDS, 40])
+def test_decontamination_cuts_the_passages_of_documents_that_stay(spark, block):
+    items = frame(spark, [(1, prose(20, 50)), (2, prose(30, 53)), (3, prose(13, 51))], "item_id long, text string")
+    a, b, long = prose(500, 60), prose(300, 61), "x" * 30_000
+    docs = [(1, f"({a}\n\n{prose(20, 50)}, {b}", "a", "x", 1), (2, f"{a} {b}", "a", "x", 1), (3, f"{a} {prose(30, 53)}", "a", "x", 1), (4, f"{' ' * 30_000}{long} {a} {prose(20, 50)} {b} {prose(13, 51)}", "a", "x", 1), (5, None, "a", "x", 1)]
+    kept = {r["doc_id"]: r for r in decontam.decontaminate(frame(spark, docs), items, block_words=block).collect()}
+    assert {i: r["text"] for i, r in kept.items()} == {1: f"({a}\n\n{b}", 2: f"{a} {b}", 4: f"{' ' * 30_000}{long} {a} {b} ", 5: None}
+    assert kept[1]["source"] == "a" and kept[1].asDict().keys() == {"doc_id", "text", "source", "row", "n_chars"}
+
+
 def test_wavelet():
     z = np.random.default_rng(1).integers(0, 70, 3000)
     f = WaveletFile.of(encode(z, [5, None], np.array([1000, 3000])))
