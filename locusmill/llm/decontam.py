@@ -191,7 +191,7 @@ def _passes(docs: DataFrame, keep: list[str], items: DataFrame, window: int, blo
                     hits, held = automaton.match(seq)
                     n_words.append(len(seq))
                     spans.append([x for pair in hits for x in pair])
-                    found.append(sorted(held))
+                    found.append(sorted(held - {None}))
                 arrays = [batch.column(n) for n in batch.schema.names if n != "_text"]
                 names = [n for n in batch.schema.names if n != "_text"]
                 yield pa.RecordBatch.from_arrays([*arrays, pa.array(n_words, pa.int64()), pa.array(spans, pa.list_(pa.int32())), pa.array(found, pa.list_(pa.string()))], names=[*names, "_n", "_spans", "_items"])
@@ -204,18 +204,19 @@ def _passes(docs: DataFrame, keep: list[str], items: DataFrame, window: int, blo
 
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS, nameless: bool = False) -> DataFrame:
     """Per row of ``docs``: ``row`` (the whole row as a struct), n_words, n_hit, spans (word places), items, contaminated.
 
     An item's windows are its runs of ``window`` words, or the whole item where it has fewer, but not none. Words inside an
     occurrence of a window are hit. The automaton of a block of items (at most ``block_words`` words, whatever the number
     of items) goes to every task; further blocks are matched by further passes whose spans are united by row.
 
-    Nulls: a null text has no words and is never contaminated; an item without id or words matches nothing. Repeated rows
-    are rows like others; empty tables give no rows.
+    Nulls: a null text has no words and is never contaminated; an item without words matches nothing, and one
+    without id only where ``nameless`` says so (its words are hit then, but items don't list it). Repeated rows are rows
+    like others; empty tables give no rows.
     """
     bounded_batches(docs.sparkSession)
-    items = benchmark.select(F.col("item_id").cast("string").alias("item"), "text").where("item is not null")
+    items = benchmark.select(F.col("item_id").cast("string").alias("item"), "text").where(F.lit(nameless) | F.col("item").isNotNull())
     base = docs.select(F.struct("*").alias("row"), F.col("text").alias("_text_source"))
     total = items.agg(F.sum(F.regexp_count("text", F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")))).first()[0] or 0
     if total > block_words:  # perhaps more than one block: rows need a key to unite what several passes find
@@ -239,8 +240,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
-    """``docs`` without the documents whose hit words reach the limit of coverage; the others lose their hit words."""
-    return _cut(contamination(docs, benchmark, **how).where(~F.col("contaminated")), docs.columns)
+    """``docs`` without the documents whose hit words reach the limit of coverage; the others lose their hit words. Items without id count."""
+    return _cut(contamination(docs, benchmark, nameless=True, **how).where(~F.col("contaminated")), docs.columns)
 
 
 def cut_spans(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:

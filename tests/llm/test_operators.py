@@ -263,6 +263,15 @@ def test_decontamination_cuts_the_passages_of_documents_that_stay(spark, block):
     assert kept[1]["source"] == "a" and kept[1].asDict().keys() == {"doc_id", "text", "source", "row", "n_chars"}
 
 
+@pytest.mark.parametrize("block", [decontam.BLOCK_WORDS, 40])
+def test_decontamination_heeds_items_without_id(spark, block):
+    items = frame(spark, [(1, prose(20, 50)), (None, prose(20, 52)), (None, prose(30, 53)), (2, prose(20, 52)[:0])], "item_id long, text string")
+    a = prose(500, 60)
+    docs = frame(spark, [(1, f"own {prose(20, 52)}", "a", "x", 1), (2, f"{a} {prose(30, 53)}", "a", "x", 1), (3, f"{a} {prose(20, 52)}", "a", "x", 1), (4, prose(20, 50), "a", "x", 1)])
+    assert {r["doc_id"]: r["text"] for r in decontam.decontaminate(docs, items, block_words=block).collect()} == {3: f"{a} "}
+    assert {(r["row"]["doc_id"], r["n_hit"], tuple(r["items"])) for r in decontam.contamination(docs, items, block_words=block, nameless=True).collect()} == {(1, 20, ()), (2, 30, ()), (3, 20, ()), (4, 20, ("1",))}
+
+
 def test_wavelet():
     z = np.random.default_rng(1).integers(0, 70, 3000)
     f = WaveletFile.of(encode(z, [5, None], np.array([1000, 3000])))
