@@ -1,4 +1,4 @@
-"""Helpers that the operators share: tables, the shared folder, and hashes of words."""
+"""Helpers that the operators share: tables, the shared folder, and numbers and digests of words."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ import contextlib
 import ctypes
 import gc
 import hashlib
+import pickle
 import sys
 import tempfile
 import types
@@ -13,6 +14,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,9 +26,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path below ``spark.checkpoint.dir``; a temporary folder stands in where that is unset (tests)."""
+    """A new path below ``spark.checkpoint.dir``; a temporary folder stands in where that is unset and driver and tasks are one process (tests)."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         app = spark.sparkContext.applicationId
         base = _OWN_FOLDERS.setdefault(app, "file://" + tempfile.mkdtemp(prefix="locusmill-"))
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -36,7 +40,28 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage is cut, and a lost executor loses nothing."""
     path = shared_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._locusmill_path = path
+    return out
+
+
+def discard(*frames: DataFrame | None) -> None:
+    """Delete tables that ``materialise`` wrote and that nothing reads any more."""
+    for df in frames:
+        path = getattr(df, "_locusmill_path", None)
+        if path is not None:
+            spark = df.sparkSession
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def shipped(spark: SparkSession, model: object):
+    """A broadcast of ``model`` by value, classes included, so that workers need no copy of the package. Read it with ``received``."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(model))
+
+
+def received(broadcast) -> object:
+    return pickle.loads(broadcast.value)
 
 
 #: Rows of ids and a few numbers that are sent to every task at most, some 50 MB; more are joined by a shuffle.
@@ -57,15 +82,16 @@ def no_text(col: Column) -> Column:
     return F.coalesce(col, F.lit(""))
 
 
-#: Rows of one Arrow batch: texts are long, and an executor holds a few batches for each task.
-BATCH_ROWS = 1000
+#: Rows and bytes of one Arrow batch: texts are long, and an executor holds a few batches for each task.
+BATCH_ROWS, BATCH_BYTES = 1000, 32 << 20
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches small for this session from now on."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
-        spark.conf.set(name, BATCH_ROWS)
+    """Keep Arrow batches small for this session from now on (the queries run later, so that it must stay so)."""
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        name = f"spark.sql.execution.arrow.{name}"
+        if not 0 < int(spark.conf.get(name).rstrip("bB")) <= most:
+            spark.conf.set(name, most)
 
 
 def tidy() -> None:
@@ -93,12 +119,12 @@ def worker_state() -> dict:
     return vars(sys.modules.setdefault("_locusmill_worker", types.ModuleType("_locusmill_worker"))).setdefault("kept", {})
 
 
-# ---------------------------------------------------------------- hashes of words and shingles
+# ---------------------------------------------------------------- numbers and digests of words
 
-_RNG = np.random.default_rng(20240229)
-BYTE_CODES = _RNG.integers(0, 2**64, 256, dtype=np.uint64)
-BASE = 0x9E3779B97F4A7C15 | 1
-BASE_INVERSE = pow(BASE, -1, 2**64)
+_ODD = np.random.default_rng(20240229).integers(0, 2**62, 64, dtype=np.uint64) * np.uint64(4) + np.uint64(1)
+#: Words of more bytes are digested one by one.
+_LONG = 256
+_MASKS = np.array([2 ** (8 * n) - 1 for n in range(9)], dtype=np.uint64)
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -110,46 +136,65 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-LONG_WORD, STRETCH = 1 << 16, 50_000
-
-
-class PhraseHasher:
-    """64-bit hashes of every run of k words, from prefix sums over a text's bytes (no loop over words)."""
-
-    def __init__(self) -> None:
-        self._grow(1 << 16)
-
-    def _grow(self, n: int) -> None:
-        steps = np.full(n + 1, BASE, dtype=np.uint64)
-        back = np.full(n + 1, BASE_INVERSE, dtype=np.uint64)
-        steps[0] = back[0] = 1
-        self.power = np.multiply.accumulate(steps)
-        self.inverse = np.multiply.accumulate(back)
-
-    def ranges(self, line: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-        """Hashes of the bytes from ``first`` to ``last`` of a line, wherever they stand."""
-        n = len(line)
-        if n >= len(self.power):
-            self._grow(2 * n)
-        total = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(BYTE_CODES[line] * self.power[:n], out=total[1:])
-        return mixed((total[last] - total[first]) * self.inverse[first] + (last - first).astype(np.uint64))
-
-    def phrases(self, words: list[bytes], k: int) -> np.ndarray:
-        """Hashes of each run of k words in order; of the whole sequence where there are fewer words, but not none.
-
-        Long texts are taken in stretches that overlap by k - 1 words; a word beyond LONG_WORD bytes stands for its digest.
-        """
-        if not words:
-            return np.empty(0, dtype=np.uint64)
-        if max(map(len, words)) > LONG_WORD:
-            words = [w if len(w) <= LONG_WORD else hashlib.sha256(w).hexdigest().encode() for w in words]
-        k = min(k, len(words))
-        parts = []
-        for at in range(0, len(words) - k + 1, STRETCH):
-            some = words[at : at + STRETCH + k - 1]
-            line = np.frombuffer(b" ".join(some) + b" ", dtype=np.uint8)
-            ends = np.cumsum(np.fromiter(map(len, some), dtype=np.int64, count=len(some)) + 1)
-            starts = np.concatenate(([0], ends[:-1]))
-            parts.append(self.ranges(line, starts[: len(some) - k + 1], ends[k - 1 :]))
-        return parts[0] if len(parts) == 1 else np.concatenate(parts)
+def word_places(line: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of a line begin and end, between spaces."""
+    inside = np.concatenate(([False], line != 32, [False]))
+    turns = np.flatnonzero(inside[1:] != inside[:-1])
+    return turns[::2], turns[1::2]
+
+
+def word_digests(raw: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit hashes of each word, mixed from eight bytes at a time, for all words at once; long words by a digest of theirs."""
+    if not len(starts):
+        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint64)
+    eights = np.ndarray((len(raw),), dtype="<u8", buffer=raw + bytes(8), strides=(1,))
+    left = (ends - starts).astype(np.int64)
+    low, high = mixed(left.astype(np.uint64) + _ODD[60]), mixed(left.astype(np.uint64) + _ODD[61])
+    for i in np.flatnonzero(left > _LONG).tolist():
+        digest = hashlib.blake2b(raw[starts[i] : ends[i]], digest_size=16).digest()
+        low[i], high[i] = int.from_bytes(digest[:8], "little"), int.from_bytes(digest[8:], "little")
+    at, on = starts, np.flatnonzero(left <= _LONG)
+    at, left = starts[on], left[on]
+    every = len(on) == len(low)
+    while len(on):
+        part = eights[at] & _MASKS[np.minimum(left, 8)]
+        if every:
+            low, high, every = mixed((low ^ part) * _ODD[62]), mixed((high + part) * _ODD[63]), False
+        else:
+            low[on], high[on] = mixed((low[on] ^ part) * _ODD[62]), mixed((high[on] + part) * _ODD[63])
+        more = left > 8
+        on, at, left = on[more], at[more] + 8, left[more] - 8
+    return low, high
+
+
+class Words(dict):
+    """A number for each word, told apart by its bytes."""
+
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = len(self)
+        return n
+
+    def numbers(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words))
+
+
+def run_hashes(digests: np.ndarray, k: int) -> np.ndarray:
+    """A hash of each run of k words, from hashes of the words."""
+    m = max(0, len(digests) - k + 1)
+    out = np.zeros(m, dtype=np.uint64)
+    for j in range(k):
+        out += digests[j : j + m] * _ODD[j]
+    return mixed(out)
+
+
+def run_numbers(numbers: np.ndarray, k: int) -> np.ndarray:
+    """A number for each run of k words, equal for equal runs only: runs get numbers as pairs of shorter ones."""
+    out, width = numbers, 1
+    while width < k:
+        step = width if 2 * width <= k else 1
+        right = out if step == width else numbers
+        m = max(0, len(numbers) - width - step + 1)
+        pairs = (out[:m].astype(np.uint64) << np.uint64(32)) | right[width : width + m].astype(np.uint64)
+        out = np.unique(pairs, return_inverse=True)[1].astype(np.int64)
+        width += step
+    return out

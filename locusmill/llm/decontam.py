@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_batches, materialise, table, tidied
+from .common import bounded_batches, materialise, received, shipped, table, tidied
 
 WINDOW = 13
 #: A document is contaminated where hit words are at least one in so many.
@@ -173,17 +173,14 @@ def _blocks(items: DataFrame, most: int) -> Iterator[list]:
     yield block
 
 
-
-
 def _passes(docs: DataFrame, keep: list[str], items: DataFrame, window: int, block_words: int) -> DataFrame:
-    sc = docs.sparkSession.sparkContext
     kept = [f for f in docs.schema.fields if f.name in keep]
     out = None
     for block in _blocks(items, block_words):
-        model = sc.broadcast(Automaton(block, window))
+        model = shipped(docs.sparkSession, Automaton(block, window))
 
         def scan(batches: Iterator[pa.RecordBatch], model=model) -> Iterator[pa.RecordBatch]:
-            automaton = model.value
+            automaton = received(model)
             for batch in batches:
                 n_words, spans, found = [], [], []
                 for text in batch.column("_text"):
@@ -202,8 +199,6 @@ def _passes(docs: DataFrame, keep: list[str], items: DataFrame, window: int, blo
     return out
 
 
-
-
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS, nameless: bool = False) -> DataFrame:
     """Per row of ``docs``: ``row`` (the whole row as a struct), n_words, n_hit, spans (word places), items, contaminated.
 

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, tidied
+from .common import discard, materialise, tidied
 
 
 def _stars(edges: DataFrame, large: bool) -> DataFrame:
@@ -74,11 +74,14 @@ def components(edges: DataFrame, most: int = 60) -> DataFrame:
     edges = edges.where(a.isNotNull() & b.isNotNull() & (a != b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
     edges = materialise(contracted(edges).distinct(), "edges")
     for _ in range(most):
-        edges = materialise(contracted(edges), "edges")
+        old, edges = edges, materialise(contracted(edges), "edges")
+        discard(old)
         ends = edges.select(F.col("u").alias("node"), "v").union(edges.select(F.col("v").alias("node"), F.lit(None).cast("long").alias("v")))
         nodes = ends.groupBy("node").agg(F.min("v").alias("least"), F.max("v").alias("last"), F.bool_or(F.col("v").isNull()).alias("top"))
         nodes = materialise(nodes, "nodes")
         if nodes.where("least < last or (least is not null and top)").isEmpty():
+            discard(edges)
             return nodes.select("node", F.coalesce("least", "node").alias("component"))
-        edges = materialise(_stars(_stars(edges, True), False), "edges")
+        old, edges = edges, materialise(_stars(_stars(edges, True), False), "edges")
+        discard(old, nodes)
     raise RuntimeError(f"components did not settle in {most} rounds")

@@ -4,7 +4,8 @@ The top of the tree is spread over the cluster, the rest is built in tasks. Top
 that a pair at the threshold meets in one of them but for a chance of ``MISS``; buckets that share documents form one
 subtree. Within it, documents lie in units of bounded size. A task builds a tree for each unit: nodes hold the OR of
 their documents' token bitmaps and the range of set sizes. Two trees (or one with itself) are walked together, and node
-pairs go where their largest possible overlap is too small; what is left is decided by the sets themselves.
+pairs go where their largest possible overlap is too small; what is left is decided by the sets themselves. Words of a
+unit are told apart by their bytes, so that no hash decides a link.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import PhraseHasher, bounded_batches, materialise, mixed, small, table, tidied, worker_state
+from .common import Words, bounded_batches, discard, materialise, mixed, run_hashes, run_numbers, small, table, tidied, word_digests, word_places, worker_state
 from .graph import components
 
 ROWS = 4
@@ -27,6 +28,8 @@ MISS = 1e-9
 UNIT_DOCS, UNIT_SHINGLES = 256, 300_000
 BITS = 2048
 LEAF, FAN = 8, 4
+#: Texts that are hashed at once.
+_TOGETHER = 50
 _SEEDS = np.random.default_rng(77).integers(0, 2**63, 4096, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -35,9 +38,40 @@ def bands(threshold: float, rows: int = ROWS, miss: float = MISS) -> int:
     return math.ceil(math.log(miss) / math.log(1 - threshold**rows))
 
 
-def shingles(hasher: PhraseHasher, text: bytes | None, k: int) -> np.ndarray:
-    """Sorted distinct hashes of a text's k-word shingles; of the whole sequence where it has fewer words."""
-    return np.unique(hasher.phrases((text or b"").lower().split(), k))
+_FOLD = bytes(32 if c in b"\t\n\v\f\r" else c + 32 if 65 <= c <= 90 else c for c in range(256))
+
+
+def fold(text: bytes | None) -> bytes:
+    """A text with A-Z in lower case and spaces between words."""
+    return (text or b"").translate(_FOLD)
+
+
+def signed_sets(texts: list[bytes | None], k: int) -> Iterator[tuple[np.ndarray, bytes]]:
+    """For each text hashes of its distinct shingles (of the whole sequence where it has fewer words), and a digest of the set.
+
+    A shingle has two hashes of 64 bits: shingles are one only if both agree.
+    """
+    raw = b" ".join(folded := [fold(t) for t in texts])
+    starts, ends = word_places(np.frombuffer(raw, dtype=np.uint8))
+    words = word_digests(raw, starts, ends)
+    runs = [run_hashes(h, k) for h in words]
+    cuts = np.searchsorted(starts, np.cumsum([0, *(len(t) + 1 for t in folded)]))
+    for a, b in zip(cuts.tolist(), cuts[1:].tolist()):
+        if a == b:
+            yield np.zeros(0, dtype=np.uint64), b""
+            continue
+        low, high = (h[a : b - k + 1] if b - a >= k else run_hashes(w[a:b], b - a) for h, w in zip(runs, words))
+        order = np.argsort(low)
+        low, high = low[order], high[order]
+        same = low[1:] == low[:-1]
+        if same.any():
+            if (same & (high[1:] != high[:-1])).any():
+                order = np.lexsort((high, low))
+                low, high = low[order], high[order]
+                same = (low[1:] == low[:-1]) & (high[1:] == high[:-1])
+            first = np.concatenate(([True], ~same))
+            low, high = low[first], high[first]
+        yield low, hashlib.blake2b(low.tobytes() + int(high.sum()).to_bytes(8, "little"), digest_size=16).digest()
 
 
 def _keys(sets: np.ndarray, n: int, rows: int) -> np.ndarray:
@@ -54,16 +88,14 @@ def _keys(sets: np.ndarray, n: int, rows: int) -> np.ndarray:
 def _signing(k: int, n: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker_state().clear()
-        hasher = PhraseHasher()
         for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
-                batch = whole.slice(at, 1000)
+            for at in range(0, whole.num_rows, _TOGETHER):
+                batch = whole.slice(at, _TOGETHER)
                 sizes, digests, keys = [], [], []
-                for text in batch.column(1):
-                    s = shingles(hasher, text.as_py(), k)
-                    sizes.append(len(s))
-                    digests.append(hashlib.md5(s.tobytes()).digest())
-                    keys.append(_keys(s, n, rows).view(np.int64) if len(s) else np.empty(0, np.int64))
+                for hashes, digest in signed_sets(batch.column(1).to_pylist(), k):
+                    sizes.append(len(hashes))
+                    digests.append(digest)
+                    keys.append(_keys(hashes, n, rows).view(np.int64) if len(hashes) else np.empty(0, np.int64))
                 ends = np.concatenate(([0], np.cumsum([len(x) for x in keys])))
                 keys = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(keys) if keys else []).cast(pa.int64()))
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), keys], names=["doc_id", "name", "n_shingles", "digest", "bands"])
@@ -79,8 +111,8 @@ class Tree:
         words = BITS // 64
         maps = np.zeros((len(order), words), dtype=np.uint64)
         for i, d in enumerate(order):
-            bits = (sets[d] >> np.uint64(20)) % np.uint64(BITS)
-            np.bitwise_or.at(maps[i], (bits // np.uint64(64)).astype(np.int64), np.uint64(1) << (bits % np.uint64(64)))
+            bits = sets[d] % BITS
+            np.bitwise_or.at(maps[i], bits // 64, np.uint64(1) << (bits % 64).astype(np.uint64))
         size = np.array([len(sets[d]) for d in order], dtype=np.int64)
         hidden = size - np.bitwise_count(maps).sum(axis=1, dtype=np.int64)
         self.levels = [(maps, size, size, hidden)]
@@ -178,36 +210,61 @@ def links(docs: list[int], sets: list[np.ndarray], sides: list[int], threshold:
     return out
 
 
+def unit_sets(texts: list[bytes | None], k: int) -> list[np.ndarray]:
+    """Each text's set of shingles as sorted numbers, equal for equal shingles among these texts only."""
+    words = Words()
+    seqs = [fold(t).split() for t in texts]
+    gap = np.array([2**31], dtype=np.int64)  # no word's number: a run across two texts is none
+    parts, owners, short = [], [], {}
+    for i, seq in enumerate(seqs):
+        numbers = words.numbers(seq)
+        if len(seq) < k:
+            short[i] = tuple(numbers.tolist())
+        else:
+            parts += [numbers, gap]
+            owners += [np.full(len(seq) - k + 1, i), np.full(k, -1)]
+    line = np.concatenate(parts) if parts else np.empty(0, np.int64)
+    runs = run_numbers(line, k)
+    owner = np.concatenate(owners)[: len(runs)] if owners else np.empty(0, np.int64)
+    runs, owner = runs[owner >= 0], owner[owner >= 0]
+    pairs = np.unique((owner.astype(np.int64) << 32) | runs)
+    cuts = np.searchsorted(pairs >> 32, np.arange(len(texts) + 1))
+    sets = [pairs[a:b] & (2**32 - 1) for a, b in zip(cuts, cuts[1:])]
+    whole: dict[tuple, int] = {}
+    for i, seq in short.items():
+        sets[i] = np.array([2**32 + whole.setdefault(seq, len(whole))] if seq else [], dtype=np.int64)
+    return sets
+
+
 def _joining(k: int, threshold: tuple[int, int]):
     """Rows come in order of unit, side, doc_id and name; columns: unit, side, group, doc_id, text. A document has an entry for each of its sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = PhraseHasher()
-        unit, docs, sets, sides, groups = None, [], [], [], []
+        unit, rows = None, []
         out: list[tuple[int, int]] = []
 
         def made() -> pa.RecordBatch:
             a = np.array(out, dtype=np.int64).reshape(-1, 2)
             return pa.RecordBatch.from_arrays([pa.array(a[:, 0]), pa.array(a[:, 1])], names=["a", "b"])
 
+        def found() -> list[tuple[int, int]]:
+            if len(rows) < 2:
+                return []
+            sides, groups, docs, texts = zip(*rows)
+            return links(list(docs), unit_sets(texts, k), list(sides), threshold, list(groups))
+
         for batch in batches:
-            for u, side, group, doc, text in zip(*[batch.column(i).to_pylist() for i in range(4)], batch.column(4)):
+            for u, *row in zip(*[batch.column(i).to_pylist() for i in range(4)], batch.column(4)):
                 if u != unit:
-                    if len(docs) > 1:
-                        out += links(docs, sets, sides, threshold, groups)
-                    unit, docs, sets, sides, groups = u, [], [], [], []
-                own = shingles(hasher, text.as_py(), k)
-                if docs and docs[-1] == doc and sides[-1] == side and np.array_equal(sets[-1], own):
-                    continue
-                docs.append(doc)
-                sets.append(own)
-                sides.append(side)
-                groups.append(group)
+                    out += found()
+                    unit, rows = u, []
+                side, group, doc, text = *row[:3], row[3].as_py()
+                if not rows or (rows[-1][0], *rows[-1][2:]) != (side, doc, text):
+                    rows.append((side, group, doc, text))
             if len(out) > 10_000:
                 yield made()
                 out = []
-        if len(docs) > 1:
-            out += links(docs, sets, sides, threshold, groups)
+        out += found()
         yield made()
 
     return run
@@ -231,14 +288,14 @@ def similar_sets(docs: DataFrame, k: int, threshold: tuple[int, int]) -> DataFra
     """``(doc_id, n_shingles, component_id)`` for each row of ``docs`` (doc_id, text).
 
     Equal sets are one representative, that of least id. Its bands give subtrees; within each, documents are dealt to units
-    of bounded size. Links are sought first inside units, then among the first documents of each unit's groups, and last
-    between those pairs of units that are not one group already; so a group of near copies, however large, costs about its
-    size, and no link between different sets is left out. Every component is an exact one: a pair counts only if its sets say
-    so.
+    of bounded size. Links are sought first inside units, then among the first documents of each unit's groups; so a group
+    of near copies, however large, costs about its size. Last, the buckets that still hold different groups are compared
+    whole, in units and pairs of units of one bucket, so that no link between different sets that share a bucket is left out.
+    Every link is an exact one: a pair counts only if its sets say so.
 
     Nulls: null and empty texts have no set and link with nothing; rows without id take no part and have no component. Rows
     of the same id are one document: it has the links of all of them, each text under its hash as a name. Empty tables give
-    no rows.
+    no rows. Extra columns are not looked at.
     """
     bounded_batches(docs.sparkSession)
     num, den = threshold
@@ -256,46 +313,66 @@ def similar_sets(docs: DataFrame, k: int, threshold: tuple[int, int]) -> DataFra
     trees = components(near)
 
     placed = trees.select(F.col("node").alias("doc_id"), F.col("component").alias("tree")).join(distinct.groupBy("doc_id", "name").agg(F.max("n_shingles").alias("size")), "doc_id")
-    counts = placed.groupBy("tree").agg(F.greatest(F.ceil(F.count(F.lit(1)) / UNIT_DOCS), F.ceil(F.sum("size") / UNIT_SHINGLES)).cast("long").alias("units"))
-    placed = placed.join(counts, "tree").select("doc_id", "name", "tree", F.when(F.col("units") > 1, F.pmod(F.xxhash64("doc_id", "name"), F.col("units"))).otherwise(0).alias("part"), "units")
+    units = lambda: F.greatest(F.ceil(F.count(F.lit(1)) / UNIT_DOCS), F.ceil(F.sum("size") / UNIT_SHINGLES)).cast("long").alias("units")
+    placed = placed.join(placed.groupBy("tree").agg(units()), "tree").select("doc_id", "name", "tree", "size", F.when(F.col("units") > 1, F.pmod(F.xxhash64("doc_id", "name"), F.col("units"))).otherwise(0).alias("part"), "units")
     placed = materialise(placed, "set-units")
+    discard(trees)
 
-    texts = rows.where("doc_id is not null")
+    # Only texts that meet others are read from here on.
+    texts = materialise(rows.where("doc_id is not null").join(small(placed.select("doc_id", "name")), ["doc_id", "name"], "left_semi"), "set-texts")
     own = placed.select(F.xxhash64("tree", "part").alias("unit"), F.lit(0).alias("side"), F.col("doc_id").alias("grp"), "doc_id", "name")
     edges = materialise(_verified(texts, own, k, threshold), "set-links")
 
     wide = placed.where("units > 1")
-    if wide.limit(1).count():
+    if not wide.isEmpty():
         # Groups of different units meet by their first documents, level by level, while that makes them fewer.
         grouped = materialise(_roots(wide, edges), "set-groups")
         before = None
         while True:
             heads = grouped.where("doc_id = grp").select("tree", "doc_id", "name", "grp")
-            size = heads.groupBy("tree").agg(F.ceil(F.count(F.lit(1)) / UNIT_DOCS).cast("long").alias("units"), F.count(F.lit(1)).alias("n"))
-            size = materialise(size.where("n > 1"), "set-heads")
-            total = size.agg(F.sum("n")).first()[0] or 0
+            count = heads.groupBy("tree").agg(F.ceil(F.count(F.lit(1)) / UNIT_DOCS).cast("long").alias("units"), F.count(F.lit(1)).alias("n"))
+            count = materialise(count.where("n > 1"), "set-heads")
+            total = count.agg(F.sum("n")).first()[0] or 0
             if not total or (before is not None and total > 0.7 * before):
                 break
             before = total
-            again = heads.join(size, "tree").select(F.xxhash64("tree", F.pmod(F.xxhash64("doc_id", "name", F.lit(total)), F.col("units"))).alias("unit"), F.lit(0).alias("side"), "grp", "doc_id", "name")
+            again = heads.join(count, "tree").select(F.xxhash64("tree", F.pmod(F.xxhash64("doc_id", "name", F.lit(total)), F.col("units"))).alias("unit"), F.lit(0).alias("side"), "grp", "doc_id", "name")
+            old = edges, grouped
             edges = materialise(edges.union(_verified(texts, again, k, threshold)), "set-links")
             grouped = materialise(_roots(wide, edges), "set-groups")
-        # Pairs of units that still hold different groups.
-        held = grouped.groupBy("tree", "part").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi"))
-        held = materialise(held, "set-parts")
-        a, b = held.alias("a"), held.alias("b")
-        open_ = a.join(b, (F.col("a.tree") == F.col("b.tree")) & (F.col("a.part") < F.col("b.part")) & ((F.col("a.lo") != F.col("b.lo")) | (F.col("a.hi") != F.col("b.hi")) | (F.col("a.lo") != F.col("a.hi"))))
-        unit = F.xxhash64("a.tree", "a.part", "b.part")
-        side = F.explode(F.array(F.struct(F.col("a.part").alias("part"), F.lit(0).alias("side")), F.struct(F.col("b.part").alias("part"), F.lit(1).alias("side")))).alias("s")
-        pairs = open_.select(F.col("a.tree").alias("tree"), unit.alias("unit"), side).select("tree", "unit", "s.part", "s.side")
-        across = materialise(pairs.join(grouped, ["tree", "part"]).select("unit", "side", "grp", "doc_id", "name"), "set-across")
+            discard(count, *old)
+        across = materialise(_open_buckets(distinct, grouped, units), "set-across")
+        old = edges
         edges = materialise(edges.union(_verified(texts, across, k, threshold)), "set-links")
+        discard(across, grouped, old)
+    discard(texts, placed)
 
     found = materialise(components(edges.union(owned)), "set-components")
     out = signed.select("doc_id", "n_shingles").join(found, signed["doc_id"] == found["node"], "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
+def _open_buckets(distinct: DataFrame, grouped: DataFrame, units) -> DataFrame:
+    """Members (unit, side, grp, doc_id, name) of buckets that hold different groups; buckets of the same members are one.
+
+    A bucket beyond a unit's size is dealt to parts: each part is a unit, and each pair of parts of that bucket that are not one group.
+    """
+    held = grouped.select("doc_id", "name", "grp", "size")
+    members = distinct.select("doc_id", "name", F.explode("bands").alias("band")).distinct().join(held, ["doc_id", "name"])
+    facts = members.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("doc_id", "name")).alias("x"), F.sum(F.xxhash64("doc_id", "name", F.lit(1)).cast("decimal(38,0)")).alias("s"), F.min("grp").alias("lo"), F.max("grp").alias("hi"), units())
+    chosen = facts.where("n > 1 and lo <> hi").groupBy("n", "x", "s").agg(F.min("band").alias("band"), F.max("units").alias("units")).select("band", "units")
+    part = F.when(F.col("units") > 1, F.pmod(F.xxhash64("doc_id", "name", F.lit(3)), F.col("units"))).otherwise(0)
+    rows = materialise(members.join(chosen, "band").select("band", "units", part.alias("part"), "grp", "doc_id", "name"), "set-buckets")
+    each = rows.select(F.xxhash64("band", "part", "part").alias("unit"), F.lit(0).alias("side"), "grp", "doc_id", "name")
+    parts = materialise(rows.where("units > 1").groupBy("band", "part").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi")), "set-parts")
+    a, b = parts.alias("a"), parts.alias("b")
+    differ = (F.col("a.lo") != F.col("b.lo")) | (F.col("a.hi") != F.col("b.hi")) | (F.col("a.lo") != F.col("a.hi"))
+    pairs = a.join(b, (F.col("a.band") == F.col("b.band")) & (F.col("a.part") < F.col("b.part")) & differ)
+    side = F.explode(F.array(F.struct(F.col("a.part").alias("part"), F.lit(0).alias("side")), F.struct(F.col("b.part").alias("part"), F.lit(1).alias("side")))).alias("s")
+    pairs = pairs.select(F.col("a.band").alias("band"), F.xxhash64("a.band", "a.part", "b.part").alias("unit"), side).select("band", "unit", "s.part", "s.side")
+    return each.unionByName(pairs.join(rows, ["band", "part"]).select("unit", "side", "grp", "doc_id", "name"))
+
+
 def keep_one(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (80, 100)) -> DataFrame:
     """``docs`` with one document of each group, that of least id; rows without id stay, and all columns do."""
     lost = similar_sets(docs, k, threshold).where("doc_id <> component_id").select(F.col("doc_id").alias("_lost")).distinct()

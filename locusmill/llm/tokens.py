@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import uuid
@@ -13,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import PhraseHasher, bounded_batches, materialise, no_text, shared_path, table, tidied, worker_state
+from .common import bounded_batches, discard, materialise, mixed, no_text, shared_path, table, tidied, worker_state
 from .wavelet import WaveletFile, encode
 
 VOCABULARY = "word_bpe_49k.json"
@@ -29,13 +30,70 @@ _TOGETHER = 20_000
 _STEP, _CHARS = 250, 1 << 15
 
 
+_RNG = np.random.default_rng(20240229)
+_BYTE_CODES = _RNG.integers(0, 2**64, 256, dtype=np.uint64)
+_BASE = 0x9E3779B97F4A7C15 | 1
+_BASE_INVERSE = pow(_BASE, -1, 2**64)
+
+
+class ByteHasher:
+    """64-bit hashes of stretches of bytes, from prefix sums (no loop over stretches). They only find candidates: equal hashes prove nothing."""
+
+    def __init__(self) -> None:
+        self._grow(1 << 16)
+
+    def _grow(self, n: int) -> None:
+        steps = np.full(n + 1, _BASE, dtype=np.uint64)
+        back = np.full(n + 1, _BASE_INVERSE, dtype=np.uint64)
+        steps[0] = back[0] = 1
+        self.power = np.multiply.accumulate(steps)
+        self.inverse = np.multiply.accumulate(back)
+
+    def ranges(self, line: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Hashes of the bytes from ``first`` to ``last`` of a line, wherever they stand."""
+        n = len(line)
+        if n >= len(self.power):
+            self._grow(2 * n)
+        total = np.zeros(n + 1, dtype=np.uint64)
+        np.cumsum(_BYTE_CODES[line] * self.power[:n], out=total[1:])
+        return mixed((total[last] - total[first]) * self.inverse[first] + (last - first).astype(np.uint64))
+
+
+def by_word(description: dict) -> bool:
+    """Whether a tokenizer's pieces never cross a space, so that texts can be encoded stretch by stretch between spaces.
+
+    Known to be so: normalisers that fold white space, compose or lower characters one by one; a splitting pattern whose
+    classes leave white space out, with what lies between removed; a byte-pair model; no added token with a space in it.
+    """
+    normalizer, splitter = description.get("normalizer") or {}, description.get("pre_tokenizer") or {}
+    steps = normalizer.get("normalizers", [normalizer] if normalizer else [])
+    plain = all(n["type"] in ("NFC", "Lowercase") or (n["type"] == "Replace" and n["pattern"] == {"Regex": r"\s+"} and n["content"] == " ") for n in steps)
+    parts = splitter.get("pretokenizers", [splitter] if splitter else [])
+    if not parts or parts[0]["type"] != "Split" or parts[0]["behavior"] != "Removed" or not parts[0]["invert"]:
+        return False
+    pieces = parts[0]["pattern"].get("Regex", " ").split("|")
+    apart = all(re.fullmatch(r"'[a-z]+|\[(\\p\{[LN]\})+\]\+?|\[\^(?=.*\\s)[^\[\] ]+\]\+?", x) for x in pieces)
+    later = all(p["type"] == "ByteLevel" and not p["add_prefix_space"] and not p["use_regex"] for p in parts[1:])
+    whole = all(" " not in t["content"] and not t["lstrip"] and not t["rstrip"] and not t["normalized"] for t in description.get("added_tokens", []))
+    return plain and apart and later and whole and description["model"]["type"] == "BPE" and description.get("post_processor") is None
+
+
+def _places_of(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places of runs that begin at ``first``, one run after the other."""
+    until = np.cumsum(size, dtype=np.int64)
+    out = np.repeat(first - (until - size), size)
+    out += np.arange(len(out))
+    return out
+
+
 class Encoder:
     """Token ids of whole texts, equal to the library's; stretches that were seen are looked up instead of encoded again.
 
     The tokenizer splits at white space and its pieces never cross it, so a text's ids are those of its stretches between
-    spaces; a full stop or comma after a letter or digit is a stretch of its own at the end of one. Stretches are found and
-    hashed (64 bits) for many texts at once. New plain words are encoded together in one call and cut at the ids that end a
-    word, other stretches one by one.
+    spaces; a full stop or comma after a letter or digit is a stretch of its own at the end of one. Stretches are found by
+    64-bit hashes for many texts at once, and then compared byte by byte with what the entry was learnt from: a text in
+    which any differs is encoded by the library. New plain words are encoded together in one call and cut at the ids that
+    end a word, other stretches one by one.
     """
 
     def __init__(self, path: str | None, vocabulary: str) -> None:
@@ -51,19 +109,20 @@ class Encoder:
         self.kind = "<u2" if max(words.values()) < 1 << 16 else "<u4"
         ends = np.zeros(max(words.values()) + 1, dtype=bool)
         ends[[i for w, i in words.items() if w.endswith("</w>")]] = True
-        #: Only vocabularies with word ends, lower case and no marks of leading spaces can be looked up word by word.
-        self.by_word = bool(ends.any()) and self.raw(["The a,"])[0] == b"".join(self.raw(["the", "a", ","]))
+        said = json.loads(self.library.to_str())
+        self.by_word = by_word(said) and said["model"].get("end_of_word_suffix") == "</w>"
         self.ends = ends
         self.plain = re.compile("[a-zà-öø-ÿ]+")
         self.simple = re.compile(r"[\x00-į]*")
-        self.hasher = PhraseHasher()
+        self.hasher = ByteHasher()
         self._forget()
 
     def _forget(self) -> None:
-        self._fill(*(np.zeros(1, dtype=k) for k in (np.uint64, np.int32)), np.zeros(0, dtype=self.kind))
+        self._fill(*(np.zeros(1, dtype=k) for k in (np.uint64, np.int32)), np.zeros(0, dtype=self.kind), np.zeros(1, dtype=np.int32), np.zeros(0, dtype=np.uint8))
 
-    def _fill(self, keys: np.ndarray, size: np.ndarray, ids: np.ndarray) -> None:
-        """Know these stretches only; entry 0 is the empty one."""
+    def _fill(self, keys: np.ndarray, size: np.ndarray, ids: np.ndarray, width: np.ndarray, raw: np.ndarray) -> None:
+        """Know these stretches only; entry 0 is the empty one. ``raw`` has their bytes, ``width`` how many each."""
+        self.width, self.begin, self.bytes, self.filled = width, np.cumsum(width, dtype=np.int64) - width, raw, len(raw)
         self.n, self.used = len(keys), len(ids)
         self.keys, self.size, self.first = keys, size, (np.cumsum(size) - size).astype(np.int32)
         self.ids, self.again = ids, np.zeros(len(keys), dtype=bool)
@@ -76,12 +135,12 @@ class Encoder:
         keep = np.concatenate(([0], keep[keep > 0]))
         if len(keep) > 3 * CACHE // 4:
             return self._forget()
-        self._fill(self.keys[keep], self.size[keep], self._flat(keep, self.size[keep]))
+        width = self.width[keep]
+        self._fill(self.keys[keep], self.size[keep], self._flat(keep, self.size[keep]), width, self.bytes[_places_of(self.begin[keep], width)])
 
     def _flat(self, place: np.ndarray, size: np.ndarray) -> np.ndarray:
         """Ids of these entries, one after the other."""
-        until = np.cumsum(size, dtype=np.int64)
-        return self.ids[np.repeat(self.first[place] - (until - size), size) + np.arange(int(until[-1]))]
+        return self.ids[_places_of(self.first[place], size)]
 
     def _deal(self, keys: np.ndarray, entries: np.ndarray) -> None:
         """Put entries into the first free slots from their own on."""
@@ -115,20 +174,26 @@ class Encoder:
         order = np.concatenate((np.flatnonzero(is_plain), np.flatnonzero(~is_plain)))
         first = np.zeros(len(need), dtype=np.int64)
         first[order] = np.cumsum(size[order], dtype=np.int64) - size[order]
-        until = np.cumsum(size, dtype=np.int64)
-        return np.concatenate(ids)[np.repeat(first - (until - size), size) + np.arange(int(until[-1]))], size
-
-    def _learn(self, keys: np.ndarray, words: list[str]) -> None:
+        return np.concatenate(ids)[_places_of(first, size)], size
+
+    def _learn(self, keys: np.ndarray, words: list[bytes]) -> None:
+        raw, width = np.frombuffer(b"".join(words), dtype=np.uint8), np.fromiter(map(len, words), dtype=np.int32, count=len(words))
+        begin = self.filled + np.cumsum(width, dtype=np.int64) - width
+        while self.filled + len(raw) > len(self.bytes):
+            self.bytes = np.concatenate((self.bytes, np.zeros(max(1 << 16, len(self.bytes)), dtype=np.uint8)))
+        self.bytes[self.filled : self.filled + len(raw)] = raw
+        self.filled += len(raw)
         for at in range(0, len(words), _TOGETHER):
             some = keys[at : at + _TOGETHER]
-            ids, size = self._encoded(words[at : at + _TOGETHER])
+            ids, size = self._encoded([w.decode() for w in words[at : at + _TOGETHER]])
             n, more = self.n, len(some)
             while n + more > len(self.keys):
-                self.keys, self.first, self.size, self.again = (np.concatenate((x, np.zeros(len(x), x.dtype))) for x in (self.keys, self.first, self.size, self.again))
+                self.keys, self.first, self.size, self.again, self.width, self.begin = (np.concatenate((x, np.zeros(len(x), x.dtype))) for x in (self.keys, self.first, self.size, self.again, self.width, self.begin))
             while self.used + len(ids) > len(self.ids):
                 self.ids = np.concatenate((self.ids, np.zeros(max(1 << 16, len(self.ids)), dtype=self.kind)))
             self.ids[self.used : self.used + len(ids)] = ids
             self.keys[n : n + more], self.size[n : n + more] = some, size
+            self.width[n : n + more], self.begin[n : n + more] = width[at : at + more], begin[at : at + more]
             self.first[n : n + more] = self.used + np.cumsum(size) - size
             self.again[n : n + more] = False
             self.used += len(ids)
@@ -157,10 +222,20 @@ class Encoder:
         if len(lost):
             new, first, back = np.unique(keys[lost], return_index=True, return_inverse=True)
             n, at = self.n, lost[first]
-            self._learn(new, [raw[a:b].decode() for a, b in zip(starts[at].tolist(), ends[at].tolist())])
+            self._learn(new, [raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())])
             place[lost] = n + back
         return place
 
+    def _strange(self, place: np.ndarray, line: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Which stretches are not the bytes that their entries were learnt from."""
+        wrong = self.width[place] != ends - starts
+        same = np.flatnonzero(~wrong & (ends > starts))
+        size = self.width[place[same]].astype(np.int64)
+        differ = line[_places_of(starts[same], size)] != self.bytes[_places_of(self.begin[place[same]], size)]
+        if differ.any():
+            wrong[same] = np.logical_or.reduceat(differ, np.cumsum(size) - size)
+        return wrong
+
     def _lines(self, texts: list[str]) -> tuple[list[str], list[int]]:
         """Texts with spaces for line ends, long ones cut at spaces; and the text of each."""
         lines, owner = [], []
@@ -196,7 +271,14 @@ class Encoder:
         until = np.cumsum(size)
         flat = self._flat(place, size)
         cuts = np.concatenate(([0], until[np.flatnonzero(done)])).tolist()
-        return [flat[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+        out = [flat[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+        width = self.width[place]
+        same = (width == ends - starts).all() and np.array_equal(self.bytes[_places_of(self.begin[place], width)], line[(line != 32) & (line != 10)])
+        wrong = np.zeros(0, dtype=bool) if same else self._strange(place, line, starts, ends)
+        if wrong.any():
+            for i in np.unique((np.cumsum(done) - done)[wrong]).tolist():
+                out[i] = self.raw([lines[i]])[0]
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.by_word:
@@ -298,7 +380,9 @@ def write_tokens(docs: DataFrame, folder: str | None = None, path: str | None =
     before = totals.select("bucket", F.coalesce(F.sum("n").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
     inside = F.coalesce(F.sum("n_tokens").over(Window.partitionBy("bucket").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     manifest = shards.withColumn("inside", inside).join(before, "bucket").select("bucket", "shard", "file", "n_docs", "n_tokens", (F.col("before") + F.col("inside")).alias("start"))
-    return materialise(manifest, "token-manifest"), folder
+    manifest = materialise(manifest, "token-manifest")
+    discard(shards)
+    return manifest, folder
 
 
 def _reading(folder: str):

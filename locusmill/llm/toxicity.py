@@ -1,36 +1,39 @@
-"""Toxicity: class-conditional Kneser-Ney models over words and their beginnings, with shared backoff counts.
-
-A word is drawn by its first bytes, then more of them, then the whole word: each step is a node below the one before. In
-class c a node has weight max(n_c(node) - D, 0) + B(node) P_c(parent): counts are documents, brought to the size of the smaller
-class; the backoff mass B is shared by the classes and grows with the documents of the whole corpus that hold the node; P_c
-is the class's part of the parent's weight. A node that no labelled text holds says nothing of its own, and a rare word
-counts as its beginning does.
+"""Toxicity: class-conditional Kneser-Ney models of words and word pairs, with shared backoff counts.
+
+The toxic and the ordinary model are learnt from labelled texts; counts are documents that hold a pair of neighbours, a word or
+the beginning of words. Absolute discounting takes DISCOUNT off every count and hands it down by backoff: from a pair to its second
+word, from a word to its beginnings, for a rare word is often an inflected one. How much a node gets of it follows its continuation
+count in all documents of the corpus: the different words before a word, the different words that go on from a beginning.
+Backoff counts are the same in both classes, so that a rare expression says what its lower orders say, and one of which no
+labelled text holds a part says nothing. A text is judged by the difference of its two log-likelihoods, normalised by length: over
+the whole text, and over the extract of its few most toxic words.
 """
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LONG_WORD, STRETCH, PhraseHasher, bounded_batches, materialise, table, tidied, worker_state
+from .common import bounded_batches, discard, materialise, mixed, received, run_hashes, shipped, table, tidied, word_digests, word_places, worker_state
 
 #: Labelled rows that are used at most: those whose ids have the smallest hashes.
-LABELLED = 100_000
-#: Nodes seen less often in the labelled texts are left to backoff.
+LABELLED = 20_000
+#: Words and pairs that fewer labelled documents hold are left to backoff.
 LEAST = 2
-PREFIXES = (4, 6)
-DISCOUNT = 0.5
-#: Backoff mass in documents: for every node, and as a part of those expected to hold it.
-BACKOFF, SHARED = 2.0, 0.05
+DISCOUNT = 0.75
+#: Documents that back every node beside its continuation count.
+BASE = 2.0
+#: Bytes of the beginnings of words.
+BEGINNINGS = (4, 6)
 THRESHOLD = 0.3
-SPAN_WORDS = 50
-TOP_WORDS = 6
+#: Words of an extract.
+EXTRACT = 6
 #: Characters of scripts that write no spaces between words: Thai, Lao, Tibetan, Burmese, Khmer, Kana and Han.
 _UNSPACED = re.compile(rb"(?:\xe0[\xb8-\xbf][\x80-\xbf]|\xe1[\x80-\x82\x9e\x9f][\x80-\xbf]|\xe3[\x81-\xbf][\x80-\xbf]|[\xe4-\xe9][\x80-\xbf]{2}|\xef[\xa4-\xab][\x80-\xbf]|\xf0[\xa0-\xb3][\x80-\xbf]{2})+")
 #: Their first bytes, looked for before all else.
@@ -49,171 +52,249 @@ def _pairs(run: re.Match) -> bytes:
     return f" {' '.join(a + b for a, b in zip(chars, chars[1:])) or chars} ".encode()
 
 
-class Nodes(PhraseHasher):
-    """Hashes of the nodes of every word of a text."""
-
-    def of(self, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Rows are words (pairs of characters where a script has no spaces); columns are prefixes and the whole word: hash, parent's hash (0: root), and whether there is such a node."""
-        text = text.translate(_FOLD)
-        if not text.isascii() and _LEADS.search(text):
-            text = _UNSPACED.sub(_pairs, text)
-        words = text.split()
-        levels = len(PREFIXES) + 1
-        if not words:
-            return np.zeros((0, levels), np.uint64), np.zeros((0, levels), np.uint64), np.zeros((0, levels), bool)
-        if max(map(len, words)) > LONG_WORD:
-            words = [w if len(w) <= LONG_WORD else w[: PREFIXES[-1]] + hashlib.sha256(w).hexdigest().encode() for w in words]
-        parts = [self._some(words[at : at + STRETCH]) for at in range(0, len(words), STRETCH)]
-        return parts[0] if len(parts) == 1 else tuple(np.concatenate(x) for x in zip(*parts))
-
-    def _some(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        m, levels = len(words), len(PREFIXES) + 1
-        line = np.frombuffer(b" ".join(words) + b" ", dtype=np.uint8)
-        size = np.fromiter(map(len, words), dtype=np.int64, count=m)
-        ends = np.cumsum(size + 1)
-        starts = ends - size - 1
-        keys, parents, there = np.zeros((m, levels), np.uint64), np.zeros((m, levels), np.uint64), np.ones((m, levels), bool)
-        above = np.zeros(m, dtype=np.uint64)
-        for k, length in enumerate((*PREFIXES, None)):
-            if length is not None:
-                there[:, k] = size > length
-            to = ends if length is None else np.minimum(starts + length, ends)
-            keys[:, k] = self.ranges(line, starts, to) + np.uint64(k + 1)
-            parents[:, k] = above
-            above = np.where(there[:, k], keys[:, k], above)
-        return keys, parents, there
-
-
-class Labels:
-    """Labelled ids in order, with label and fold."""
-
-    def __init__(self, rows: list) -> None:
-        rows = sorted(rows)
-        self.ids = np.array([r[0] for r in rows], dtype=np.int64)
-        self.toxic = np.array([r[1] for r in rows], dtype=np.int8)
-        self.fold = np.array([r[2] for r in rows], dtype=np.int8)
-
-    def kind(self, ids: pa.Array) -> np.ndarray:
-        """For each id 2 x fold + label, or -1."""
-        if not len(self.ids):
-            return np.full(len(ids), -1)
-        a = ids.fill_null(-(2**63)).to_numpy(zero_copy_only=False)
-        at = np.minimum(np.searchsorted(self.ids, a), len(self.ids) - 1)
-        return np.where((self.ids[at] == a) & ids.is_valid().to_numpy(zero_copy_only=False), 2 * self.fold[at] + self.toxic[at], -1)
-
-
-def _merge(held: tuple | None, keys: np.ndarray, parents: np.ndarray, counts: np.ndarray) -> tuple:
-    if held is not None:
-        keys, parents, counts = np.concatenate((held[0], keys)), np.concatenate((held[1], parents)), np.concatenate((held[2], counts))
-    order = np.argsort(keys, kind="stable")
-    keys, parents, counts = keys[order], parents[order], counts[order]
-    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.empty(0, np.int64)
-    return keys[first], parents[first], (np.add.reduceat(counts, first, axis=0) if len(first) else counts)
+_LEVEL = np.array([0x6C62272E07BB0142, 0x27D4EB2F165667C5], dtype=np.uint64)
 
 
-_COUNTS = ["docs", "o0", "t0", "o1", "t1"]
-_COUNTING = "key long, parent long, " + ", ".join(f"{c} long" for c in _COUNTS)
-#: Nodes that a task sums up before it passes them on.
-_HOLD = 400_000
+def nodes(texts: list[bytes | None]) -> tuple[list[np.ndarray], np.ndarray]:
+    """For each word (runs of letters and digits in lower case; pairs of characters where a script has no spaces) its nodes, and where texts begin and end.
 
+    64-bit hashes of the beginnings (0 where the word is no longer), of the word, and of the pair with the word before it (0
+    for the first of a text).
+    """
+    folded = [(t or b"").translate(_FOLD) for t in texts]
+    folded = [_UNSPACED.sub(_pairs, t) if not t.isascii() and _LEADS.search(t) else t for t in folded]
+    raw = b" ".join(folded)
+    starts, ends = word_places(np.frombuffer(raw, dtype=np.uint8))
+    out = []
+    for size, level in zip(BEGINNINGS, _LEVEL):
+        longer = ends - starts > size
+        some = np.zeros(len(starts), dtype=np.uint64)
+        some[longer] = word_digests(raw, starts[longer], starts[longer] + size)[0] ^ level
+        out.append(some)
+    word = word_digests(raw, starts, ends)[0]
+    pair = np.concatenate((np.zeros(min(1, len(word)), dtype=np.uint64), run_hashes(word, 2)))
+    cuts = np.searchsorted(starts, np.cumsum([0, *(len(t) + 1 for t in folded)]))
+    pair[cuts[:-1][cuts[:-1] < len(word)]] = 0
+    return [*out, word, pair], cuts
+
+
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for at in range(0, batch.num_rows, _TOGETHER):
+        yield batch.slice(at, _TOGETHER)
+
+
+def above(levels: list[np.ndarray]) -> list[np.ndarray]:
+    """What each node backs off to (0: nothing)."""
+    out = [np.zeros_like(levels[0])]
+    for lower in levels[:-1]:
+        out.append(np.where(lower != 0, lower, out[-1]))
+    return out
+
+
+# ---------------------------------------------------------------- counts of labelled texts
+
+_KINDS = ["o0", "t0", "o1", "t1"]
+_COUNTING = "key long, up long, level int, " + ", ".join(f"{c} long" for c in _KINDS)
+#: Nodes that a task sums up before it passes them on; texts that are hashed at once.
+_HOLD, _TOGETHER = 400_000, 50
+
+
+def _summed(parts: list[tuple]) -> tuple:
+    key, up, level, counts = (np.concatenate(x) for x in zip(*parts))
+    order = np.argsort(key, kind="stable")
+    key, up, level, counts = key[order], up[order], level[order], counts[order]
+    first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    return key[first], up[first], level[first], np.add.reduceat(counts, first, axis=0)
+
+
+def _counting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows are (text, kind); kind is 2 x fold + label."""
+    parts, size = [], 0
+
+    def out(found: tuple) -> pa.RecordBatch:
+        key, up, level, counts = found
+        arrays = [pa.array(key.view(np.int64)), pa.array(up.view(np.int64)), pa.array(level), *[pa.array(counts[:, i].astype(np.int64)) for i in range(4)]]
+        return pa.RecordBatch.from_arrays(arrays, names=["key", "up", "level", *_KINDS])
+
+    for batch in chain.from_iterable(map(_slices, batches)):
+        levels, cuts = nodes(batch.column(0).to_pylist())
+        ups = above(levels)
+        for a, b, kind in zip(cuts, cuts[1:], batch.column(1).to_pylist()):
+            for i, (own, up) in enumerate(zip(levels, ups)):
+                own, up = own[a:b], up[a:b]
+                key, at = np.unique(own[own != 0], return_index=True)
+                counts = np.zeros((len(key), 4), dtype=np.int32)
+                counts[:, kind] = 1
+                parts.append((key, up[own != 0][at], np.full(len(key), i, dtype=np.int32), counts))
+                size += len(key)
+            if size > _HOLD:
+                parts = [_summed(parts)]
+                size = len(parts[0][0])
+                if size > _HOLD // 2:
+                    yield out(parts[0])
+                    parts, size = [], 0
+    if size:
+        yield out(_summed(parts))
+
+
+# ---------------------------------------------------------------- continuation counts of the corpus
+
+#: Registers of the sketch that counts the contexts of a node.
+_REGISTERS = 64
+
+
+class Lookup:
+    """Places of 64-bit keys, by their sorted list and an index over the keys' first bits."""
+
+    def __init__(self, keys: np.ndarray) -> None:
+        self.bits = max(10, int(3 * len(keys)).bit_length())
+        # The last key ends every search.
+        self.keys = np.append(keys, np.uint64(2**64 - 1))
+        self.first = np.searchsorted(self.keys, np.arange(1 << self.bits, dtype=np.uint64) << np.uint64(64 - self.bits)).astype(np.int32)
 
-def _counting(labels):
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Place of each key; the number of keys where it is none of them."""
+        at = self.first[(keys >> np.uint64(64 - self.bits)).astype(np.int64)]
+        late = np.flatnonzero(self.keys[at] < keys)
+        while len(late):
+            at[late] += 1
+            late = late[self.keys[at[late]] < keys[late]]
+        return np.where(self.keys[at] == keys, at, len(self.keys) - 1)
+
+
+def sketched(registers: np.ndarray, places: np.ndarray, contexts: np.ndarray) -> None:
+    """Enter contexts (64-bit hashes) into the sketches of the nodes at ``places``."""
+    h = mixed(contexts)
+    rest = (h >> np.uint64(6)) | np.uint64(1 << 57)
+    rank = np.bitwise_count((rest & (~rest + np.uint64(1))) - np.uint64(1)) + np.uint8(1)
+    np.maximum.at(registers.reshape(-1), places * _REGISTERS + (h & np.uint64(63)).astype(np.int64), rank)
+
+
+def estimates(registers: np.ndarray) -> np.ndarray:
+    """How many contexts each sketch has seen, within some 13 %."""
+    raw = 0.709 * _REGISTERS**2 / np.exp2(-registers.astype(np.float64)).sum(axis=1)
+    empty = (registers == 0).sum(axis=1)
+    return np.where((raw <= 2.5 * _REGISTERS) & (empty > 0), _REGISTERS * np.log(_REGISTERS / np.maximum(empty, 1)), raw)
+
+
+def _continuing(known):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker_state().clear()
-        nodes, known = Nodes(), labels.value
-        held, waiting, size = None, [], 0
-
-        def out(found: tuple) -> pa.RecordBatch:
-            keys, parents, counts = found
-            return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(parents.view(np.int64)), *[pa.array(counts[:, i].astype(np.int64)) for i in range(5)]], names=["key", "parent", *_COUNTS])
-
-        def summed() -> tuple | None:
-            if not waiting:
-                return held
-            return _merge(held, *(np.concatenate(x) for x in zip(*waiting)))
-
-        for batch in batches:
-            kinds = known.kind(batch.column(0))
-            for text, kind in zip(batch.column(1), kinds.tolist()):
-                keys, parents, there = nodes.of(text.as_py() or b"")
-                k, first = np.unique(keys[there], return_index=True)
-                counts = np.zeros((len(k), 5), dtype=np.int32)
-                counts[:, 0] = 1
-                if kind >= 0:
-                    counts[:, 1 + kind] = 1
-                waiting.append((k, parents[there][first], counts))
-                size += len(k)
-                if size > _HOLD:
-                    held, waiting, size = summed(), [], 0
-                    if len(held[0]) > _HOLD:
-                        yield out(held)
-                        held = None
-        held = summed()
-        if held is not None:
-            yield out(held)
+        lookup = received(known)
+        n = len(lookup.keys) - 1
+        registers = np.zeros((n, _REGISTERS), dtype=np.uint8)
+        for batch in chain.from_iterable(map(_slices, batches)):
+            (*begin, word, pair), _ = nodes(batch.column(0).to_pylist())
+            first = pair == 0
+            for node, context in ((word[~first], np.roll(word, 1)[~first]), *((b[b != 0], word[b != 0]) for b in begin)):
+                place = lookup.find(node)
+                there = place < n
+                sketched(registers, place[there].astype(np.int64), context[there])
+        seen = np.flatnonzero(registers.any(axis=1))
+        for at in range(0, len(seen), 10_000):
+            some = seen[at : at + 10_000]
+            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array([r.tobytes() for r in registers[some]], pa.binary())], names=["word", "registers"])
 
     return run
 
 
-def ancestry(keys: np.ndarray, parents: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Place of each node's parent (-1: the root, or not kept) and depth."""
-    order = np.argsort(keys)
-    at = np.minimum(np.searchsorted(keys, parents, sorter=order), max(0, len(keys) - 1))
-    up = np.where((parents != 0) & (keys[order][at] == parents), order[at], -1) if len(keys) else np.empty(0, np.int64)
-    depth = np.zeros(len(keys), dtype=np.int8)
-    for _ in range(len(PREFIXES)):
-        depth = np.where(up >= 0, depth[np.maximum(up, 0)] + 1, 0).astype(np.int8)
-    return up, depth
+def _united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come in order of word; the last word of a batch may go on in the next."""
+    held = None
+    for batch in batches:
+        word = batch.column(0).to_numpy()
+        registers = np.frombuffer(b"".join(batch.column(1).to_pylist()), dtype=np.uint8).reshape(-1, _REGISTERS)
+        if held is not None:
+            word, registers = np.concatenate((held[0], word)), np.concatenate((held[1], registers))
+        first = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
+        word, registers = word[first], np.maximum.reduceat(registers, first, axis=0)
+        held = word[-1:], registers[-1:]
+        yield pa.RecordBatch.from_arrays([pa.array(word[:-1]), pa.array(estimates(registers[:-1]))], names=["word", "contexts"])
+    if held is not None:
+        yield pa.RecordBatch.from_arrays([pa.array(held[0]), pa.array(estimates(held[1]))], names=["word", "contexts"])
+
 
+def continuation(texts: DataFrame, keys: np.ndarray) -> np.ndarray:
+    """For each of the sorted ``keys`` (words and beginnings) about how many different words precede or continue it in all ``texts``.
 
-class Model:
-    """Log-likelihood ratios of nodes, by their sorted keys and an index over the keys' first bits."""
-
-    def __init__(self, keys: np.ndarray, up: np.ndarray, depth: np.ndarray, docs: np.ndarray, ordinary: np.ndarray, toxic: np.ndarray, sizes: tuple[int, int], corpus: int) -> None:
-        # Counts of either class are brought to the size of the smaller; discounts follow the size.
-        least = max(1, min(sizes))
-        scale = [least / max(1, n) for n in sizes]
-        seen = [np.maximum(n - DISCOUNT, 0) * f for n, f in zip((ordinary, toxic), scale)]
-        mass = BACKOFF + SHARED * least * docs / max(1, corpus)
-        leaning = np.zeros(len(keys))  # share of toxic in the backoff mass of a node's children
-        for d in range(len(PREFIXES) + 1):
-            now = depth == d
-            above = np.where(up[now] >= 0, leaning[np.maximum(up[now], 0)], 0.5)
-            t, o = seen[1][now] + 2 * mass[now] * above, seen[0][now] + 2 * mass[now] * (1 - above)
-            leaning[now] = t / (t + o)
-        ratio = np.log(leaning) - np.log1p(-leaning)
-        self.bits = max(10, int(3 * len(keys)).bit_length())
-        order = np.argsort(keys)
-        # The last key ends every search.
-        self.keys = np.append(keys[order], np.uint64(2**64 - 1))
-        self.ratio = np.append(ratio[order], 0).astype(np.float32)
-        self.first = np.searchsorted(self.keys, np.arange(1 << self.bits, dtype=np.uint64) << np.uint64(64 - self.bits)).astype(np.int32)
+    A task passes one sketch for each node that it met, whatever its size; sketches of a node are united by maximum.
+    """
+    spark = texts.sparkSession
+    known = shipped(spark, Lookup(keys))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = texts.mapInArrow(tidied(_continuing(known)), "word long, registers binary").repartition(n, "word").sortWithinPartitions("word")
+    found = rows.mapInArrow(tidied(_united), "word long, contexts double").toArrow()
+    known.unpersist()
+    out = np.zeros(len(keys))
+    out[found.column(0).to_numpy()] = found.column(1).to_numpy()
+    return out
 
-    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Place of each key, and whether it is that of a learned node."""
-        at = self.first[(keys >> np.uint64(64 - self.bits)).astype(np.int64)]
-        late = np.flatnonzero(self.keys[at] < keys)
-        while len(late):
-            at[late] += 1
-            late = late[self.keys[at[late]] < keys[late]]
-        return at, (self.keys[at] == keys) & (at < len(self.keys) - 1)
 
-    def features(self, nodes: Nodes, text: bytes) -> tuple[float, ...]:
-        """Log-likelihood ratios by length: of all words, of the span and of the few words most toxic; log of the length."""
-        keys, _, there = nodes.of(text)
-        if not len(keys):
-            return (0.0,) * len(FEATURES)
-        word = np.zeros(len(keys), dtype=np.float32)
-        for k in range(keys.shape[1]):
-            place, learned = self.find(keys[:, k])
-            word = np.where(there[:, k] & learned, self.ratio[place], word)
-        n = min(SPAN_WORDS, len(word))
-        sums = np.concatenate(([0.0], np.cumsum(word, dtype=np.float64)))
-        top = np.partition(word, len(word) - TOP_WORDS)[-TOP_WORDS:] if len(word) > TOP_WORDS else word
-        return float(sums[-1] / len(word)), float((sums[n:] - sums[:-n]).max() / SPAN_WORDS), float(top.sum() / TOP_WORDS), float(np.log1p(len(word)))
+# ---------------------------------------------------------------- models
+
+class Counts:
+    """What labelled texts say, nodes with their counts by kind in order of key, and the corpus: contexts of words and beginnings."""
+
+    def __init__(self, rows: pa.Table) -> None:
+        u64 = lambda c: rows.column(c).to_numpy().view(np.uint64)
+        order = np.argsort(u64("key"))
+        self.keys, up, self.level = u64("key")[order], u64("up")[order], rows.column("level").to_numpy()[order]
+        self.seen = np.column_stack([rows.column(c).to_numpy() for c in _KINDS])[order]
+        #: Place of the node that each backs off to; one past the end: none.
+        self.up = Lookup(self.keys).find(up)
+        self.contexts = np.zeros(len(self.keys))
+
+    def single(self) -> np.ndarray:
+        return np.flatnonzero(self.level < PAIR)
 
 
-FEATURES = ("mean", "peak", "top", "size")
+PAIR = len(BEGINNINGS) + 1
+
+
+class Model:
+    """Log-likelihood ratios of nodes."""
+
+    def __init__(self, counts: Counts, folds: tuple[int, ...], sizes: np.ndarray) -> None:
+        """``sizes`` are documents by kind. Counts of either class are brought to the size of the smaller one."""
+        of = [[2 * f + y for f in folds] for y in (0, 1)]
+        docs = [max(1, sizes[k].sum()) for k in of]
+        seen = [counts.seen[:, k].sum(axis=1) for k in of]
+        kept = [np.maximum(n - DISCOUNT, 0) * min(docs) / d for n, d in zip(seen, docs)]
+        taken = sum((n * min(docs) / d - k) for n, d, k in zip(seen, docs, kept)) / 2
+        #: The last entry is for what is not known.
+        self.ratio = np.zeros(len(counts.keys) + 1)
+        for level in range(PAIR + 1):
+            at = np.flatnonzero(counts.level == level)
+            contexts = counts.contexts[at]
+            back = BASE + taken[at].sum() * contexts / max(1.0, contexts.sum())
+            # The backoff count falls to the classes as the probability of the node below does.
+            toxic = 2 * back / (1 + np.exp(-self.ratio[counts.up[at]]))
+            self.ratio[at] = np.log(kept[1][at] + toxic) - np.log(kept[0][at] + 2 * back - toxic)
+        self.lookup, self.ratio = Lookup(counts.keys), self.ratio.astype(np.float32)
+
+    def ratios(self, texts: list[bytes | None]) -> Iterator[np.ndarray]:
+        """For each word of each text the log-likelihood ratio of the highest of its nodes that is known."""
+        levels, cuts = nodes(texts)
+        out = np.zeros(len(levels[0]))
+        for keys in levels:
+            at = np.flatnonzero(keys)
+            place = self.lookup.find(keys[at])
+            known = place < len(self.ratio) - 1
+            out[at[known]] = self.ratio[place[known]]
+        for a, b in zip(cuts, cuts[1:]):
+            yield out[a:b]
+
+    def features(self, texts: list[bytes | None]) -> np.ndarray:
+        """Differences of the log-likelihoods by length, for each text: of the whole, and of the extract of its most toxic words."""
+        found = np.zeros((len(texts), len(FEATURES)))
+        for i, ratio in enumerate(self.ratios(texts)):
+            if len(ratio):
+                extract = np.partition(ratio, len(ratio) - EXTRACT)[-EXTRACT:] if len(ratio) > EXTRACT else ratio
+                found[i] = ratio.sum() / len(ratio), extract.sum() / EXTRACT
+        return found
+
+
+FEATURES = ("whole", "extract")
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -232,65 +313,63 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
 
 
 class Scorer:
-    """The final model and the scale from features to probabilities; without labels of both kinds all scores are the share of toxic labels."""
+    """The final model and the scale from differences to probabilities; without labels of both kinds all scores are the share of toxic labels."""
 
     def __init__(self, model: Model | None, fit: tuple | None, prior: float) -> None:
         self.model, self.fit, self.prior = model, fit, prior
 
-    def score(self, nodes: Nodes, text: bytes) -> float:
+    def scores(self, texts: list[bytes | None]) -> np.ndarray:
         if self.fit is None:
-            return self.prior
+            return np.full(len(texts), self.prior)
         w, mean, scale = self.fit
-        z = (np.array(self.model.features(nodes, text)) - mean) / scale
-        return float(1 / (1 + np.exp(-np.clip(z @ w[:-1] + w[-1], -30, 30))))
+        z = (self.model.features(texts) - mean) / scale
+        return 1 / (1 + np.exp(-np.clip(z @ w[:-1] + w[-1], -30, 30)))
 
 
 def train(docs: DataFrame, labels: DataFrame, most: int = LABELLED) -> Scorer:
     """Fit on ``docs`` and those ``labels`` (doc_id, toxic) that are not held out, ``most`` at most.
 
-    One pass counts the nodes of all documents, with class counts for the labelled ones in two folds. Each fold is scored by
-    the model of the other, which fits the scale; the final model has both. The driver gets nodes that labelled texts hold
-    ``LEAST`` times or more, so their number is bounded by those texts, never by the corpus.
+    Only labelled texts are read for counts by class, in two folds. Each fold is scored by the model of the other, which
+    fits the scale; the final model has both. One pass over all documents gives the continuation counts. The driver gets
+    words and pairs that ``LEAST`` labelled texts hold, so that their number is bounded by ``most``, never by the corpus.
     """
     bounded_batches(docs.sparkSession)
-    sc = docs.sparkSession.sparkContext
+    spark = docs.sparkSession
     rows = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
-    rows = rows.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).select("doc_id", "toxic", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)).cast("int").alias("fold")).collect()
-    known = Labels([tuple(r) for r in rows])
-    prior = float((known.toxic > 0).mean()) if len(rows) else 0.0
-    if not 0 < prior < 1:
+    rows = rows.groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.max((F.col("toxic") > 0).cast("int")).alias("_toxic"))
+    rows = rows.orderBy(F.xxhash64("_id"), "_id").limit(most)
+    chosen = materialise(rows.select("_id", (2 * F.pmod(F.xxhash64("_id", F.lit(1)), F.lit(2)) + F.col("_toxic")).cast("int").alias("kind")), "toxic-labels")
+    sizes = np.zeros(4, dtype=np.int64)
+    for r in chosen.groupBy("kind").count().collect():
+        sizes[r["kind"]] = r["count"]
+    n, toxic = int(sizes.sum()), int(sizes[1] + sizes[3])
+    prior = toxic / n if n else 0.0
+    if not 0 < toxic < n:
         return Scorer(None, None, prior)
-    known.toxic = (known.toxic > 0).astype(np.int8)
-    shared = sc.broadcast(known)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    nodes = texts.mapInArrow(tidied(_counting(shared)), _COUNTING).groupBy("key").agg(F.first("parent").alias("parent"), *[F.sum(c).alias(c) for c in _COUNTS])
-    nodes = nodes.where(F.col("o0") + F.col("t0") + F.col("o1") + F.col("t1") >= LEAST)
-    found = materialise(nodes, "toxic-nodes").toArrow()
-    col = lambda c: found.column(c).to_numpy()
-    keys, parents, held = col("key").view(np.uint64), col("parent").view(np.uint64), col("docs")
-    corpus = docs.count()
-    sizes = [[int(((known.fold == f) & (known.toxic == y)).sum()) for y in (0, 1)] for f in (0, 1)]
-    up, depth = ancestry(keys, parents)
-    build = lambda o, t, n: Model(keys, up, depth, held, o, t, n, corpus)
-    crossed = sc.broadcast([build(col("o1"), col("t1"), sizes[1]), build(col("o0"), col("t0"), sizes[0])])
+    labelled = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("text", "kind")  # at most ``most`` ids
+    labelled = materialise(labelled, "toxic-texts")
+    found = labelled.mapInArrow(tidied(_counting), _COUNTING).groupBy("key").agg(F.first("up").alias("up"), F.first("level").alias("level"), *[F.sum(c).alias(c) for c in _KINDS])
+    counts = Counts(found.where(f"{' + '.join(_KINDS)} >= {LEAST}").toArrow())
+    single = counts.single()
+    counts.contexts[single] = continuation(texts.select("text"), counts.keys[single])
+    crossed = shipped(spark, [Model(counts, (1,), sizes), Model(counts, (0,), sizes)])
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of, own = Nodes(), shared.value
-        for batch in batches:
-            kinds = own.kind(batch.column(0))
-            at = np.flatnonzero(kinds >= 0)
-            got = [(kinds[i] % 2, *crossed.value[kinds[i] // 2].features(of, batch.column(1)[i].as_py() or b"")) for i in at.tolist()]
-            a = np.array(got, dtype=np.float64).reshape(-1, 1 + len(FEATURES))
-            yield pa.RecordBatch.from_arrays([pa.array(a[:, i]) for i in range(a.shape[1])], names=["y", *FEATURES])
-
-    seen = texts.mapInArrow(tidied(measure), ", ".join(f"{c} double" for c in ("y", *FEATURES))).toArrow()
+        models = received(crossed)
+        for batch in chain.from_iterable(map(_slices, batches)):
+            texts, kinds = batch.column(0).to_pylist(), batch.column(1).to_numpy()
+            x = np.where((kinds // 2 == 0)[:, None], models[0].features(texts), models[1].features(texts))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in ((kinds % 2).astype(np.float64), *x.T)], names=["y", *FEATURES])
+
+    seen = labelled.mapInArrow(tidied(measure), ", ".join(f"{c} double" for c in ("y", *FEATURES))).toArrow()
     a = np.column_stack([seen.column(c).to_numpy() for c in ("y", *FEATURES)])
     a = a[np.lexsort(a.T)]
     crossed.unpersist()
+    discard(chosen, labelled)
     if not len(a) or a[:, 0].min() == a[:, 0].max():
         return Scorer(None, None, prior)
-    return Scorer(build(col("o0") + col("o1"), col("t0") + col("t1"), [a + b for a, b in zip(*sizes)]), _logistic(a[:, 1:], a[:, 0]), prior)
+    return Scorer(Model(counts, (0, 1), sizes), _logistic(a[:, 1:], a[:, 0]), prior)
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
@@ -298,14 +377,14 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
 
     Nulls: a null text is empty and scores like other empty texts; rows without id are scored, but teach no label. Repeated
     rows count each time. Empty tables give no rows; without usable labels every score is their share of toxic ones (0 where
-    there are none).
+    there are none). Texts and words of any length are read whole.
     """
-    scorer = docs.sparkSession.sparkContext.broadcast(train(docs, labels, **how))
+    scorer = shipped(docs.sparkSession, train(docs, labels, **how))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        nodes, own = Nodes(), scorer.value
-        for batch in batches:
-            scores = [own.score(nodes, t.as_py() or b"") for t in batch.column(1)]
+        own = received(scorer)
+        for batch in chain.from_iterable(map(_slices, batches)):
+            scores = own.scores(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=["row", "score"])
 
     rows = docs.select(F.struct("*").alias("row"), F.col("text").cast("binary").alias("_bytes"))
@@ -314,7 +393,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **how) -> DataFrame:
-    """``docs`` without the rows whose score reaches the threshold."""
+    """``docs`` without the rows whose score reaches the threshold; nulls, empty texts and repeats as in ``score_toxicity``."""
     return score_toxicity(docs, labels, **how).where(F.col("score") < threshold).select("row.*")
 
 

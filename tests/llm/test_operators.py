@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from locusmill.llm import decontam, lines, mixing, pii, secrets, sigtree, tokens, toxicity, vectors, warc
-from locusmill.llm.common import PhraseHasher
+from locusmill.llm.common import run_numbers
 from locusmill.llm.graph import components
 from locusmill.llm.wavelet import WaveletFile, encode
 
@@ -123,12 +123,68 @@ def test_components_over_many_tasks(spark, monkeypatch):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-def test_phrase_hashes_do_not_depend_on_the_stretch(monkeypatch):
-    w = prose(500, 9).encode().split()
-    whole = PhraseHasher().phrases(w, 5)
-    monkeypatch.setattr("locusmill.llm.common.STRETCH", 37)
-    assert (PhraseHasher().phrases(w, 5) == whole).all() and len(set(whole.tolist())) == 496
-    assert len(PhraseHasher().phrases([b"x" * 100_000, b"y"], 5)) == 1
+def thue_morse(n):
+    """A word of n letters and its complement: their polynomial hashes modulo 2^64 are the same for every base."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_words_that_hash_alike_are_told_apart(spark):
+    pairs = [w for n in (1024, 2048) for w in thue_morse(n)]
+    encoder = tokens.Encoder(None, tokens.VOCABULARY)
+    assert encoder.by_word and encoder.encode(pairs) == encoder.raw(pairs)
+    together = [" ".join(pairs), " ".join(reversed(pairs))]
+    assert encoder.encode(together) == encoder.raw(together) and encoder.encode(pairs[::-1]) == encoder.raw(pairs[::-1])
+    docs = [(30 + i, w, "a", "x", 1) for i, w in enumerate(pairs)] + [(40, pairs[1], "a", "x", 1)]
+    got = {r["doc_id"]: r["component_id"] for r in sigtree.similar_sets(frame(spark, docs), 4, (85, 100)).collect()}
+    assert got == {30: 30, 31: 31, 32: 32, 33: 33, 40: 31}
+
+
+def test_stretches_with_equal_keys_are_encoded_by_the_library(monkeypatch):
+    monkeypatch.setattr(tokens.ByteHasher, "ranges", lambda self, line, first, last: (last - first).astype(np.uint64))
+    encoder = tokens.Encoder(None, tokens.VOCABULARY)
+    texts = [prose(30, 5), "abc abd, abe. abf", prose(30, 6)]
+    assert encoder.encode(texts) == encoder.raw(texts) and encoder.encode(texts[::-1]) == encoder.raw(texts[::-1])
+
+
+def test_only_tokenizers_that_split_at_spaces_go_by_word():
+    import json
+
+    said = json.loads(tokens.Encoder(None, tokens.VOCABULARY).library.to_str())
+    assert tokens.by_word(said)
+    for change in ({"pre_tokenizer": None}, {"normalizer": {"type": "Strip"}}, {"added_tokens": [{"content": "a b", "lstrip": False, "rstrip": False, "normalized": False}]}):
+        assert not tokens.by_word(said | change)
+
+
+@pytest.mark.parametrize("k", [1, 2, 3, 4, 5, 7])
+def test_runs_have_equal_numbers_only_if_equal(k):
+    x = np.random.default_rng(k).integers(0, 3, 400)
+    got = run_numbers(x, k)
+    seen = [tuple(x[i : i + k]) for i in range(len(x) - k + 1)]
+    assert len(got) == len(seen) and len(set(zip(got.tolist(), seen))) == len(set(seen)) == len(set(got.tolist()))
+
+
+def test_shingles_of_texts_hashed_together():
+    texts = [prose(50, 1), None, "", "one two", prose(300, 2), "one TWO", "x" * 5000 + " y", prose(9, 3) + " " + prose(9, 3)]
+    sets = [{tuple(w[j : j + 4]) for j in range(max(1, len(w) - 3))} if (w := words(t.lower() if t else t)) else set() for t in texts]
+    raw = [t if t is None else t.encode() for t in texts]
+    hashed = list(sigtree.signed_sets(raw, 4))
+    assert [len(h) for h, _ in hashed] == [len(s) for s in sets] and hashed[3][1] == hashed[5][1] != hashed[0][1]
+    numbered = sigtree.unit_sets(raw, 4)
+    for i in range(len(texts)):
+        for j in range(len(texts)):
+            assert len(np.intersect1d(numbered[i], numbered[j])) == len(np.intersect1d(hashed[i][0], hashed[j][0])) == len(sets[i] & sets[j])
+
+
+@pytest.mark.parametrize("units", [256, 3])
+def test_similar_sets_in_a_chain_of_half_similar_documents(spark, monkeypatch, units):
+    """One subtree of many buckets: neighbours share half of their words, some are linked."""
+    monkeypatch.setattr(sigtree, "UNIT_DOCS", units)
+    line = prose(1500, 21).split()
+    docs = [(i, " ".join(line[i * 30 : i * 30 + 120]), "a", "x", 1) for i in range(40)]
+    docs += [(100 + i, " ".join(line[i * 30 : i * 30 + 115]), "a", "x", 1) for i in range(0, 40, 3)]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in sigtree.similar_sets(frame(spark, docs), 4, (85, 100)).collect()}
+    assert got == brute_components(docs, 4, 85, 100)
 
 
 def test_mix(spark):
@@ -324,26 +380,68 @@ def test_toxicity(spark):
 
 
 def test_toxicity_finds_every_learned_node():
-    keys = np.random.default_rng(5).integers(1, 2**64 - 1, 50_000, dtype=np.uint64)
-    seen = np.full(len(keys), 3)
-    model = toxicity.Model(keys, np.full(len(keys), -1), np.zeros(len(keys), np.int8), seen, np.where(keys % 2 == 0, 3, 0), np.where(keys % 2 == 0, 0, 3), (100, 100), 1000)
-
-    class One:
-        def of(self, text):
-            k = keys[int(text)]
-            return np.array([[k]], np.uint64), np.zeros((1, 1), np.uint64), np.ones((1, 1), bool)
-
-    ratio = [model.features(One(), str(i).encode())[0] for i in range(0, len(keys), 10)]
-    assert [np.sign(r) for r in ratio] == [-1 if k % 2 == 0 else 1 for k in keys[::10]]
+    keys = np.unique(np.random.default_rng(5).integers(1, 2**64 - 1, 50_000, dtype=np.uint64))
+    assert (toxicity.Lookup(keys).find(keys) == np.arange(len(keys))).all() and (toxicity.Lookup(keys[::2]).find(keys[1::2]) == len(keys[::2])).all()
 
 
 def test_toxicity_reads_long_words_and_text_without_spaces():
-    nodes = toxicity.Nodes()
-    (a, _, _), (b, _, _) = nodes.of(b"x" * 70_000 + b"one"), nodes.of(b"x" * 70_000 + b"two")
-    assert a[0, -1] != b[0, -1] and (a[0, :-1] == b[0, :-1]).all()
-    held = set(nodes.of("毒物".encode())[0][:, -1].tolist())
-    assert held <= set(nodes.of("这里有毒物吗 caf\u00e9".encode())[0][:, -1].tolist()) and len(nodes.of("这里有毒物吗 caf\u00e9 \ud55c\uad6d\uc5b4".encode())[0]) == 7
-    assert [len(nodes.of(t.encode())[0]) for t in ("毒", "สวัสดี", "na\u00efve \u201cquote\u201d")] == [1, 5, 2]
+    (four, six, word, pair), cuts = toxicity.nodes([b"x" * 70_000 + b"one", b"x" * 70_000 + b"two", None, b"a b"])
+    assert word[0] != word[1] and four[0] == four[1] and six[0] == six[1] and cuts.tolist() == [0, 1, 2, 2, 4] and (pair != 0).tolist() == [False, False, False, True]
+    held = set(toxicity.nodes(["毒物".encode()])[0][2].tolist())
+    assert held <= set(toxicity.nodes(["这里有毒物吗 caf\u00e9".encode()])[0][2].tolist()) and len(toxicity.nodes(["这里有毒物吗 caf\u00e9 \ud55c\uad6d\uc5b4".encode()])[0][0]) == 7
+    assert [len(toxicity.nodes([t.encode()])[0][0]) for t in ("毒", "สวัสดี", "na\u00efve \u201cquote\u201d")] == [1, 5, 2]
+
+
+def test_continuation_counts(spark):
+    texts = [" ".join(f"w{i}x beta" for i in range(at, at + 40)) for at in range(0, 400, 20)] + [None, "", "beta", "alpha1 alpha22 alpha333"]
+    words = {w: toxicity.nodes([w.encode()])[0] for w in ("beta", "alpha1", "gamma")}
+    keys = np.unique(np.array([words["beta"][2][0], words["alpha1"][2][0], words["alpha1"][0][0], words["gamma"][2][0]], dtype=np.uint64))
+    got = dict(zip(keys.tolist(), toxicity.continuation(spark.createDataFrame([(t.encode() if t else None,) for t in texts], "text binary").repartition(5), keys)))
+    assert got[int(words["beta"][2][0])] == pytest.approx(420, rel=0.4)  # a sketch of 64 registers
+    assert got[int(words["alpha1"][0][0])] == pytest.approx(3, rel=0.1) and got[int(words["alpha1"][2][0])] == got[int(words["gamma"][2][0])] == 0
+
+
+def test_toxicity_model_is_what_its_formula_says(spark):
+    """Ratios of a small model, reckoned again node by node from the texts."""
+    texts = [(f"plain w{i % 7} vileness w{i % 5}" if i % 4 == 0 else f"plain w{i % 7} gentle w{i % 3}", i % 4 == 0) for i in range(40)]
+    rows = [(t.encode(), 2 * (i % 2) + int(y)) for i, (t, y) in enumerate(texts)]
+    counted = spark.createDataFrame(rows, "text binary, kind int").mapInArrow(toxicity._counting, toxicity._COUNTING).groupBy("key").agg(F.first("up").alias("up"), F.first("level").alias("level"), *[F.sum(c).alias(c) for c in toxicity._KINDS])
+    counts = toxicity.Counts(counted.where("o0 + t0 + o1 + t1 >= 2").toArrow())
+    counts.contexts[counts.single()] = np.arange(1, len(counts.single()) + 1)
+    sizes = np.bincount([k for _, k in rows], minlength=4)
+    model = toxicity.Model(counts, (0, 1), sizes)
+    contexts = dict(zip(counts.keys.tolist(), counts.contexts))
+
+    seen = defaultdict(lambda: [0, 0])
+    for t, y in texts:
+        w = t.split()
+        held = {(0, x[:4]) for x in w if len(x) > 4} | {(1, x[:6]) for x in w if len(x) > 6} | {(2, x) for x in w} | {(3, a + " " + b) for a, b in zip(w, w[1:])}
+        for node in held:
+            seen[node][int(y)] += 1
+    seen = {k: v for k, v in seen.items() if sum(v) >= 2}
+    docs = [30, 10]
+
+    def key(node):
+        level, text = node
+        return int(toxicity.nodes([(text if level > 1 else text + "zzz").encode()])[0][level][-1])
+
+    kept = lambda n, y: max(n - 0.75, 0) * 10 / docs[y]
+    taken = [sum(sum(v[y] * 10 / docs[y] - kept(v[y], y) for y in (0, 1)) / 2 for k, v in seen.items() if k[0] == level) for level in range(4)]
+    total = [sum(contexts[key(k)] for k in seen if k[0] == level) for level in range(4)]
+
+    def ratio(node):
+        level, text = node
+        word = text.split()[-1]
+        lower = [n for n in ((0, word[:4]), (1, word[:6]), (2, word)) if n[0] < level and (n[0] == 2 or len(word) > (4, 6)[n[0]])]
+        below = ratio(lower[-1]) if lower and lower[-1] in seen else 0.0
+        back = 2 + (taken[level] * contexts[key(node)] / max(1, total[level]))
+        part = 2 * back / (1 + np.exp(-below))
+        return np.log(kept(seen[node][1], 1) + part) - np.log(kept(seen[node][0], 0) + 2 * back - part)
+
+    for node in seen:
+        place = model.lookup.find(np.array([key(node)], dtype=np.uint64))[0]
+        assert model.ratio[place] == pytest.approx(ratio(node), rel=1e-4, abs=1e-5), node
+    assert ratio((2, "vileness")) > 1 and ratio((2, "gentle")) < -1
 
 
 def test_vectors(spark):
