@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, materialise, table, tidied
+from .common import bounded_batches, discard, materialise, received, shipped, small, table, tidied
 from .graph import components
 
 THRESHOLD = 0.95
@@ -20,8 +21,9 @@ SAMPLE, QUERIES = 16_384, 512
 PER_CELL, MOST_WORDS = 12, 2048
 #: Share of neighbours just at the threshold that the visited cells must hold, looked for from either side.
 RECALL = 0.98
-#: Members and visitors of one unit.
-UNIT_MEMBERS, UNIT_VISITORS = 1024, 16_384
+#: Members of a unit on average; members and visitors of a part of one that is too large.
+UNIT = 1024
+PART_MEMBERS, PART_VISITORS = 4096, 16_384
 
 
 def nearest_cells(first: np.ndarray, second: np.ndarray, most: int) -> list[tuple[int, int]]:
@@ -56,14 +58,22 @@ def _distances(x: np.ndarray, words: np.ndarray) -> np.ndarray:
 
 
 class MultiIndex:
-    """Codebooks of both halves, and how many cells a query visits."""
+    """Codebooks of both halves, the units that cells lie in, and how many cells a query visits.
+
+    A unit is a stretch of the cells of one codeword of the first half; codewords of the second half are in order along their main axis, so
+    that near cells lie in one unit and a vector is sent once for many cells that it visits.
+    """
 
     def __init__(self, sample: np.ndarray, total: int, threshold: float, recall: float) -> None:
         rng = np.random.default_rng(5)
         self.half = sample.shape[1] // 2
         k = int(np.clip(np.ceil(np.sqrt(total / PER_CELL)), 1, min(MOST_WORDS, len(sample))))
         self.books = [_k_means(part, k, rng) for part in (sample[:, : self.half], sample[:, self.half :])]
-        # Neighbours just at the threshold, in random directions: how far down the traversal do their cells lie?
+        second = self.books[1] - self.books[1].mean(axis=0)
+        axis = np.linalg.svd(second, full_matrices=False)[2][0] if k > 1 else np.ones(second.shape[1])
+        self.books[1] = self.books[1][np.argsort(second @ axis, kind="stable")]
+        self.width = min(k, max(1, round(UNIT / PER_CELL)))
+        # Neighbours just at the threshold, in random directions: how far down the traversal do their units lie?
         at = rng.choice(len(sample), QUERIES)
         a = sample[at]
         away = rng.normal(size=a.shape)
@@ -71,9 +81,13 @@ class MultiIndex:
         length = np.linalg.norm(away, axis=1)[:, None]
         away = np.where(length > 1e-12, away / np.maximum(length, 1e-12), 0)
         b = threshold * a + np.sqrt(1 - threshold**2) * away
-        ranks = np.minimum(self._rank(a, self.cells(b)), self._rank(b, self.cells(a)))
+        ranks = np.minimum(self._rank(a, self.unit_of(self.cells(b))), self._rank(b, self.unit_of(self.cells(a))))
         self.visits = int(min(k * k, np.quantile(ranks, recall, method="higher") + 1))
 
+    def unit_of(self, cells: np.ndarray) -> np.ndarray:
+        k = len(self.books[1])
+        return cells // k * -(-k // self.width) + cells % k // self.width
+
     def parts(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return _distances(x[:, : self.half], self.books[0]), _distances(x[:, self.half :], self.books[1])
 
@@ -81,14 +95,15 @@ class MultiIndex:
         a, b = self.parts(x)
         return a.argmin(axis=1) * len(self.books[1]) + b.argmin(axis=1)
 
-    def _rank(self, x: np.ndarray, cells: np.ndarray) -> np.ndarray:
-        """How many cells lie nearer to each vector than the given one."""
+    def _rank(self, x: np.ndarray, units: np.ndarray) -> np.ndarray:
+        """How many cells lie nearer to each vector than the nearest one of the given unit."""
         a, b = self.parts(x)
         k = len(self.books[1])
-        own = a[np.arange(len(x)), cells // k] + b[np.arange(len(x)), cells % k]
+        across = -(-k // self.width)
         out = np.zeros(len(x), dtype=np.int64)
-        for i in range(len(x)):
-            out[i] = np.searchsorted(np.sort(b[i]), own[i] - a[i], side="left").sum()
+        for i, u in enumerate(units.tolist()):
+            own = a[i, u // across] + b[i, u % across * self.width : (u % across + 1) * self.width].min()
+            out[i] = np.searchsorted(np.sort(b[i]), own - a[i], side="left").sum()
         return out
 
     def visited(self, x: np.ndarray) -> np.ndarray:
@@ -116,70 +131,56 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
 
 
-_ENTRY = "cell long, visitor int, home long, own long, copies long, vector array<double>, visits array<long>"
+_ENTRY = "own long, copies long, vector array<{kind}>, home long, visits array<long>"
 
 
 def _indexing(index, dim: int):
-    """Per vector one row for each visited cell; the row of its own cell is a member's, and carries the visited cells."""
+    """Each vector with the unit of its own cell and those of the cells that it visits, its own first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = index.value
+        model = received(index)
         for whole in batches:
             for at in range(0, whole.num_rows, 1000):
                 batch = whole.slice(at, 1000)
-                raw = _matrix(batch.column(2), dim)
-                x = _unit(raw)
+                x = _unit(_matrix(batch.column(2), dim))
                 if dim % 2:
                     x = np.column_stack((x, np.zeros(len(x))))
-                visits = model.visited(x)
-                m, n = visits.shape
-                home = visits[:, 0]
-                cell = np.column_stack((home, visits)).reshape(-1)
-                visitor = np.tile(np.array([0] + [1] * n, dtype=np.int32), m)
-                rep = np.repeat(np.arange(m), n + 1)
-                lists = np.where(visitor == 0, n, 0)
-                ends = np.concatenate(([0], np.cumsum(lists)))
-                take = pa.array(rep)
-                vectors = pa.ListArray.from_arrays(pa.array(np.arange(0, (m * (n + 1) + 1) * dim, dim), pa.int32()), pa.array(raw[rep].astype(np.float64).reshape(-1)))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(cell), pa.array(visitor), pa.array(home[rep]), batch.column(0).take(take), batch.column(1).take(take), vectors, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(visits.reshape(-1)))],
-                    names=["cell", "visitor", "home", "own", "copies", "vector", "visits"],
-                )
+                units = [list(dict.fromkeys(u)) for u in model.unit_of(model.visited(x)).tolist()]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([u[0] for u in units], pa.int64()), pa.array(units, pa.list_(pa.int64()))], names=["own", "copies", "vector", "home", "visits"])
 
     return run
 
 
 def _joining(dim: int, threshold: float):
-    """Rows come by unit, members before visitors; gives (own, n) for links counted once, and (own, other) for connection."""
+    """Rows (part, unit, own, copies, vector, home, visits) come by part, members before visitors; gives (own, n, least): links, each counted once, and connection."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unit, members, waiting = None, [], []
+        part, members, waiting, last = None, [], [], None
         out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
         def compare() -> None:
-            """The waiting visitors against the members."""
+            """The waiting vectors against the members of their unit."""
             if not members or not waiting:
                 return
-            m_own, m_copies, m_x, m_cell, m_visits = (np.concatenate(p) for p in zip(*members))
+            m_own, m_copies, m_x, m_visits = (list(chain.from_iterable(p)) if isinstance(p[0], list) else np.concatenate(p) for p in zip(*members))
             v_own, v_copies, v_x, v_home = (np.concatenate(p) for p in zip(*waiting))
-            order = np.argsort(m_own, kind="stable")
-            m_own, m_copies, m_x, m_visits = m_own[order], m_copies[order], m_x[order], m_visits[order]
             for at in range(0, len(v_own), 1024):
                 own, copies, home = v_own[at : at + 1024], v_copies[at : at + 1024], v_home[at : at + 1024]
                 hit = v_x[at : at + 1024] @ m_x.T >= threshold
                 hit &= own[:, None] != m_own[None, :]
-                if not hit.any():
+                i, j = np.nonzero(hit)
+                if not len(i):
                     continue
-                # A member that visits the visitor's cell too counts the pair there, for itself.
-                back = (m_visits[None, :, :] == home[:, None, None]).any(axis=2) if hit.size < 1 << 14 else np.stack([(m_visits == h).any(axis=1) for h in home])
-                n = hit @ m_copies
-                once = hit & ~back
-                m = copies @ once
+                # Where a member visits the other's unit too, that pair is found there as well, and counts there for the member.
+                back = np.fromiter((h in m_visits[b] for h, b in zip(home[i].tolist(), j.tolist())), dtype=bool, count=len(i))
+                n = np.bincount(i, m_copies[j], minlength=len(own)).astype(np.int64)
+                m = np.bincount(j[~back], copies[i[~back]], minlength=len(m_own)).astype(np.int64)
                 # Least linked node, spread both ways until it stays: a spanning star for each group of this block.
                 a, b = own.copy(), m_own.copy()
                 while True:
-                    a2 = np.minimum(a, np.where(hit, b[None, :], np.iinfo(np.int64).max).min(axis=1))
-                    b2 = np.minimum(b, np.where(hit, a2[:, None], np.iinfo(np.int64).max).min(axis=0))
+                    a2, b2 = a.copy(), b.copy()
+                    np.minimum.at(a2, i, b[j])
+                    np.minimum.at(b2, j, a2[i])
                     if (a2 == a).all() and (b2 == b).all():
                         break
                     a, b = a2, b2
@@ -194,24 +195,27 @@ def _joining(dim: int, threshold: float):
             return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in cols], names=["own", "n", "least"])
 
         for batch in batches:
-            units = batch.column(0).to_numpy()
-            cuts = np.flatnonzero(np.concatenate(([True], units[1:] != units[:-1], [True])))
+            parts = batch.column(0).to_numpy()
+            cuts = np.flatnonzero(np.concatenate(([True], parts[1:] != parts[:-1], [True])))
             for s, e in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-                if units[s] != unit:
+                if parts[s] != part:
                     compare()
-                    unit, members, waiting = units[s], [], []
-                part = batch.slice(s, e - s)
-                kind = part.column(1).to_numpy()
-                home, own, copies = (part.column(i).to_numpy() for i in (2, 3, 4))
-                x = _unit(_matrix(part.column(5), dim))
-                if (kind == 0).any():
-                    visits = part.column(6).filter(pa.array(kind == 0)).flatten().to_numpy().reshape(int((kind == 0).sum()), -1)
-                    z = kind == 0
-                    members.append((own[z], copies[z], x[z], home[z], visits))
-                if (kind == 1).any():
-                    z = kind == 1
-                    waiting.append((own[z], copies[z], x[z], home[z]))
-                    if sum(len(w[0]) for w in waiting) > 8192:
+                    part, members, waiting, last = parts[s], [], [], None
+                some = batch.slice(s, e - s)
+                # Rows that repeat a vector under its own id are one.
+                own = some.column(3).to_numpy()
+                some = some.filter(pa.array(np.concatenate(([own[0] != last], own[1:] != own[:-1]))))
+                last = own[-1]
+                if not some.num_rows:
+                    continue
+                member, waits, own, copies, home = (some.column(i).to_numpy(zero_copy_only=False) for i in (1, 2, 3, 4, 6))
+                x = _unit(_matrix(some.column(5), dim))
+                if member.any():
+                    visits = some.column(7).filter(pa.array(member)).to_pylist()
+                    members.append((own[member], copies[member], x[member], visits))
+                if waits.any():
+                    waiting.append((own[waits], copies[waits], x[waits], home[waits]))
+                    if sum(len(w[0]) for w in waiting) > 8192 and not member.any():
                         compare()
                         waiting = []
             if sum(len(o[0]) for o in out) > 50_000:
@@ -223,30 +227,36 @@ def _joining(dim: int, threshold: float):
 
 
 def _search(distinct: DataFrame, dim: int, total: int, threshold: float, recall: float) -> DataFrame:
-    """(own, n, least) for the vectors of one dimension."""
+    """(own, n, least) for the vectors of one dimension: ``distinct`` has own, copies and vector."""
     spark = distinct.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     sample = distinct.orderBy(F.xxhash64("own"), "own").limit(SAMPLE).select("vector").toArrow().column(0).combine_chunks()
     x = _unit(_matrix(sample, dim))
     if dim % 2:
         x = np.column_stack((x, np.zeros(len(x))))
-    index = spark.sparkContext.broadcast(MultiIndex(x, total, threshold, recall))
-    entries = materialise(distinct.select("own", "copies", "vector").mapInArrow(tidied(_indexing(index, dim)), _ENTRY), "vector-entries")
-    held = entries.groupBy("cell").agg(F.ceil(F.count_if(F.col("visitor") == 0) / UNIT_MEMBERS).alias("m"), F.ceil(F.count_if(F.col("visitor") == 1) / UNIT_VISITORS).alias("v")).where("m > 0 and v > 0")
-    rows = entries.join(held, "cell")
-    # Members of a hot cell are dealt to m parts and its visitors to v; each part meets each.
-    part = lambda by: F.pmod(F.xxhash64("own"), F.col(by))
-    of = F.when(F.col("visitor") == 0, F.transform(F.sequence(F.lit(0), F.col("v") - 1), lambda j: part("m") * F.col("v") + j)).otherwise(F.transform(F.sequence(F.lit(0), F.col("m") - 1), lambda i: i * F.col("v") + part("v")))
-    units = rows.select(F.explode(of).alias("part"), "cell", "visitor", "home", "own", "copies", "vector", "visits")
-    units = units.select(F.xxhash64("cell", "part").alias("unit"), "visitor", "home", "own", "copies", "vector", "visits")
-    units = units.repartition(n, "unit").sortWithinPartitions("unit", "visitor")
-    return units.mapInArrow(tidied(_joining(dim, threshold)), "own long, n long, least long")
+    index = shipped(spark, MultiIndex(x, total, threshold, recall))
+    kind = distinct.schema["vector"].dataType.elementType.simpleString()
+    entries = materialise(distinct.select("own", "copies", "vector").mapInArrow(tidied(_indexing(index, dim)), _ENTRY.format(kind=kind)), "vector-entries")
+    held = entries.select("home", F.explode("visits").alias("unit")).groupBy("unit").agg(F.count_if(F.col("home") == F.col("unit")).alias("members"), F.count(F.lit(1)).alias("visitors")).where("members > 0")
+    # A unit that is too large is dealt: its members to m parts, those that visit to v; each part of one meets each of the other.
+    held = held.select("unit", F.ceil(F.col("members") / PART_MEMBERS).cast("int").alias("m"), F.when(F.col("members") <= PART_MEMBERS, F.ceil(F.col("visitors") / PART_VISITORS)).otherwise(F.greatest(F.ceil(F.col("members") / PART_MEMBERS), F.ceil(F.col("visitors") / PART_VISITORS))).cast("int").alias("v"))
+    held = materialise(held, "vector-units")
+    rows = entries.select("own", "copies", "vector", "home", "visits", F.explode("visits").alias("unit")).join(small(held), "unit")
+    a, b = F.pmod(F.xxhash64("own"), F.col("m")).cast("int"), F.pmod(F.xxhash64("own", F.lit(1)), F.col("v")).cast("int")
+    is_member = F.col("home") == F.col("unit")
+    as_member = F.transform(F.sequence(F.lit(0), F.col("v") - 1), lambda j: F.struct(a.alias("a"), j.alias("b"), is_member.alias("member"), (j == b).alias("waits")))
+    as_visitor = F.transform(F.filter(F.sequence(F.lit(0), F.col("m") - 1), lambda i: ~is_member | (i != a)), lambda i: F.struct(i.alias("a"), b.alias("b"), F.lit(False).alias("member"), F.lit(True).alias("waits")))
+    at = F.when(is_member, F.concat(as_member, as_visitor)).otherwise(as_visitor)
+    parts = rows.select(F.explode(at).alias("at"), "unit", "own", "copies", "vector", "home", F.when(is_member, F.col("visits")).alias("visits"))
+    parts = parts.select(F.xxhash64("unit", "at.a", "at.b").alias("part"), "at.member", "at.waits", "own", "copies", "vector", "home", "visits")
+    parts = parts.repartition(n, "part").sortWithinPartitions("part", F.desc("member"), "own")
+    return parts.mapInArrow(tidied(_joining(dim, threshold)), "own long, n long, least long")
 
 
 def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """``(vec_id, n_links, component_id, kept)`` for each row of ``vectors`` (vec_id, embedding).
 
-    Equal vectors are one entry of the index that counts its copies; each vector visits the cells nearest to it in the
+    Equal vectors (by two 64-bit hashes of their components) are one entry of the index that counts its copies; each vector visits the cells nearest to it in the
     order of the traversal, as many as let a pair just at the threshold be found, from one side or the other, with
     probability ``recall``. Every pair found is checked by its cosine in double precision. A pair that both sides find is
     counted once. Only vectors of equal length are compared.
@@ -256,19 +266,22 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, recall: float
     """
     bounded_batches(vectors.sparkSession)
     usable = "embedding is not null and size(embedding) > 0 and not exists(embedding, x -> x is null or isnan(x) or abs(x) = double('infinity')) and exists(embedding, x -> x <> 0)"
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
-    good = rows.where(usable).where("vec_id is not null")
-    distinct = materialise(good.groupBy(F.col("embedding").alias("vector")).agg(F.min("vec_id").alias("own"), F.count(F.lit(1)).alias("copies")).withColumn("dim", F.size("vector")), "vectors")
-    sizes = distinct.groupBy("dim").count().orderBy("dim").collect()
+    narrow = vectors.schema["embedding"].dataType.simpleString() == "array<float>"
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>" if narrow else "array<double>").alias("embedding"))
+    good = rows.where(usable).where("vec_id is not null").select("vec_id", "embedding", F.xxhash64("embedding").alias("h"), F.xxhash64(F.lit("other"), "embedding").alias("g"))
+    named = materialise(good.select("vec_id", "h", "g", F.size("embedding").alias("dim")), "vector-names")
+    owners = materialise(named.groupBy("h", "g", "dim").agg(F.min("vec_id").alias("own"), F.count(F.lit(1)).alias("copies")), "vector-owners")
+    sizes = owners.groupBy("dim").count().orderBy("dim").collect()
+    if not sizes:
+        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept"))
     found = None
     for row in sizes:
-        part = _search(distinct.where(F.col("dim") == row["dim"]), row["dim"], row["count"], threshold, recall)
+        own = small(owners.where(F.col("dim") == row["dim"]).drop("dim"))
+        distinct = good.join(own, (good["vec_id"] == own["own"]) & (good["h"] == own["h"]) & (good["g"] == own["g"])).select("own", "copies", F.col("embedding").alias("vector"))
+        part = _search(distinct, row["dim"], row["count"], threshold, recall)
         found = part if found is None else found.union(part)
-    if found is None:
-        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept"))
     found = materialise(found, "vector-links")
-    copies = good.join(distinct.select(F.col("vector"), "own", "copies"), F.col("embedding") == F.col("vector")).select("vec_id", "own", "copies")
-    copies = materialise(copies, "vector-copies")
+    copies = materialise(named.join(small(owners.drop("dim")), ["h", "g"]).select("vec_id", "own", "copies"), "vector-copies")
     ties = copies.where("vec_id <> own").select(F.col("vec_id").alias("a"), F.col("own").alias("b"))
     groups = components(found.where("own <> least").select("own", "least").union(ties))
     n = found.groupBy("own").agg(F.sum("n").alias("n"))
@@ -276,6 +289,7 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, recall: float
     counts = counts.groupBy("vec_id").agg(F.max("n_links").alias("n_links"))
     out = rows.select(F.col("vec_id").alias("id")).join(counts, F.col("id") == F.col("vec_id"), "left").join(groups, F.col("id") == F.col("node"), "left")
     component = F.coalesce("component", "id")
+    discard(named, owners)
     return out.select(F.col("id").alias("vec_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(False)).alias("kept"))
 
 

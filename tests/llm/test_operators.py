@@ -1,4 +1,5 @@
 import hashlib
+import os
 import re
 import zlib
 from collections import defaultdict
@@ -214,18 +215,45 @@ def test_mix(spark):
     assert mixing.mix(frame(spark, [])).count() == 0
 
 
-def test_lines(spark):
-    block = "\n".join(f"license line {i}" for i in range(30))
+def brute_lines(docs):
+    """Removed lines by document, straight from the rule: pairs of neighbouring lines, and long lines, at any but their first place."""
+    uses = defaultdict(list)
+    for i, t, *_ in docs:
+        own = [(k, x) for k, x in enumerate((t or "").split("\n")) if re.search(r"[^\x00-\x20]", x)]
+        for (k, x), (m, y) in zip(own, own[1:]):
+            uses[x, y].append((i is None, i or 0, k, m))
+        for k, x in own:
+            if len(words(x)) >= 50:
+                uses[x].append((i is None, i or 0, k, k))
+    gone = defaultdict(set)
+    for places in uses.values():
+        for nameless, i, k, m in sorted(places)[1:] if not min(places)[0] else []:
+            gone[None if nameless else i].update(range(k, m + 1))
+    return gone
+
+
+@pytest.mark.parametrize("rows", [lines.KEY_ROWS, 3])
+def test_lines(spark, monkeypatch, rows):
+    monkeypatch.setattr(lines, "KEY_ROWS", rows)  # few: hot chunks are dealt to several tasks
+    block = "\n".join(f"license line {i}" for i in range(5))
+    long = prose(60, 9)
     docs = [(1, f"own start\n{block}\nown end", "a", "x", 1), (2, f"other\n{block}", "a", "x", 1), (3, None, "a", "x", 1), (4, "\n\n\n\n", "a", "x", 1), (5, "\n\n\n\n", "a", "x", 1), (None, block, "a", "x", 1)]
+    docs += [(6, "a\n\nb\nc", "a", "x", 1), (7, "z\na\n\nb\nd", "a", "x", 1), (8, f"first\n{long}\nlast", "a", "x", 1), (9, f"other\n{long}", "a", "x", 1), (10, "b\na\nb\na\nb\na", "a", "x", 1), (11, "", "a", "x", 1)]
+    docs += [(100 + i, f"top {i}\n{block}\nend {i}", "a", "x", 1) for i in range(20)]
     facts, gone = lines.repeated_chunks(frame(spark, docs))
-    assert sorted((r["doc_id"] or 0, r["n_lines"]) for r in facts.collect()) == [(0, 30), (1, 32), (2, 31), (3, 1), (4, 5), (5, 5)]
-    lost = defaultdict(int)
-    for r in gone.collect():
-        lost[r["doc_id"]] += r["n"]
-    assert set(lost) == {2, None} and lost[2] >= 20
+    assert sorted((r["doc_id"] or 0, r["n_lines"]) for r in facts.collect())[:8] == [(0, 5), (1, 7), (2, 6), (3, 1), (4, 5), (5, 5), (6, 4), (7, 5)]
+    got = {r["doc_id"]: {i for s in r["spans"] for i in range(s["start"], s["end"])} for r in lines.passages(gone).collect()}
+    want = brute_lines(docs)
+    assert got == want and got[2] == {1, 2, 3, 4, 5} and got[None] == {0, 1, 2, 3, 4} and got[7] == {1, 2, 3} and got[9] == {1} and 4 not in got
     text = {r["doc_id"]: r["text"] for r in lines.dedup_lines(frame(spark, docs)).collect()}
-    assert text[1] == docs[0][1] and text[2].startswith("other") and len(text[2].split("\n")) == 31 - lost[2] and text[3] is None and text[4] == "\n\n\n\n"
-    assert lines.repeated_chunks(frame(spark, []))[0].count() == 0
+    assert text == {i: t if i not in want else "\n".join(x for k, x in enumerate(t.split("\n")) if k not in want[i]) for i, t, *_ in docs}
+    assert lines.repeated_chunks(frame(spark, []))[0].count() == 0 and lines.dedup_lines(frame(spark, [])).count() == 0
+
+
+def test_line_digests_that_different_lines_share_remove_nothing(spark, monkeypatch):
+    monkeypatch.setattr(lines, "_digest", lambda line: F.unhex(F.md5(F.substring(line, 1, 1))))
+    docs = [(1, "aa\nbb", "a", "x", 1), (2, "ax\nbb", "a", "x", 1), (3, "ca\nda", "a", "x", 1), (4, "ca\nda", "a", "x", 1)]
+    assert [r["doc_id"] for r in lines.repeated_chunks(frame(spark, docs))[1].collect()] == [4]
 
 
 def luhn(d):
@@ -444,7 +472,11 @@ def test_toxicity_model_is_what_its_formula_says(spark):
     assert ratio((2, "vileness")) > 1 and ratio((2, "gentle")) < -1
 
 
-def test_vectors(spark):
+@pytest.mark.parametrize("parts", [4096, 7])
+def test_vectors(spark, monkeypatch, parts):
+    monkeypatch.setattr(vectors, "PART_MEMBERS", parts)  # few: units are dealt to parts
+    monkeypatch.setattr(vectors, "PART_VISITORS", 4 * parts)
+    monkeypatch.setattr(vectors, "UNIT", 30)
     r = np.random.default_rng(2)
     x = r.normal(size=(300, 16))
     x[50:80] = x[0] + 0.08 * r.normal(size=(30, 16))
@@ -459,11 +491,41 @@ def test_vectors(spark):
     assert all(got[i]["component_id"] == 1 for i in range(80, 90)) and all(got[i]["n_links"] == 0 for i in (500, 501, 502, 505))
     assert got[504]["component_id"] == 503 and got[503]["n_links"] == 1 and got[None]["kept"] is False
     assert vectors.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<double>")).count() == 0
+
+
+def test_vectors_that_repeat_rows(spark):
+    rows = [(1, [1.0, 2.0, 3.0]), (1, [1.0, 2.0, 3.0]), (2, [2.0, 4.0, 6.0]), (3, [-1.0, 0.0, 5.0])]
+    got = sorted(tuple(r) for r in vectors.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect())
+    assert got == [(1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False), (3, 0, 3, True)]
+
+
+def test_cells_are_walked_in_order():
+    r = np.random.default_rng(2)
     first, second = np.sort(r.random(6)), np.sort(r.random(6))
     walked = [first[i] + second[j] for i, j in vectors.nearest_cells(first, second, 36)]
     assert walked == sorted(walked) and len(walked) == 36
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="no driver tables")
+def test_vectors_against_all_pairs_of_the_driver_tables(spark):
+    """Recall of links, and every row's component and flag, on the 2,000 vectors of sf0.1."""
+    table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding").orderBy("vec_id").toPandas()
+    x = np.array(table["embedding"].tolist(), dtype=np.float64)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    hit = x @ x.T >= 0.95
+    np.fill_diagonal(hit, False)
+    got = vectors.op3_embed_dedup(spark, "/root/testdata/sf0.1").orderBy("vec_id").toPandas()
+    assert (got["vec_id"] == table["vec_id"]).all() and (got["n_links"].to_numpy() <= hit.sum(axis=1)).all()
+    assert got["n_links"].sum() >= 0.9 * hit.sum()
+    root = table["vec_id"].to_numpy().copy()
+    while True:
+        low = np.minimum(root, np.where(hit, root[None, :], np.iinfo(np.int64).max).min(axis=1))
+        if (low == root).all():
+            break
+        root = low
+    assert (got["component_id"].to_numpy() == root).mean() >= 0.99 and (got["kept"] == (got["vec_id"] == got["component_id"])).all()
+
+
 def test_warc(spark):
     big = "é" * 700
     pages = [(1, "http://a/x y", big), (2, "http://b", big), (3, None, big), (4, "http://c", "short"), (5, "http://d", "short"), (6, "u", None), (None, "n", big), (3, "again", big), (7, "http://e", "x" * 2000)]
