@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from .common import bounded_batches, discard, materialise, mixed, received, run_hashes, shipped, table, tidied, word_digests, word_places, worker_state
 
 #: Labelled rows that are used at most: those whose ids have the smallest hashes.
-LABELLED = 20_000
+LABELLED = 10_000
 #: Words and pairs that fewer labelled documents hold are left to backoff.
 LEAST = 2
 DISCOUNT = 0.75
@@ -52,27 +52,32 @@ def _pairs(run: re.Match) -> bytes:
     return f" {' '.join(a + b for a, b in zip(chars, chars[1:])) or chars} ".encode()
 
 
-_LEVEL = np.array([0x6C62272E07BB0142, 0x27D4EB2F165667C5], dtype=np.uint64)
+PAIR = len(BEGINNINGS) + 1
+
+
+def _at_level(h: np.ndarray, level: int) -> np.ndarray:
+    """Hashes with the level in the two last bits."""
+    return (h & ~np.uint64(3)) | np.uint64(level)
 
 
 def nodes(texts: list[bytes | None]) -> tuple[list[np.ndarray], np.ndarray]:
     """For each word (runs of letters and digits in lower case; pairs of characters where a script has no spaces) its nodes, and where texts begin and end.
 
     64-bit hashes of the beginnings (0 where the word is no longer), of the word, and of the pair with the word before it (0
-    for the first of a text).
+    for the first of a text); the two last bits are the level.
     """
     folded = [(t or b"").translate(_FOLD) for t in texts]
     folded = [_UNSPACED.sub(_pairs, t) if not t.isascii() and _LEADS.search(t) else t for t in folded]
     raw = b" ".join(folded)
     starts, ends = word_places(np.frombuffer(raw, dtype=np.uint8))
     out = []
-    for size, level in zip(BEGINNINGS, _LEVEL):
+    for level, size in enumerate(BEGINNINGS):
         longer = ends - starts > size
         some = np.zeros(len(starts), dtype=np.uint64)
-        some[longer] = word_digests(raw, starts[longer], starts[longer] + size)[0] ^ level
+        some[longer] = _at_level(word_digests(raw, starts[longer], starts[longer] + size)[0], level)
         out.append(some)
-    word = word_digests(raw, starts, ends)[0]
-    pair = np.concatenate((np.zeros(min(1, len(word)), dtype=np.uint64), run_hashes(word, 2)))
+    word = _at_level(word_digests(raw, starts, ends)[0], PAIR - 1)
+    pair = np.concatenate((np.zeros(min(1, len(word)), dtype=np.uint64), _at_level(run_hashes(word, 2), PAIR)))
     cuts = np.searchsorted(starts, np.cumsum([0, *(len(t) + 1 for t in folded)]))
     pair[cuts[:-1][cuts[:-1] < len(word)]] = 0
     return [*out, word, pair], cuts
@@ -93,39 +98,35 @@ def above(levels: list[np.ndarray]) -> list[np.ndarray]:
 
 # ---------------------------------------------------------------- counts of labelled texts
 
-_KINDS = ["o0", "t0", "o1", "t1"]
-_COUNTING = "key long, up long, level int, " + ", ".join(f"{c} long" for c in _KINDS)
+#: Ordinary and toxic documents, in 32 bits each.
+_COUNTING = "key long, up long, n long"
 #: Nodes that a task sums up before it passes them on; texts that are hashed at once.
 _HOLD, _TOGETHER = 400_000, 50
 
 
 def _summed(parts: list[tuple]) -> tuple:
-    key, up, level, counts = (np.concatenate(x) for x in zip(*parts))
+    key, up, n = (np.concatenate(x) for x in zip(*parts))
     order = np.argsort(key, kind="stable")
-    key, up, level, counts = key[order], up[order], level[order], counts[order]
+    key, up, n = key[order], up[order], n[order]
     first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-    return key[first], up[first], level[first], np.add.reduceat(counts, first, axis=0)
+    return key[first], up[first], np.add.reduceat(n, first)
 
 
 def _counting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows are (text, kind); kind is 2 x fold + label."""
+    """Rows are (text, toxic)."""
     parts, size = [], 0
 
     def out(found: tuple) -> pa.RecordBatch:
-        key, up, level, counts = found
-        arrays = [pa.array(key.view(np.int64)), pa.array(up.view(np.int64)), pa.array(level), *[pa.array(counts[:, i].astype(np.int64)) for i in range(4)]]
-        return pa.RecordBatch.from_arrays(arrays, names=["key", "up", "level", *_KINDS])
+        return pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in found], names=["key", "up", "n"])
 
     for batch in chain.from_iterable(map(_slices, batches)):
         levels, cuts = nodes(batch.column(0).to_pylist())
         ups = above(levels)
-        for a, b, kind in zip(cuts, cuts[1:], batch.column(1).to_pylist()):
-            for i, (own, up) in enumerate(zip(levels, ups)):
+        for a, b, toxic in zip(cuts, cuts[1:], batch.column(1).to_pylist()):
+            for own, up in zip(levels, ups):
                 own, up = own[a:b], up[a:b]
                 key, at = np.unique(own[own != 0], return_index=True)
-                counts = np.zeros((len(key), 4), dtype=np.int32)
-                counts[:, kind] = 1
-                parts.append((key, up[own != 0][at], np.full(len(key), i, dtype=np.int32), counts))
+                parts.append((key, up[own != 0][at], np.full(len(key), 1 << (32 * toxic), dtype=np.int64)))
                 size += len(key)
             if size > _HOLD:
                 parts = [_summed(parts)]
@@ -233,61 +234,80 @@ def continuation(texts: DataFrame, keys: np.ndarray) -> np.ndarray:
 # ---------------------------------------------------------------- models
 
 class Counts:
-    """What labelled texts say, nodes with their counts by kind in order of key, and the corpus: contexts of words and beginnings."""
+    """What labelled texts say, nodes with their ordinary and toxic documents in order of key, and the corpus: contexts of words and beginnings."""
 
     def __init__(self, rows: pa.Table) -> None:
-        u64 = lambda c: rows.column(c).to_numpy().view(np.uint64)
-        order = np.argsort(u64("key"))
-        self.keys, up, self.level = u64("key")[order], u64("up")[order], rows.column("level").to_numpy()[order]
-        self.seen = np.column_stack([rows.column(c).to_numpy() for c in _KINDS])[order]
+        key, up, n = (rows.column(c).to_numpy() for c in ("key", "up", "n"))
+        order = np.argsort(key.view(np.uint64))
+        self.keys = key.view(np.uint64)[order]
+        self.level = (self.keys & np.uint64(3)).astype(np.int64)
+        self.seen = np.column_stack((n[order] & 0xFFFFFFFF, n[order] >> 32))
         #: Place of the node that each backs off to; one past the end: none.
-        self.up = Lookup(self.keys).find(up)
+        self.up = Lookup(self.keys).find(up.view(np.uint64)[order])
         self.contexts = np.zeros(len(self.keys))
 
     def single(self) -> np.ndarray:
         return np.flatnonzero(self.level < PAIR)
 
 
-PAIR = len(BEGINNINGS) + 1
-
-
 class Model:
     """Log-likelihood ratios of nodes."""
 
-    def __init__(self, counts: Counts, folds: tuple[int, ...], sizes: np.ndarray) -> None:
-        """``sizes`` are documents by kind. Counts of either class are brought to the size of the smaller one."""
-        of = [[2 * f + y for f in folds] for y in (0, 1)]
-        docs = [max(1, sizes[k].sum()) for k in of]
-        seen = [counts.seen[:, k].sum(axis=1) for k in of]
-        kept = [np.maximum(n - DISCOUNT, 0) * min(docs) / d for n, d in zip(seen, docs)]
-        taken = sum((n * min(docs) / d - k) for n, d, k in zip(seen, docs, kept)) / 2
+    def __init__(self, counts: Counts, sizes: list[int]) -> None:
+        """``sizes`` are ordinary and toxic documents. Counts of either class are brought to the size of the smaller one."""
+        self.scale = min(sizes) / np.maximum(1, np.array(sizes))
+        taken = (counts.seen * self.scale - self._kept(counts.seen)).sum(axis=1) / 2
+        self.lookup, self.seen = Lookup(counts.keys), counts.seen
+        self.back = np.zeros(len(counts.keys))
         #: The last entry is for what is not known.
         self.ratio = np.zeros(len(counts.keys) + 1)
         for level in range(PAIR + 1):
             at = np.flatnonzero(counts.level == level)
             contexts = counts.contexts[at]
-            back = BASE + taken[at].sum() * contexts / max(1.0, contexts.sum())
-            # The backoff count falls to the classes as the probability of the node below does.
-            toxic = 2 * back / (1 + np.exp(-self.ratio[counts.up[at]]))
-            self.ratio[at] = np.log(kept[1][at] + toxic) - np.log(kept[0][at] + 2 * back - toxic)
-        self.lookup, self.ratio = Lookup(counts.keys), self.ratio.astype(np.float32)
-
-    def ratios(self, texts: list[bytes | None]) -> Iterator[np.ndarray]:
-        """For each word of each text the log-likelihood ratio of the highest of its nodes that is known."""
+            self.back[at] = BASE + taken[at].sum() * contexts / max(1.0, contexts.sum())
+            self.ratio[at] = self._ratio(at, counts.seen[at], self.ratio[counts.up[at]])
+
+    def _kept(self, seen: np.ndarray) -> np.ndarray:
+        return np.maximum(seen - DISCOUNT, 0) * self.scale
+
+    def _ratio(self, at: np.ndarray, seen: np.ndarray, below: np.ndarray) -> np.ndarray:
+        """Of nodes with these counts; the backoff count falls to the classes as the probability of the node below does."""
+        kept, back = self._kept(seen), 2 * self.back[at]
+        toxic = back / (1 + np.exp(-below))
+        return np.log(kept[:, 1] + toxic) - np.log(kept[:, 0] + back - toxic)
+
+    def final(self) -> Model:
+        """Without the counts, for texts that it was not learnt from."""
+        self.seen = self.back = None
+        return self
+
+    def ratios(self, texts: list[bytes | None], toxic: np.ndarray | None = None) -> Iterator[np.ndarray]:
+        """For each word of each text the log-likelihood ratio of the highest of its nodes that is known.
+
+        ``toxic``: the labels of texts that the model was learnt from; each is scored as if it had not been one of them.
+        """
         levels, cuts = nodes(texts)
         out = np.zeros(len(levels[0]))
+        label = None if toxic is None else np.repeat(toxic, np.diff(cuts))
         for keys in levels:
             at = np.flatnonzero(keys)
             place = self.lookup.find(keys[at])
             known = place < len(self.ratio) - 1
-            out[at[known]] = self.ratio[place[known]]
+            at, place = at[known], place[known]
+            if label is None:
+                out[at] = self.ratio[place]
+            else:
+                seen = self.seen[place]
+                seen[np.arange(len(at)), label[at]] -= 1
+                left = seen.sum(axis=1) >= LEAST
+                out[at[left]] = self._ratio(place[left], seen[left], out[at[left]])
         for a, b in zip(cuts, cuts[1:]):
             yield out[a:b]
 
-    def features(self, texts: list[bytes | None]) -> np.ndarray:
+    def features(self, texts: list[bytes | None], toxic: np.ndarray | None = None) -> np.ndarray:
         """Differences of the log-likelihoods by length, for each text: of the whole, and of the extract of its most toxic words."""
         found = np.zeros((len(texts), len(FEATURES)))
-        for i, ratio in enumerate(self.ratios(texts)):
+        for i, ratio in enumerate(self.ratios(texts, toxic)):
             if len(ratio):
                 extract = np.partition(ratio, len(ratio) - EXTRACT)[-EXTRACT:] if len(ratio) > EXTRACT else ratio
                 found[i] = ratio.sum() / len(ratio), extract.sum() / EXTRACT
@@ -329,47 +349,46 @@ class Scorer:
 def train(docs: DataFrame, labels: DataFrame, most: int = LABELLED) -> Scorer:
     """Fit on ``docs`` and those ``labels`` (doc_id, toxic) that are not held out, ``most`` at most.
 
-    Only labelled texts are read for counts by class, in two folds. Each fold is scored by the model of the other, which
-    fits the scale; the final model has both. One pass over all documents gives the continuation counts. The driver gets
-    words and pairs that ``LEAST`` labelled texts hold, so that their number is bounded by ``most``, never by the corpus.
+    Only labelled texts are read for counts by class. Each of them is scored by a model without its own counts, which fits the
+    scale. One pass over all documents gives the continuation counts. The driver gets the nodes that ``LEAST`` labelled texts
+    hold, so that their number is bounded by ``most``, never by the corpus.
     """
     bounded_batches(docs.sparkSession)
     spark = docs.sparkSession
     rows = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
     rows = rows.groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.max((F.col("toxic") > 0).cast("int")).alias("_toxic"))
     rows = rows.orderBy(F.xxhash64("_id"), "_id").limit(most)
-    chosen = materialise(rows.select("_id", (2 * F.pmod(F.xxhash64("_id", F.lit(1)), F.lit(2)) + F.col("_toxic")).cast("int").alias("kind")), "toxic-labels")
-    sizes = np.zeros(4, dtype=np.int64)
-    for r in chosen.groupBy("kind").count().collect():
-        sizes[r["kind"]] = r["count"]
-    n, toxic = int(sizes.sum()), int(sizes[1] + sizes[3])
+    chosen = materialise(rows, "toxic-labels")
+    n, toxic = chosen.agg(F.count(F.lit(1)), F.coalesce(F.sum("_toxic"), F.lit(0))).first()
     prior = toxic / n if n else 0.0
     if not 0 < toxic < n:
         return Scorer(None, None, prior)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    labelled = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("text", "kind")  # at most ``most`` ids
+    labelled = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("text", "_toxic")  # at most ``most`` ids
     labelled = materialise(labelled, "toxic-texts")
-    found = labelled.mapInArrow(tidied(_counting), _COUNTING).groupBy("key").agg(F.first("up").alias("up"), F.first("level").alias("level"), *[F.sum(c).alias(c) for c in _KINDS])
-    counts = Counts(found.where(f"{' + '.join(_KINDS)} >= {LEAST}").toArrow())
+    found = labelled.mapInArrow(tidied(_counting), _COUNTING).groupBy("key").agg(F.first("up").alias("up"), F.sum("n").alias("n"))
+    every = F.col("n").bitwiseAND(F.lit(0xFFFFFFFF)) + F.shiftright("n", 32)
+    counts = Counts(found.where(every >= LEAST).toArrow())
     single = counts.single()
     counts.contexts[single] = continuation(texts.select("text"), counts.keys[single])
-    crossed = shipped(spark, [Model(counts, (1,), sizes), Model(counts, (0,), sizes)])
+    model = Model(counts, [n - toxic, toxic])
+    whole = shipped(spark, model)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        models = received(crossed)
+        own = received(whole)
         for batch in chain.from_iterable(map(_slices, batches)):
-            texts, kinds = batch.column(0).to_pylist(), batch.column(1).to_numpy()
-            x = np.where((kinds // 2 == 0)[:, None], models[0].features(texts), models[1].features(texts))
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in ((kinds % 2).astype(np.float64), *x.T)], names=["y", *FEATURES])
+            label = batch.column(1).to_numpy()
+            x = own.features(batch.column(0).to_pylist(), label)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (label.astype(np.float64), *x.T)], names=["y", *FEATURES])
 
     seen = labelled.mapInArrow(tidied(measure), ", ".join(f"{c} double" for c in ("y", *FEATURES))).toArrow()
     a = np.column_stack([seen.column(c).to_numpy() for c in ("y", *FEATURES)])
     a = a[np.lexsort(a.T)]
-    crossed.unpersist()
+    whole.unpersist()
     discard(chosen, labelled)
     if not len(a) or a[:, 0].min() == a[:, 0].max():
         return Scorer(None, None, prior)
-    return Scorer(Model(counts, (0, 1), sizes), _logistic(a[:, 1:], a[:, 0]), prior)
+    return Scorer(model.final(), _logistic(a[:, 1:], a[:, 0]), prior)
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:

@@ -432,12 +432,13 @@ def test_continuation_counts(spark):
 def test_toxicity_model_is_what_its_formula_says(spark):
     """Ratios of a small model, reckoned again node by node from the texts."""
     texts = [(f"plain w{i % 7} vileness w{i % 5}" if i % 4 == 0 else f"plain w{i % 7} gentle w{i % 3}", i % 4 == 0) for i in range(40)]
-    rows = [(t.encode(), 2 * (i % 2) + int(y)) for i, (t, y) in enumerate(texts)]
-    counted = spark.createDataFrame(rows, "text binary, kind int").mapInArrow(toxicity._counting, toxicity._COUNTING).groupBy("key").agg(F.first("up").alias("up"), F.first("level").alias("level"), *[F.sum(c).alias(c) for c in toxicity._KINDS])
-    counts = toxicity.Counts(counted.where("o0 + t0 + o1 + t1 >= 2").toArrow())
+    rows = [(t.encode(), int(y)) for t, y in texts]
+    counted = spark.createDataFrame(rows, "text binary, toxic int").mapInArrow(toxicity._counting, toxicity._COUNTING).groupBy("key").agg(F.first("up").alias("up"), F.sum("n").alias("n"))
+    counts = toxicity.Counts(counted.toArrow())
+    kept = counts.seen.sum(axis=1) >= 2
+    counts = toxicity.Counts(counted.where(F.col("key").isin(counts.keys.view(np.int64)[kept].tolist())).toArrow())
     counts.contexts[counts.single()] = np.arange(1, len(counts.single()) + 1)
-    sizes = np.bincount([k for _, k in rows], minlength=4)
-    model = toxicity.Model(counts, (0, 1), sizes)
+    model = toxicity.Model(counts, [30, 10])
     contexts = dict(zip(counts.keys.tolist(), counts.contexts))
 
     seen = defaultdict(lambda: [0, 0])
@@ -470,6 +471,10 @@ def test_toxicity_model_is_what_its_formula_says(spark):
         place = model.lookup.find(np.array([key(node)], dtype=np.uint64))[0]
         assert model.ratio[place] == pytest.approx(ratio(node), rel=1e-4, abs=1e-5), node
     assert ratio((2, "vileness")) > 1 and ratio((2, "gentle")) < -1
+    # A text left out scores less like its own class.
+    for t, y in (rows[0], rows[1]):
+        (own,), (other,) = model.ratios([t], np.array([y])), model.ratios([t])
+        assert len(own) == 4 and (own.sum() < other.sum()) == (y == 1)
 
 
 @pytest.mark.parametrize("parts", [4096, 7])
