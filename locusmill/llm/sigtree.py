@@ -289,9 +289,9 @@ def similar_sets(docs: DataFrame, k: int, threshold: tuple[int, int]) -> DataFra
 
     Equal sets are one representative, that of least id. Its bands give subtrees; within each, documents are dealt to units
     of bounded size. Links are sought first inside units, then among the first documents of each unit's groups; so a group
-    of near copies, however large, costs about its size. Last, the buckets that still hold different groups are compared
-    whole, in units and pairs of units of one bucket, so that no link between different sets that share a bucket is left out.
-    Every link is an exact one: a pair counts only if its sets say so.
+    of near copies, however large, costs about its size. Last come those pairs of units that are not one group already, so that
+    no link between different sets that share a bucket is left out. Every link is an exact one: a pair counts only if its sets
+    say so.
 
     Nulls: null and empty texts have no set and link with nothing; rows without id take no part and have no component. Rows
     of the same id are one document: it has the links of all of them, each text under its hash as a name. Empty tables give
@@ -341,10 +341,17 @@ def similar_sets(docs: DataFrame, k: int, threshold: tuple[int, int]) -> DataFra
             edges = materialise(edges.union(_verified(texts, again, k, threshold)), "set-links")
             grouped = materialise(_roots(wide, edges), "set-groups")
             discard(count, *old)
-        across = materialise(_open_buckets(distinct, grouped, units), "set-across")
+        # Pairs of units that still hold different groups.
+        held = grouped.groupBy("tree", "part").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi"))
+        held = materialise(held, "set-parts")
+        a, b = held.alias("a"), held.alias("b")
+        open_ = a.join(b, (F.col("a.tree") == F.col("b.tree")) & (F.col("a.part") < F.col("b.part")) & ((F.col("a.lo") != F.col("b.lo")) | (F.col("a.hi") != F.col("b.hi")) | (F.col("a.lo") != F.col("a.hi"))))
+        side = F.explode(F.array(F.struct(F.col("a.part").alias("part"), F.lit(0).alias("side")), F.struct(F.col("b.part").alias("part"), F.lit(1).alias("side")))).alias("s")
+        pairs = open_.select(F.col("a.tree").alias("tree"), F.xxhash64("a.tree", "a.part", "b.part").alias("unit"), side).select("tree", "unit", "s.part", "s.side")
+        across = materialise(pairs.join(grouped, ["tree", "part"]).select("unit", "side", "grp", "doc_id", "name"), "set-across")
         old = edges
         edges = materialise(edges.union(_verified(texts, across, k, threshold)), "set-links")
-        discard(across, grouped, old)
+        discard(across, grouped, held, old)
     discard(texts, placed)
 
     found = materialise(components(edges.union(owned)), "set-components")
@@ -352,27 +359,6 @@ def similar_sets(docs: DataFrame, k: int, threshold: tuple[int, int]) -> DataFra
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
-def _open_buckets(distinct: DataFrame, grouped: DataFrame, units) -> DataFrame:
-    """Members (unit, side, grp, doc_id, name) of buckets that hold different groups; buckets of the same members are one.
-
-    A bucket beyond a unit's size is dealt to parts: each part is a unit, and each pair of parts of that bucket that are not one group.
-    """
-    held = grouped.select("doc_id", "name", "grp", "size")
-    members = distinct.select("doc_id", "name", F.explode("bands").alias("band")).distinct().join(held, ["doc_id", "name"])
-    facts = members.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("doc_id", "name")).alias("x"), F.sum(F.xxhash64("doc_id", "name", F.lit(1)).cast("decimal(38,0)")).alias("s"), F.min("grp").alias("lo"), F.max("grp").alias("hi"), units())
-    chosen = facts.where("n > 1 and lo <> hi").groupBy("n", "x", "s").agg(F.min("band").alias("band"), F.max("units").alias("units")).select("band", "units")
-    part = F.when(F.col("units") > 1, F.pmod(F.xxhash64("doc_id", "name", F.lit(3)), F.col("units"))).otherwise(0)
-    rows = materialise(members.join(chosen, "band").select("band", "units", part.alias("part"), "grp", "doc_id", "name"), "set-buckets")
-    each = rows.select(F.xxhash64("band", "part", "part").alias("unit"), F.lit(0).alias("side"), "grp", "doc_id", "name")
-    parts = materialise(rows.where("units > 1").groupBy("band", "part").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi")), "set-parts")
-    a, b = parts.alias("a"), parts.alias("b")
-    differ = (F.col("a.lo") != F.col("b.lo")) | (F.col("a.hi") != F.col("b.hi")) | (F.col("a.lo") != F.col("a.hi"))
-    pairs = a.join(b, (F.col("a.band") == F.col("b.band")) & (F.col("a.part") < F.col("b.part")) & differ)
-    side = F.explode(F.array(F.struct(F.col("a.part").alias("part"), F.lit(0).alias("side")), F.struct(F.col("b.part").alias("part"), F.lit(1).alias("side")))).alias("s")
-    pairs = pairs.select(F.col("a.band").alias("band"), F.xxhash64("a.band", "a.part", "b.part").alias("unit"), side).select("band", "unit", "s.part", "s.side")
-    return each.unionByName(pairs.join(rows, ["band", "part"]).select("unit", "side", "grp", "doc_id", "name"))
-
-
 def keep_one(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (80, 100)) -> DataFrame:
     """``docs`` with one document of each group, that of least id; rows without id stay, and all columns do."""
     lost = similar_sets(docs, k, threshold).where("doc_id <> component_id").select(F.col("doc_id").alias("_lost")).distinct()
