@@ -12,6 +12,9 @@ from locusmill.functions import fields
 from locusmill.operators import intervals as iv
 from locusmill.operators import relational as rel
 
+#: Known k-mers that are sent to every task, some 50 MB; more are joined by a shuffle.
+MOST_KNOWN = 500_000
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -101,14 +104,14 @@ def nearest_interval(t):
     return out.select("event_id", "distance", inside.alias("inside"))
 
 
-@query("""WITH l AS (SELECT p_partkey AS k, p_brand AS b, p_type AS y FROM part WHERE p_partkey % 4 = 0), r AS (SELECT p_partkey AS k, p_brand AS b, p_type AS y FROM part WHERE p_partkey % 4 = 1),
-f AS (SELECT b, y, min(k) AS k, count(*) AS n FROM r GROUP BY b, y), g AS (SELECT b, min(k) AS k, count(*) AS n FROM r GROUP BY b)
-SELECT l.k AS p_partkey, CASE WHEN f.n IS NOT NULL THEN 'brand_type' WHEN g.n IS NOT NULL THEN 'brand' ELSE 'none' END AS match_level, coalesce(f.k, g.k) AS match_key, coalesce(f.n, g.n, 0) AS n_candidates
-FROM l LEFT JOIN f ON l.b = f.b AND l.y = f.y LEFT JOIN g ON l.b = g.b""")
+@query("""WITH f AS (SELECT s_nationkey AS n, floor(s_acctbal / 1000) AS band, min(s_suppkey) AS k, count(*) AS m FROM supplier GROUP BY 1, 2),
+g AS (SELECT s_nationkey AS n, min(s_suppkey) AS k, count(*) AS m FROM supplier GROUP BY 1)
+SELECT c_custkey, CASE WHEN f.m IS NOT NULL THEN 'nation_band' WHEN g.m IS NOT NULL THEN 'nation' ELSE 'none' END AS match_level, coalesce(f.k, g.k) AS match_key, coalesce(f.m, g.m, 0) AS n_candidates
+FROM customer LEFT JOIN f ON c_nationkey = f.n AND floor(c_acctbal / 1000) = band LEFT JOIN g ON c_nationkey = g.n""")
 def precedence_match(t):
-    left, right = t.part.where("p_partkey % 4 = 0"), t.part.where("p_partkey % 4 = 1").select([F.col(c).alias(f"r_{c}") for c in t.part.columns])
-    levels = [("brand_type", [F.col("p_brand"), F.col("p_type")], [F.col("r_p_brand"), F.col("r_p_type")]), ("brand", [F.col("p_brand")], [F.col("r_p_brand")])]
-    return rel.precedence_match(left, right, levels, F.col("r_p_partkey")).select("p_partkey", "match_level", "match_key", "n_candidates")
+    band = lambda c: F.floor(F.col(c) / 1000)
+    levels = [("nation_band", [F.col("c_nationkey"), band("c_acctbal")], [F.col("s_nationkey"), band("s_acctbal")]), ("nation", [F.col("c_nationkey")], [F.col("s_nationkey")])]
+    return rel.precedence_match(t.customer, t.supplier, levels, F.col("s_suppkey")).select("c_custkey", "match_level", "match_key", "n_candidates")
 
 
 @query("""WITH c AS (SELECT c_nationkey, floor(c_acctbal / 1000) AS band, count(*) AS n, min(c_custkey) AS k, min(c_acctbal) AS v FROM customer GROUP BY 1, 2)
@@ -185,7 +188,7 @@ def score_class(t):
     return t.events.groupBy(bio.msi_class(F.col("value")).alias("status")).agg(count().alias("n"))
 
 
-@query("SELECT event_id, CASE WHEN event_id & 1 = 0 THEN 'unpaired' WHEN ((event_id & 64 <> 0) AND (event_id & 16 = 0)) OR ((event_id & 64 = 0) AND (event_id & 16 <> 0)) THEN 'F1R2' ELSE 'F2R1' END AS orientation FROM events")
+@query("SELECT event_id, CASE WHEN event_id & 64 <> 0 THEN CASE WHEN event_id & 16 = 0 THEN 'F1R2' ELSE 'F2R1' END WHEN event_id & 128 <> 0 THEN CASE WHEN event_id & 16 = 0 THEN 'F2R1' ELSE 'F1R2' END ELSE 'unpaired' END AS orientation FROM events")
 def flag_orientation(t):
     return t.events.select("event_id", bio.orientation(F.col("event_id")).alias("orientation"))
 
@@ -201,8 +204,10 @@ def split_union(t):
 d AS (SELECT doc_id, text[i : i + 8] AS kmer FROM documents, range(1, length(text) - 7) t(i))
 SELECT doc_id, count(DISTINCT kmer) AS n_novel FROM d WHERE kmer NOT IN (SELECT kmer FROM k) GROUP BY doc_id""")
 def novel_kmers(t):
-    known = t.benchmark.select(F.explode(rel.kmers(F.col("text"), 9)).alias("kmer")).distinct()
-    own = t.documents.select("doc_id", F.explode(rel.kmers(F.col("text"), 9)).alias("kmer")).distinct()
+    known = t.benchmark.select(F.explode(F.array_distinct(rel.kmers(F.col("text"), 9))).alias("kmer")).distinct()
+    known = F.broadcast(known) if known.count() <= MOST_KNOWN else known
+    # An id is one row: k-mers are made distinct within it, and only those that are not known are counted, before any shuffle.
+    own = t.documents.select("doc_id", F.explode(F.array_distinct(rel.kmers(F.col("text"), 9))).alias("kmer"))
     return own.join(known, "kmer", "left_anti").groupBy("doc_id").agg(count().alias("n_novel"))
 
 

@@ -58,7 +58,7 @@ def split_protein(sequence: Column, start: Column, end: Column) -> Column:
 def event_type(terms: Column) -> Column:
     """Kind of change by precedence of its consequence terms."""
     out = F.lit("other")
-    order = (("missense_variant", "missense"), ("stop_gained", "stop_gained"), ("stop_lost", "stop_lost"), ("start_lost", "start_lost"), ("frameshift_variant", "frameshift"), ("inframe_insertion", "inframe_insertion"), ("inframe_deletion", "inframe_deletion"))
+    order = (("missense_variant", "missense"), ("protein_altering_variant", "missense"), ("stop_gained", "stop_gained"), ("stop_lost", "stop_lost"), ("start_lost", "start_lost"), ("frameshift_variant", "frameshift"), ("inframe_insertion", "inframe_insertion"), ("inframe_deletion", "inframe_deletion"))
     for term, name in reversed(order):
         out = F.when(F.array_contains(terms, term), name).otherwise(out)
     return out
@@ -67,10 +67,12 @@ def event_type(terms: Column) -> Column:
 def mutant_protein(supplied: Column, wild: Column, terms: Column, position: Column, change: Column) -> Column:
     """Struct of method, protein (null where there is none), reason and the changed places.
 
-    ``change`` is REF/ALT in amino acids. Cases in order: a supplied protein, no wild type, no valid place, no change, one
-    substituted residue, residues put in before the place, residues taken out, a stop; the rest needs a sequence.
+    ``change`` is REF/ALT in amino acids. Cases in order: a supplied protein (without stops, in capitals), no wild type, no
+    valid place, no change, one substituted residue, residues put in before the place, residues taken out, a stop; the rest
+    needs a sequence.
     """
-    ref, alt = F.replace(F.substring_index(change, "/", 1), F.lit("-"), F.lit("")), F.replace(F.substring_index(change, "/", -1), F.lit("-"), F.lit(""))
+    ref = F.replace(F.substring_index(change, "/", 1), F.lit("-"), F.lit(""))
+    alt = F.replace(F.substring(change, F.locate("/", change) + 1, F.length(change)), F.lit("*"), F.lit(""))
     n = F.length(wild)
 
     def case(method: str, protein, reason: str = "", cs=None, ce=None) -> Column:
@@ -79,19 +81,22 @@ def mutant_protein(supplied: Column, wild: Column, terms: Column, position: Colu
 
     fail = lambda why: case("", None, why)
     has = lambda term: F.array_contains(terms, term)
-    one = (F.length(ref) == 1) & (F.length(alt) == 1) & alt.rlike(f"^[{STANDARD}]$")
+    one = alt.rlike(f"^[{STANDARD}]$")
+    substituted = has("missense_variant") | has("protein_altering_variant")
     head, tail = F.left(wild, position - 1), lambda k: F.substring(wild, position + k, n)
+    inside = lambda length: F.least(position, F.greatest(length, F.lit(1)))
+    first, short = F.coalesce(position, F.lit(1)), n - F.least(F.length(ref), n - position + 1)
     rules = [
-        (F.coalesce(supplied, F.lit("")) != "", case("custom_mutant_protein", supplied, cs=F.coalesce(position, F.lit(1)), ce=F.coalesce(position, F.lit(1)))),
-        (wild.isNull(), fail("missing_wildtype_protein")),
+        (F.coalesce(supplied, F.lit("")) != "", case("custom_mutant_protein", F.upper(F.replace(supplied, F.lit("*"), F.lit(""))), cs=first, ce=first)),
+        (F.coalesce(wild, F.lit("")) == "", fail("missing_wildtype_protein")),
         (position.isNull() | (position < 1) | (position > n), fail("invalid_or_missing_protein_position")),
-        (~has("stop_gained") & ~change.contains("/"), fail("missing_amino_acid_change")),
-        (has("missense_variant") & one, case("simple_aa_substitution", F.concat(head, alt, tail(F.lit(1))))),
-        (has("missense_variant"), fail("unsupported_missense_amino_acid_change")),
-        (has("inframe_insertion"), case("inframe_insertion", F.concat(head, alt, tail(F.lit(0))), ce=position + F.length(alt) - 1)),
-        (has("inframe_deletion") & (F.length(ref) > 0), case("inframe_deletion", F.concat(head, tail(F.length(ref))))),
+        (~F.coalesce(change, F.lit("")).contains("/"), fail("missing_amino_acid_change")),
+        (substituted & one, case("simple_aa_substitution", F.concat(head, alt, tail(F.lit(1))))),
+        (substituted, fail("unsupported_missense_amino_acid_change")),
+        (has("inframe_insertion") & (alt != ""), case("simple_inframe_insertion", F.concat(head, alt, tail(F.lit(0))), ce=position + F.length(alt) - 1)),
+        (has("inframe_deletion") & (ref != ""), case("simple_inframe_deletion", F.concat(head, tail(F.length(ref))), cs=inside(short), ce=inside(short))),
         (has("inframe_deletion"), fail("unsupported_inframe_deletion")),
-        (has("stop_gained"), case("stop_gained_truncation", head, cs=F.greatest(F.lit(1), position - 1), ce=F.greatest(F.lit(1), position - 1))),
+        (has("stop_gained"), case("stop_gained_truncation", head, cs=inside(position - 1), ce=inside(position - 1))),
         (has("stop_lost"), fail("stop_lost_requires_mutant_protein_sequence")),
         (has("start_lost"), fail("start_lost_requires_alternative_start_model")),
         (has("frameshift_variant"), fail("frameshift_requires_mutant_protein_sequence")),
@@ -141,10 +146,10 @@ def burden_tier(per_mb: Column) -> Column:
 
 
 def orientation(flag: Column) -> Column:
-    """Orientation of a read pair from flag bits: F1R2, F2R1 or other."""
+    """Which way the fragment was read: by the strand of its first read, or against that of its second; else unpaired."""
     bit = lambda b: flag.bitwiseAND(F.lit(b)) != 0
-    first, back = bit(0x40), bit(0x10)
-    return F.when(~bit(0x1), "unpaired").when((first & ~back) | (~first & back), "F1R2").otherwise("F2R1")
+    forward = F.when(bit(0x40), ~bit(0x10)).when(bit(0x80), bit(0x10))
+    return F.when(forward, "F1R2").when(~forward, "F2R1").otherwise("unpaired")
 
 
 def query_index(cigar: Column, start: Column, position: Column) -> Column:

@@ -52,10 +52,11 @@ def best_for_filter(entries: Column, have: list[str]) -> Column:
 
 
 def best_for_burden(entries: Column, have: list[str], terms: tuple[str, ...]) -> Column:
-    """Among entries with a term that counts: MANE, canonical, others."""
+    """Among entries with a term that counts: MANE (a dash is none), canonical, others."""
     fit = F.filter(entries, lambda e: F.arrays_overlap(F.split(e["Consequence"], "&"), F.array(*map(F.lit, terms))))
-    canonical = lambda e: F.when(e["CANONICAL"] == "YES", 1).otherwise(2) if "CANONICAL" in have else F.lit(2)
-    return _first(fit, lambda e: F.when(_lacks(e, "MANE_SELECT", have) == 0, 0).otherwise(canonical(e)))
+    canonical = lambda e: F.when(F.upper(e["CANONICAL"]) == "YES", 1).otherwise(2) if "CANONICAL" in have else F.lit(2)
+    mane = lambda e: (_lacks(e, "MANE_SELECT", have) == 0) & (e["MANE_SELECT"] != "-") if "MANE_SELECT" in have else F.lit(False)
+    return _first(fit, lambda e: F.when(mane(e), 0).otherwise(canonical(e)))
 
 
 def best_for_report(entries: Column, have: list[str]) -> Column:
@@ -97,12 +98,15 @@ def manual_filter(vcf: VariantFile, tumor: str, normal: str | None = None, limit
 
 
 def burden_rows(vcf: VariantFile, tumor: str, normal: str | None = None, regions: DataFrame | None = None, limits: Thresholds = Thresholds(), terms: tuple[str, ...] = bio.BURDEN_CONSEQUENCES) -> DataFrame:
-    """Distinct alleles with status and reasons. ``regions``: merged intervals, none: everywhere."""
+    """Distinct alleles with status and reasons. ``regions``: merged intervals; none, or a table without rows: everywhere.
+
+    Where no annotation has a consequence that counts, the first one of the allele is told, and its population frequency tested.
+    """
     have = vcf.annotation_fields or []
     rows = _measured(vcf, tumor, normal, 8).withColumn("matched", matched_annotations(vcf.alleles(), False))
     rows = rel.best(rows, ["chrom", "pos", "ref", "alt"], [F.col("at"), F.col("i")])
-    rows = rows.withColumn("best", best_for_burden(F.col("matched"), have, terms))
-    if regions is None:
+    rows = rows.withColumn("eligible", best_for_burden(F.col("matched"), have, terms)).withColumn("best", F.coalesce("eligible", F.get("matched", F.lit(0))))
+    if regions is None or regions.isEmpty():
         rows = rows.withColumn("in_bed", F.lit(True))
     else:
         inside = iv.contained(rows.select("chrom", "pos").distinct(), regions, F.col("pos") - 1, {"chrom": "chrom"}, 1000.0).withColumn("in_bed", F.lit(True))
@@ -122,13 +126,14 @@ def burden_rows(vcf: VariantFile, tumor: str, normal: str | None = None, regions
         ("low_normal_DP", no_normal | m(F.col("normal_dp"), limits.min_normal_dp)),
         ("high_normal_ALT_reads", no_normal | m(F.col("normal_alt_reads"), most=limits.max_normal_alt_reads)),
         ("high_normal_AF", no_normal | m(F.col("normal_af"), most=limits.max_normal_af)),
-        ("non_eligible_VEP_consequence", F.col("best").isNotNull()),
+        ("non_eligible_VEP_consequence", F.col("eligible").isNotNull()),
         ("population_AF_above_threshold", F.col("max_population_af").isNull() | (F.col("max_population_af") <= limits.max_population_af)),
     ]
-    kept = F.array_sort(F.array_intersect(F.split("best.Consequence", "&"), F.array(*map(F.lit, terms))))
-    told = [(F.col(f"best.{f}") if f in have else F.lit("")).alias(n) for f, n in (("SYMBOL", "gene"), ("Feature", "feature"), ("HGVSc", "hgvsc"), ("HGVSp", "hgvsp"))]
+    counted = F.array_join(F.array_sort(F.array_intersect(F.split("best.Consequence", "&"), F.array(*map(F.lit, terms)))), "&")
+    kept = F.when(F.col("eligible").isNotNull(), counted).otherwise(F.coalesce("best.Consequence", F.lit("")))
+    told = [(F.coalesce(f"best.{f}", F.lit("")) if f in have else F.lit("")).alias(n) for f, n in (("SYMBOL", "gene"), ("Feature", "feature"), ("HGVSc", "hgvsc"), ("HGVSp", "hgvsp"))]
     why = fd.reasons(checks)
-    return rows.select("chrom", "pos", "ref", "alt", *told, F.array_join(kept, "&").alias("consequence"), "qual", "tlod", "tumor_dp", "tumor_alt_reads", "tumor_af", "normal_dp", "normal_alt_reads", "normal_af", "max_population_af", F.when(why == "", "accepted").otherwise("rejected").alias("status"), why.alias("reasons"))
+    return rows.select("chrom", "pos", "ref", "alt", *told, kept.alias("consequence"), "qual", "tlod", "tumor_dp", "tumor_alt_reads", "tumor_af", "normal_dp", "normal_alt_reads", "normal_af", "max_population_af", F.when(why == "", "accepted").otherwise("rejected").alias("status"), why.alias("reasons"))
 
 
 def burden(rows: DataFrame, regions: DataFrame | None = None, megabases: float = 0.0) -> DataFrame:

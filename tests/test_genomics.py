@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from locusmill.functions import biology as bio
 from locusmill.functions import fields as fd
 from locusmill.operators import intervals as iv
+from locusmill.operators import relational as rel
 from locusmill.plans import comparison, peptides, reports, variants
 from locusmill.plans.runner import Runner
 from locusmill.sources import readers, writers
@@ -121,3 +122,40 @@ def test_runner_and_stream(spark, tmp_path):
     q = audited(stream, [("small", F.col("id") < 3)]).writeStream.format("memory").queryName("audits").trigger(availableNow=True).start()
     q.awaitTermination(60)
     assert spark.sql("select * from audits where failure_reasons = 'small'").count() == 2
+
+
+def test_orientation_goes_by_the_read_number(spark):
+    flags = {0x40: "F1R2", 0x50: "F2R1", 0x80: "F2R1", 0x90: "F1R2", 0x1: "unpaired", 0x11: "unpaired", 0x63: "F1R2", 0xC1: "F1R2"}
+    got = {r["f"]: r["o"] for r in spark.createDataFrame([(f,) for f in flags], "f long").select("f", bio.orientation(F.col("f")).alias("o")).collect()}
+    assert got == flags
+
+
+def test_mutant_proteins_of_every_case(spark):
+    wild = "MKTAYIAK"
+    cases = [  # supplied, wild, terms, place, change -> method, protein, reason, start, end
+        (("mk*t", wild, "frameshift_variant", None, ""), ("custom_mutant_protein", "MKT", "", 1, 1)),
+        ((None, "", "missense_variant", 2, "K/R"), ("", None, "missing_wildtype_protein", 2, 2)),
+        ((None, wild, "missense_variant", 9, "K/R"), ("", None, "invalid_or_missing_protein_position", 9, 9)),
+        ((None, wild, "stop_gained", 3, "T"), ("", None, "missing_amino_acid_change", 3, 3)),
+        ((None, wild, "protein_altering_variant", 2, "KT/R"), ("simple_aa_substitution", "MRTAYIAK", "", 2, 2)),
+        ((None, wild, "missense_variant", 2, "K/RR"), ("", None, "unsupported_missense_amino_acid_change", 2, 2)),
+        ((None, wild, "inframe_insertion", 3, "-/GG"), ("simple_inframe_insertion", "MKGGTAYIAK", "", 3, 4)),
+        ((None, wild, "inframe_insertion&stop_gained", 3, "T/*"), ("stop_gained_truncation", "MK", "", 2, 2)),
+        ((None, wild, "inframe_deletion", 7, "AK/-"), ("simple_inframe_deletion", "MKTAYI", "", 6, 6)),
+        ((None, wild, "inframe_deletion", 2, "-/-"), ("", None, "unsupported_inframe_deletion", 2, 2)),
+        ((None, wild, "stop_gained", 1, "M/*"), ("stop_gained_truncation", "", "", 1, 1)),
+        ((None, wild, "stop_lost", 8, "K/R"), ("", None, "stop_lost_requires_mutant_protein_sequence", 8, 8)),
+        ((None, wild, "intron_variant", 8, "K/R"), ("", None, "unsupported_consequence", 8, 8)),
+    ]
+    rows = spark.createDataFrame([(i, *c) for i, (c, _) in enumerate(cases)], "i int, s string, w string, t string, p int, c string")
+    out = bio.mutant_protein(F.col("s"), F.col("w"), F.split("t", "&"), F.col("p"), F.col("c"))
+    got = {r["i"]: tuple(r["m"][k] for k in ("method", "protein", "reason", "change_start", "change_end")) for r in rows.select("i", out.alias("m")).collect()}
+    assert [got[i] for i in range(len(cases))] == [want for _, want in cases]
+    kind = {r["t"]: r["k"] for r in rows.select("t", bio.event_type(F.split("t", "&")).alias("k")).collect()}
+    assert kind["protein_altering_variant"] == "missense" and kind["inframe_insertion&stop_gained"] == "stop_gained" and kind["intron_variant"] == "other"
+
+
+def test_kmers_of_long_and_short_texts(spark):
+    texts = ["", "abc", "abcd", "é😀x" * 200, "z" * 131, "z" * 132, "q" * 259, None]
+    got = [r["k"] for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i").select(rel.kmers(F.col("t"), 4).alias("k")).collect()]
+    assert got == [[t[i : i + 4] for i in range(len(t) - 3)] if t else [] for t in texts]
