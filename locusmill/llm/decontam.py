@@ -256,7 +256,7 @@ def _cut(found: DataFrame, columns: list[str]) -> DataFrame:
 
 def op6_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = contamination(docs, table(spark, sf_dir, "benchmark"))
+    out = contamination(docs, table(spark, sf_dir, "benchmark"), nameless=True)
     ids = F.array_join("items", ",")
     return out.select(F.col("row.doc_id").cast("long").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(ids, 256).alias("items_sha256"), "contaminated")
 
@@ -265,7 +265,7 @@ OP6_SQL = r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
 ), b AS (
-  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE item_id IS NOT NULL
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
 ), iw AS (
   SELECT DISTINCT item, least(13, len(w)) AS k, array_to_string(w[i : i + least(13, len(w)) - 1], ' ') AS win
   FROM b, range(1, greatest(1, len(w) - 12) + 1) t(i) WHERE len(w) > 0
@@ -273,7 +273,7 @@ WITH d AS (
   SELECT doc_id, k, i, array_to_string(w[i : i + k - 1], ' ') AS win FROM d, ks, range(1, len(w) - k + 2) t(i)
 ), o AS (SELECT doc_id, i, dw.k, item FROM dw JOIN iw ON dw.win = iw.win AND dw.k = iw.k),
 h AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM o) GROUP BY doc_id),
-n AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT doc_id, item FROM o) GROUP BY doc_id)
+n AS (SELECT doc_id, count(item) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT doc_id, item FROM o) GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN n USING (doc_id)
