@@ -13,8 +13,6 @@ LIMIT = 2
 SEED = "mix-1"
 #: Copies are counted in units of 2^-24, so that prefix sums are exact integers.
 UNIT = 1 << 24
-#: Seeded offsets that are tried; the one whose word count comes nearest to the target is taken.
-DRAWS = 32
 
 
 def word_count(text: Column) -> Column:
@@ -47,8 +45,9 @@ def _copies(k: Column, rate: Column, offset: Column) -> Column:
     return F.shiftright((k + 1) * rate + offset, 24) - F.shiftright(k * rate + offset, 24)
 
 
-def _offset(source: Column, draw: int, seed: str) -> Column:
-    text = F.concat(F.lit(f"{seed}:{draw}:"), F.coalesce(F.concat(F.lit("s"), source), F.lit("n")))
+def _offset(source: Column, seed: str) -> Column:
+    """The source's one offset, drawn by the seed alone, from 0 to UNIT - 1."""
+    text = F.concat(F.lit(f"{seed}:"), F.coalesce(F.concat(F.lit("s"), source), F.lit("n")))
     return F.conv(F.substring(F.md5(text), 1, 6), 16, 10).cast("long")
 
 
@@ -58,8 +57,9 @@ def mix(docs: DataFrame, seed: str = SEED, weights=WEIGHTS, share=SHARE, limit=L
     Returns ``row`` (the columns to ``carry`` as a struct, so that no column name can clash), size, source_size, target, copies.
     Rows lie in order of source, size and doc_id over all tasks, so a hot source spreads like any other; a task's rows are
     counted, and the counts' prefix sums give every row its place within its source. Expected copies are target /
-    source_size; a row is emitted once per integer that its stretch of the prefix sum, shifted by one seeded offset,
-    crosses: never more than ``limit`` times.
+    source_size; a row is emitted once per integer that its stretch of the prefix sum, shifted by the source's one seeded
+    offset, crosses: never more than ``limit`` times. As rows lie by size, a source's words miss its target by about its
+    largest text at most.
 
     Nulls: a null text has size 0, a null source is a source of its own, null ids sort first. Empty tables give no rows.
     Repeated rows are rows like others. Sources of size 0 have target 0 and no copies.
@@ -83,14 +83,9 @@ def mix(docs: DataFrame, seed: str = SEED, weights=WEIGHTS, share=SHARE, limit=L
     placed = materialise(placed, "mix-placed").alias("p")
     same = F.col("r.source").eqNullSafe(F.col("p.source")) & (F.col("r.part") == F.col("p.part"))
     k = F.col("r.at") + F.col("p.shift")
-    narrow = rows.select("source", "part", "at", "size").alias("r").join(placed, same).select("r.source", "size", "target", "rate", k.alias("k"))
-    tried = [F.sum(_copies(F.col("k"), F.col("rate"), _offset(F.col("source"), j, seed)) * F.col("size")).alias(f"t{j}") for j in range(DRAWS)]
-    sums = narrow.groupBy("source", "target").agg(*tried)
-    errors = F.array(*[F.struct(F.abs(F.col(f"t{j}") - F.col("target")).alias("e"), F.lit(j).alias("j"), _offset(F.col("source"), j, seed).alias("u")) for j in range(DRAWS)])
-    chosen = materialise(sums.select("source", F.array_min(errors)["u"].alias("u")), "mix-offsets").alias("c")
-
-    out = rows.alias("r").join(placed, same).join(chosen, F.col("r.source").eqNullSafe(F.col("c.source")))
-    return out.select("row", "size", "source_size", "target", _copies(k, F.col("rate"), F.col("u")).alias("copies"))
+    out = rows.alias("r").join(placed, same)
+    copies = _copies(k, F.col("rate"), _offset(F.col("r.source"), seed))
+    return out.select("row", "size", "source_size", "target", copies.alias("copies"))
 
 
 def mixed_documents(docs: DataFrame, **how) -> DataFrame:
@@ -125,17 +120,12 @@ WITH d AS (
 ), r AS (
   SELECT d.doc_id, d.source, d.size, g.source_size, g.target,
          CASE WHEN g.source_size > 0 THEN CAST(floor(g.target / g.source_size * 16777216) AS BIGINT) ELSE 0 END AS rate,
-         row_number() OVER (PARTITION BY d.source ORDER BY d.size, d.doc_id NULLS FIRST) - 1 AS k
+         row_number() OVER (PARTITION BY d.source ORDER BY d.size, d.doc_id NULLS FIRST) - 1 AS k,
+         CAST('0x' || substr(md5('mix-1:' || coalesce('s' || d.source, 'n')), 1, 6) AS BIGINT) AS u
   FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source
-), u AS (
-  SELECT source, j, CAST('0x' || substr(md5('mix-1:' || j || ':' || coalesce('s' || source, 'n')), 1, 6) AS BIGINT) AS u
-  FROM (SELECT source FROM g) CROSS JOIN range(32) t(j)
-), e AS (
-  SELECT r.source, u.j, u.u, abs(sum((((k + 1) * rate + u.u) // 16777216 - (k * rate + u.u) // 16777216) * size)::DOUBLE - any_value(target)) AS miss
-  FROM r JOIN u ON r.source IS NOT DISTINCT FROM u.source GROUP BY ALL
-), best AS (SELECT source, first(u ORDER BY miss, j) AS u FROM e GROUP BY source)
+)
 SELECT doc_id, size, source_size, target,
        CAST((((k + 1) * rate + u) // 16777216 - (k * rate + u) // 16777216) * size AS BIGINT) AS taken,
        CAST(((k + 1) * rate + u) // 16777216 - (k * rate + u) // 16777216 AS BIGINT) AS copies
-FROM r JOIN best ON r.source IS NOT DISTINCT FROM best.source
+FROM r
 """
