@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -21,6 +22,9 @@ BLOCK_WORDS = 200_000
 _FOLD = bytes(c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
 
 
+_WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
+
+
 def words(text: bytes) -> list[bytes]:
     return text.translate(_FOLD).split()
 
@@ -244,14 +248,35 @@ def cut_spans(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
     return _cut(contamination(docs, benchmark, **how), docs.columns)
 
 
+def without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
+    """``text`` without the words of ``spans`` (places of words, end exclusive; in order, may overlap) and what follows each up to the next word."""
+    starts = [m.start() for m in _WORD.finditer(text)]
+    starts.append(len(text))
+    out, done = [], 0
+    for a, b in spans:
+        out.append(text[done : max(done, starts[a])])
+        done = max(done, starts[b])
+    out.append(text[done:])
+    return b"".join(out)
+
+
+def _cutting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows, spans = batch.column(0), batch.column(1).to_pylist()
+        if any(spans):
+            parts = rows.flatten()
+            at = rows.type.get_field_index("text")
+            texts = [without(t.as_py(), [(s["a"], s["b"]) for s in held]) if held else t.as_py() for t, held in zip(parts[at].cast(pa.binary()), spans)]
+            parts[at] = pa.array(texts, pa.binary()).cast(rows.type.field(at).type, safe=False)
+            rows = pa.StructArray.from_arrays(parts, fields=list(rows.type))
+        yield pa.RecordBatch.from_arrays([rows], names=["row"])
+
+
 def _cut(found: DataFrame, columns: list[str]) -> DataFrame:
-    """The rows of ``contamination`` as they were, without their hit words. Both classes are single ones, so that Java's matcher loops and does not recur."""
-    other = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"
-    pieces = F.regexp_extract_all(F.col("row.text"), F.lit(rf"^[{other}]+|[^{other}]+[{other}]*"), F.lit(0))
-    lead = F.when(F.col("row.text").rlike(rf"^[^{other}]"), 0).otherwise(1)
-    kept = F.filter(pieces, lambda p, i: ~F.exists("spans", lambda s: (i - lead >= s["a"]) & (i - lead < s["b"])))
-    text = F.when(F.col("n_hit") > 0, F.array_join(kept, "")).otherwise(F.col("row.text"))
-    return found.select(*[text.alias(c) if c == "text" else F.col(f"row.`{c}`").alias(c) for c in columns])
+    """The rows of ``contamination`` as they were, without their hit words: one walk over each text with hits, none over others."""
+    rows = found.select("row", "spans")
+    out = rows.mapInArrow(tidied(_cutting), T.StructType([rows.schema["row"]]))
+    return out.select(*[F.col(f"row.`{c}`").alias(c) for c in columns])
 
 
 def op6_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
