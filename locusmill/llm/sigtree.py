@@ -369,3 +369,24 @@ def keep_one(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (80, 100)
 
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_sets(table(spark, sf_dir, "documents"), 4, (85, 100))
+
+
+#: Sets by exact shingles, links by counting shared shingles, components by walking links; equal sets are one node.
+OP9_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+         ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i : i + 3], ' ')) END)) AS x FROM d
+), u AS (SELECT x, min(doc_id) AS node, len(x) AS n FROM s WHERE len(x) > 0 GROUP BY x),
+g AS (SELECT node, n, unnest(x) AS x FROM u),
+p AS (
+  SELECT a.node AS a, b.node AS b FROM g a JOIN g b ON a.x = b.x AND a.node < b.node
+  WHERE 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+  GROUP BY a.node, b.node, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), e AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
+r AS (SELECT node, node AS seen FROM u UNION SELECT r.node, e.b FROM r JOIN e ON r.seen = e.a),
+c AS (SELECT node, min(seen) AS component FROM r GROUP BY node)
+SELECT s.doc_id, CAST(len(s.x) AS BIGINT) AS n_shingles, coalesce(c.component, s.doc_id) AS component_id
+FROM s LEFT JOIN u ON s.x = u.x LEFT JOIN c ON u.node = c.node
+"""
