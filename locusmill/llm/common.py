@@ -15,7 +15,7 @@ import uuid
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 _OWN_FOLDERS: dict[str, str] = {}
@@ -73,6 +73,20 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
+def ranked(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """``df`` with ``place``, its row's number from 0 in a total order: rows are sorted in ranges, and each range begins at the sum of the ranges before it.
+
+    Rows that ``order`` cannot tell apart go to one task. Of the ranges only their sizes meet, one row for each.
+    """
+    within = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    rows = df.repartitionByRange(*order).sortWithinPartitions(*order).select("*", F.spark_partition_id().alias("_range"), within.alias("_at"))
+    rows = materialise(rows, name)
+    sizes = rows.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = sizes.select("_range", (F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")).alias("_before"))
+    out = rows.join(F.broadcast(before), "_range")
+    return out.select(*df.columns, (F.col("_before") + F.col("_at")).alias("place"))
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` evaluated once, even where ``body`` uses it inside other lambdas."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, lines, mixing, pii, secrets, sigtree, tokens, toxicity, vectors, warc
+from . import decontam, lines, mixing, pii, secrets, sigtree, tokens, toxicity, vectors, warc, winnow
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_secrets": secrets.op8_secrets,
         "op9_ngram_join": sigtree.op9_ngram_join,
         "op10_warc": warc.op10_warc,
+        "op13_fingerprints": winnow.op13_fingerprints,
     }
 
 
