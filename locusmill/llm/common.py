@@ -11,6 +11,7 @@ import sys
 import tempfile
 import types
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -133,6 +134,23 @@ def worker_state() -> dict:
     return vars(sys.modules.setdefault("_locusmill_worker", types.ModuleType("_locusmill_worker"))).setdefault("kept", {})
 
 
+# ---------------------------------------------------------------- words
+
+#: Lower case for A-Z, space for the other ASCII characters that no word holds.
+_FOLD = bytes(c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
+
+
+def word_lists(text: bytes, most: int = 1 << 20) -> Iterator[list[bytes]]:
+    """The words of a text (digits, letters in lower case, all beyond ASCII), in lists of about ``most`` bytes, so that long texts take no more memory."""
+    text = text.translate(_FOLD)
+    at = 0
+    while at < len(text):
+        end = text.find(b" ", at + most)
+        end = len(text) if end < 0 else end
+        yield text[at:end].split()
+        at = end
+
+
 # ---------------------------------------------------------------- numbers and digests of words
 
 _ODD = np.random.default_rng(20240229).integers(0, 2**62, 64, dtype=np.uint64) * np.uint64(4) + np.uint64(1)
