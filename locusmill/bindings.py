@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 from locusmill.functions import biology as bio
 from locusmill.functions import fields
 from locusmill.operators import intervals as iv
+from locusmill.operators import ranges as rg
 from locusmill.operators import relational as rel
+from locusmill.operators import sweep
+from locusmill.shared import shared_path
 
 #: Known k-mers that are sent to every task, some 50 MB; more are joined by a shuffle.
 MOST_KNOWN = 500_000
@@ -295,3 +298,55 @@ def union_all(t):
 def fold_positions(t):
     words = F.split(F.coalesce("text", F.lit("")), " ", -1)
     return t.documents.select("doc_id", F.aggregate(words, F.lit(0).cast("long"), lambda a, w: (a * 31 + F.length(w)) % 1000003).alias("walked"))
+
+
+_DAYS = "SELECT l_returnflag AS chrom, date_diff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE)) AS s, date_diff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE)) + CAST(l_quantity AS BIGINT) AS e FROM lineitem"
+_COVERED = f"SELECT chrom, pos, count(*) AS depth FROM (SELECT chrom, unnest(generate_series(s, e - 1)) AS pos FROM ({_DAYS})) GROUP BY chrom, pos"
+
+
+def _line_days(t: Tables) -> DataFrame:
+    start = F.datediff(F.col("l_shipdate").cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
+    return t.lineitem.select(F.col("l_returnflag").alias("chrom"), start.alias("start"), (start + F.col("l_quantity").cast("long")).alias("end"))
+
+
+@query(f"""SELECT chrom, min(pos) AS start, max(pos) + 1 AS "end", depth FROM (
+SELECT *, pos - row_number() OVER (PARTITION BY chrom, depth ORDER BY pos) AS island FROM ({_COVERED})) GROUP BY chrom, depth, island""")
+def depth_segments(t):
+    return sweep.depth_segments(_line_days(t), ["chrom"], width=64)
+
+
+@query(f"""WITH c AS ({_COVERED}), r AS (SELECT p_partkey, ['A', 'N', 'R'][p_partkey % 3 + 1] AS chrom, 9000 + p_partkey * 7 % 2800 AS s, 9000 + p_partkey * 7 % 2800 + p_size AS e FROM part)
+SELECT p_partkey, CAST(e - s AS BIGINT) AS bases, count(pos) AS covered, CAST(coalesce(sum(depth), 0) AS BIGINT) AS depth_sum, round(coalesce(sum(depth), 0) / (e - s), 6) AS mean_depth,
+round(count(pos) FILTER (depth >= 10) / (e - s), 6) AS share_10, round(count(pos) FILTER (depth >= 100) / (e - s), 6) AS share_100, round(count(pos) FILTER (depth >= 250) / (e - s), 6) AS share_250
+FROM r LEFT JOIN c ON c.chrom = r.chrom AND pos >= s AND pos < e GROUP BY p_partkey, s, e""")
+def region_depth(t):
+    start = F.lit(9000) + F.col("p_partkey") * 7 % 2800
+    regions = t.part.select("p_partkey", F.element_at(F.array(*map(F.lit, "ANR")), (F.col("p_partkey") % 3 + 1).cast("int")).alias("chrom"), start.alias("start"), (start + F.col("p_size")).alias("end"))
+    out = sweep.depth_over(sweep.depth_segments(_line_days(t), ["chrom"], width=64), regions, ["chrom"], [10, 100, 250], width=64)
+    return out.select("p_partkey", "bases", "covered", "depth_sum", *[F.round(c, 6).alias(c) for c in ("mean_depth", "share_10", "share_100", "share_250")])
+
+
+_CONTIGS = ["view", "click", "error"]
+_RANK = "CASE event_type WHEN 'view' THEN 1 WHEN 'click' THEN 2 WHEN 'error' THEN 3 ELSE 4 END"
+
+
+def _sorted_events(t: Tables) -> str:
+    path = shared_path(t.spark, "events-in-order")
+    rows = t.events.select(rg.contig_rank(F.col("event_type"), _CONTIGS).alias("contig"), F.floor("value").cast("long").alias("pos"), "event_id")
+    rg.write_sorted(rows, path, ["contig", "pos"])
+    return path
+
+
+@query(f"SELECT event_id, {_RANK} AS contig, CAST(floor(value) AS BIGINT) AS pos, row_number() OVER (ORDER BY {_RANK}, floor(value), event_id) AS place FROM events")
+def coordinate_order(t):
+    return rg.read_sorted(t.spark, _sorted_events(t)).select("event_id", "contig", "pos", "place")
+
+
+@query(f"SELECT event_id, CAST(floor(value) AS BIGINT) AS pos FROM events WHERE {_RANK} = 2 AND floor(value) BETWEEN 5 AND 20")
+def range_scan(t):
+    return rg.read_between(t.spark, _sorted_events(t), {"contig": 2, "pos": 5}, {"contig": 2, "pos": 20}).select("event_id", "pos")
+
+
+@query("SELECT user_id, event_id, row_number() OVER (ORDER BY user_id, ts, event_id) AS place FROM events")
+def name_order(t):
+    return rg.placed(t.events.select("user_id", "event_id", "ts"), [F.col(c) for c in ("user_id", "ts", "event_id")]).select("user_id", "event_id", "place")

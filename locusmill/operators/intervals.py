@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from locusmill.operators.ranges import carried
+
 
 def merge(intervals: DataFrame, keys: list[str], start: str = "start", end: str = "end") -> DataFrame:
     """Half-open intervals per key, united where they overlap or touch. Empty ones go."""
@@ -50,7 +52,8 @@ def nearest(points: DataFrame, merged: DataFrame, lo: Column, hi: Column, keys:
 
     A point is [lo, hi), or the place lo where they are equal; inside (distance 0) if it overlaps an interval, else the distance between edges, so that touching
     is 0 too; null where the key has no interval. Each bin that has points gets its own intervals and the nearest on
-    either side, found over bins and intervals only; points are never sorted.
+    either side, by an as-of join of bins and intervals in sorted ranges that hand their last and first interval on; points
+    are never sorted.
     """
     cols = list(keys.values())
     names = [f"_k{i}" for i in range(len(cols))]
@@ -60,16 +63,13 @@ def nearest(points: DataFrame, merged: DataFrame, lo: Column, hi: Column, keys:
         rows = rows.withColumn(n, F.col(c))
     inside = _binned(side, "_s", "_e", width).groupBy(*names, "_bin").agg(F.collect_list(F.struct("_s", "_e")).alias("_in"))
     bins = rows.select(*names, "_bin").distinct()
-    mark = bins.select(*names, (F.col("_bin") * F.lit(width)).cast("double").alias("_at"), "_bin", F.lit(None).cast("struct<_s:double,_e:double>").alias("_iv"))
-    marks = mark.union(side.select(*names, F.col("_s"), F.lit(None).cast("long"), F.struct("_s", "_e")))
-    by = Window.partitionBy(*names).orderBy("_at", F.col("_bin").isNull())
-    before = F.last("_iv", True).over(by.rowsBetween(Window.unboundedPreceding, 0))
-    edges = marks.select(*names, "_bin", before.alias("_before")).where("_bin is not null")
-    # The next interval must begin after the bin: its own intervals are in _in already.
-    beyond = mark.select(*names, ((F.col("_bin") + 1) * F.lit(width)).cast("double").alias("_at"), "_bin", "_iv").union(side.select(*names, F.col("_s"), F.lit(None).cast("long"), F.struct("_s", "_e")))
-    later = F.first("_iv", True).over(Window.partitionBy(*names).orderBy("_at", F.col("_bin").isNull()).rowsBetween(1, Window.unboundedFollowing))
-    beyond = beyond.select(*names, "_bin", later.alias("_after")).where("_bin is not null")
-    where = edges.join(beyond, [*names, "_bin"]).join(inside, [*names, "_bin"], "left")
+    # Each bin asks twice: for the last interval that begins before it, and for the first that begins beyond it; its own are in _in.
+    asked = F.explode(F.array(F.struct(F.lit(0).alias("_ask"), (F.col("_bin") * F.lit(width)).cast("double").alias("_at")), F.struct(F.lit(1).alias("_ask"), ((F.col("_bin") + 1) * F.lit(width)).cast("double").alias("_at"))))
+    marks = bins.select(*names, "_bin", asked.alias("_x")).select(*names, "_bin", "_x.*", F.lit(None).cast("struct<_s:double,_e:double>").alias("_iv"))
+    begun = side.select(*names, F.lit(None).cast("long").alias("_bin"), F.lit(2).alias("_ask"), F.col("_s").alias("_at"), F.struct("_s", "_e").alias("_iv"))
+    found = carried(marks.unionByName(begun), names, [F.col("_at"), F.col("_ask"), F.col("_bin")], "_iv").where("_bin is not null")
+    edges = found.groupBy(*names, "_bin").agg(F.max(F.when(F.col("_ask") == 0, F.col("_last"))).alias("_before"), F.max(F.when(F.col("_ask") == 1, F.col("_next"))).alias("_after"))
+    where = edges.join(inside, [*names, "_bin"], "left")
     near = F.filter(F.concat(F.coalesce("_in", F.array().cast("array<struct<_s:double,_e:double>>")), F.array("_before", "_after")), lambda x: x.isNotNull())
     hit = F.exists(near, lambda x: ((x["_s"] < F.col("_hi")) | (x["_s"] == F.col("_lo"))) & (x["_e"] > F.col("_lo")))
     far = F.array_min(F.transform(near, lambda x: F.least(F.abs(F.col("_lo") - x["_e"]), F.abs(x["_s"] - F.col("_hi")))))
