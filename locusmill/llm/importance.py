@@ -158,11 +158,10 @@ def drawn(scored: DataFrame, percent: int = PERCENT, least_words: int = LEAST_WO
 
 def resample(docs: DataFrame, target: DataFrame, percent: int = PERCENT, least_words: int = LEAST_WORDS, **how) -> DataFrame:
     """The drawn rows of ``docs``, all columns; rows of the same id and text as a drawn one stay too. See ``scores`` and ``drawn``."""
-    digest = F.md5(no_text(F.col("text")))
-    marked = docs.select("doc_id", "text", digest.alias("_digest"))
+    marked = docs.select("doc_id", "text", F.md5(no_text(F.col("text"))).alias("_digest"))
     ids = drawn(scores(marked, target, keep=("_digest",), **how), percent, least_words).where("rank is not null")
     ids = ids.select(F.col("doc_id").alias("_drawn"), F.col("_digest").alias("_same")).distinct()
-    return docs.join(ids, F.col("doc_id").cast("long").eqNullSafe(F.col("_drawn")) & (digest == F.col("_same")), "left_semi")
+    return docs.join(ids, docs["doc_id"].cast("long").eqNullSafe(ids["_drawn"]) & (F.md5(no_text(docs["text"])) == ids["_same"]), "left_semi")
 
 
 def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
