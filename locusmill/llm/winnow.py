@@ -150,7 +150,9 @@ def edited_fingerprints(docs: DataFrame, k: int = K, side: int = SIDE) -> DataFr
     by = Window.partitionBy("run").orderBy("guest", F.col("doc_id").asc_nulls_last(), "digest")
     rows = rows.withColumns({"next_text": F.lead("text").over(by), "next_hashes": F.lead("hashes").over(by)}).where("not guest")
     rows = rows.withColumn("edited", F.concat(F.left("text", (n - F.col("quarter")).cast("int")), F.left("next_text", F.col("quarter"))))
-    tail = winnowed(F.substring("edited", (F.col("from") + 1).cast("int"), n.cast("int")), F.col("from"), k, side)
+    # A next document of a few characters may leave no window beyond those of the head.
+    rest = F.when((F.col("from") == 0) | (F.length("edited") - F.col("from") >= k + side * side - 1), F.substring("edited", (F.col("from") + 1).cast("int"), n.cast("int"))).otherwise("")
+    tail = winnowed(rest, F.col("from"), k, side)
     rows = rows.withColumn("edited_fingerprint", F.array_distinct(F.concat("head", tail)))
     rows = rows.withColumn("near_edited", likeness(F.col("hashes"), hashes_of(F.col("edited_fingerprint"))))
     rows = rows.withColumn("near_next", likeness(F.col("hashes"), F.col("next_hashes")))
