@@ -13,6 +13,8 @@ from locusmill.operators import intervals as iv
 from locusmill.operators import ranges as rg
 from locusmill.operators import relational as rel
 from locusmill.operators import sweep
+from locusmill.plans import alignment_quality as quality
+from locusmill.plans import duplicates as dup
 from locusmill.shared import shared_path
 
 #: Known k-mers that are sent to every task, some 50 MB; more are joined by a shuffle.
@@ -350,3 +352,43 @@ def range_scan(t):
 @query("SELECT user_id, event_id, row_number() OVER (ORDER BY user_id, ts, event_id) AS place FROM events")
 def name_order(t):
     return rg.placed(t.events.select("user_id", "event_id", "ts"), [F.col(c) for c in ("user_id", "ts", "event_id")]).select("user_id", "event_id", "place")
+
+
+_CIGARS = ["50M", "5S45M", "40M10S", "3H47M2S"]
+#: Alignments made of events: neighbours by id are mates, but for every fifth two.
+_READS = """SELECT event_id AS id, event_id // 2 AS name, event_id // 2 % 5 = 0 AS alone, user_id % 3 AS chrom, event_type = 'click' AS back, event_id // 2 % 2 AS library,
+1000 + CAST(floor(value) AS BIGINT) + CASE WHEN event_type = 'click' THEN [49, 44, 49, 48][event_id % 4 + 1] ELSE [0, -5, 0, -3][event_id % 4 + 1] END AS five,
+CASE WHEN 10 + event_id % 30 >= 15 THEN 50 * (10 + event_id % 30) ELSE 0 END AS score FROM events"""
+
+
+def _event_reads(t: Tables) -> DataFrame:
+    alone = F.floor(F.col("event_id") / 2) % 5 == 0
+    flag = F.when(alone, 0).when(F.col("event_id") % 2 == 0, 0x41).otherwise(0x81) + F.when(F.col("event_type") == "click", 0x10).otherwise(0)
+    name = F.floor(F.col("event_id") / 2)
+    cigar = F.element_at(F.array(*map(F.lit, _CIGARS)), (F.col("event_id") % 4 + 1).cast("int"))
+    return t.events.select(F.col("event_id").alias("at"), F.concat(F.lit("q"), name).alias("qname"), flag.cast("long").alias("flag"), F.concat(F.lit("chr"), F.col("user_id") % 3).alias("chrom"), (F.lit(1000) + F.floor("value")).cast("long").alias("start"), cigar.alias("cigar"), F.expr("repeat(char(43 + event_id % 30), 50)").alias("quality"), F.concat(F.lit("lib"), name % 2).alias("library"))
+
+
+@query(f"""WITH r AS ({_READS}), a AS (SELECT * FROM r WHERE NOT alone AND id % 2 = 0), b AS (SELECT * FROM r WHERE NOT alone AND id % 2 = 1),
+p AS (SELECT a.id, b.id AS other, a.library, least((a.chrom, a.five, a.back), (b.chrom, b.five, b.back)) AS low, greatest((a.chrom, a.five, a.back), (b.chrom, b.five, b.back)) AS high, a.score + b.score AS score FROM a JOIN b ON a.name = b.name),
+best AS (SELECT id, other, row_number() OVER (PARTITION BY library, low, high ORDER BY score DESC, id) AS k FROM p),
+mate AS (SELECT unnest([id, other]) AS id, k FROM best), f AS (SELECT r.*, mate.k, mate.id IS NOT NULL AS paired FROM r LEFT JOIN mate USING (id)),
+g AS (SELECT *, bool_or(paired) OVER (PARTITION BY library, chrom, five, back) AS beside, row_number() OVER (PARTITION BY library, chrom, five, back ORDER BY paired, score DESC, id) AS place FROM f)
+SELECT id AS event_id, CASE WHEN paired THEN k > 1 ELSE beside OR place > 1 END AS duplicate FROM g""")
+def mark_duplicates(t):
+    return dup.mark_duplicates(_event_reads(t)).select(F.col("at").alias("event_id"), "duplicate")
+
+
+@query("""WITH e AS (SELECT event_type AS orientation, CAST(floor(value * 10) AS BIGINT) AS size FROM events), m AS (SELECT orientation, median(size) AS med, count(*) AS n, min(size) AS lo, max(size) AS hi FROM e GROUP BY orientation),
+d AS (SELECT orientation, median(abs(size - med)) AS mad FROM e JOIN m USING (orientation) GROUP BY orientation),
+o AS (SELECT orientation, size, count(*) AS n FROM e GROUP BY 1, 2), mode AS (SELECT orientation, arg_max(size, n * 1000000 - size) AS mode FROM o GROUP BY orientation),
+t AS (SELECT orientation, avg(size) AS mean, stddev_samp(size) AS sd FROM e JOIN m USING (orientation) JOIN d USING (orientation) WHERE size <= med + 10 * mad GROUP BY orientation),
+w AS (SELECT orientation, abs(size - CAST(floor(med) AS BIGINT)) AS off, row_number() OVER (PARTITION BY orientation ORDER BY abs(size - CAST(floor(med) AS BIGINT))) AS k, n FROM e JOIN m USING (orientation)),
+v AS (SELECT orientation, 2 * min(off) FILTER (k >= 0.5 * n) + 1 AS w50, 2 * min(off) FILTER (k >= 0.99 * n) + 1 AS w99 FROM w GROUP BY orientation)
+SELECT orientation, n AS read_pairs, lo AS min_insert_size, hi AS max_insert_size, mode AS mode_insert_size, med AS median_insert_size, mad AS median_absolute_deviation, round(mean, 5) AS mean_insert_size, round(sd, 5) AS standard_deviation, w50 AS width_of_50_percent, w99 AS width_of_99_percent
+FROM m JOIN d USING (orientation) JOIN mode USING (orientation) JOIN t USING (orientation) JOIN v USING (orientation)""")
+def histogram_metrics(t):
+    hist = t.events.groupBy(F.col("event_type").alias("orientation"), F.floor(F.col("value") * 10).cast("long").alias("size")).agg(count().alias("n"))
+    out = quality.insert_size_metrics(hist, minimum_pct=0.0)
+    keep = ["orientation", "read_pairs", "min_insert_size", "max_insert_size", "mode_insert_size", "median_insert_size", "median_absolute_deviation"]
+    return out.select(*keep, F.round("mean_insert_size", 5).alias("mean_insert_size"), F.round("standard_deviation", 5).alias("standard_deviation"), "width_of_50_percent", "width_of_99_percent")

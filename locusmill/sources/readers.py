@@ -144,12 +144,27 @@ def gtf(spark: SparkSession, path: str, genes: list[str] | None = None) -> DataF
     return grouped.withColumn("cds", F.transform("cds", lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"))))
 
 
-def sam(spark: SparkSession, path: str) -> DataFrame:
-    """Primary, mapped alignments of a SAM text: flags 0x4, 0x100, 0x200 and 0x800 go."""
+def read_groups(header: list[str]) -> dict[str, str]:
+    """Library by read group, from a header's @RG lines; a group that names none is its own."""
+    out = {}
+    for line in header:
+        if line.startswith("@RG\t"):
+            said = dict(f.split(":", 1) for f in line.split("\t")[1:] if ":" in f)
+            out[said.get("ID", "")] = said.get("LB", said.get("ID", ""))
+    return out
+
+
+def sam(spark: SparkSession, path: str, primary: bool = True) -> DataFrame:
+    """Alignments of a SAM text; ``primary``: flags 0x4, 0x100, 0x200 and 0x800 go."""
+    lines = _lines(spark, path)
+    libraries = read_groups([r["line"] for r in lines.where(F.col("line").startswith("@RG\t")).select("line").collect()])
     f = F.split("line", "\t")
     get = lambda i: F.get(f, F.lit(i))
-    rows = _lines(spark, path).where(~F.col("line").startswith("@") & (F.size(f) >= 11)).select("at", get(0).alias("qname"), get(1).cast("long").alias("flag"), get(2).alias("chrom"), get(3).cast("long").alias("start"), get(4).cast("int").alias("mapq"), get(5).alias("cigar"), get(8).cast("long").alias("insert_size"), get(9).alias("seq"), get(10).alias("quality"))
-    return rows.where(F.col("flag").bitwiseAND(F.lit(0xB04)) == 0)
+    group = F.regexp_extract("line", r"\tRG:Z:([^\t]*)", 1)
+    library = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for pair in libraries.items() for x in pair]), group), F.lit("")) if libraries else F.lit("")
+    mate = F.when(get(6) == "=", get(2)).otherwise(get(6))
+    rows = lines.where(~F.col("line").startswith("@") & (F.size(f) >= 11)).select("at", get(0).alias("qname"), get(1).cast("long").alias("flag"), get(2).alias("chrom"), get(3).cast("long").alias("start"), get(4).cast("int").alias("mapq"), get(5).alias("cigar"), mate.alias("next_chrom"), get(7).cast("long").alias("next_start"), get(8).cast("long").alias("insert_size"), get(9).alias("seq"), get(10).alias("quality"), group.alias("read_group"), library.alias("library"))
+    return rows.where(F.col("flag").bitwiseAND(F.lit(0xB04)) == 0) if primary else rows
 
 
 def text_metrics(spark: SparkSession, paths: list[str], most_bytes: int = 20 << 20) -> DataFrame:

@@ -148,3 +148,118 @@ def test_nearest_carries_intervals_over_ranges(spark, keyed):
         near = [(s, e) for key, s, e in ivs if not keyed or key == k]
         inside = any(s <= v < e for s, e in near)
         assert got[i] == (inside, 0.0 if inside else min((min(abs(v - e), abs(s - v)) for s, e in near), default=None))
+
+
+def five(cigar, start, back):
+    ops = [(int(n), k) for n, k in re.findall(r"(\d+)([MIDNSHP=X])", cigar)]
+    def clip(some):
+        n = 0
+        for m, k in some:
+            if k not in "SH":
+                break
+            n += m
+        return n
+    if back:
+        return start + sum(n for n, k in ops if k in "MDN=X") - 1 + clip(reversed(ops))
+    return start - clip(ops)
+
+
+def brute_duplicates(rows):
+    mapped = [r for r in rows if not r[2] & 0x904]
+    end = {r[0]: (r[3], five(r[6], r[4], bool(r[2] & 0x10)), bool(r[2] & 0x10)) for r in mapped}
+    score = {r[0]: sum(ord(c) - 33 for c in r[11] if ord(c) - 33 >= 15) if r[11] != "*" else 0 for r in mapped}
+    library = {r[0]: r[12] or "" for r in mapped}
+    mates = defaultdict(dict)
+    for r in sorted(mapped):
+        if r[2] & 0x1 and not r[2] & 0x8 and r[1] is not None:
+            for b in (0x40, 0x80):
+                if r[2] & b:
+                    mates[library[r[0]], r[1]].setdefault(b, r[0])
+    pairs = [(m[0x40], m[0x80]) for m in mates.values() if len(m) == 2 and m[0x40] != m[0x80]]
+    groups, gone, paired = defaultdict(list), set(), {a for p in pairs for a in p}
+    for a, b in pairs:
+        groups[library[a], *sorted([end[a], end[b]])].append((-(score[a] + score[b]), min(a, b), a, b))
+    for g in groups.values():
+        gone |= {x for p in sorted(g)[1:] for x in p[2:]}
+    singles = defaultdict(list)
+    for r in mapped:
+        singles[library[r[0]], *end[r[0]]].append(r[0])
+    for g in singles.values():
+        alone = sorted((-score[a], a) for a in g if a not in paired)
+        gone |= {a for _, a in alone[0 if any(a in paired for a in g) else 1 :]}
+    return gone
+
+
+def pair_reads(n=500, seed=5):
+    """Mates with clips and strands, single reads, mates that are unmapped, names that repeat, secondary alignments, reads without qualities."""
+    r = np.random.default_rng(seed)
+    rows = []
+    for i in range(n):
+        lib, spot = str(r.choice(["l1", "l2"])) if i % 7 else None, int(r.integers(100, 130))
+        quality = lambda: "*" if r.random() < 0.1 else "".join(chr(33 + int(q)) for q in r.integers(5, 40, 20))
+        cigar = lambda: str(r.choice(["20M", "5S15M", "15M5S", "10M5D10M", "2H3S15M", "15M3S2H"]))
+        back = int(r.choice([0, 0x10]))
+        kind = r.random()
+        name = f"q{i}" if kind < 0.95 else "again"
+        row = lambda flag, start, mate: (len(rows), name, flag, "chr1" if r.random() < 0.9 else "chr2", start, 60, cigar(), "chr1", mate, 100, "A" * 20, quality(), lib)
+        if kind < 0.3 or kind > 0.95:
+            rows.append(row(back, spot, 0))
+        elif kind < 0.4:
+            rows.append(row(0x1 | 0x40 | 0x8 | back, spot, 0))
+            rows.append((len(rows), name, 0x1 | 0x80 | 0x4, "chr1", spot, 0, "*", "chr1", spot, 0, "A" * 20, quality(), lib))
+        else:
+            rows.append(row(0x1 | 0x40 | back, spot, spot + 50))
+            rows.append(row(0x1 | 0x80 | (back ^ 0x10), spot + int(r.integers(50, 54)), spot))
+        if kind < 0.05:
+            rows.append(row(0x100 | back, spot, 0))
+    return rows
+
+
+def test_duplicates(spark):
+    from locusmill.plans import duplicates as dup
+
+    rows = pair_reads()
+    hot = [(10_000 + i, f"hot{i}", 0, "chr1", 500, 60, "20M", "*", 0, 0, "A" * 20, chr(33 + i % 40) * 20, "l1") for i in range(4000)]
+    reads = spark.createDataFrame(rows + hot, READS).repartition(5)
+    marked = dup.mark_duplicates(reads)
+    assert marked.columns == [*reads.columns, "duplicate"]
+    got = {r["at"] for r in marked.where("duplicate").collect()}
+    assert marked.count() == len(rows + hot)
+    assert got == brute_duplicates(rows + hot) and len(got) > 4000
+    assert dup.mark_duplicates(reads.limit(0)).count() == 0
+    by_library = {r["library"]: r for r in dup.duplicate_metrics(marked).collect()}
+    one = by_library["l2"]
+    mine = [r for r in rows if r[12] == "l2"]
+    pairs = [r for r in mine if not r[2] & 0x904 and r[2] & 1 and not r[2] & 8]
+    assert one["read_pairs_examined"] == len(pairs) // 2 and one["read_pair_duplicates"] == sum(r[0] in got for r in pairs) // 2
+    assert one["unmapped_reads"] == sum(bool(r[2] & 4) for r in mine) and one["secondary_or_supplementary_reads"] == sum(bool(r[2] & 0x100) for r in mine)
+    n, c, x = one["read_pairs_examined"], one["read_pairs_examined"] - one["read_pair_duplicates"], one["estimated_library_size"]
+    assert abs(c / x - 1 + np.exp(-n / x)) < 0.02
+
+
+def test_alignment_metrics(spark):
+    from locusmill.plans import alignment_quality as quality
+
+    rows = pair_reads(300, 9)
+    reads = spark.createDataFrame([(*r[:9], (1 if r[2] & 0x40 else -1) * (50 + r[0] % 37), *r[10:]) for r in rows], READS)
+    hist = {(r["orientation"], r["size"]): r["n"] for r in quality.insert_sizes(reads).collect()}
+    want = Counter()
+    for r in reads.collect():
+        if r["flag"] & 1 and not r["flag"] & (4 | 8 | 0x40 | 0x100 | 0x400 | 0x800):
+            back = bool(r["flag"] & 0x10)
+            length = sum(int(n) for n, k in re.findall(r"(\d+)([MIDNSHP=X])", r["cigar"]) if k in "MDN=X")
+            plus, minus = (r["next_start"], r["start"] + length - 1) if back else (r["start"], r["start"] + r["insert_size"])
+            want["TANDEM" if back == bool(r["flag"] & 0x20) else "FR" if plus < minus else "RF", abs(r["insert_size"])] += 1
+    assert hist == want
+    summary = {r["category"]: r for r in quality.alignment_summary(reads).collect()}
+    first = [r for r in rows if r[2] & 1 and r[2] & 0x40 and not r[2] & 0x900]
+    assert summary["FIRST_OF_PAIR"]["total_reads"] == len(first) and summary["PAIR"]["total_reads"] == sum(bool(r[2] & 1) and not r[2] & 0x900 for r in rows)
+    cycles = {(r["read"], r["cycle"]): r for r in quality.by_cycle(reads).collect()}
+    for read in (1, 2):
+        some = [r for r in rows if not r[2] & 0x904 and r[11] != "*" and (2 if r[2] & 0x80 else 1) == read]
+        for c in (1, 20):
+            q = [ord((r[11][::-1] if r[2] & 0x10 else r[11])[c - 1]) - 33 for r in some]
+            assert cycles[read, c]["mean_quality"] == pytest.approx(np.mean(q), abs=1e-6)
+            assert cycles[read, c]["pct_t"] == pytest.approx(np.mean([bool(r[2] & 0x10) for r in some]), abs=1e-6)
+    marks = Counter(ord(c) - 33 for r in rows if not r[2] & 0x904 and r[11] != "*" for c in r[11])
+    assert {r["quality"]: r["n"] for r in quality.quality_distribution(reads).collect()} == marks
