@@ -41,10 +41,10 @@ def per_allele(text: Column, i: Column) -> Column:
 
 def sample_metrics(sample: Column, i: Column) -> Column:
     """Struct of depth, alt reads (AD[i + 1]) and alt fraction, which falls back to alt / depth. (P5)"""
-    dp = F.floor(number(F.element_at(sample, "DP"))).cast("long")
-    alt = F.floor(number(F.get(F.split(F.element_at(sample, "AD"), ","), i + 1))).cast("long")
+    dp = number(F.element_at(sample, "DP"))
+    alt = number(F.get(F.split(F.element_at(sample, "AD"), ","), i + 1))
     af = number(per_allele(F.element_at(sample, "AF"), i))
-    return F.struct(dp.alias("dp"), alt.alias("alt_reads"), F.coalesce(af, F.when(dp != 0, alt / dp)).alias("af"))
+    return F.struct(dp.cast("long").alias("dp"), alt.cast("long").alias("alt_reads"), F.coalesce(af, F.when(dp != 0, alt / dp)).alias("af"))
 
 
 def common_prefix(a: Column, b: Column) -> Column:
@@ -133,12 +133,108 @@ def html_escape(text: Column) -> Column:
     return text
 
 
-def format_g(digits: int = 6):
-    """A sink-side function that prints doubles as C's %.{digits}g does."""
-    import pandas as pd
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` evaluated once, however often ``body`` uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
-    @F.pandas_udf("string")
-    def shown(values: pd.Series) -> pd.Series:
-        return values.map(lambda v: None if pd.isna(v) else f"{v:.{digits}g}")
 
-    return shown
+#: Powers of ten up to this one are doubles exactly.
+_EXACT_TENS = 22
+
+
+def _written(value: Column) -> Column:
+    """Struct of a positive double's shortest decimal digits (no zeros before or behind) and the power of ten of the first, as ``d.ddd * 10^e``."""
+    text = value.cast("string")
+    whole = F.substring_index(text, "E", 1)
+    shift = F.when(F.contains(text, F.lit("E")), F.substring_index(text, "E", -1).cast("int")).otherwise(0)
+    before, after = F.substring_index(whole, ".", 1), F.substring_index(whole, ".", -1)
+
+    def told(every: Column) -> Column:
+        lead = F.length(every) - F.length(F.ltrim(every, F.lit("0")))
+        return F.struct(F.rtrim(F.ltrim(every, F.lit("0")), F.lit("0")).alias("digits"), (F.length(before) - 1 - lead + shift).alias("e"))
+
+    return let(F.concat(before, after), told)
+
+
+def _side(value: Column, middle: Column, power: Column) -> Column:
+    """Sign of ``value - middle * 10^power``, exactly where 10^|power| is a double: the product's rounding error is found by halving the factors' digits."""
+
+    def halves(x: Column) -> tuple[Column, Column]:
+        c = x * 134217729.0
+        high = c - (c - x)
+        return high, x - high
+
+    def error(a: Column, b: Column, product: Column) -> Column:
+        (ah, al), (bh, bl) = halves(a), halves(b)
+        return al * bl - (((product - ah * bh) - al * bh) - ah * bl)
+
+    def sign(ten: Column) -> Column:
+        up = let(middle * ten, lambda p: (value - p) - error(middle, ten, p))
+        down = let(value * ten, lambda p: (p - middle) + error(value, ten, p))
+        return F.signum(F.when(power >= 0, up).otherwise(down))
+
+    return F.when(F.abs(power) > _EXACT_TENS, F.lit(1.0)).otherwise(let(F.concat(F.lit("1e"), F.abs(power)).cast("double"), sign))
+
+
+def rounded(value: Column, places: int) -> Column:
+    """A double of at least 0 rounded to so many decimals by its exact value, ties to even."""
+
+    def near(whole: Column) -> Column:
+        side = _side(value, whole + 0.5, F.lit(-places))
+        up = (side > 0) | ((side == 0) & (whole % 2 == 1))
+        return (whole + F.when(up, 1.0).otherwise(0.0)) / float(10**places)
+
+    return F.when(value.isNotNull(), let(F.floor(value * float(10**places)).cast("double"), near))
+
+
+def _rounded(value: Column, digits: int) -> Column:
+    """Struct of a positive double's ``digits`` significant digits, as C rounds them, and the power of ten of the first.
+
+    The shortest decimal lies on the same side of the middle between two results as the double does, unless it is that middle:
+    then the double itself is compared with it, and an exact tie goes to the even digit.
+    """
+
+    def near(d: Column) -> Column:
+        head = F.rpad(F.left(d["digits"], F.lit(digits)), digits, "0").cast("long")
+        rest = F.substring(d["digits"], digits + 1, 400)
+        tie = _side(value, (head * 10 + 5).cast("double"), d["e"] - digits)
+        up = F.when(rest == "5", (tie > 0) | ((tie == 0) & (head % 2 == 1))).otherwise(rest >= "5")
+
+        def carried(n: Column) -> Column:
+            over = n == 10**digits
+            text = F.when(over, F.lit(str(10 ** (digits - 1)))).otherwise(n.cast("string"))
+            return F.struct(F.rtrim(text, F.lit("0")).alias("digits"), (d["e"] + over.cast("int")).alias("e"))
+
+        return let(head + up.cast("long"), carried)
+
+    return let(_written(value), near)
+
+
+def _laid_out(value: Column, decimal: Column, most: int, point: str) -> Column:
+    """Digits and power as C prints them: with an exponent below 1e-4 and from 10^most on; ``point`` follows whole numbers."""
+
+    def told(d: Column) -> Column:
+        digits, e, n = d["digits"], d["e"], F.length(d["digits"])
+        exponent = F.concat(F.when(n > 1, F.concat(F.left(digits, F.lit(1)), F.lit("."), F.substring(digits, 2, 400))).otherwise(digits), F.when(e < 0, "e-").otherwise("e+"), F.lpad(F.abs(e).cast("string"), F.greatest(F.lit(2), F.length(F.abs(e).cast("string"))), F.lit("0")))
+        small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -e - 1), digits)
+        whole = F.concat(F.rpad(digits, e + 1, F.lit("0")), F.lit(point))
+        mixed = F.concat(F.left(digits, e + 1), F.lit("."), F.substring(digits, e + 2, F.lit(400)))
+        return F.when((e < -4) | (e >= most), exponent).when(e < 0, small).when(n <= e + 1, whole).otherwise(mixed)
+
+    minus = F.when((value < 0) | (value.cast("string") == "-0.0"), "-").otherwise("")
+    plain = F.when(F.isnan(value), "nan").when(F.abs(value) == float("inf"), F.concat(minus, F.lit("inf"))).when(value == 0, F.concat(minus, F.lit("0" + point)))
+    return F.when(value.isNotNull(), F.coalesce(plain, F.concat(minus, let(decimal, told))))
+
+
+def shown(value: Column, digits: int = 6) -> Column:
+    """A double as C's ``%.{digits}g`` prints it.
+
+    Beyond 1e22 and below 1e-22 a double whose shortest decimal is the very middle between two results is rounded up; numbers
+    below 2.3e-308, which have fewer digits than others, are shown by their shortest decimal.
+    """
+    return _laid_out(value, _rounded(F.abs(value), digits), digits, "")
+
+
+def shown_whole(value: Column) -> Column:
+    """A double by the shortest digits that tell it apart, with a point always, as the audit tables print it: 6.0, 1e-05."""
+    return _laid_out(value, _written(F.abs(value)), 16, ".0")

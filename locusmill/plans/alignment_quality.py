@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from locusmill.plans.duplicates import _bit, _lengths
+from locusmill.plans.duplicates import _bit, covered_length
 
 #: Least share of pairs that an orientation needs, how many deviations a size may lie above the median to count for the mean, and the shares whose width is told (fixed values).
 MINIMUM_PCT, DEVIATIONS, WIDTHS = 0.05, 10.0, (10, 20, 30, 40, 50, 60, 70, 80, 90, 95, 99)
@@ -15,7 +15,7 @@ def pair_orientation(flag: Column, start: Column, cigar: Column, next_start: Col
     """FR, RF or TANDEM: how the two reads of a pair face each other."""
     bit = lambda b: flag.bitwiseAND(F.lit(b)) != 0
     plus = F.when(bit(0x10), next_start).otherwise(start)
-    minus = F.when(bit(0x10), start + _lengths(cigar, "MDN=X") - 1).otherwise(start + insert_size)
+    minus = F.when(bit(0x10), start + covered_length(cigar, "MDN=X") - 1).otherwise(start + insert_size)
     return F.when(bit(0x10) == bit(0x20), "TANDEM").when(plus < minus, "FR").otherwise("RF")
 
 
@@ -68,7 +68,7 @@ def alignment_summary(reads: DataFrame) -> DataFrame:
     rows = rows.withColumn("category", F.explode(F.when(_bit(0x1), F.array(own, F.lit("PAIR"))).otherwise(F.array(own))))
     good, aligned = ~_bit(0x200), ~_bit(0x200) & ~_bit(0x4)
     n, length = F.count_if, F.when(F.col("seq") == "*", 0).otherwise(F.length("seq"))
-    sums = rows.groupBy("category").agg(F.count(F.lit(1)).alias("total_reads"), n(good).alias("pf_reads"), n(aligned).alias("pf_reads_aligned"), n(aligned & (F.col("mapq") >= 20)).alias("pf_hq_aligned_reads"), F.coalesce(F.sum(F.when(aligned, _lengths(F.col("cigar"), "M=X"))), F.lit(0)).alias("pf_aligned_bases"), F.round(F.avg(length), 6).alias("mean_read_length"), n(aligned & _bit(0x1) & ~_bit(0x8)).alias("reads_aligned_in_pairs"), n(aligned & ~_bit(0x10)).alias("_forward"), n(aligned & _bit(0x1) & ~_bit(0x8) & ~_bit(0x2)).alias("_improper"))
+    sums = rows.groupBy("category").agg(F.count(F.lit(1)).alias("total_reads"), n(good).alias("pf_reads"), n(aligned).alias("pf_reads_aligned"), n(aligned & (F.col("mapq") >= 20)).alias("pf_hq_aligned_reads"), F.coalesce(F.sum(F.when(aligned, covered_length(F.col("cigar"), "M=X"))), F.lit(0)).alias("pf_aligned_bases"), F.round(F.avg(length), 6).alias("mean_read_length"), n(aligned & _bit(0x1) & ~_bit(0x8)).alias("reads_aligned_in_pairs"), n(aligned & ~_bit(0x10)).alias("_forward"), n(aligned & _bit(0x1) & ~_bit(0x8) & ~_bit(0x2)).alias("_improper"))
     ratio = lambda a, b: F.when(F.col(b) > 0, F.round(F.col(a) / F.col(b), 6)).otherwise(0.0)
     return sums.withColumns({"pct_pf_reads_aligned": ratio("pf_reads_aligned", "pf_reads"), "strand_balance": ratio("_forward", "pf_reads_aligned"), "pct_pf_reads_improper_pairs": ratio("_improper", "pf_reads_aligned")}).drop("_forward", "_improper")
 

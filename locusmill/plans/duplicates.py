@@ -13,15 +13,16 @@ def _bit(b: int) -> Column:
     return F.col("flag").bitwiseAND(F.lit(b)) != 0
 
 
-def _lengths(cigar: Column, kinds: str) -> Column:
+def covered_length(cigar: Column, kinds: str) -> Column:
+    """Bases of a CIGAR's steps of the given kinds."""
     steps = F.regexp_extract_all(cigar, F.lit(rf"(\d+)[{kinds}]"), F.lit(1))
     return F.aggregate(steps, F.lit(0).cast("long"), lambda a, n: a + n.cast("long"))
 
 
 def five_prime(cigar: Column, start: Column, reverse: Column) -> Column:
     """Where a read's first base would lie if none had been clipped: before its start, or after its end where it is reversed."""
-    clipped = lambda pattern: _lengths(F.regexp_extract(cigar, pattern, 1), "SH")
-    ends = start + _lengths(cigar, "MDN=X") - 1 + clipped(r"((?:\d+[SH])+)$")
+    clipped = lambda pattern: covered_length(F.regexp_extract(cigar, pattern, 1), "SH")
+    ends = start + covered_length(cigar, "MDN=X") - 1 + clipped(r"((?:\d+[SH])+)$")
     return F.when(reverse, ends).otherwise(start - clipped(r"^((?:\d+[SH])+)"))
 
 

@@ -1,4 +1,4 @@
-"""Plans over reads, coverage, microsatellites and HLA calls, and the counts of a summary."""
+"""Plans over coverage, microsatellites and HLA calls, and the counts of a summary."""
 
 from __future__ import annotations
 
@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from locusmill.functions import biology as bio
 from locusmill.functions import fields as fd
+from locusmill.operators import intervals as iv
 from locusmill.operators import relational as rel
+from locusmill.plans.duplicates import covered_length
 from locusmill.sources.readers import column_of
 
 #: Names of metrics in result files of microsatellite tools (fixed values).
@@ -18,75 +20,12 @@ MSI_KEYS = {
 }
 
 
-def observations(loci: DataFrame, reads: DataFrame, width: int = 500) -> DataFrame:
-    """A row per locus and overlapping read with its base there. (J14, P28, P30, A8's input)
-
-    Reads meet loci by bins over what they cover, so the join is by key.
-    """
-    covered = F.aggregate(F.regexp_extract_all("cigar", F.lit(r"\d+(?=[MDN=X])"), F.lit(0)), F.lit(0).cast("long"), lambda a, n: a + n.cast("long"))
-    side = reads.withColumn("read_end", F.col("start") + F.greatest(F.lit(1), covered) - 1)
-    side = side.withColumn("_bin", F.explode(F.sequence(F.floor(F.col("start") / width), F.floor(F.col("read_end") / width))))
-    spots = loci.withColumn("_bin", F.floor(F.col("pos") / width))
-    rows = spots.join(side, ["chrom", "_bin"]).where((F.col("pos") >= F.col("start")) & (F.col("pos") <= F.col("read_end"))).drop("_bin")
-    rows = rows.withColumn("index", bio.query_index(F.col("cigar"), F.col("start"), F.col("pos"))).where("index is not null")
-    n, bit = F.length("seq"), lambda b: F.col("flag").bitwiseAND(F.lit(b)) != 0
-    return rows.withColumns({
-        "base": F.upper(F.substring("seq", (F.col("index") + 1).cast("int"), F.lit(1))),
-        "base_quality": F.ascii(F.substring("quality", (F.col("index") + 1).cast("int"), F.lit(1))) - 33,
-        "read_number": F.when(bit(0x80), 2).otherwise(1),
-        "duplicate": bit(0x400),
-        "proper_pair": bit(0x2),
-        "orientation": bio.orientation(F.col("flag")),
-        "end_distance": F.least(F.col("index"), n - 1 - F.col("index")),
-        "soft_clip": F.col("cigar").contains("S"),
-        "indel": F.col("cigar").rlike("[ID]"),
-    })
-
-
-def evidence(seen: DataFrame) -> DataFrame:
-    """Per locus: raw counts, high-quality fragments that agree, VAF, orientation, ends."""
-    locus = ["chrom", "pos", "ref", "alt"]
-    is_alt, is_ref = F.col("base") == F.col("alt"), F.col("base") == F.col("ref")
-    good = ~F.col("duplicate") & (F.col("mapq") >= 30) & (F.col("base_quality") >= 20)
-    c = F.count_if
-    raw = seen.groupBy(*locus).agg(F.count(F.lit(1)).alias("raw_read_depth"), c(is_ref).alias("raw_ref_reads"), c(is_alt).alias("raw_alt_reads"), c(is_alt & F.col("duplicate")).alias("raw_alt_duplicates"), c(is_alt & (F.col("mapq") < 30)).alias("raw_alt_low_mapq_reads"), c(is_alt & (F.col("base_quality") < 20)).alias("raw_alt_low_bq_reads"), c(is_alt & (F.col("soft_clip") | F.col("indel"))).alias("raw_alt_complex_cigar_reads"), F.countDistinct(F.when(is_alt, F.col("start"))).alias("raw_alt_distinct_starts"))
-    one = seen.where(good).groupBy(*locus, "qname").agg(F.min("base").alias("lo"), F.max("base").alias("hi"), F.max_by(F.struct("base", "orientation", "end_distance", "mapq", "base_quality", "start", "proper_pair"), F.struct("base_quality", "mapq", -F.col("at"))).alias("r")).where("lo = hi").select(*locus, "r.*")
-    alt = F.col("base") == F.col("alt")
-    when = lambda x: F.when(alt, F.col(x))
-    hq = one.groupBy(*locus).agg(F.count(F.lit(1)).alias("hq_fragment_depth"), c(F.col("base") == F.col("ref")).alias("hq_ref_fragments"), c(alt).alias("hq_alt_fragments"), c(alt & (F.col("orientation") == "F1R2")).alias("alt_f1r2_fragments"), c(alt & (F.col("orientation") == "F2R1")).alias("alt_f2r1_fragments"), c(alt & F.col("proper_pair")).alias("alt_proper_pairs"), F.countDistinct(when("start")).alias("alt_distinct_starts"), F.round(F.coalesce(F.avg(when("mapq")), F.lit(0.0)), 2).alias("alt_mean_mapq"), F.round(F.coalesce(F.median(when("base_quality")), F.lit(0.0)), 2).alias("alt_median_bq"), F.round(F.coalesce(F.median(when("end_distance")), F.lit(0.0)), 2).alias("alt_median_end_distance"))
-    pool = rel.best(seen.where(~F.col("duplicate") & (F.col("mapq") >= 30) & (F.col("base_quality") >= 10)), [*locus, "start"], [F.col("at")], 5)
-    capped = pool.groupBy(*locus).agg(F.count(F.lit(1)).alias("capped_depth"), c(is_alt).alias("capped_alt_reads"))
-    out = raw.join(hq, locus, "left").join(capped, locus, "left")
-    out = out.na.fill(0)
-    return out.withColumn("hq_alt_vaf", F.when(F.col("hq_fragment_depth") > 0, F.round(F.col("hq_alt_fragments") / F.col("hq_fragment_depth"), 5)).otherwise(0.0))
-
-
-def paired_evidence(tumor: DataFrame, normal: DataFrame) -> DataFrame:
-    """Tumor and normal side by side, with the first findings."""
-    locus = ["chrom", "pos", "ref", "alt"]
-    put = lambda df, p: df.select(*locus, *[F.col(c).alias(f"{p}_{c}") for c in df.columns if c not in locus])
-    rows = put(tumor, "tumor").join(put(normal, "normal"), locus, "left").na.fill(0)
-    t = lambda c: F.col(f"tumor_{c}")
-    alt, vaf = t("hq_alt_fragments"), t("hq_alt_vaf")
-    no_depth = F.when((t("raw_read_depth") > 0) & (t("raw_alt_reads") > 0) & (t("raw_alt_low_mapq_reads") == t("raw_alt_reads")), "all ALT reads map badly").otherwise("no usable depth in the tumor")
-    said = F.concat_ws("; ", F.when(alt == 0, "no good ALT fragment").when(alt < 3, F.concat(F.lit("only "), alt.cast("string"), F.lit(" good ALT fragments"))), F.when((vaf > 0) & (vaf < 0.02), "low ALT fraction"), F.when((alt >= 3) & (F.least(t("alt_f1r2_fragments"), t("alt_f2r1_fragments")) == 0), "ALT in one orientation only"), F.when((alt >= 2) & (t("alt_median_end_distance") <= 5), "ALT at the ends of reads"), F.when((t("raw_alt_reads") > 0) & (t("raw_alt_complex_cigar_reads") / t("raw_alt_reads") >= 0.4), "ALT with clips or indels"), F.when((F.col("normal_hq_alt_fragments") >= 2) | (F.col("normal_hq_alt_vaf") >= 0.02), "ALT in the normal too"))
-    return rows.withColumn("finding", F.when(t("hq_fragment_depth") == 0, no_depth).when(said == "", "some ALT evidence").otherwise(said))
-
-
 def read_metrics(reads: DataFrame) -> DataFrame:
     """Counts by flag bits, of all alignments of a SAM. (step 4)"""
     bit = lambda b: F.col("flag").bitwiseAND(F.lit(b)) != 0
     return reads.agg(F.count(F.lit(1)).alias("total"), F.count_if(bit(0x400)).alias("duplicates"), F.count_if(bit(0x1)).alias("paired"), F.count_if(bit(0x2)).alias("proper_pairs"))
 
 
-def mark_duplicates(reads: DataFrame) -> DataFrame:
-    """Alignments of one place, strand and insert: all but that of the highest quality sum are duplicates. (step 5)"""
-    q = F.aggregate(F.filter(F.split("quality", ""), lambda c: c != ""), F.lit(0), lambda a, c: a + F.ascii(c) - 33)
-    back = F.col("flag").bitwiseAND(F.lit(0x10))
-    by = Window.partitionBy("chrom", "start", back, "insert_size").orderBy(q.desc(), "qname", "at")
-    return reads.withColumn("duplicate", F.row_number().over(by) > 1)
-
-
 def depth_qc(bins: DataFrame) -> DataFrame:
     """Coverage bins (chromosome, start, end, region, depth) against their weighted mean."""
     rows = bins.withColumn("length", F.col("end") - F.col("start"))
@@ -163,8 +102,13 @@ def mixed_reads(a: DataFrame, b: DataFrame, fraction_a: float, fraction_b: float
 
 
 def sliced_reads(reads: DataFrame, loci: DataFrame, flank: int = 300) -> DataFrame:
-    """Reads near loci."""
-    from locusmill.operators import intervals as iv
-
-    near = loci.select("chrom", F.greatest(F.lit(0), F.col("pos") - 1 - flank).alias("start"), (F.col("pos") + flank).alias("end"))
-    return iv.contained(reads, iv.merge(near, ["chrom"]), F.col("start") - 1, {"chrom": "chrom"}, float(2 * flank + 1))
+    """Reads that overlap the surroundings of a locus, wherever they begin."""
+    width = 2 * flank + 1
+    near = iv.merge(loci.select("chrom", F.greatest(F.lit(0), F.col("pos") - 1 - flank).alias("start"), (F.col("pos") + flank).alias("end")), ["chrom"])
+    spread = lambda a, b: F.explode(F.sequence(F.floor(a / width).cast("long"), F.floor((b - 1) / width).cast("long")))
+    side = near.select(F.col("chrom").alias("_c"), F.col("start").alias("_s"), F.col("end").alias("_e")).withColumn("_b", spread(F.col("_s"), F.col("_e")))
+    first = F.col("start") - 1
+    last = first + F.greatest(F.lit(1).cast("long"), covered_length(F.col("cigar"), "MDN=X"))
+    spots = reads.select("at", "chrom", first.alias("_first"), last.alias("_last")).withColumn("_bin", spread(F.col("_first"), F.col("_last")))
+    on = (F.col("chrom") == F.col("_c")) & (F.col("_bin") == F.col("_b")) & (F.col("_first") < F.col("_e")) & (F.col("_last") > F.col("_s"))
+    return reads.join(spots.join(side, on, "left_semi").select("at").distinct(), "at", "left_semi")

@@ -97,6 +97,33 @@ def manual_filter(vcf: VariantFile, tumor: str, normal: str | None = None, limit
     return out.select("at", "raw_line", "chrom", "pos", "ref", "alt", *told, "tlod", "tumor_dp", "tumor_alt_reads", "tumor_af", "normal_dp", "normal_alt_reads", "normal_af", "max_population_af", *passes, "overall_pass", "failure_reasons")
 
 
+#: Columns of the audit table and of the tables of accepted and rejected variants, in their order (fixed values).
+AUDIT = ("chrom", "pos", "ref", "alt", "gene", "consequence", "hgvsc", "hgvsp", "tlod", "tumor_dp", "tumor_alt_reads", "tumor_af", "normal_dp", "normal_alt_reads", "normal_af", "max_population_af", "pass_mutect_filter", "pass_tlod", "pass_tumor_dp", "pass_tumor_alt_reads", "pass_tumor_af", "pass_normal_dp", "pass_normal_alt_reads", "pass_normal_af", "pass_population_af", "overall_pass", "failure_reasons")
+BURDEN = ("chrom", "pos", "ref", "alt", "gene", "consequence", "feature", "hgvsc", "hgvsp", "qual", "tlod", "tumor_dp", "tumor_alt_reads", "tumor_af", "normal_dp", "normal_alt_reads", "normal_af", "max_population_af", "status", "reasons")
+_SHARES = ("tumor_af", "normal_af", "max_population_af")
+
+
+def as_text(rows: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """The columns as the tables print them: fractions with six digits, other numbers by their shortest, True and False, "" for nothing."""
+
+    def said(name: str, kind: str) -> Column:
+        c = F.col(name)
+        text = fd.shown(c, 6) if name in _SHARES else fd.shown_whole(c) if kind == "double" else F.initcap(c.cast("string")) if kind == "boolean" else c.cast("string")
+        return F.coalesce(text, F.lit("")).alias(name)
+
+    kinds = dict(rows.dtypes)
+    return rows.select(*[said(c, kinds[c]) for c in columns])
+
+
+def filter_summary(rows: DataFrame, tumor: str, normal: str | None, limits: Thresholds = Thresholds()) -> DataFrame:
+    """One row on ``manual_filter``'s: samples, counts, how often each reason was given, and the thresholds. (A1, A2, K3)"""
+    sums = rows.agg(F.count(F.lit(1)).alias("input_variants"), F.count_if("overall_pass").alias("passed_variants"), F.count_if(~F.col("overall_pass")).alias("failed_variants"))
+    why = rel.tag_histogram(rows.where("not overall_pass"), F.split("failure_reasons", ";"), "reason").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("reason", "n")))).alias("failure_reason_counts"))
+    used = F.struct(*[(F.array(*map(F.lit, v)) if isinstance(v, (tuple, list)) else F.lit(v)).alias(k) for k, v in vars(limits).items()])
+    out = sums.crossJoin(F.broadcast(why))  # one row each
+    return out.select(F.lit(tumor).alias("tumor_sample"), F.lit(normal or "").alias("normal_sample"), "*", used.alias("thresholds"))
+
+
 def burden_rows(vcf: VariantFile, tumor: str, normal: str | None = None, regions: DataFrame | None = None, limits: Thresholds = Thresholds(), terms: tuple[str, ...] = bio.BURDEN_CONSEQUENCES) -> DataFrame:
     """Distinct alleles with status and reasons. ``regions``: merged intervals; none, or a table without rows: everywhere.
 

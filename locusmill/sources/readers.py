@@ -129,7 +129,7 @@ def with_base(rows: DataFrame, chunks: DataFrame, chrom: str, pos: str, name: st
 
 
 def gtf(spark: SparkSession, path: str, genes: list[str] | None = None) -> DataFrame:
-    """Transcripts: ``gene, transcript, chrom, strand, tags, cds`` (1-based closed, in file order)."""
+    """Transcripts: ``gene, transcript, version, chrom, strand, tags, cds`` (1-based closed, in file order)."""
     lines = _lines(spark, path).where(~F.col("line").startswith("#"))
     if genes:
         lines = lines.where(F.regexp_extract("line", r'gene_name "([^"]*)"', 1).isin(genes))
@@ -138,9 +138,9 @@ def gtf(spark: SparkSession, path: str, genes: list[str] | None = None) -> DataF
     attribute = lambda k: F.regexp_extract(get(8), rf'(?:^|[; ]){k} "([^"]*)"', 1)
     tags = F.regexp_extract_all(get(8), F.lit(r'tag "([^"]*)"'), F.lit(1))
     kind = F.concat(F.array(F.concat(F.lit("type:"), F.coalesce(F.nullif(attribute("transcript_type"), F.lit("")), attribute("transcript_biotype")))), tags)
-    rows = lines.where((F.size(f) >= 9) & get(2).isin("transcript", "CDS")).select("at", attribute("gene_name").alias("gene"), attribute("transcript_id").alias("transcript"), get(0).alias("chrom"), F.when(get(6) == "-", -1).otherwise(1).alias("strand"), get(2).alias("feature"), get(3).cast("long").alias("start"), get(4).cast("long").alias("end"), kind.alias("tags"))
+    rows = lines.where((F.size(f) >= 9) & get(2).isin("transcript", "CDS")).select("at", attribute("gene_name").alias("gene"), attribute("transcript_id").alias("transcript"), attribute("transcript_version").alias("version"), get(0).alias("chrom"), F.when(get(6) == "-", -1).otherwise(1).alias("strand"), get(2).alias("feature"), get(3).cast("long").alias("start"), get(4).cast("long").alias("end"), kind.alias("tags"))
     cds = F.collect_list(F.when(F.col("feature") == "CDS", F.struct("at", "start", "end")))
-    grouped = rows.groupBy("gene", "transcript").agg(F.min("at").alias("ord"), F.min_by("chrom", "at").alias("chrom"), F.min_by("strand", "at").alias("strand"), F.array_distinct(F.flatten(F.collect_list("tags"))).alias("tags"), F.array_sort(cds).alias("cds"))
+    grouped = rows.groupBy("gene", "transcript").agg(F.min("at").alias("ord"), F.min_by("chrom", "at").alias("chrom"), F.min_by("strand", "at").alias("strand"), F.coalesce(F.min_by(F.nullif("version", F.lit("")), F.when(F.col("version") != "", F.col("at"))), F.lit("")).alias("version"), F.array_distinct(F.flatten(F.collect_list("tags"))).alias("tags"), F.array_sort(cds).alias("cds"))
     return grouped.withColumn("cds", F.transform("cds", lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"))))
 
 

@@ -5,7 +5,7 @@ from locusmill.functions import biology as bio
 from locusmill.functions import fields as fd
 from locusmill.operators import intervals as iv
 from locusmill.operators import relational as rel
-from locusmill.plans import comparison, peptides, reports, variants
+from locusmill.plans import comparison, evidence, peptides, reports, variants
 from locusmill.plans.runner import Runner
 from locusmill.sources import readers, writers
 from locusmill.streaming.audits import audited
@@ -90,17 +90,18 @@ def test_comparison_and_mapping(spark):
     assert [r["key"] for r in comparison.only_ours(ours, comparison.compare(ours, other)).collect()] == ["k2"]
     transcripts = spark.createDataFrame([("G", "T1", 0, "chr1", 1, ["MANE_Select"], [(101, 110), (201, 210)]), ("R", "T2", 1, "chr2", -1, ["type:protein_coding"], [(101, 110), (201, 210)])], "gene string, transcript string, ord long, chrom string, strand int, tags array<string>, cds array<struct<start:long,end:long>>")
     names = spark.createDataFrame([("G", "c.12A>C"), ("R", "c.12A>C"), ("R", "c.10+2A>C"), ("G", "c.99A>C"), ("Q", "c.1A>C"), ("G", "c.1del")], "gene string, hgvsc_norm string")
-    got = {(r["gene"], r["hgvsc_norm"]): (r["gtf_status"], r["gtf_pos"], r["gtf_ref"]) for r in comparison.map_coding(names, transcripts).collect()}
-    assert got == {("G", "c.12A>C"): ("mapped", 202, "A"), ("R", "c.12A>C"): ("mapped", 109, "T"), ("R", "c.10+2A>C"): ("mapped", 199, "T"), ("G", "c.99A>C"): ("outside_cds", None, None), ("Q", "c.1A>C"): ("gene_not_found", None, None), ("G", "c.1del"): ("not_a_coding_snv", None, None)}
+    got = {(r["gene"], r["hgvsc_norm"]): (r["gtf_mapping_status"], r["gtf_pos"], r["gtf_ref"]) for r in comparison.map_coding(names, transcripts).collect()}
+    done, short = comparison.UNCHECKED, comparison.TOO_SHORT
+    assert got == {("G", "c.12A>C"): (done, 202, "A"), ("R", "c.12A>C"): (done, 109, "T"), ("R", "c.10+2A>C"): (done, 199, "T"), ("G", "c.99A>C"): (short, None, None), ("Q", "c.1A>C"): (comparison.NO_TRANSCRIPT, None, None), ("G", "c.1del"): (comparison.NOT_SUPPORTED, None, None)}
 
 
 def test_reads_msi_hla_depth(spark, tmp_path):
     sam = ["@HD"] + [f"r{i}\t{flag}\tchr1\t{start}\t60\t{cigar}\t=\t1\t50\tACGTACGTAC\tIIIIIIIIII" for i, (flag, start, cigar) in enumerate([(99, 100, "10M"), (99, 98, "2S8M"), (1123, 100, "10M"), (4, 100, "10M")])]
     (tmp_path / "a.sam").write_text("\n".join(sam) + "\n")
     loci = spark.createDataFrame([("chr1", 102, "G", "A")], "chrom string, pos long, ref string, alt string")
-    seen = reports.observations(loci, readers.sam(spark, str(tmp_path / "a.sam")))
+    seen = evidence.observations(loci, readers.sam(spark, str(tmp_path / "a.sam")))
     assert sorted((r["qname"], r["base"]) for r in seen.collect()) == [("r0", "G"), ("r1", "G"), ("r2", "G")]
-    e = reports.evidence(seen).first()
+    e = evidence.evidence(seen).first()
     assert (e["raw_read_depth"], e["hq_fragment_depth"], e["hq_ref_fragments"], e["hq_alt_vaf"]) == (3, 2, 2, 0.0)
     (tmp_path / "m.tsv").write_text("Total_Number_of_Sites\tNumber_of_Unstable_Sites\t%\n5425\t3\t0.06\n")
     call = reports.msi_call(readers.text_metrics(spark, [str(tmp_path / "m.tsv")]), "s").first()
