@@ -90,23 +90,6 @@ def with_default(left: DataFrame, right: DataFrame, on: list[str], column: str,
     return left.join(right, on, "left").withColumn(as_, F.coalesce(F.col(column), F.lit(default)))
 
 
-#: Characters of a text from which k-mers are cut at once: places are counted from its beginning.
-_STRETCH = 128
-
-
 def kmers(text: Column, k: int) -> Column:
-    """All k-mers of a text, in order; none where it is shorter.
-
-    A text is taken in stretches that overlap by k - 1 characters, so that a k-mer's place is found near the beginning of one.
-    """
-    size = F.length(text)
-
-    def cut(piece: Column) -> Column:
-        return F.transform(F.sequence(F.lit(1), F.length(piece) - k + 1), lambda i: F.substring(piece, i, F.lit(k)))
-
-    def pieces(whole: Column) -> Column:
-        last = F.floor((F.length(whole) - k) / _STRETCH).cast("int")
-        return F.transform(F.sequence(F.lit(0), last), lambda b: F.substring(whole, b * _STRETCH + 1, F.lit(_STRETCH + k - 1)))
-
-    found = F.flatten(F.transform(F.array(text), lambda whole: F.flatten(F.transform(pieces(whole), cut))))
-    return F.coalesce(F.when(size >= k, found), F.array().cast("array<string>"))
+    """All k-mers of a text, in order; none where it is shorter or null."""
+    return F.coalesce(F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{k}}}))."), F.lit(1)), F.array().cast("array<string>"))
