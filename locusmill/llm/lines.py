@@ -17,6 +17,11 @@ def _digest(line: Column) -> Column:
     return F.unhex(F.md5(line))
 
 
+def text_key(text: Column) -> Column:
+    """Tells texts of one id apart."""
+    return F.xxhash64(no_text(text))
+
+
 def chunks(text: Column, min_words: int = MIN_WORDS) -> Column:
     """Array of (first, last, key): every two neighbouring lines of the text, and each line of ``min_words`` words or more.
 
@@ -50,23 +55,24 @@ def _same_bytes(docs: DataFrame, digests: DataFrame) -> DataFrame:
 
 
 def repeated_chunks(docs: DataFrame, min_words: int = MIN_WORDS) -> tuple[DataFrame, DataFrame]:
-    """Per document ``(doc_id, n_lines, n_chunks)``, and the chunks to remove: ``(doc_id, first, last)``, lines from 0, both inclusive.
+    """Per document ``(doc_id, text_key, n_lines, n_chunks)``, and the chunks to remove: ``(doc_id, text_key, first, last)``, lines from 0, both inclusive.
 
     A chunk stays in the document of least id that holds it, at its first place there, and goes everywhere else; neighbouring
     and overlapping ones make up the whole repeated passage. Chunks meet by the digests of their lines, and the bytes of every
     line of a repeated chunk are compared: a chunk with a digest that different lines share stays everywhere. Only digests,
     and one text for each task and repeated line, are shuffled.
 
-    Nulls: a null text is one empty line; rows without id lose chunks to rows with one, and keep what only they hold. Rows
-    of the same id are one document. Empty tables give no rows; other columns are not looked at.
+    ``text_key`` tells documents of the same id apart by their text: each keeps what only it holds. Rows that are equal in
+    both are one document. Nulls: a null text is one empty line; rows without id lose chunks to rows with one, and keep what only
+    they hold. Empty tables give no rows; other columns are not looked at.
     """
-    cut = docs.select("doc_id", F.size(F.split(no_text(F.col("text")), "\n", -1)).cast("long").alias("n_lines"), chunks(F.col("text"), min_words).alias("chunks"))
+    cut = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), F.size(F.split(no_text(F.col("text")), "\n", -1)).cast("long").alias("n_lines"), chunks(F.col("text"), min_words).alias("chunks"))
     cut = materialise(cut, "line-chunks")
-    facts = cut.select("doc_id", "n_lines", F.size("chunks").cast("long").alias("n_chunks"))
-    places = cut.select("doc_id", F.inline("chunks"))
-    order = F.struct(F.col("doc_id").isNull().alias("nameless"), F.col("doc_id").alias("doc"), F.col("first").alias("at"))
+    facts = cut.select("doc_id", "text_key", "n_lines", F.size("chunks").cast("long").alias("n_chunks"))
+    places = cut.select("doc_id", "text_key", F.inline("chunks"))
+    order = F.struct(F.col("doc_id").isNull().alias("nameless"), F.col("doc_id").alias("doc"), F.col("text_key").alias("text"), F.col("first").alias("at"))
     owners = places.groupBy("key").agg(F.min(order).alias("owner"), F.count(F.lit(1)).alias("uses")).where("uses > 1 and owner.doc is not null")
-    owners = materialise(owners.select("key", F.col("owner.doc").alias("owner"), F.col("owner.at").alias("at"), "uses"), "line-owners")
+    owners = materialise(owners.select("key", F.col("owner.doc").alias("owner"), F.col("owner.text").alias("owner_text"), F.col("owner.at").alias("at"), "uses"), "line-owners")
 
     halves = F.array(F.substring("key", 1, 16), F.substring("key", 17, 16))
     digests = materialise(owners.select(F.explode(halves).alias("digest")).where("length(digest) > 0").distinct(), "line-digests")
@@ -76,33 +82,34 @@ def repeated_chunks(docs: DataFrame, min_words: int = MIN_WORDS) -> tuple[DataFr
 
     # Places of hot chunks are dealt to several tasks, and their owners copied to each.
     hot = owners.where(F.col("uses") > KEY_ROWS).select("key", F.ceil(F.col("uses") / KEY_ROWS).cast("int").alias("copies"))
-    dealt = places.join(small(hot), "key", "left").select("doc_id", "first", "last", "key", F.pmod(F.xxhash64("doc_id", "first"), F.coalesce("copies", F.lit(1))).cast("int").alias("part"))
-    copied = honest.select("key", "owner", "at", F.explode(F.sequence(F.lit(0), F.ceil(F.col("uses") / KEY_ROWS).cast("int") - 1)).alias("part"))
+    dealt = places.join(small(hot), "key", "left").select("doc_id", "text_key", "first", "last", "key", F.pmod(F.xxhash64("doc_id", "first"), F.coalesce("copies", F.lit(1))).cast("int").alias("part"))
+    copied = honest.select("key", "owner", "owner_text", "at", F.explode(F.sequence(F.lit(0), F.ceil(F.col("uses") / KEY_ROWS).cast("int") - 1)).alias("part"))
     if owners.count() <= KEY_ROWS:
-        here = places.join(F.broadcast(honest.select("key", "owner", "at")), "key")
+        here = places.join(F.broadcast(honest.select("key", "owner", "owner_text", "at")), "key")
     else:
         here = dealt.join(copied, ["key", "part"])
-    gone = here.where(~F.col("doc_id").eqNullSafe(F.col("owner")) | (F.col("first") > F.col("at")))
-    return facts, gone.select("doc_id", "first", "last")
+    same = F.col("doc_id").eqNullSafe(F.col("owner")) & (F.col("text_key") == F.col("owner_text"))
+    gone = here.where(~same | (F.col("first") > F.col("at")))
+    return facts, gone.select("doc_id", "text_key", "first", "last")
 
 
 def passages(gone: DataFrame) -> DataFrame:
-    """``(doc_id, n, spans)``: chunks to remove in each document, and the stretches of lines that they cover, as (start, end) with end exclusive."""
+    """``(doc_id, text_key, n, spans)``: chunks to remove in each document, and the stretches of lines that they cover, as (start, end) with end exclusive."""
     lines = F.flatten(F.transform(F.collect_set(F.struct("first", "last")), lambda c: F.sequence(c["first"], c["last"])))
-    by_doc = gone.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.array_distinct(lines)).alias("lines"))
+    by_doc = gone.groupBy("doc_id", "text_key").agg(F.size(F.collect_set(F.struct("first", "last"))).cast("long").alias("n"), F.array_sort(F.array_distinct(lines)).alias("lines"))
     starts = F.filter("lines", lambda x, i: (i == 0) | (F.get("lines", i - 1) < x - 1))
     ends = F.filter("lines", lambda x, i: (i == F.size("lines") - 1) | (F.get("lines", i + 1) > x + 1))
     spans = F.zip_with(starts, ends, lambda a, b: F.struct(a.alias("start"), (b + 1).alias("end")))
-    return by_doc.select("doc_id", "n", spans.alias("spans"))
+    return by_doc.select("doc_id", "text_key", "n", spans.alias("spans"))
 
 
 def dedup_lines(docs: DataFrame, **how) -> DataFrame:
     """``docs`` with repeated chunks cut out of ``text``; all columns stay. See ``repeated_chunks``."""
     _, gone = repeated_chunks(docs, **how)
-    lost = passages(gone).select(F.col("doc_id").alias("_doc"), F.col("spans").alias("_lost"))
-    row = docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_id"))
+    lost = passages(gone).select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_of"), F.col("spans").alias("_lost"))
+    row = docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_id"), text_key(F.col("text")).alias("_key"))
     kept = F.array_join(F.filter(F.split(F.col("_row.text"), "\n", -1), lambda x, i: ~F.exists("_lost", lambda s: (i >= s["start"]) & (i < s["end"]))), "\n")
-    out = row.join(lost, F.col("_id").eqNullSafe(F.col("_doc")), "left")
+    out = row.join(lost, F.col("_id").eqNullSafe(F.col("_doc")) & (F.col("_key") == F.col("_of")), "left")
     text = F.when(F.col("_lost").isNull(), F.col("_row.text")).otherwise(kept)
     return out.select(*[text.alias(c) if c == "text" else F.col(f"_row.`{c}`").alias(c) for c in docs.columns])
 
@@ -111,9 +118,9 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts, gone = repeated_chunks(table(spark, sf_dir, "documents").select("doc_id", "text"))
     told = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",")
     size = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
-    lost = passages(gone).select("doc_id", size.alias("n_removed_lines"), F.col("n").alias("n_removed_chunks"), told.alias("removed"))
+    lost = passages(gone).select("doc_id", "text_key", size.alias("n_removed_lines"), F.col("n").alias("n_removed_chunks"), told.alias("removed"))
     a, b = facts.alias("a"), lost.alias("b")
-    out = a.join(b, F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")), "left")
+    out = a.join(b, F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.text_key") == F.col("b.text_key")), "left")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
     return out.select("a.doc_id", "n_lines", "n_chunks", zero("n_removed_lines"), zero("n_removed_chunks"), F.coalesce("removed", F.lit("")).alias("removed"))
 
