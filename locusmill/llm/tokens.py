@@ -62,7 +62,7 @@ class ByteHasher:
 def by_word(description: dict) -> bool:
     """Whether a tokenizer's pieces never cross a space, so that texts can be encoded stretch by stretch between spaces.
 
-    Known to be so: normalisers that fold white space, compose or lower characters one by one; a splitting pattern whose
+    Known to be so: normalisers that lower characters one by one, and may fold white space or compose; a splitting pattern whose
     classes leave white space out, with what lies between removed; a byte-pair model; no added token with a space in it.
     """
     normalizer, splitter = description.get("normalizer") or {}, description.get("pre_tokenizer") or {}
@@ -75,7 +75,8 @@ def by_word(description: dict) -> bool:
     apart = all(re.fullmatch(r"'[a-z]+|\[(\\p\{[LN]\})+\]\+?|\[\^(?=.*\\s)[^\[\] ]+\]\+?", x) for x in pieces)
     later = all(p["type"] == "ByteLevel" and not p["add_prefix_space"] and not p["use_regex"] for p in parts[1:])
     whole = all(" " not in t["content"] and not t["lstrip"] and not t["rstrip"] and not t["normalized"] for t in description.get("added_tokens", []))
-    return plain and apart and later and whole and description["model"]["type"] == "BPE" and description.get("post_processor") is None
+    lowered = any(n["type"] == "Lowercase" for n in steps)  # texts are lowered before they are looked up
+    return plain and lowered and apart and later and whole and description["model"]["type"] == "BPE" and description.get("post_processor") is None
 
 
 def _places_of(first: np.ndarray, size: np.ndarray) -> np.ndarray:

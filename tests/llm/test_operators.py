@@ -153,7 +153,9 @@ def test_only_tokenizers_that_split_at_spaces_go_by_word():
 
     said = json.loads(tokens.Encoder(None, tokens.VOCABULARY).library.to_str())
     assert tokens.by_word(said)
-    for change in ({"pre_tokenizer": None}, {"normalizer": {"type": "Strip"}}, {"added_tokens": [{"content": "a b", "lstrip": False, "rstrip": False, "normalized": False}]}):
+    kept = [n for n in said["normalizer"]["normalizers"] if n["type"] != "Lowercase"]
+    assert len(kept) < len(said["normalizer"]["normalizers"])
+    for change in ({"normalizer": said["normalizer"] | {"normalizers": kept}}, {"pre_tokenizer": None}, {"normalizer": {"type": "Strip"}}, {"added_tokens": [{"content": "a b", "lstrip": False, "rstrip": False, "normalized": False}]}):
         assert not tokens.by_word(said | change)
 
 
@@ -256,6 +258,12 @@ def test_line_digests_that_different_lines_share_remove_nothing(spark, monkeypat
     assert [r["doc_id"] for r in lines.repeated_chunks(frame(spark, docs))[1].collect()] == [4]
 
 
+def test_lines_of_different_texts_of_one_id(spark):
+    docs = [(1, "p q\nr s\nend a", "a", "x", 1), (5, "p q\nr s\nown five", "a", "x", 1), (5, "precious one\nprecious two\nprecious three", "a", "x", 1), (7, "twice a\ntwice b", "a", "x", 1), (7, "twice a\ntwice b", "a", "x", 1)]
+    got = sorted((r["doc_id"], r["text"]) for r in lines.dedup_lines(frame(spark, docs)).collect())
+    assert got == [(1, "p q\nr s\nend a"), (5, "own five"), (5, "precious one\nprecious two\nprecious three"), (7, "twice a\ntwice b"), (7, "twice a\ntwice b")]
+
+
 def luhn(d):
     return sum(int(c) if i % 2 == 0 else (int(c) * 2 - 9 * (int(c) > 4)) for i, c in enumerate(reversed(d))) % 10 == 0
 
@@ -307,6 +315,23 @@ def test_secrets(spark):
     assert len(got) == len(edge_docs()) and {r["base_sha256"] for r in got if r["doc_id"] in (3, 4)} == {hashlib.sha256(b"").hexdigest()}
 
 
+def test_secrets_take_linear_time():
+    """Slugs of many words, and long runs of each class, with an end that no allowed string has."""
+    import time
+
+    scanner = secrets.Scanner()
+    texts = ["-".join(["the"] * 200) + "-2024", "com/blog/" + "-".join(["how", "to", "Do"] * 100) + "-2024", "/".join("AB" for _ in range(300)) + "_9", "_".join("12" for _ in range(300)) + "x"]
+    texts += [c * 100_000 + "!" for c in ("a", "A", "0", "f", "-", "=", "password", "aB3", " ", "a ", "AKIA", "key=")]
+    for t in texts:
+        began = time.process_time()
+        scanner.base(t), scanner.entropy(t)
+        assert time.process_time() - began < 2, t[:40]
+
+
+def test_secrets_of_an_empty_table(spark):
+    assert secrets.scan_secrets(frame(spark, [])).count() == 0 and pii.find_pii(frame(spark, [])).count() == 0
+
+
 def brute_contamination(text, items):
     fold = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))
     w, hit, found = fold(text), set(), set()
