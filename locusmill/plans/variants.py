@@ -46,17 +46,21 @@ def _lacks(e: Column, field: str, have: list[str]) -> Column:
     return F.when(F.coalesce(e[field], F.lit("")) == "", 1).otherwise(0) if field in have else F.lit(1)
 
 
+def _is_mane(e: Column, have: list[str]) -> Column:
+    return ~F.coalesce(e["MANE_SELECT"], F.lit("")).isin("", "-") if "MANE_SELECT" in have else F.lit(False)
+
+
 def best_for_filter(entries: Column, have: list[str]) -> Column:
-    """MANE first, then canonical."""
-    return _first(entries, lambda e: F.struct(_lacks(e, "MANE_SELECT", have).alias("a"), F.when(e["CANONICAL"] == "YES", 0).otherwise(1).alias("b")) if "CANONICAL" in have else F.struct(_lacks(e, "MANE_SELECT", have).alias("a")))
+    """MANE (a dash is none) first, then canonical."""
+    canonical = lambda e: F.upper(F.coalesce(e["CANONICAL"], F.lit(""))) == "YES" if "CANONICAL" in have else F.lit(False)
+    return _first(entries, lambda e: F.struct(F.when(_is_mane(e, have), 0).otherwise(1).alias("a"), F.when(canonical(e), 0).otherwise(1).alias("b")))
 
 
 def best_for_burden(entries: Column, have: list[str], terms: tuple[str, ...]) -> Column:
     """Among entries with a term that counts: MANE (a dash is none), canonical, others."""
     fit = F.filter(entries, lambda e: F.arrays_overlap(F.split(e["Consequence"], "&"), F.array(*map(F.lit, terms))))
     canonical = lambda e: F.when(F.upper(e["CANONICAL"]) == "YES", 1).otherwise(2) if "CANONICAL" in have else F.lit(2)
-    mane = lambda e: (_lacks(e, "MANE_SELECT", have) == 0) & (e["MANE_SELECT"] != "-") if "MANE_SELECT" in have else F.lit(False)
-    return _first(fit, lambda e: F.when(mane(e), 0).otherwise(canonical(e)))
+    return _first(fit, lambda e: F.when(_is_mane(e, have), 0).otherwise(canonical(e)))
 
 
 def best_for_report(entries: Column, have: list[str]) -> Column:

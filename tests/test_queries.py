@@ -3,7 +3,7 @@ import os
 import duckdb
 import pytest
 
-from locusmill import bindings
+from locusmill import bindings, plan_bindings  # noqa: F401
 
 DATA = "/root/testdata/sf0.001"
 NAMES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
