@@ -18,10 +18,18 @@ def audit(rows: DataFrame, checks: list[tuple[str, Column]]) -> DataFrame:
     return out.withColumn("overall_pass", every).withColumn("failure_reasons", reasons(named))
 
 
-def tag_histogram(rows: DataFrame, tags: Column, name: str, top: int | None = None) -> DataFrame:
-    """How often each tag of an array stands in a row; the ``top`` most common, ties by name."""
-    out = rows.select(F.explode(tags).alias(name)).groupBy(name).agg(F.count(F.lit(1)).alias("n"))
-    return out if top is None else out.orderBy(F.desc("n"), name).limit(top)
+def tag_histogram(rows: DataFrame, tags: Column, name: str, top: int | None = None, at: Column | None = None) -> DataFrame:
+    """How often each tag of an array stands in a row; the ``top`` most common, ties by name, or by where they stand first if ``at`` orders the rows."""
+    found = rows.select((F.lit(0) if at is None else at).alias("_at"), F.posexplode(tags).alias("_i", name))
+    out = found.groupBy(name).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("_at", "_i")).alias("_first"))
+    if top is not None:
+        out = out.orderBy(F.desc("n"), name if at is None else "_first").limit(top)
+    return out.select(name, "n")
+
+
+def first_rows(rows: DataFrame, order: list[Column], n: int = 300) -> DataFrame:
+    """The rows that a report shows: the first ``n`` in an order, found without sorting the others. (O3)"""
+    return rows.orderBy(*order).limit(n)
 
 
 def best(rows: DataFrame, keys: list[str], order: list[Column], n: int = 1) -> DataFrame:

@@ -192,8 +192,8 @@ def hard_filter(records: DataFrame) -> DataFrame:
 
 
 def tag_counts(records: DataFrame, top: int = 8) -> DataFrame:
-    """(A5)"""
-    return rel.tag_histogram(records, F.split("filter", ";"), "tag", top)
+    """The most common FILTER tags, ties in the order of the file where records have ``at``. (A5, O1)"""
+    return rel.tag_histogram(records, F.split("filter", ";"), "tag", top, F.col("at") if "at" in records.columns else None)
 
 
 def effect_counts(records: DataFrame, top: int = 20) -> DataFrame:

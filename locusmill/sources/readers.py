@@ -50,6 +50,15 @@ class VariantFile:
             raise ValueError(f"no sample {name!r}; there are {', '.join(self.samples)}")
         return self.samples.index(name)
 
+    def pair(self, tumor: str | None = None, normal: str | None = None) -> tuple[str, str | None]:
+        """Names of tumor and normal: the first and the second sample where none is given. (S3)"""
+        if not self.samples:
+            raise ValueError("the file has no samples")
+        own, other = tumor or self.samples[0], normal or (self.samples[1] if len(self.samples) > 1 else None)
+        for name in filter(None, (own, other)):
+            self.sample(name)
+        return own, other
+
     def records(self, least_fields: int = 8) -> DataFrame:
         """``at, raw_line, chrom, pos, id, ref, alts, qual, filter, info, format, sample_values``; shorter lines go."""
         f = F.split("line", "\t", -1)
@@ -59,10 +68,13 @@ class VariantFile:
 
     def alleles(self, tumor: str | None = None, normal: str | None = None, least_fields: int = 8) -> DataFrame:
         """One row per ALT with ``i``, ``tumor`` and ``normal`` maps (null without a sample) and ``csq`` entries."""
-        if self.annotation_fields is None:
-            raise ValueError("the header has no CSQ format")
+        named = self.annotation_fields
+        if named is None:
+            if not self.records(least_fields).isEmpty():
+                raise ValueError("the header has no CSQ format")
+            named = ["Allele"]  # no record, nothing to annotate
         fields = lambda name: F.lit(None).cast("map<string,string>") if not name else format_map(F.col("format"), F.get("sample_values", F.lit(self.sample(name))))
-        rows = self.records(least_fields).withColumns({"tumor": fields(tumor), "normal": fields(normal), "csq": annotations(F.element_at("info", "CSQ"), self.annotation_fields)})
+        rows = self.records(least_fields).withColumns({"tumor": fields(tumor), "normal": fields(normal), "csq": annotations(F.element_at("info", "CSQ"), named)})
         return rows.select("*", F.posexplode("alts").alias("i", "alt"))
 
 
@@ -82,10 +94,11 @@ def filter_options(header: list[str], tool: str, options: list[str]) -> dict[str
     return out
 
 
-def bed(spark: SparkSession, path: str, strict: bool = False, chr_prefix: bool = False) -> DataFrame:
+def bed(spark: SparkSession, path: str, strict: bool = False, chr_prefix: bool = False, ordered: bool = False) -> DataFrame:
     """``chrom, start, end``: comments and empty intervals go.
 
-    ``strict`` raises on a line of fewer than three columns, else such lines go; ``chr_prefix`` adds chr where it lacks.
+    ``strict`` raises on a line of fewer than three columns, else such lines go; ``chr_prefix`` adds chr where it lacks; ``ordered``
+    sorts by contig and place.
     """
     from locusmill.functions.biology import with_chr
 
@@ -95,7 +108,8 @@ def bed(spark: SparkSession, path: str, strict: bool = False, chr_prefix: bool =
         lines = lines.where(F.when(F.size(f) < 3, F.raise_error(F.lit("a BED line has fewer than three columns"))).otherwise(F.lit(True)))
     chrom = F.get(f, F.lit(0))
     out = lines.select((with_chr(chrom) if chr_prefix else chrom).alias("chrom"), F.get(f, F.lit(1)).try_cast("long").alias("start"), F.get(f, F.lit(2)).try_cast("long").alias("end"))
-    return out.where("start is not null and end is not null and end > start")
+    out = out.where("start is not null and end is not null and end > start")
+    return out.orderBy("chrom", "start", "end") if ordered else out
 
 
 def fasta(spark: SparkSession, path: str) -> DataFrame:
@@ -173,6 +187,51 @@ def text_metrics(spark: SparkSession, paths: list[str], most_bytes: int = 20 <<
     return rows.withColumn("line", F.row_number().over(Window.partitionBy("file").orderBy("at"))).select("file", "line", "value")
 
 
+def metric_files(spark: SparkSession, folder: str, stem: str, most_bytes: int = 20 << 20) -> DataFrame:
+    """``text_metrics`` of a folder's files whose names begin with ``stem``, without the tables that ``msi_call``'s results are written to."""
+    own = [f"{stem}_call.tsv", f"{stem}_call_summary.txt", f"{stem}_summary.txt"]
+    rows = spark.read.option("pathGlobFilter", f"{stem}*").text(folder)
+    rows = rows.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_name").alias("name"), F.col("_metadata.file_size").alias("size"), F.monotonically_increasing_id().alias("at"), "value")
+    rows = rows.where((F.col("size") < most_bytes) & ~F.col("name").isin(own))
+    return rows.withColumn("line", F.row_number().over(Window.partitionBy("file").orderBy("at"))).select("file", "line", "value")
+
+
+def metrics_table(lines: DataFrame) -> DataFrame:
+    """``row, name, value`` of metric files (file, line, value): the first line that is no comment names the columns, rows follow up to a blank line."""
+    by = Window.partitionBy("file").orderBy("line")
+    rows = lines.where(~F.col("value").startswith("#")).withColumn("blank", F.trim("value") == "")
+    rows = rows.withColumn("seen", F.sum(F.when(F.col("blank"), 0).otherwise(1)).over(by)).where("seen > 0")
+    rows = rows.withColumn("over", F.sum(F.when(F.col("blank"), 1).otherwise(0)).over(by)).where("over = 0")
+    cells = F.split("value", "\t", -1)
+    head = rows.where("seen = 1").select(F.col("file").alias("_f"), cells.alias("names"))
+    told = rows.where("seen > 1").join(head, F.col("file") == F.col("_f")).select("file", (F.col("seen") - 1).alias("row"), F.posexplode("names").alias("i", "name"), cells.alias("cells"))
+    return told.select("file", "row", "name", F.coalesce(F.get("cells", F.col("i")), F.lit("")).alias("value"))
+
+
+def depth_summary(lines: DataFrame) -> DataFrame:
+    """``chrom, length, bases, mean, min, max`` of a depth summary's lines."""
+    f = F.split(F.trim("value"), r"\s+")
+    get = lambda i, kind: F.get(f, F.lit(i)).try_cast(kind)
+    rows = lines.where((F.size(f) >= 4) & (F.get(f, F.lit(0)) != "chrom"))
+    return rows.select(F.get(f, F.lit(0)).alias("chrom"), get(1, "long").alias("length"), get(2, "long").alias("bases"), get(3, "double").alias("mean"), get(4, "long").alias("min"), get(5, "long").alias("max"))
+
+
+def contamination(lines: DataFrame) -> DataFrame:
+    """``file, contamination``: the second field of the first line that is neither comment nor header."""
+    f = F.split("value", "\t", -1)
+    rows = lines.where(~F.col("value").startswith("#") & (F.size(f) >= 2) & (F.get(f, F.lit(0)) != "sample"))
+    return rows.groupBy("file").agg(F.min_by(F.get(f, F.lit(1)), "line").alias("contamination"))
+
+
+def flagstat_rates(lines: DataFrame) -> DataFrame:
+    """``file, mapped_rate, proper_rate`` of flagstat texts, NA where a line is missing."""
+    share = F.trim(F.substring_index(F.substring_index(F.substring_index("value", "(", 2), "(", -1), ":", 1))
+    mapped = F.col("value").contains(" mapped (") & ~F.col("value").contains("primary")
+    proper = F.col("value").contains(" properly paired ")
+    last = lambda c: F.coalesce(F.max_by(F.when(c, share), F.when(c, F.col("line"))), F.lit("NA"))
+    return lines.groupBy("file").agg(last(mapped).alias("mapped_rate"), last(proper).alias("proper_rate"))
+
+
 def flagstat(lines: DataFrame) -> DataFrame:
     """Counts and names of a flagstat text's lines."""
     return lines.select(F.regexp_extract("value", r"^(\d+) \+ (\d+) (.*?)(?: \(.*)?$", 1).try_cast("long").alias("passed"), F.regexp_extract("value", r"^(\d+) \+ (\d+) (.*?)(?: \(.*)?$", 3).alias("metric")).where("passed is not null")

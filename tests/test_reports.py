@@ -190,3 +190,88 @@ def test_small_counts(spark):
 def test_mix_fractions(spark, total):
     got = reports.mix_fractions(spark.createDataFrame([(25.0,)], "ratio_a_percent double"), total).first()
     assert (got["actual_fraction_a"], got["actual_fraction_b"]) == (0.25 * total, 0.75 * total)
+
+
+def lines_of(spark, **files):
+    rows = [(name, i, line) for name, text in files.items() for i, line in enumerate(text.split("\n"), 1)]
+    return spark.createDataFrame(rows, "file string, line int, value string")
+
+
+def test_metric_texts(spark, tmp_path):
+    picard = "## htsjdk\n# tool\n\n## METRICS CLASS\tx\nLIBRARY\tPAIRS\tPERCENT_DUPLICATION\nlib1\t10\t0.25\nlib2\t5\t\n\n## HISTOGRAM\nBIN\tVALUE\n1\t2"
+    got = sorted(tuple(r) for r in readers.metrics_table(lines_of(spark, a=picard)).collect())
+    assert got == [("a", 1, "LIBRARY", "lib1"), ("a", 1, "PAIRS", "10"), ("a", 1, "PERCENT_DUPLICATION", "0.25"), ("a", 2, "LIBRARY", "lib2"), ("a", 2, "PAIRS", "5"), ("a", 2, "PERCENT_DUPLICATION", "")]
+    depth = readers.depth_summary(lines_of(spark, a="chrom\tlength\tbases\tmean\tmin\tmax\nchr1\t10\t20\t2.0\t0\t5\ntotal_region\t5\t6\t1.2\t1\t2\nx"))
+    assert {r["chrom"]: r["mean"] for r in depth.collect()} == {"chr1": 2.0, "total_region": 1.2}
+    said = readers.contamination(lines_of(spark, a="#x\ty\nsample\tcontamination\terror\ns1\t0.01\t0\ns2\t0.5\t0", b="none"))
+    assert [tuple(r) for r in said.collect()] == [("a", "0.01")]
+    flags = "10 + 0 in total\n9 + 0 mapped (90.00% : N/A)\n8 + 0 primary mapped (80.00% : N/A)\n6 + 0 properly paired (60.00% : N/A)"
+    rates = {r["file"]: tuple(r)[1:] for r in readers.flagstat_rates(lines_of(spark, a=flags, b="nothing")).collect()}
+    assert rates == {"a": ("90.00%", "60.00%"), "b": ("NA", "NA")}
+    for name in ("s1_x.txt", "s1_call.tsv", "s1_summary.txt", "t_x.txt"):
+        (tmp_path / name).write_text("msi: 5\n")
+    assert readers.metric_files(spark, str(tmp_path), "s1").select("file").distinct().count() == 1
+
+
+def test_files_without_annotations_or_records(spark, tmp_path):
+    head = "##fileformat=VCFv4.2\n#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\tT\tN\n"
+    (tmp_path / "none.vcf").write_text(head)
+    (tmp_path / "some.vcf").write_text(head + "chr1\t1\t.\tA\tT\t.\tPASS\tX\tDP\t1\t2\n")
+    none, some = (readers.VariantFile(spark, str(tmp_path / n)) for n in ("none.vcf", "some.vcf"))
+    assert none.alleles("T").count() == 0 and some.pair() == ("T", "N") and some.pair("N") == ("N", "N")
+    with pytest.raises(ValueError, match="no CSQ"):
+        some.alleles()
+    with pytest.raises(ValueError, match="there are T, N"):
+        some.pair("Q")
+    (tmp_path / "x.bed").write_text("2\t5\t9\nchr1\t7\t8\nchr1\t3\t9\nbad\n")
+    assert [tuple(r) for r in readers.bed(spark, str(tmp_path / "x.bed"), chr_prefix=True, ordered=True).collect()] == [("chr1", 3, 9), ("chr1", 7, 8), ("chr2", 5, 9)]
+
+
+def test_tags_in_order_of_first_sight(spark):
+    from locusmill.operators import relational as rel
+    from locusmill.plans import variants
+
+    rows = spark.createDataFrame([(3, "b;a"), (1, "z;y"), (2, "y;z;c")], "at int, filter string").repartition(3)
+    assert [tuple(r) for r in variants.tag_counts(rows, 4).collect()] == [("z", 2), ("y", 2), ("c", 1), ("b", 1)]
+    assert [tuple(r) for r in rel.tag_histogram(rows, F.split("filter", ";"), "tag", 2).collect()] == [("y", 2), ("z", 2)]
+    assert [r["at"] for r in rel.first_rows(rows, [F.desc("at")], 2).collect()] == [3, 2]
+
+
+def test_peptide_tables(spark):
+    from locusmill.plans import peptides
+
+    wild = "MKTAYIAKQRQISFVKSH"
+    entry = "struct<SYMBOL:string,Gene:string,Feature:string,ENSP:string,Consequence:string,HGVSc:string,HGVSp:string,Protein_position:string,Amino_acids:string>"
+    cases = [
+        ("v1", "missense_variant", "5", "Y/W", None),
+        ("v2", "inframe_insertion", "5", "-/WWW", None),
+        ("v3", "inframe_deletion", "5", "YI/-", None),
+        ("v4", "stop_gained", "6", "I/*", None),
+        ("v5", "frameshift_variant", "6", "I/X", None),
+        ("v6", "frameshift_variant", "2", "", "mwww*"),
+    ]
+    rows = [(v, "chr1", i, "A", "T", i, sup, term.split("&"), ("", "G", "T1.2", "P1.1", term, "c", "p", pos, aa)) for i, (v, term, pos, aa, sup) in enumerate(cases)]
+    changes = spark.createDataFrame(rows, f"variant_id string, chrom string, pos long, ref string, alt string, at long, supplied string, terms array<string>, e {entry}")
+    aliases = spark.createDataFrame([("P1", wild)], "alias string, sequence string")
+    proteins = peptides.mutant_proteins(changes, aliases, "S")
+    table = peptides.protein_table(proteins)
+    assert tuple(table.columns) == peptides.PROTEIN_TABLE and len(table.columns) == 22
+    got = {r["variant_id"]: r for r in table.collect()}
+    parts = lambda r: [r[f"{n}_{p}"] for n in ("wildtype", "mutant") for p in ("prefix", "changed", "suffix")]
+    assert parts(got["v1"]) == ["MKTA", "Y", "IAKQRQISFVKSH", "MKTA", "W", "IAKQRQISFVKSH"] and got["v1"]["gene"] == "G"
+    assert parts(got["v2"]) == ["MKTA", "Y", "IAKQRQISFVKSH", "MKTA", "WWW", "YIAKQRQISFVKSH"]
+    assert parts(got["v3"]) == ["MKTA", "YI", "AKQRQISFVKSH", "MKTA", "A", "KQRQISFVKSH"]
+    assert parts(got["v4"]) == ["MKTAY", "I", "AKQRQISFVKSH", "MKTA", "Y", ""]
+    assert parts(got["v5"]) == [""] * 6 and got["v5"]["method"] == got["v5"]["reason"] == "frameshift_requires_mutant_protein_sequence"
+    assert parts(got["v6"]) == ["", "", "", "M", "W", "WW"] and got["v6"]["status"] == "reconstructed"
+    found = peptides.new_peptides(proteins, [4, 8])
+    assert tuple(peptides.peptide_table(found).columns) == peptides.PEPTIDE_TABLE and len(peptides.PEPTIDE_TABLE) == 14
+    # Every window holds the whole change: three residues put in at 5 to 7.
+    spans = sorted((r["mer"], r["mutant_peptide_start"], r["mutant_peptide"]) for r in found.where("variant_id = 'v2'").collect())
+    mutant = wild[:4] + "WWW" + wild[4:]
+    assert spans == [(m, s, mutant[s - 1 : s - 1 + m]) for m in (4, 8) for s in range(max(1, 7 - m + 1), 6) if mutant[s - 1 : s - 1 + m] not in wild]
+    listed = peptides.manifest_table(peptides.manifest(proteins, found))
+    assert tuple(listed.columns) == peptides.MANIFEST_TABLE and len(listed.columns) == 26
+    status = {r["variant_id"]: (r["status"], r["reason"]) for r in listed.collect()}
+    assert status["v4"] == ("no_novel_peptide", peptides.NOTHING_NEW) and status["v5"][0] == "skipped" and status["v1"] == ("emitted", "")
+    assert tuple(peptides.peptide_counts(proteins, found).first()) == (6, found.count())
