@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -88,3 +92,58 @@ def quality_distribution(reads: DataFrame) -> DataFrame:
     rows = reads.where((F.col("flag").bitwiseAND(F.lit(0x904)) == 0) & (F.col("quality") != "*"))
     marks = rows.select(F.explode(F.split("quality", "")).alias("mark")).where("mark <> ''")
     return marks.groupBy((F.ascii("mark") - 33).alias("quality")).agg(F.count(F.lit(1)).alias("n"))
+
+
+#: Bases of a window whose content of G and C is told, unknown bases that it may have (fixed values).
+GC_WINDOW, MOST_UNKNOWN = 100, 4
+
+
+def gc_windows(chunks: DataFrame, window: int = GC_WINDOW, unknown: int = MOST_UNKNOWN) -> DataFrame:
+    """``chrom, chunk, gc``: for each place of a genome chunk the percentage of G and C in the window that begins there, -1 where the contig ends before or too many bases are unknown. (step 5b)
+
+    A chunk looks into those that follow it for its last windows; chunks are the unit of work.
+    """
+    after = Window.partitionBy("chrom").orderBy("chunk")
+    rows = chunks.select("chrom", "chunk", "bases", F.lead(F.left("bases", F.lit(window - 1))).over(after).alias("more"))
+
+    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        strong, known = (np.isin(np.arange(256), [ord(c) for c in letters]).astype(np.int64) for letters in ("GCgc", "ACGTacgt"))
+        for batch in batches:
+            out = []
+            for bases, more in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                n = len(bases)
+                x = np.frombuffer((bases + (more or "")).encode(), dtype=np.uint8)
+                gc = np.full(n, -1, dtype=np.int32)
+                m = min(n, len(x) - window + 1)
+                if m > 0:
+                    sums = [np.concatenate(([0], np.cumsum(table[x]))) for table in (strong, known)]
+                    s, k = (c[window : window + m] - c[:m] for c in sums)
+                    # Halves go up.
+                    gc[:m] = np.where(window - k > unknown, -1, (200 * s + k) // np.maximum(2 * k, 1))
+                out.append(gc.tolist())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.list_(pa.int32()))], names=["chrom", "chunk", "gc"])
+
+    return rows.mapInArrow(told, "chrom string, chunk long, gc array<int>")
+
+
+def gc_bias(reads: DataFrame, chunks: DataFrame, window: int = GC_WINDOW, chunk: int = 10_000) -> DataFrame:
+    """``gc, windows, read_starts, normalized_coverage, error_bar_width``: how reads are spread over windows by their content of G and C. (step 5b)
+
+    A read counts in the window that begins where it does, or, if it is reversed, ends where it does. Starts are counted by place
+    before they meet the genome's chunks, one row each.
+    """
+    plain = lambda c: F.regexp_replace(c, "^chr", "")
+    cut = gc_windows(chunks, window).select(plain(F.col("chrom")).alias("contig"), "chunk", "gc")
+    end = F.col("start") - 1 + covered_length(F.col("cigar"), "MDN=X")
+    place = F.when(_bit(0x10), end - window).otherwise(F.col("start") - 1)
+    good = reads.where(F.col("flag").bitwiseAND(F.lit(0xB04)) == 0).select(plain(F.col("chrom")).alias("contig"), place.alias("place")).where("place >= 0")
+    starts = good.groupBy("contig", "place").agg(F.count(F.lit(1)).alias("n"))
+    starts = starts.groupBy("contig", F.floor(F.col("place") / chunk).cast("long").alias("chunk")).agg(F.collect_list(F.struct(F.pmod("place", F.lit(chunk)).cast("int").alias("i"), "n")).alias("starts"))
+    both = cut.join(starts, ["contig", "chunk"], "left")
+    windows = both.select(F.explode("gc").alias("gc"), F.lit(1).cast("long").alias("w"), F.lit(0).cast("long").alias("n"))
+    hits = both.select(F.explode(F.transform("starts", lambda x: F.struct(F.coalesce(F.get("gc", x["i"]), F.lit(-1)).alias("gc"), F.lit(0).cast("long").alias("w"), x["n"].alias("n")))).alias("x")).select("x.*")
+    sums = windows.unionByName(hits).where("gc >= 0").groupBy("gc").agg(F.sum("w").alias("windows"), F.sum("n").alias("read_starts"))
+    every = sums.agg((F.sum("read_starts") / F.sum("windows")).alias("mean"))  # a row of at most 101
+    rows = sums.crossJoin(F.broadcast(every))
+    share = lambda x: F.when(F.col("mean") > 0, x / F.col("windows") / F.col("mean")).otherwise(0.0)
+    return rows.select("gc", "windows", "read_starts", share(F.col("read_starts")).alias("normalized_coverage"), share(F.sqrt("read_starts")).alias("error_bar_width"))

@@ -263,3 +263,33 @@ def test_alignment_metrics(spark):
             assert cycles[read, c]["pct_t"] == pytest.approx(np.mean([bool(r[2] & 0x10) for r in some]), abs=1e-6)
     marks = Counter(ord(c) - 33 for r in rows if not r[2] & 0x904 and r[11] != "*" for c in r[11])
     assert {r["quality"]: r["n"] for r in quality.quality_distribution(reads).collect()} == marks
+
+
+def test_gc_bias(spark):
+    from locusmill.plans import alignment_quality as quality
+    from locusmill.sources import readers
+
+    r = np.random.default_rng(6)
+    genome = {"chr1": "".join(r.choice(list("ACGT"), 2500, p=[0.2, 0.3, 0.3, 0.2])) + "N" * 30 + "".join(r.choice(list("ACGTN"), 400)), "chr2": "ACGT" * 20}
+    chunks = readers.genome_chunks(spark.createDataFrame(list(genome.items()), "name string, sequence string"), 500)
+    rows = [x for x in some_reads(300, 12)] + [(999, "q", 0, "chr1", 2790, 60, "50M", "*", 0, 0, "", "", "l"), (1000, "q", 16, "chr1", 20, 60, "50M", "*", 0, 0, "", "", "l")]
+    content = {}
+    for chrom, s in genome.items():
+        for i in range(len(s) - 99):
+            w = s[i : i + 100]
+            known = sum(w.count(c) for c in "ACGT")
+            if 100 - known <= 4:
+                content[chrom, i] = int(100 * (w.count("G") + w.count("C")) / known + 0.5)
+    windows, starts = Counter(content.values()), Counter()
+    for _, _, flag, chrom, start, _, cigar, *_ in rows:
+        if not flag & 0xB04:
+            reach = sum(int(n) for n, k in re.findall(r"(\d+)([MIDNSHP=X])", cigar) if k in "MDN=X")
+            place = start - 1 + reach - 100 if flag & 16 else start - 1
+            if (chrom, place) in content:
+                starts[content[chrom, place]] += 1
+    got = {x["gc"]: x for x in quality.gc_bias(spark.createDataFrame(rows, READS), chunks, chunk=500).collect()}
+    assert {g: x["windows"] for g, x in got.items()} == windows and {g: x["read_starts"] for g, x in got.items() if x["read_starts"]} == starts
+    mean = sum(starts.values()) / sum(windows.values())
+    for g, x in got.items():
+        assert x["normalized_coverage"] == pytest.approx(starts[g] / windows[g] / mean)
+        assert x["error_bar_width"] == pytest.approx(np.sqrt(starts[g]) / windows[g] / mean)
