@@ -10,7 +10,9 @@ from locusmill.functions import biology as bio
 from locusmill.functions import fields
 from locusmill.operators import intervals as iv
 from locusmill.operators import ranges as rg
+from locusmill.operators import relational as rel
 from locusmill.plans import annotation, comparison, evidence, peptides, reports, variants
+from locusmill.sources import writers
 
 
 # ---------------------------------------------------------------- fields of records
@@ -228,3 +230,64 @@ def msi_lines(t):
     row = reports.msi_call(lines, "s").select(F.col("total_sites").cast("double").alias("total_sites"), F.col("unstable_sites").cast("double").alias("unstable_sites"), F.round("msi_score_percent", 6).alias("percent"))
     return row.unpivot([], row.columns, "metric", "value")
 
+
+# ---------------------------------------------------------------- reports
+
+
+@query("""WITH ours AS (SELECT 'k' || p_partkey AS key, 'G' || p_partkey % 300 AS gene, 'c.' || p_size AS c, 'p.' || p_size % 7 AS p, p_size / 100.0 AS af FROM part),
+other AS (SELECT c_custkey, 'G' || c_custkey % 400 AS gene, 'c.' || c_custkey % 50 AS c, 'p.' || c_custkey % 7 AS p, c_custkey % 100 / 100.0 AS vaf FROM customer),
+bc AS (SELECT gene, c, list(DISTINCT key) AS ks FROM ours GROUP BY 1, 2), bp AS (SELECT gene, p, list(DISTINCT key) AS ks FROM ours GROUP BY 1, 2), bg AS (SELECT gene, min(key) AS lo, max(key) AS hi, arg_min(af, key) AS af FROM ours GROUP BY 1),
+f AS (SELECT o.*, coalesce(bc.ks, []) AS sc, coalesce(bp.ks, []) AS sp, list_intersect(coalesce(bc.ks, []), coalesce(bp.ks, [])) AS joint, lo, hi, bg.af FROM other o LEFT JOIN bc ON bc.gene = o.gene AND bc.c = o.c LEFT JOIN bp ON bp.gene = o.gene AND bp.p = o.p LEFT JOIN bg ON bg.gene = o.gene),
+h AS (SELECT *, CASE WHEN len(joint) > 0 THEN joint WHEN len(sc) > 0 THEN sc ELSE sp END AS found, CASE WHEN len(joint) > 0 THEN 'hgvsc+hgvsp' WHEN len(sc) > 0 THEN 'hgvsc' ELSE 'hgvsp' END AS how, coalesce(lo = hi AND abs(af - vaf) <= 0.1, false) AS near FROM f)
+SELECT c_custkey, CASE WHEN len(found) > 0 THEN '两流程共同检出' WHEN near THEN '疑似共同检出（转录本差异）' ELSE '仅外部流程检出' END AS comparison_status, CASE WHEN len(found) > 0 THEN how || CASE WHEN len(found) > 1 THEN '(multiple)' ELSE '' END WHEN near THEN 'gene+vaf' ELSE '' END AS match_method,
+CASE WHEN len(found) > 0 THEN list_min(found) WHEN near THEN lo ELSE '' END AS matched_key, CASE WHEN lo IS NULL THEN 'no' ELSE 'yes' END AS gene_in_ours, CASE WHEN len(found) > 0 OR near THEN '本流程PASS' ELSE '未提供filtered VCF，暂不能追踪' END AS difference_diagnosis FROM h""")
+def report_comparison(t):
+    said = lambda text, c: F.concat(F.lit(text), c)
+    ours = t.part.select(said("k", F.col("p_partkey")).alias("key"), said("G", F.col("p_partkey") % 300).alias("gene"), said("c.", F.col("p_size")).alias("hgvsc"), said("p.", F.col("p_size") % 7).alias("hgvsp"), (F.col("p_size") / 100.0).alias("af"))
+    k = F.col("c_custkey")
+    other = t.customer.select("c_custkey", said("G", k % 400).alias("gene"), said("c.", k % 50).alias("hgvsc_norm"), said("p.", k % 7).alias("hgvsp_norm"), (k % 100 / 100.0).alias("other_vaf_numeric"))
+    out = comparison.compare(ours, other, 0.1).withColumns({"bed_status": F.lit(""), "filtered_filter": F.lit("")})
+    return out.select("c_custkey", "comparison_status", "match_method", "matched_key", "gene_in_ours", comparison.diagnosis(False).alias("difference_diagnosis"))
+
+
+@query("""WITH r AS (SELECT CASE WHEN l_quantity >= 10 THEN 'accepted' ELSE 'rejected' END AS status FROM lineitem), d AS (SELECT DISTINCT s_nationkey AS c, unnest(range(s_suppkey * 50, s_suppkey * 50 + 40 + s_suppkey % 30)) AS p FROM supplier)
+SELECT count(*) FILTER (status = 'accepted') AS accepted, count(*) FILTER (status = 'rejected') AS rejected, (SELECT count(*) FROM d) AS covered_bp, round(count(*) FILTER (status = 'accepted') / ((SELECT count(*) FROM d) / 1000000.0), 3) AS per_mb,
+CASE WHEN count(*) FILTER (status = 'accepted') / ((SELECT count(*) FROM d) / 1000000.0) >= 10 THEN 'high' ELSE 'other' END AS tier FROM r""")
+def accepted_burden(t):
+    rows = t.lineitem.select(F.when(F.col("l_quantity") >= 10, "accepted").otherwise("rejected").alias("status"))
+    at = F.col("s_suppkey")
+    regions = iv.merge(t.supplier.select(F.col("s_nationkey").alias("chrom"), (at * 50).alias("start"), (at * 50 + 40 + at % 30).alias("end")), ["chrom"])
+    out = variants.burden(rows, regions)
+    return out.select("accepted", "rejected", "covered_bp", F.round("per_mb", 3).alias("per_mb"), F.when(F.col("tier") == "high", "high").otherwise("other").alias("tier"))
+
+
+@query("""SELECT p_partkey, CAST(p_size AS BIGINT) AS first_int, p_size / 100.0 AS share, regexp_replace(p_name, '[^A-Za-z0-9_.-]', '_', 'g') AS label, '&lt;' || p_brand || '&gt;' AS shown, CASE WHEN p_size % 2 = 0 THEN 'Gene=' || p_brand ELSE 'Other=' || p_type || ';Place=' || p_size END AS told,
+CASE WHEN p_size % 2 = 0 THEN p_brand ELSE p_type END AS filled, 'chr' || p_size AS chrom FROM part""")
+def text_fields(t):
+    even = F.col("p_size") % 2 == 0
+    size = F.col("p_size").cast("string")
+    told = fields.key_values({"Other": F.when(~even, F.col("p_type")).otherwise(""), "Gene": F.when(even, F.col("p_brand")).otherwise(""), "Place": F.when(~even, size).otherwise("")}, ["Gene"])
+    return t.part.select("p_partkey", fields.first_int(F.concat(F.lit("at "), size, F.lit("-9"))).alias("first_int"), fields.percent(F.concat(F.lit(" "), size, F.lit("%"))).alias("share"), fields.safe_label(F.col("p_name")).alias("label"), fields.html_escape(F.concat(F.lit("<"), "p_brand", F.lit(">"))).alias("shown"), told.alias("told"), fields.first_non_empty(F.when(even, F.col("p_brand")).otherwise(""), F.col("p_type")).alias("filled"), bio.with_chr(F.when(even, F.concat(F.lit("chr"), size)).otherwise(size)).alias("chrom"))
+
+
+@query("SELECT string_agg(p_brand, ',' ORDER BY first) AS value FROM (SELECT p_brand, min(p_partkey) AS first FROM part GROUP BY p_brand)")
+def brands_line(t):
+    return writers.single_line(t.part.select("p_brand", "p_partkey"), "p_brand", "p_partkey")
+
+
+@query("""WITH o AS (SELECT o_custkey, count(*) AS n, min(o_orderkey) AS k, min(o_totalprice) AS v FROM orders GROUP BY o_custkey)
+SELECT c_custkey, k AS match_key FROM customer JOIN o ON c_custkey = o_custkey WHERE n = 1 AND abs(c_acctbal - v) <= 200000
+UNION ALL SELECT p_partkey + 1000000000, s_suppkey FROM part JOIN (SELECT s_suppkey % 7919 AS g, count(*) AS n, min(s_suppkey) AS s_suppkey, min(s_acctbal) AS v FROM supplier GROUP BY 1) s ON p_partkey % 7919 = g WHERE n = 1 AND abs(p_retailprice - v) <= 2000""")
+def unique_matches(t):
+    one = rel.unique_band_match(t.customer, t.orders, F.col("c_custkey"), F.col("o_custkey"), F.col("c_acctbal"), F.col("o_totalprice"), 200000, F.col("o_orderkey"))
+    two = rel.unique_band_match(t.part, t.supplier, F.col("p_partkey") % 7919, F.col("s_suppkey") % 7919, F.col("p_retailprice"), F.col("s_acctbal"), 2000, F.col("s_suppkey"))
+    return one.select("c_custkey", "match_key").unionByName(two.select((F.col("p_partkey") + 1000000000).alias("c_custkey"), "match_key"))
+
+
+@query("""WITH r AS (SELECT s_nationkey AS chrom, s_suppkey * 50 AS s, s_suppkey * 50 + 20 AS e FROM supplier), p AS (SELECT c_custkey, c_nationkey AS chrom, c_custkey * 3 AS pos, c_custkey % 4 AS n FROM customer),
+d AS (SELECT c_custkey, min(CASE WHEN pos - 1 < e AND pos - 1 + greatest(1, n) > s THEN 0 ELSE least(abs(pos - 1 - e), abs(s - (pos - 1 + greatest(1, n)))) END) AS distance, bool_or(pos - 1 < e AND pos - 1 + greatest(1, n) > s) AS inside FROM p JOIN r USING (chrom) GROUP BY c_custkey)
+SELECT c_custkey, coalesce(inside, false) AS inside, CAST(distance AS DOUBLE) AS distance FROM p LEFT JOIN d USING (c_custkey)""")
+def region_distance(t):
+    merged = iv.merge(t.supplier.select(F.col("s_nationkey").alias("chrom"), (F.col("s_suppkey") * 50).alias("start"), (F.col("s_suppkey") * 50 + 20).alias("end")), ["chrom"])
+    rows = t.customer.select("c_custkey", F.col("c_nationkey").alias("chrom"), (F.col("c_custkey") * 3).alias("pos"), F.expr("repeat('A', int(c_custkey % 4))").alias("ref"))
+    return comparison.in_regions(rows, merged).select("c_custkey", "inside", "distance")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from locusmill.functions import biology as bio
 from locusmill.functions import fields as fd
 from locusmill.operators import relational as rel
+from locusmill.sources.alignment_file import bam
 
 LOCUS = ["chrom", "pos", "ref", "alt"]
 #: Least mapping and base quality of a good read, least base quality of the pool that is thinned out, reads kept of a start (fixed values).
@@ -55,6 +56,16 @@ def observations(loci: DataFrame, reads: DataFrame, width: int = 500) -> DataFra
     })
 
 
+def reads_over(path: str, loci: DataFrame) -> DataFrame:
+    """Alignments of an indexed .bam file that lie over a list of loci: only blocks near them are read.
+
+    The loci go to the driver as regions; with more than some thousands, reading the file whole is the better way.
+    """
+    asked = [f"{r['chrom']}:{r['pos']}-{r['pos']}" for r in loci.select("chrom", "pos").distinct().collect()]
+    rows = bam(loci.sparkSession, path, asked)
+    return rows if asked else rows.limit(0)
+
+
 def _read_counts() -> dict[str, Column]:
     """Which reads each count of reads takes."""
     alt, ref = F.col("base") == F.col("alt"), F.col("base") == F.col("ref")

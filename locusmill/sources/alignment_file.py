@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import struct
 import sys
+from bisect import bisect_left
 from collections import deque
 from collections.abc import Iterator
 from itertools import islice
@@ -130,11 +131,29 @@ class Region:
             self.chrom, self.begin, self.end = chrom, int(low or 1) - 1, int(high) if high else 1 << 29
 
 
+class Regions:
+    """Several regions, merged by contig; a read is wanted if it overlaps one."""
+
+    def __init__(self, texts: list[str]) -> None:
+        self.spans: dict[str, list[tuple[int, int]]] = {}
+        for r in sorted((Region(t) for t in texts if t.strip()), key=lambda r: (r.chrom, r.begin)):
+            held = self.spans.setdefault(r.chrom, [])
+            if held and r.begin <= held[-1][1]:
+                held[-1] = (held[-1][0], max(held[-1][1], r.end))
+            else:
+                held.append((r.begin, r.end))
+
+    def touch(self, chrom: str, begin: int, end: int) -> bool:
+        held = self.spans.get(chrom, [])
+        i = bisect_left(held, (end,)) - 1  # the last that begins before the end; merged ones end in order
+        return i >= 0 and held[i][1] > begin
+
+
 class Reader(DataSourceReader):
     def __init__(self, options: dict) -> None:
         self.path = options["path"]
         self.split = int(options.get("splitbytes", SPLIT_BYTES))
-        self.asked = Region(options.get("region", ""))
+        self.asked = Regions(options.get("region", "").split(";"))
         self.pushed = Region()
 
     def files(self) -> list[tuple[str, int]]:
@@ -164,11 +183,12 @@ class Reader(DataSourceReader):
             with system.open_input_file(place) as f:
                 header = Header(f, size)
             whole = [(header.first, size << 16)]
-            wanted = [r for r in (self.asked, self.pushed) if r.chrom is not None]
-            if index and wanted:
-                for r in wanted:
-                    found = index.chunks(header.names.index(r.chrom), r.begin, r.end) if r.chrom in header.names else []
-                    whole = [(max(a, x), min(z, y)) for a, z in whole for x, y in found if max(a, x) < min(z, y)]
+            asked = [(c, *span) for c, spans in self.asked.spans.items() for span in spans]
+            pushed = [(self.pushed.chrom, self.pushed.begin, self.pushed.end)] if self.pushed.chrom is not None else []
+            for wanted in filter(None, (asked, pushed)) if index else ():
+                held = [index.chunks(header.names.index(c), b, e) for c, b, e in wanted if c in header.names]
+                found = blocks.united(sorted(x for chunks in held for x in chunks))
+                whole = [(max(a, x), min(z, y)) for a, z in whole for x, y in found if max(a, x) < min(z, y)]
             known = index.starts() if index else []
             for first, last in whole:
                 cuts = [first]
@@ -238,7 +258,7 @@ def _records(file, first: int, last: int, size: int) -> Iterator[tuple[int, byte
         at += 4 + size_of
 
 
-def _batches(path: str, header: Header, records: Iterator[tuple[int, bytes]], asked: Region) -> Iterator[pa.RecordBatch]:
+def _batches(path: str, header: Header, records: Iterator[tuple[int, bytes]], asked: Regions) -> Iterator[pa.RecordBatch]:
     names = [n.strip().split() for n in SCHEMA.split(",")]
     kinds = {"string": pa.string(), "long": pa.int64(), "int": pa.int32()}
     libraries = read_groups(header.lines)
@@ -253,7 +273,7 @@ def _batches(path: str, header: Header, records: Iterator[tuple[int, bytes]], as
         here = 32 + width
         cigar = struct.unpack_from(f"<{ops}I", data, here)
         covered = sum(c >> 4 for c in cigar if c & 15 in (0, 2, 3, 7, 8))
-        if asked.chrom is not None and (contig(ref) != asked.chrom or pos >= asked.end or pos + max(1, covered) <= asked.begin):
+        if asked.spans and not asked.touch(contig(ref), pos, pos + max(1, covered)):
             continue
         qualities = here + 4 * ops + (bases + 1) // 2
         quality = data[qualities : qualities + bases]
@@ -270,7 +290,7 @@ def _batches(path: str, header: Header, records: Iterator[tuple[int, bytes]], as
 
 
 class AlignmentFile(DataSource):
-    """Format ``alignments``: a .bam file, or a folder of them; options ``region`` (chrom:begin-end, as reads overlap it) and ``splitbytes``."""
+    """Format ``alignments``: a .bam file, or a folder of them; options ``region`` (chrom:begin-end, several with ; between, as reads overlap them) and ``splitbytes``."""
 
     @classmethod
     def name(cls) -> str:
@@ -287,13 +307,14 @@ def pushes(spark: SparkSession) -> str:
     return str(spark.conf.get("spark.sql.python.filterPushdown.enabled", "false")).lower()
 
 
-def bam(spark: SparkSession, path: str, region: str | None = None, primary: bool = True, split_bytes: int = SPLIT_BYTES) -> DataFrame:
+def bam(spark: SparkSession, path: str, region: str | list[str] | None = None, primary: bool = True, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """Alignments of .bam files, columns as ``readers.sam`` has them, and ``file``; ``at`` is a record's virtual offset.
 
-    With an index (.bai beside the file) tasks begin at indexed records and ``region``, or filters on chrom and start (where the
+    With an index (.bai beside the file) tasks begin at indexed records and ``region``, one or a list, or filters on chrom and start (where the
     session pushes filters to Python sources), prune blocks; without, tasks look for the first record of their stretch.
     """
     spark.dataSource.register(AlignmentFile)
     read = spark.read.format("alignments").option("splitbytes", split_bytes).option("push", pushes(spark))
-    rows = (read.option("region", region) if region else read).load(path)
+    asked = region if isinstance(region, str) else ";".join(region or [])
+    rows = (read.option("region", asked) if asked else read).load(path)
     return rows.where(f"flag & {NOT_PRIMARY} = 0") if primary else rows

@@ -97,6 +97,17 @@ def bins_over(begin: int, end: int) -> set[int]:
     return {b for shift, first in LEVELS for b in range(first + (begin >> shift), first + (last >> shift) + 1)}
 
 
+def united(chunks: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Sorted stretches, those that overlap or touch made one."""
+    out: list[tuple[int, int]] = []
+    for a, z in chunks:
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(z, out[-1][1]))
+        else:
+            out.append((a, z))
+    return out
+
+
 class BinIndex:
     """Chunks of virtual offsets by contig and bin, and the least offset by contig and 16 KB window."""
 
@@ -130,14 +141,7 @@ class BinIndex:
         """Stretches of the file that hold every record which overlaps [begin, end), in order, none touching another."""
         least = self.linear.get(contig, {}).get(begin >> LINEAR, 0)
         held = self.bins.get(contig, {})
-        found = sorted((max(a, least), z) for b in bins_over(begin, end) & held.keys() for a, z in held[b] if z > least)
-        out: list[tuple[int, int]] = []
-        for a, z in found:
-            if out and a <= out[-1][1]:
-                out[-1] = (out[-1][0], max(z, out[-1][1]))
-            else:
-                out.append((a, z))
-        return out
+        return united(sorted((max(a, least), z) for b in bins_over(begin, end) & held.keys() for a, z in held[b] if z > least))
 
     def starts(self) -> list[int]:
         """All offsets at which a record is known to begin."""

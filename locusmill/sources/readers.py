@@ -152,7 +152,7 @@ def gtf(spark: SparkSession, path: str, genes: list[str] | None = None) -> DataF
     attribute = lambda k: F.regexp_extract(get(8), rf'(?:^|[; ]){k} "([^"]*)"', 1)
     tags = F.regexp_extract_all(get(8), F.lit(r'tag "([^"]*)"'), F.lit(1))
     kind = F.concat(F.array(F.concat(F.lit("type:"), F.coalesce(F.nullif(attribute("transcript_type"), F.lit("")), attribute("transcript_biotype")))), tags)
-    rows = lines.where((F.size(f) >= 9) & get(2).isin("transcript", "CDS")).select("at", attribute("gene_name").alias("gene"), attribute("transcript_id").alias("transcript"), attribute("transcript_version").alias("version"), get(0).alias("chrom"), F.when(get(6) == "-", -1).otherwise(1).alias("strand"), get(2).alias("feature"), get(3).cast("long").alias("start"), get(4).cast("long").alias("end"), kind.alias("tags"))
+    rows = lines.where((F.size(f) >= 9) & get(2).isin("transcript", "CDS")).select("at", attribute("gene_name").alias("gene"), attribute("transcript_id").alias("transcript"), attribute("transcript_version").alias("version"), get(0).alias("chrom"), F.when(get(6) == "-", -1).otherwise(1).alias("strand"), get(2).alias("feature"), get(3).try_cast("long").alias("start"), get(4).try_cast("long").alias("end"), kind.alias("tags"))
     cds = F.collect_list(F.when(F.col("feature") == "CDS", F.struct("at", "start", "end")))
     grouped = rows.groupBy("gene", "transcript").agg(F.min("at").alias("ord"), F.min_by("chrom", "at").alias("chrom"), F.min_by("strand", "at").alias("strand"), F.coalesce(F.min_by(F.nullif("version", F.lit("")), F.when(F.col("version") != "", F.col("at"))), F.lit("")).alias("version"), F.array_distinct(F.flatten(F.collect_list("tags"))).alias("tags"), F.array_sort(cds).alias("cds"))
     return grouped.withColumn("cds", F.transform("cds", lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"))))
@@ -177,7 +177,7 @@ def sam(spark: SparkSession, path: str, primary: bool = True) -> DataFrame:
     group = F.regexp_extract("line", r"\tRG:Z:([^\t]*)", 1)
     library = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for pair in libraries.items() for x in pair]), group), F.lit("")) if libraries else F.lit("")
     mate = F.when(get(6) == "=", get(2)).otherwise(get(6))
-    rows = lines.where(~F.col("line").startswith("@") & (F.size(f) >= 11)).select("at", get(0).alias("qname"), get(1).cast("long").alias("flag"), get(2).alias("chrom"), get(3).cast("long").alias("start"), get(4).cast("int").alias("mapq"), get(5).alias("cigar"), mate.alias("next_chrom"), get(7).cast("long").alias("next_start"), get(8).cast("long").alias("insert_size"), get(9).alias("seq"), get(10).alias("quality"), group.alias("read_group"), library.alias("library"))
+    rows = lines.where(~F.col("line").startswith("@") & (F.size(f) >= 11)).select("at", get(0).alias("qname"), get(1).try_cast("long").alias("flag"), get(2).alias("chrom"), get(3).try_cast("long").alias("start"), get(4).try_cast("int").alias("mapq"), get(5).alias("cigar"), mate.alias("next_chrom"), get(7).try_cast("long").alias("next_start"), get(8).try_cast("long").alias("insert_size"), get(9).alias("seq"), get(10).alias("quality"), group.alias("read_group"), library.alias("library"))
     return rows.where(F.col("flag").bitwiseAND(F.lit(0xB04)) == 0) if primary else rows
 
 

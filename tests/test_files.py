@@ -115,6 +115,27 @@ def test_regions_equal_a_filter(spark, files, name, region):
     assert sorted(r[0] for r in got) == sorted(want)
 
 
+@pytest.mark.parametrize("name", ["a.bam", "plain.bam"])
+def test_several_regions_give_each_read_once(spark, files, name):
+    folder, rows = files
+    asked = ["chr1:1000-30000", "chr1:20000-40000", "chr1:2900000", "chr2:1-5", "chr2:7000-7001", "chrX:1-2"]
+    got = alignment_file.bam(spark, f"{folder}/{name}", asked, primary=False, split_bytes=50_000).select("qname").collect()
+    spans = [alignment_file.Region(t) for t in asked]
+    want = [x[3] for x in rows if x[0] >= 0 and any(CONTIGS[x[0]][0] == r.chrom and x[1] - 1 < r.end and x[1] - 1 + max(1, bam_record(x)[1]) > r.begin for r in spans)]
+    assert sorted(r[0] for r in got) == sorted(want) and len(want) > 100
+
+
+def test_evidence_from_an_indexed_file(spark, files):
+    from locusmill.plans import evidence
+
+    folder, rows = files
+    spots = [(CONTIGS[x[0]][0], x[1] + 20, "A", "C") for x in rows[100:4000:300]] + [("chr3", 5, "A", "C")]
+    loci = spark.createDataFrame(spots, "chrom string, pos long, ref string, alt string")
+    told = [evidence.evidence(evidence.observations(loci, reads), loci).orderBy("chrom", "pos").collect() for reads in (readers.sam(spark, f"{folder}/a.sam"), evidence.reads_over(f"{folder}/a.bam", loci))]
+    assert told[0] == told[1] and sum(r["raw_read_depth"] for r in told[0]) >= 5
+    assert evidence.reads_over(f"{folder}/a.bam", loci.limit(0)).count() == 0
+
+
 def span(reader):
     return sum((p.value[2] >> 16) - (p.value[1] >> 16) for p in reader.partitions() if p.value)
 
