@@ -238,9 +238,9 @@ def msi_lines(t):
 other AS (SELECT c_custkey, 'G' || c_custkey % 400 AS gene, 'c.' || c_custkey % 50 AS c, 'p.' || c_custkey % 7 AS p, c_custkey % 100 / 100.0 AS vaf FROM customer),
 bc AS (SELECT gene, c, list(DISTINCT key) AS ks FROM ours GROUP BY 1, 2), bp AS (SELECT gene, p, list(DISTINCT key) AS ks FROM ours GROUP BY 1, 2), bg AS (SELECT gene, min(key) AS lo, max(key) AS hi, arg_min(af, key) AS af FROM ours GROUP BY 1),
 f AS (SELECT o.*, coalesce(bc.ks, []) AS sc, coalesce(bp.ks, []) AS sp, list_intersect(coalesce(bc.ks, []), coalesce(bp.ks, [])) AS joint, lo, hi, bg.af FROM other o LEFT JOIN bc ON bc.gene = o.gene AND bc.c = o.c LEFT JOIN bp ON bp.gene = o.gene AND bp.p = o.p LEFT JOIN bg ON bg.gene = o.gene),
-h AS (SELECT *, CASE WHEN len(joint) > 0 THEN joint WHEN len(sc) > 0 THEN sc ELSE sp END AS found, CASE WHEN len(joint) > 0 THEN 'hgvsc+hgvsp' WHEN len(sc) > 0 THEN 'hgvsc' ELSE 'hgvsp' END AS how, coalesce(lo = hi AND abs(af - vaf) <= 0.1, false) AS near FROM f)
-SELECT c_custkey, CASE WHEN len(found) > 0 THEN '两流程共同检出' WHEN near THEN '疑似共同检出（转录本差异）' ELSE '仅外部流程检出' END AS comparison_status, CASE WHEN len(found) > 0 THEN how || CASE WHEN len(found) > 1 THEN '(multiple)' ELSE '' END WHEN near THEN 'gene+vaf' ELSE '' END AS match_method,
-CASE WHEN len(found) > 0 THEN list_min(found) WHEN near THEN lo ELSE '' END AS matched_key, CASE WHEN lo IS NULL THEN 'no' ELSE 'yes' END AS gene_in_ours, CASE WHEN len(found) > 0 OR near THEN '本流程PASS' ELSE '未提供filtered VCF，暂不能追踪' END AS difference_diagnosis FROM h""")
+h AS (SELECT *, CASE WHEN len(joint) > 0 THEN joint WHEN len(sc) > 0 THEN sc ELSE sp END AS found, CASE WHEN len(joint) > 0 THEN '基因+cDNA+蛋白HGVS' WHEN len(sc) > 0 THEN '基因+cDNA HGVS' ELSE '基因+蛋白HGVS' END AS how, coalesce(lo = hi AND abs(af - vaf) <= 0.1, false) AS near FROM f)
+SELECT c_custkey, CASE WHEN len(found) > 0 THEN '两流程共同检出' WHEN near THEN '疑似共同检出（转录本差异）' ELSE '仅外部流程检出' END AS comparison_status, CASE WHEN len(found) > 0 THEN how || CASE WHEN len(found) > 1 THEN '（多候选）' ELSE '' END WHEN near THEN '同基因唯一候选且AF差≤10.0%；HGVS转录本不同，需坐标确认' ELSE '未匹配' END AS match_method,
+CASE WHEN len(found) > 0 THEN list_min(found) WHEN near THEN lo ELSE '' END AS matched_key, CASE WHEN lo IS NULL THEN '否' ELSE '是' END AS gene_in_ours, CASE WHEN len(found) > 0 OR near THEN '本流程PASS' ELSE '未提供filtered VCF，暂不能追踪' END AS difference_diagnosis FROM h""")
 def report_comparison(t):
     said = lambda text, c: F.concat(F.lit(text), c)
     ours = t.part.select(said("k", F.col("p_partkey")).alias("key"), said("G", F.col("p_partkey") % 300).alias("gene"), said("c.", F.col("p_size")).alias("hgvsc"), said("p.", F.col("p_size") % 7).alias("hgvsp"), (F.col("p_size") / 100.0).alias("af"))

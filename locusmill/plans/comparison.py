@@ -9,6 +9,7 @@ from locusmill.functions import biology as bio
 from locusmill.functions import fields as fd
 from locusmill.operators import intervals as iv
 from locusmill.operators import relational as rel
+from locusmill.plans import variants
 from locusmill.sources.readers import VariantFile, aliased, with_base
 
 #: Header names of external reports (fixed values).
@@ -26,6 +27,9 @@ REPORT_ALIASES = {
 }
 #: Values of comparison_status (fixed values).
 BOTH, LIKELY, EXTERNAL = "两流程共同检出", "疑似共同检出（转录本差异）", "仅外部流程检出"
+#: Values of match_method, what is added for several candidates, and whether a gene is seen (fixed values); {} is filled in.
+BY_BOTH, BY_CODING, BY_PROTEIN, BY_SHARE, NO_MATCH = "基因+cDNA+蛋白HGVS", "基因+cDNA HGVS", "基因+蛋白HGVS", "同基因唯一候选且AF差≤{}；HGVS转录本不同，需坐标确认", "未匹配"
+SEVERAL, SEEN, UNSEEN = "（多候选）", "是", "否"
 
 
 def external_report(table: DataFrame) -> DataFrame:
@@ -54,18 +58,51 @@ def compare(ours: DataFrame, other: DataFrame, tolerance: float = 0.02) -> DataF
     c, p = F.coalesce("set_c", none), F.coalesce("set_p", none)
     both = F.array_intersect(c, p)
     found = F.when(F.size(both) > 0, both).when(F.size(c) > 0, c).otherwise(p)
-    method = F.when(F.size(both) > 0, "hgvsc+hgvsp").when(F.size(c) > 0, "hgvsc").when(F.size(p) > 0, "hgvsp")
-    near = (F.col("lo") == F.col("hi")) & (F.abs(F.col("af") - F.col("other_vaf_numeric")) <= tolerance)
+    method = F.when(F.size(both) > 0, BY_BOTH).when(F.size(c) > 0, BY_CODING).when(F.size(p) > 0, BY_PROTEIN)
+    near = F.coalesce((F.col("lo") == F.col("hi")) & (F.abs(F.col("af") - F.col("other_vaf_numeric")) <= tolerance), F.lit(False))
     exact = F.size(found) > 0
     out = rows.withColumns({
-        "comparison_status": F.when(exact, BOTH).when(F.coalesce(near, F.lit(False)), LIKELY).otherwise(EXTERNAL),
-        "match_method": F.when(exact, F.concat(method, F.when(F.size(found) > 1, "(multiple)").otherwise(""))).when(near, "gene+vaf").otherwise(""),
+        "comparison_status": F.when(exact, BOTH).when(near, LIKELY).otherwise(EXTERNAL),
+        "match_method": F.when(exact, F.concat(method, F.when(F.size(found) > 1, SEVERAL).otherwise(""))).when(near, BY_SHARE.format(f"{tolerance:.1%}")).otherwise(NO_MATCH),
         "matched_key": F.when(exact, F.array_min(found)).when(near, F.col("lo")).otherwise(""),
-        "gene_in_ours": F.when(F.col("g3").isNotNull(), "yes").otherwise("no"),
+        "gene_in_ours": F.when(F.col("g3").isNotNull(), SEEN).otherwise(UNSEEN),
     })
     return out.drop("g1", "c", "set_c", "g2", "p", "set_p", "g3", "lo", "hi", "af")
 
 
+def our_variants(vcf: VariantFile, tumor: str, normal: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Details of each allele of our calls (key, place, filter, metrics, best annotation), and ``key, gene, hgvsc, hgvsp, af`` of all its annotations.
+
+    The first record of a key counts, as do all its annotations.
+    """
+    have = vcf.annotation_fields or []
+    rows = vcf.alleles(tumor, normal)
+    rows = rows.withColumns({"entries": variants.matched_annotations(rows, False), "_t": fd.sample_metrics(F.col("tumor"), F.col("i")), "_n": fd.sample_metrics(F.col("normal"), F.col("i"))})
+    rows = rows.withColumns({"chrom": bio.with_chr(F.col("chrom")), "best": variants.best_for_report(F.col("entries"), have)})
+    rows = rows.withColumn("key", F.concat_ws(":", "chrom", F.col("pos").cast("string"), "ref", "alt"))
+    rows = rel.best(rows, ["key"], [F.col("at"), F.col("i")])
+    of = lambda f: F.coalesce(F.col(f"best.{f}"), F.lit("")) if f in have else F.lit("")
+    every = lambda f: F.transform("entries", lambda e: F.coalesce(e[f], F.lit(""))) if f in have else F.array().cast("array<string>")
+    joined = lambda names: F.array_join(F.array_sort(F.array_distinct(F.filter(names, lambda x: x != ""))), ";")
+    terms = F.flatten(F.transform(every("Consequence"), lambda c: F.split(c, "&")))
+    metrics = [F.col(f"_{p}.{m}").alias(f"{n}_{m}") for p, n in (("t", "tumor"), ("n", "normal")) for m in ("dp", "alt_reads", "af")]
+    details = rows.select("key", "chrom", "pos", "id", "ref", "alt", "qual", "filter", fd.number(fd.per_allele(F.element_at("info", "TLOD"), F.col("i"))).alias("tlod"), joined(every("SYMBOL")).alias("genes"), *[of(f).alias(n) for f, n in (("SYMBOL", "gene"), ("Consequence", "consequence"), ("IMPACT", "impact"), ("Feature", "transcript"), ("HGVSc", "hgvsc"), ("HGVSp", "hgvsp"))], joined(terms).alias("all_consequences"), *metrics)
+    each = rows.select("key", F.col("_t.af").alias("af"), F.explode("entries").alias("e"))
+    text = lambda f: F.coalesce(F.col(f"e.{f}"), F.lit("")) if f in have else F.lit("")
+    return details, each.select("key", text("SYMBOL").alias("gene"), bio.cdna_name(text("HGVSc")).alias("hgvsc"), bio.protein_name(text("HGVSp")).alias("hgvsp"), "af")
+
+
+#: What the comparison tells of a matched variant of ours, in its order (fixed values).
+OURS = ("chrom", "pos", "ref", "alt", "filter", "tlod", "tumor_dp", "tumor_alt_reads", "tumor_af", "normal_dp", "normal_alt_reads", "normal_af", "consequence")
+
+
+def with_ours(compared: DataFrame, details: DataFrame) -> DataFrame:
+    """``compared`` with our_ columns of the matched variant, and matched_variant_key and same_gene_seen_in_our_vcf by those names."""
+    side = details.select(F.col("key").alias("matched_variant_key"), *[F.col(c).alias(f"our_{c}") for c in OURS])
+    out = compared.join(side, F.col("matched_key") == F.col("matched_variant_key"), "left")
+    return out.withColumns({"matched_variant_key": F.coalesce("matched_variant_key", F.lit("")), "same_gene_seen_in_our_vcf": F.col("gene_in_ours")})
+
+
 def only_ours(ours: DataFrame, compared: DataFrame) -> DataFrame:
     """(U2)"""
     return rel.only_left(ours, compared.where("matched_key <> ''"), "key", "matched_key")

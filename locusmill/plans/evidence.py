@@ -116,9 +116,8 @@ def evidence(seen: DataFrame, loci: DataFrame | None = None) -> DataFrame:
     of = lambda c: F.when(mine, F.col(c))
     reads = seen.groupBy(*LOCUS).agg(*[F.count_if(c).alias(n) for n, c in counts.items()], fd.rounded(F.coalesce(F.avg(of("base_quality")), F.lit(0.0)), 2).alias("alt_mean_bq"), fd.rounded(F.coalesce(F.avg(of("mapq")), F.lit(0.0)), 2).alias("alt_mean_mapq"), F.coalesce(F.median(of("end_distance")), F.lit(0.0)).alias("alt_median_end_distance"), F.size(F.collect_set(of("start"))).cast("long").alias("alt_unique_alignment_starts"))
     best = F.max_by(F.struct("reverse", "orientation", "read_number"), F.struct("base_quality", "mapq", -F.col("at")))
-    whole = rel.consensus(seen.where(counts["hq_read_depth"]), [*LOCUS, "qname"], "base").drop("n")
-    told = seen.where(counts["hq_read_depth"]).groupBy(*LOCUS, "qname").agg(best.alias("r"))
-    one = whole.join(told, [*LOCUS, "qname"]).select(*LOCUS, "base", "r.*")
+    good = seen.where(counts["hq_read_depth"]).groupBy(*LOCUS, "qname")
+    one = good.agg(F.min("base").alias("base"), F.max("base").alias("_most"), best.alias("r")).where("base = _most").select(*LOCUS, "base", "r.*")
     fragments = {
         "hq_fragment_depth": F.lit(True),
         "hq_ref_fragments": ref,

@@ -85,8 +85,9 @@ def test_peptides(spark):
 def test_comparison_and_mapping(spark):
     ours = spark.createDataFrame([("k1", "G", "c.1A>T", "p.K1N", 0.3), ("k2", "G", "c.2A>T", "p.K1N", 0.1), ("k3", "H", "c.9A>T", "", 0.2)], "key string, gene string, hgvsc string, hgvsp string, af double")
     other = spark.createDataFrame([("G", "c.1A>T", "p.K1N", 0.3), ("G", "c.7A>T", "p.K1N", 0.9), ("H", "c.8A>T", "", 0.21), ("H", "c.8A>T", "", 0.5), ("X", "", "", None)], "gene string, hgvsc_norm string, hgvsp_norm string, other_vaf_numeric double")
+    c = comparison
     got = comparison.compare(ours, other).collect()
-    assert sorted((r["gene"], r["match_method"], r["matched_key"]) for r in got) == [("G", "hgvsc+hgvsp", "k1"), ("G", "hgvsp(multiple)", "k1"), ("H", "", ""), ("H", "gene+vaf", "k3"), ("X", "", "")]
+    assert sorted((r["gene"], r["match_method"], r["matched_key"]) for r in got) == sorted([("G", c.BY_BOTH, "k1"), ("G", c.BY_PROTEIN + c.SEVERAL, "k1"), ("H", c.NO_MATCH, ""), ("H", c.BY_SHARE.format("2.0%"), "k3"), ("X", c.NO_MATCH, "")])
     assert [r["key"] for r in comparison.only_ours(ours, comparison.compare(ours, other)).collect()] == ["k2"]
     transcripts = spark.createDataFrame([("G", "T1", 0, "chr1", 1, ["MANE_Select"], [(101, 110), (201, 210)]), ("R", "T2", 1, "chr2", -1, ["type:protein_coding"], [(101, 110), (201, 210)])], "gene string, transcript string, ord long, chrom string, strand int, tags array<string>, cds array<struct<start:long,end:long>>")
     names = spark.createDataFrame([("G", "c.12A>C"), ("R", "c.12A>C"), ("R", "c.10+2A>C"), ("G", "c.99A>C"), ("Q", "c.1A>C"), ("G", "c.1del")], "gene string, hgvsc_norm string")
@@ -160,3 +161,28 @@ def test_kmers_of_long_and_short_texts(spark):
     texts = ["", "abc", "abcd", "é😀x" * 200, "z" * 131, "z" * 132, "q" * 259, None]
     got = [r["k"] for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i").select(rel.kmers(F.col("t"), 4).alias("k")).collect()]
     assert got == [[t[i : i + 4] for i in range(len(t) - 3)] if t else [] for t in texts]
+
+
+def test_tables_of_filter_burden_and_comparison(spark, tmp_path):
+    v = vcf(spark, tmp_path)
+    rows = variants.manual_filter(v, "T1", "N1")
+    table = variants.as_text(rows, variants.AUDIT)
+    assert table.columns == list(variants.AUDIT) and len(table.columns) == 27
+    got = {r["gene"]: r for r in table.collect()}
+    assert (got["B"]["tlod"], got["B"]["tumor_af"], got["B"]["pass_tlod"], got["B"]["overall_pass"], got["B"]["max_population_af"]) == ("6.29", "0.23", "False", "False", "0.5")
+    assert got["C"]["tlod"] == "" and got["C"]["tumor_af"] == "0.285714" and got["A"]["overall_pass"] == "True" and got["A"]["failure_reasons"] == ""
+    burden = variants.as_text(variants.burden_rows(v, "T1", "N1"), variants.BURDEN)
+    assert len(burden.columns) == 20 and {r["status"] for r in burden.collect()} == {"accepted", "rejected"}
+    s = variants.filter_summary(rows, "T1", "N1").first()
+    assert (s["input_variants"], s["passed_variants"], s["failed_variants"]) == (3, 1, 2) and s["failure_reason_counts"]["tlod"] == 2 and s["thresholds"]["min_tlod"] == 6.3
+    details, notes = comparison.our_variants(v, "T1", "N1")
+    mine = {r["gene"]: r for r in details.collect()}
+    assert mine["B"]["key"] == "chr1:200:A:T" and (mine["B"]["hgvsc"], mine["B"]["tlod"], mine["B"]["tumor_alt_reads"], mine["B"]["all_consequences"]) == ("c.2A>T", 6.29, 9, "missense_variant")
+    other = spark.createDataFrame([("b", "c.2A>T", "", 0.9), ("C", "c.x", "", 0.29), ("Q", "", "", None)], "gene string, hgvsc_norm string, hgvsp_norm string, other_vaf_numeric double")
+    out = {r["gene"]: r for r in comparison.with_ours(comparison.compare(notes, other), details).collect()}
+    assert (out["b"]["our_pos"], out["b"]["our_filter"], out["b"]["matched_variant_key"], out["b"]["same_gene_seen_in_our_vcf"]) == (200, "PASS", "chr1:200:A:T", "是")
+    assert out["C"]["comparison_status"] == comparison.LIKELY and out["C"]["our_tumor_dp"] == 14 and out["Q"]["our_pos"] is None and out["Q"]["same_gene_seen_in_our_vcf"] == "否"
+    details = comparison.filtered_details(v, "T1", "N1")
+    traced = comparison.traced(spark.createDataFrame([("chr1:300:A:T", ""), ("", "chr1:100:A:T"), ("", "")], "matched_key string, gtf_variant string"), details)
+    told = {(r["matched_key"], r["gtf_variant"]): (r["filtered_filter"], r["filtered_tumor_dp"]) for r in traced.collect()}
+    assert told["chr1:300:A:T", ""] == ("weak", 14) and told["", "chr1:100:A:T"][0] == "PASS" and told["", ""] == ("", None)
