@@ -28,4 +28,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": lines.OP1_SQL, "op2_mix": mixing.OP2_SQL, "op6_decontam": decontam.OP6_SQL, "op9_ngram_join": sigtree.OP9_SQL, "op10_warc": warc.OP10_SQL, "op11_importance": importance.OP11_SQL, "op12_search": search.OP12_SQL}
+    return {"op1_line_dedup": lines.OP1_SQL, "op2_mix": mixing.OP2_SQL, "op3_embed_dedup": vectors.OP3_SQL, "op6_decontam": decontam.OP6_SQL, "op9_ngram_join": sigtree.OP9_SQL, "op10_warc": warc.OP10_SQL, "op11_importance": importance.OP11_SQL, "op12_search": search.OP12_SQL}

@@ -295,3 +295,17 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, recall: float
 
 def op3_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+#: All pairs: for small tables only.
+OP3_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+), fit AS (
+  SELECT vec_id, e FROM v WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0
+), l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM fit a JOIN fit b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.95
+), r AS (SELECT a AS id, b AS root FROM l UNION SELECT l.a, r.root FROM l JOIN r ON l.b = r.id)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(low, vec_id)) AS component_id, least(vec_id, coalesce(low, vec_id)) = vec_id AS kept
+FROM v LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM l GROUP BY a) USING (vec_id) LEFT JOIN (SELECT id AS vec_id, min(root) AS low FROM r GROUP BY id) USING (vec_id)
+"""
