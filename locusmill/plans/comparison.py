@@ -45,29 +45,37 @@ def compare(ours: DataFrame, other: DataFrame, tolerance: float = 0.02) -> DataF
     ``ours``: key, gene, hgvsc, hgvsp, af, a row per annotation. Candidates by c. name and by p. name: both together where
     they share some, else those by c., else those by p.; the least key counts. Rows without any can still match the only
     variant of their gene by its fraction.
+
+    Candidates are summed up to their least and largest key before they are joined, so rows never carry lists of them. Both
+    names together: every c. with every p. of a key in a gene, whichever of its annotations they are from.
     """
     usable = ~F.col("hgvsp").isin("", "p.?", "?")
     ours = ours.withColumn("gene", F.upper("gene"))
-    by_c = ours.where("hgvsc <> ''").groupBy(F.col("gene").alias("g1"), F.col("hgvsc").alias("c")).agg(F.collect_set("key").alias("set_c"))
-    by_p = ours.where(usable).groupBy(F.col("gene").alias("g2"), F.col("hgvsp").alias("p")).agg(F.collect_set("key").alias("set_p"))
-    by_gene = ours.groupBy(F.col("gene").alias("g3")).agg(F.min("key").alias("lo"), F.max("key").alias("hi"), F.min_by("af", "key").alias("af"))
-    rows = other.join(by_c, (F.upper("gene") == F.col("g1")) & (F.col("hgvsc_norm") == F.col("c")), "left")
-    rows = rows.join(by_p, (F.upper("gene") == F.col("g2")) & (F.col("hgvsp_norm") == F.col("p")), "left")
-    rows = rows.join(by_gene, F.upper("gene") == F.col("g3"), "left")
-    none = F.array().cast("array<string>")
-    c, p = F.coalesce("set_c", none), F.coalesce("set_p", none)
-    both = F.array_intersect(c, p)
-    found = F.when(F.size(both) > 0, both).when(F.size(c) > 0, c).otherwise(p)
-    method = F.when(F.size(both) > 0, BY_BOTH).when(F.size(c) > 0, BY_CODING).when(F.size(p) > 0, BY_PROTEIN)
-    near = F.coalesce((F.col("lo") == F.col("hi")) & (F.abs(F.col("af") - F.col("other_vaf_numeric")) <= tolerance), F.lit(False))
-    exact = F.size(found) > 0
+    pairs = ours.groupBy("gene", "key").agg(F.collect_set(F.when(F.col("hgvsc") != "", F.col("hgvsc"))).alias("c"), F.collect_set(F.when(usable, F.col("hgvsp"))).alias("p"))
+    pairs = pairs.withColumn("hgvsc", F.explode("c")).withColumn("hgvsp", F.explode("p"))
+    levels = {
+        "both": (pairs, ["gene", "hgvsc", "hgvsp"], []),
+        "c": (ours.where("hgvsc <> ''"), ["gene", "hgvsc"], []),
+        "p": (ours.where(usable), ["gene", "hgvsp"], []),
+        "any": (ours, ["gene"], [F.min_by("af", "key").alias("_any_af")]),
+    }
+    mine = {"gene": F.upper("gene"), "hgvsc": F.col("hgvsc_norm"), "hgvsp": F.col("hgvsp_norm")}
+    rows = other
+    for level, (side, names, more) in levels.items():
+        found = side.groupBy(*[F.col(c).alias(f"_{level}_{c}") for c in names]).agg(F.min("key").alias(f"_{level}_lo"), F.max("key").alias(f"_{level}_hi"), *more)
+        rows = rows.join(found, [mine[c] == F.col(f"_{level}_{c}") for c in names], "left")
+    named = ["both", "c", "p"]
+    least, most = (F.coalesce(*[F.col(f"_{level}_{end}") for level in named]) for end in ("lo", "hi"))
+    method = F.coalesce(*[F.when(F.col(f"_{level}_lo").isNotNull(), said) for level, said in zip(named, (BY_BOTH, BY_CODING, BY_PROTEIN))])
+    near = F.coalesce((F.col("_any_lo") == F.col("_any_hi")) & (F.abs(F.col("_any_af") - F.col("other_vaf_numeric")) <= tolerance), F.lit(False))
+    exact = least.isNotNull()
     out = rows.withColumns({
         "comparison_status": F.when(exact, BOTH).when(near, LIKELY).otherwise(EXTERNAL),
-        "match_method": F.when(exact, F.concat(method, F.when(F.size(found) > 1, SEVERAL).otherwise(""))).when(near, BY_SHARE.format(f"{tolerance:.1%}")).otherwise(NO_MATCH),
-        "matched_key": F.when(exact, F.array_min(found)).when(near, F.col("lo")).otherwise(""),
-        "gene_in_ours": F.when(F.col("g3").isNotNull(), SEEN).otherwise(UNSEEN),
+        "match_method": F.when(exact, F.concat(method, F.when(least != most, SEVERAL).otherwise(""))).when(near, BY_SHARE.format(f"{tolerance:.1%}")).otherwise(NO_MATCH),
+        "matched_key": F.when(exact, least).when(near, F.col("_any_lo")).otherwise(""),
+        "gene_in_ours": F.when(F.col("_any_gene").isNotNull(), SEEN).otherwise(UNSEEN),
     })
-    return out.drop("g1", "c", "set_c", "g2", "p", "set_p", "g3", "lo", "hi", "af")
+    return out.drop(*[f"_{level}_{c}" for level, (_, names, _) in levels.items() for c in (*names, "lo", "hi")], "_any_af")
 
 
 def our_variants(vcf: VariantFile, tumor: str, normal: str | None = None) -> tuple[DataFrame, DataFrame]:

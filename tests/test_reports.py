@@ -135,6 +135,43 @@ def test_mapping_checks_the_reference(spark):
     assert told[5][0] == c.NO_TRANSCRIPT and [t[0] for t in told[6:]] == [c.NOT_SUPPORTED] * 3
 
 
+def _nodes(plan):
+    yield plan
+    for i in range(plan.children().size()):
+        yield from _nodes(plan.children().apply(i))
+
+
+@pytest.mark.parametrize("genes, size", [(4, 60), (40, 60), (1, 400)])
+def test_comparison_by_brute_force(spark, genes, size):
+    r = np.random.default_rng(genes + size)
+    pick = lambda values: values[int(r.integers(len(values)))]
+    gene = lambda: pick([f"g{r.integers(genes)}", f"G{r.integers(genes)}", f"G{r.integers(2 * genes)}", None])
+    c, p = lambda: pick(["", None, *(f"c.{i}" for i in range(6))]), lambda: pick(["", "?", "p.?", None, *(f"p.{i}" for i in range(6))])
+    af = {f"k{i}": float(r.integers(100)) / 100 for i in range(size // 2)}
+    ours = [(k, gene(), c(), p(), af[k]) for k in map(lambda i: f"k{i}", r.integers(size // 2, size=size))]
+    other = [(i, gene(), c(), p(), pick([None, float(r.integers(100)) / 100])) for i in range(300)]
+    B, L, E, t = comparison.BOTH, comparison.LIKELY, comparison.EXTERNAL, comparison
+    want = set()
+    for i, g, hc, hp, share in other:
+        same = [o for o in ours if o[1] and g and o[1].upper() == g.upper()]
+        by_c, by_p = {o[0] for o in same if hc and o[2] == hc}, {o[0] for o in same if hp not in ("", "?", "p.?", None) and o[3] == hp}
+        found = by_c & by_p or by_c or by_p
+        how = (t.BY_BOTH if by_c & by_p else t.BY_CODING if by_c else t.BY_PROTEIN) + (t.SEVERAL if len(found) > 1 else "")
+        keys = {o[0] for o in same}
+        near = len(keys) == 1 and share is not None and abs(af[min(keys)] - share) <= 0.3
+        told = (B, how, min(found)) if found else (L, t.BY_SHARE.format("30.0%"), min(keys)) if near else (E, t.NO_MATCH, "")
+        want.add((i, *told, t.SEEN if same else t.UNSEEN))
+    ours = spark.createDataFrame(ours, "key string, gene string, hgvsc string, hgvsp string, af double")
+    other = spark.createDataFrame(other, "i int, gene string, hgvsc_norm string, hgvsp_norm string, other_vaf_numeric double")
+    out = comparison.compare(ours, other, 0.3)
+    names = ["comparison_status", "match_method", "matched_key", "gene_in_ours"]
+    assert out.columns == other.columns + names
+    assert sorted(map(tuple, out.select("i", *names).collect())) == sorted(want)
+    # A name that many variants share must not send all of them along with every row that has it.
+    joins = [n.schema().simpleString() for n in _nodes(out._jdf.queryExecution().optimizedPlan()) if n.nodeName() == "Join"]
+    assert joins and not [j for j in joins if "array" in j]
+
+
 def test_status_diagnosis_and_counts(spark):
     merged = spark.createDataFrame([("chr1", 100, 200)], "chrom string, start long, end long")
     ours = spark.createDataFrame([("k1", True), ("k2", False), ("k3", True)], "key string, in_bed boolean")
