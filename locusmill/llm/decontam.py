@@ -177,7 +177,8 @@ def _blocks(items: DataFrame, most: int) -> Iterator[list]:
     yield block
 
 
-def _passes(docs: DataFrame, keep: list[str], items: DataFrame, window: int, block_words: int) -> DataFrame:
+def _passes(docs: DataFrame, keep: list[str], items: DataFrame, window: int, block_words: int, cut: bool = False) -> DataFrame:
+    """What each block of items hits, one pass a block; ``cut``: also ``_cut``, the text without the pass's hit words (null where none is hit)."""
     kept = [f for f in docs.schema.fields if f.name in keep]
     out = None
     for block in _blocks(items, block_words):
@@ -186,18 +187,21 @@ def _passes(docs: DataFrame, keep: list[str], items: DataFrame, window: int, blo
         def scan(batches: Iterator[pa.RecordBatch], model=model) -> Iterator[pa.RecordBatch]:
             automaton = received(model)
             for batch in batches:
-                n_words, spans, found = [], [], []
+                n_words, spans, found, rest = [], [], [], []
                 for text in batch.column("_text"):
-                    seq = words(text.as_py() or b"")
+                    text = text.as_py() or b""
+                    seq = words(text)
                     hits, held = automaton.match(seq)
                     n_words.append(len(seq))
                     spans.append([x for pair in hits for x in pair])
                     found.append(sorted(held - {None}))
+                    rest.append(without(text, hits) if cut and hits else None)
                 arrays = [batch.column(n) for n in batch.schema.names if n != "_text"]
                 names = [n for n in batch.schema.names if n != "_text"]
-                yield pa.RecordBatch.from_arrays([*arrays, pa.array(n_words, pa.int64()), pa.array(spans, pa.list_(pa.int32())), pa.array(found, pa.list_(pa.string()))], names=[*names, "_n", "_spans", "_items"])
+                more = [pa.array(rest, pa.binary())] if cut else []
+                yield pa.RecordBatch.from_arrays([*arrays, pa.array(n_words, pa.int64()), pa.array(spans, pa.list_(pa.int32())), pa.array(found, pa.list_(pa.string())), *more], names=[*names, "_n", "_spans", "_items", *["_cut"] * cut])
 
-        schema = T.StructType([*kept, T.StructField("_n", T.LongType()), T.StructField("_spans", T.ArrayType(T.IntegerType())), T.StructField("_items", T.ArrayType(T.StringType()))])
+        schema = T.StructType([*kept, T.StructField("_n", T.LongType()), T.StructField("_spans", T.ArrayType(T.IntegerType())), T.StructField("_items", T.ArrayType(T.StringType())), *[T.StructField("_cut", T.BinaryType())] * cut])
         part = docs.select(*keep, F.col("_text_source").cast("binary").alias("_text")).mapInArrow(tidied(scan), schema)
         out = part if out is None else out.unionByName(part)
     return out
@@ -214,6 +218,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
     without id only where ``nameless`` says so (its words are hit then, but items don't list it). Repeated rows are rows
     like others; empty tables give no rows.
     """
+    return _found(docs, benchmark, window, block_words, nameless)
+
+
+def _found(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS, nameless: bool = False, cut: bool = False) -> DataFrame:
+    """``contamination``; with ``cut`` and a single pass also ``_cut``, so that no second Python worker a task is needed to cut the texts."""
     bounded_batches(docs.sparkSession)
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), "text").where(F.lit(nameless) | F.col("item").isNotNull())
     base = docs.select(F.struct("*").alias("row"), F.col("text").alias("_text_source"))
@@ -228,24 +237,24 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
         empty = F.array().cast("array<struct<a:int,b:int>>")
         pairs, held = F.coalesce("_pairs", empty), F.coalesce("_items", F.array().cast("array<string>"))
     else:
-        rows = _passes(base, ["row"], items, window, block_words)
+        rows = _passes(base, ["row"], items, window, block_words, cut)
         pairs = F.when(F.size("_spans") > 0, F.transform(F.sequence(F.lit(1), (F.size("_spans") / 2).cast("int")), lambda i: F.struct(F.get("_spans", 2 * i - 2).alias("a"), F.get("_spans", 2 * i - 1).alias("b")))).otherwise(F.array().cast("array<struct<a:int,b:int>>"))
         held = F.col("_items")
     start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("end"))
     add = lambda s, p: F.struct((s["n"] + F.greatest(F.lit(0), p["b"] - F.greatest(p["a"], s["end"]))).alias("n"), F.greatest(s["end"], p["b"]).alias("end"))
-    out = rows.select("row", F.col("_n").alias("n_words"), pairs.alias("spans"), held.alias("items"))
+    out = rows.select("row", F.col("_n").alias("n_words"), pairs.alias("spans"), held.alias("items"), *[c for c in rows.columns if c == "_cut"])
     out = out.withColumn("n_hit", F.aggregate("spans", start, add, lambda s: s["n"]).cast("long"))
     return out.withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * COVERAGE >= F.col("n_words")))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
     """``docs`` without the documents whose hit words reach the limit of coverage; the others lose their hit words. Items without id count."""
-    return _cut(contamination(docs, benchmark, nameless=True, **how).where(~F.col("contaminated")), docs.columns)
+    return _cut(_found(docs, benchmark, nameless=True, cut=True, **how).where(~F.col("contaminated")), docs.columns)
 
 
 def cut_spans(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
     """``docs`` with the hit words of every document taken out of its text (words keep what follows them)."""
-    return _cut(contamination(docs, benchmark, **how), docs.columns)
+    return _cut(_found(docs, benchmark, cut=True, **how), docs.columns)
 
 
 def without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
@@ -273,7 +282,13 @@ def _cutting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _cut(found: DataFrame, columns: list[str]) -> DataFrame:
-    """The rows of ``contamination`` as they were, without their hit words: one walk over each text with hits, none over others."""
+    """The rows of ``_found`` as they were, without their hit words: one walk over each text with hits, none over others.
+
+    A single pass has cut the texts itself. Two Python steps in one stage would be two workers for each task, which live on
+    and hold what later steps keep in each. After several passes rows come from a shuffle, and are cut in a stage of their own.
+    """
+    if "_cut" in found.columns:
+        return found.select(*[(F.coalesce(F.col("_cut").cast("string"), F.col("row.text")) if c == "text" else F.col(f"row.`{c}`")).alias(c) for c in columns])
     rows = found.select("row", "spans")
     out = rows.mapInArrow(tidied(_cutting), T.StructType([rows.schema["row"]]))
     return out.select(*[F.col(f"row.`{c}`").alias(c) for c in columns])

@@ -381,6 +381,14 @@ def test_decontamination_heeds_items_without_id(spark, block):
     assert {(r["row"]["doc_id"], r["n_hit"], tuple(r["items"])) for r in decontam.contamination(docs, items, block_words=block, nameless=True).collect()} == {(1, 20, ()), (2, 30, ()), (3, 20, ()), (4, 20, ("1",))}
 
 
+@pytest.mark.parametrize("cut", [decontam.decontaminate, decontam.cut_spans])
+def test_decontamination_needs_one_python_worker_a_task(spark, cut):
+    docs = cut(frame(spark, [(1, f"{prose(500, 60)} {prose(20, 50)}", "a", "x", 1)]), frame(spark, [(1, prose(20, 50))], "item_id long, text string"))
+    plan = docs._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Exchange" not in plan
+    assert [r["text"] for r in docs.collect()] == [f"{prose(500, 60)} "]
+
+
 def test_wavelet():
     z = np.random.default_rng(1).integers(0, 70, 3000)
     f = WaveletFile.of(encode(z, [5, None], np.array([1000, 3000])))
