@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import string
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -34,6 +35,12 @@ _RNG = np.random.default_rng(20240229)
 _BYTE_CODES = _RNG.integers(0, 2**64, 256, dtype=np.uint64)
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INVERSE = pow(_BASE, -1, 2**64)
+#: Stretches of more bytes are compared byte by byte.
+_LONG = 64
+_MASKS = np.array([2 ** (8 * n) - 1 for n in range(9)], dtype=np.uint64)
+_LETTERS = np.isin(np.arange(256), np.frombuffer((string.ascii_lowercase + string.digits).encode(), dtype=np.uint8))
+#: Second bytes of ß to ÿ, which follow C3.
+_LATIN = np.isin(np.arange(256), [b for b in range(0x9F, 0xC0) if b != 0xB7])
 
 
 class ByteHasher:
@@ -63,7 +70,8 @@ def by_word(description: dict) -> bool:
     """Whether a tokenizer's pieces never cross a space, so that texts can be encoded stretch by stretch between spaces.
 
     Known to be so: normalisers that lower characters one by one, and may fold white space or compose; a splitting pattern whose
-    classes leave white space out, with what lies between removed; a byte-pair model; no added token with a space in it.
+    classes leave white space out, with what lies between removed; runs of letters whole, and nothing else that holds letters or
+    digits together with marks; a byte-pair model; no added token with a space in it, or that wants other than letters around it.
     """
     normalizer, splitter = description.get("normalizer") or {}, description.get("pre_tokenizer") or {}
     steps = normalizer.get("normalizers", [normalizer] if normalizer else [])
@@ -72,9 +80,10 @@ def by_word(description: dict) -> bool:
     if not parts or parts[0]["type"] != "Split" or parts[0]["behavior"] != "Removed" or not parts[0]["invert"]:
         return False
     pieces = parts[0]["pattern"].get("Regex", " ").split("|")
-    apart = all(re.fullmatch(r"'[a-z]+|\[(\\p\{[LN]\})+\]\+?|\[\^(?=.*\\s)[^\[\] ]+\]\+?", x) for x in pieces)
+    apart = all(re.fullmatch(r"'[a-z]+|\[\\p\{N\}\]\+?|\[(\\p\{L\}|\\p\{L\}\\p\{N\}|\\p\{N\}\\p\{L\})\]\+|\[\^(?=.*\\s)(?=.*\\p\{L\})(?=.*\\p\{N\})[^\[\] ]+\]\+?", x) for x in pieces)
+    apart = apart and any(re.match(r"\[(\\p\{N\})?\\p\{L\}", x) for x in pieces)
     later = all(p["type"] == "ByteLevel" and not p["add_prefix_space"] and not p["use_regex"] for p in parts[1:])
-    whole = all(" " not in t["content"] and not t["lstrip"] and not t["rstrip"] and not t["normalized"] for t in description.get("added_tokens", []))
+    whole = all(" " not in t["content"] and not t["single_word"] and not t["lstrip"] and not t["rstrip"] and not t["normalized"] for t in description.get("added_tokens", []))
     lowered = any(n["type"] == "Lowercase" for n in steps)  # texts are lowered before they are looked up
     return plain and lowered and apart and later and whole and description["model"]["type"] == "BPE" and description.get("post_processor") is None
 
@@ -84,6 +93,11 @@ def _longer(a: np.ndarray) -> np.ndarray:
     return np.concatenate((a, np.zeros(max(1 << 16, len(a) // 4), dtype=a.dtype)))
 
 
+def _eights(raw: bytes | np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on, as one number."""
+    return np.ndarray((len(raw) - 7,), dtype="<u8", buffer=raw, strides=(1,))
+
+
 def _places_of(first: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The places of runs that begin at ``first``, one run after the other."""
     until = np.cumsum(size, dtype=np.int64)
@@ -96,15 +110,15 @@ class Encoder:
     """Token ids of whole texts, equal to the library's; stretches that were seen are looked up instead of encoded again.
 
     The tokenizer splits at white space and its pieces never cross it, so a text's ids are those of its stretches between
-    spaces; a full stop or comma after a letter or digit is a stretch of its own at the end of one. Stretches are found by
+    spaces; a mark after a letter or digit begins a stretch as well, since pieces end there. Stretches are found by
     64-bit hashes for many texts at once, and then compared byte by byte with what the entry was learnt from: a text in
-    which any differs is encoded by the library. New plain words are encoded together in one call and cut at the ids that
-    end a word, other stretches one by one.
+    which any differs is encoded by the library. New plain words are encoded together in one call, without the steps that
+    leave them as they are (normalising, search for pieces), and cut at the ids that end a word, other stretches one by one.
     """
 
     def __init__(self, path: str | None, vocabulary: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         if path is None:
             import public_tokenizers
@@ -118,7 +132,14 @@ class Encoder:
         said = json.loads(self.library.to_str())
         self.by_word = by_word(said) and said["model"].get("end_of_word_suffix") == "</w>"
         self.ends = ends
-        self.plain = re.compile("[a-zà-öø-ÿ]+")
+        self.plain = re.compile("[a-zß-öø-ÿ]+")
+        self.marks = np.zeros(256, dtype=bool)
+        if self.by_word:
+            self.words = Tokenizer(self.library.model)
+            later = [pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False) for _ in said["pre_tokenizer"].get("pretokenizers", [0])[1:]]
+            self.words.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), *later])
+            added = "".join(t["content"] for t in said["added_tokens"])  # never cut inside one
+            self.marks[[ord(c) for c in string.punctuation if c not in added]] = True
         self.simple = re.compile(r"[\x00-į]*")
         self.hasher = ByteHasher()
         self._forget()
@@ -128,7 +149,8 @@ class Encoder:
 
     def _fill(self, keys: np.ndarray, size: np.ndarray, ids: np.ndarray, width: np.ndarray, raw: np.ndarray) -> None:
         """Know these stretches only; entry 0 is the empty one. ``raw`` has their bytes, ``width`` how many each."""
-        self.width, self.begin, self.bytes, self.filled = width, np.cumsum(width, dtype=np.int64) - width, raw, len(raw)
+        self.width, self.begin, self.filled = width, np.cumsum(width, dtype=np.int64) - width, len(raw)
+        self.bytes = np.concatenate((raw, np.zeros(8, dtype=np.uint8)))  # eight can be read from each place
         self.n, self.used = len(keys), len(ids)
         self.keys, self.size, self.first = keys, size, (np.cumsum(size) - size).astype(np.int32)
         self.ids, self.again = ids, np.zeros(len(keys), dtype=bool)
@@ -167,7 +189,7 @@ class Encoder:
         ids = [np.zeros(0, dtype=self.kind)]
         size = np.zeros(len(need), dtype=np.int32)
         if plain:
-            ids.append(np.array(self.library.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, dtype=self.kind))
+            ids.append(np.array(self.words.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, dtype=self.kind))
             at = np.flatnonzero(self.ends[ids[-1]]) + 1
             if len(at) != len(plain):
                 raise ValueError("a plain word was not one piece")
@@ -185,7 +207,7 @@ class Encoder:
     def _learn(self, keys: np.ndarray, words: list[bytes]) -> None:
         raw, width = np.frombuffer(b"".join(words), dtype=np.uint8), np.fromiter(map(len, words), dtype=np.int32, count=len(words))
         begin = self.filled + np.cumsum(width, dtype=np.int64) - width
-        while self.filled + len(raw) > len(self.bytes):
+        while self.filled + len(raw) + 8 > len(self.bytes):
             self.bytes = _longer(self.bytes)
         self.bytes[self.filled : self.filled + len(raw)] = raw
         self.filled += len(raw)
@@ -232,14 +254,22 @@ class Encoder:
             place[lost] = n + back
         return place
 
-    def _strange(self, place: np.ndarray, line: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Which stretches are not the bytes that their entries were learnt from."""
-        wrong = self.width[place] != ends - starts
-        same = np.flatnonzero(~wrong & (ends > starts))
-        size = self.width[place[same]].astype(np.int64)
-        differ = line[_places_of(starts[same], size)] != self.bytes[_places_of(self.begin[place[same]], size)]
-        if differ.any():
-            wrong[same] = np.logical_or.reduceat(differ, np.cumsum(size) - size)
+    def _strange(self, place: np.ndarray, raw: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Which stretches are not the bytes that their entries were learnt from, compared eight at a time, long ones one by one."""
+        size = ends - starts
+        wrong = self.width[place] != size
+        here, known = _eights(raw + bytes(8)), _eights(self.bytes)
+        on = np.flatnonzero(~wrong & (size > 0) & (size <= _LONG))
+        at, to, left = starts[on], self.begin[place[on]], size[on]
+        while len(on):
+            wrong[on.compress(((here[at] ^ known[to]) & _MASKS[np.minimum(left, 8)]) != 0)] = True
+            more = np.flatnonzero(left > 8)
+            on, at, to, left = on[more], at[more] + 8, to[more] + 8, left[more] - 8
+        long = np.flatnonzero(~wrong & (size > _LONG))
+        if len(long):
+            size = size[long]
+            differ = np.frombuffer(raw, dtype=np.uint8)[_places_of(starts[long], size)] != self.bytes[_places_of(self.begin[place[long]], size)]
+            wrong[long] = np.logical_or.reduceat(differ, np.cumsum(size) - size)
         return wrong
 
     def _lines(self, texts: list[str]) -> tuple[list[str], list[int]]:
@@ -260,15 +290,17 @@ class Encoder:
     def _some(self, lines: list[str]) -> list[bytes]:
         raw = "\n".join(lines).encode() + b"\n"
         line = np.frombuffer(raw, dtype=np.uint8)
-        ends = np.flatnonzero((line == 32) | (line == 10))
-        starts = np.concatenate(([0], ends[:-1] + 1))
-        last, before = line[np.maximum(ends - 1, 0)], line[np.maximum(ends - 2, 0)]
-        stop = (ends - starts > 1) & ((last == 46) | (last == 44)) & (((before >= 97) & (before <= 122)) | ((before >= 48) & (before <= 57)))
-        # A stretch with a stop is two: the word, and the stop.
-        rep = np.repeat(np.arange(len(ends)), stop + 1)
-        second = np.concatenate(([False], rep[1:] == rep[:-1]))
-        word = stop[rep] & ~second
-        starts, ends, done = np.where(second, ends[rep] - 1, starts[rep]), ends[rep] - word, (line[ends[rep]] == 10) & ~word
+        space = (line == 32) | (line == 10)
+        # A stretch ends at white space, and where a mark follows a-z, 0-9 or one of ß-ÿ (bytes C3 9F to C3 BF; B7 is no letter).
+        cut = np.flatnonzero(self.marks[line])
+        last, before = line[np.maximum(cut - 1, 0)], line[np.maximum(cut - 2, 0)]
+        cut = cut.compress((cut > 0) & (_LETTERS[last] | (_LATIN[last] & (before == 0xC3))))
+        edge = space.copy()
+        edge[cut] = True
+        ends = np.flatnonzero(edge)
+        over = space[ends]
+        starts = np.concatenate(([0], ends[:-1] + over[:-1]))
+        done = line[ends] == 10
         keys = self.hasher.ranges(line, starts, ends)
         if self.n > CACHE:
             self._shrink()
@@ -278,9 +310,7 @@ class Encoder:
         flat = self._flat(place, size)
         cuts = np.concatenate(([0], until[np.flatnonzero(done)])).tolist()
         out = [flat[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
-        width = self.width[place]
-        same = (width == ends - starts).all() and np.array_equal(self.bytes[_places_of(self.begin[place], width)], line[(line != 32) & (line != 10)])
-        wrong = np.zeros(0, dtype=bool) if same else self._strange(place, line, starts, ends)
+        wrong = self._strange(place, raw, starts, ends)
         if wrong.any():
             for i in np.unique((np.cumsum(done) - done)[wrong]).tolist():
                 out[i] = self.raw([lines[i]])[0]

@@ -15,6 +15,8 @@ import pyarrow as pa
 
 MAGIC = b"LMWM1\n"
 SUPER = 512
+#: Tokens of a plane that are dealt at once: few enough that what is made of them stays in a core's cache.
+_STEP = 1 << 15
 
 
 def _packed(a: np.ndarray) -> tuple[bytes, int]:
@@ -22,6 +24,28 @@ def _packed(a: np.ndarray) -> tuple[bytes, int]:
     return bytes(pa.compress(raw, codec="zstd", asbytes=True)), len(raw)
 
 
+def _dealt(order: np.ndarray, ones: np.ndarray, zeros: int) -> np.ndarray:
+    """Tokens without the bit, then those with it. ``compress`` is some five times as fast as a mask as index."""
+    out, low, high = np.empty_like(order), 0, zeros
+    for at in range(0, len(order), _STEP):
+        part, one = order[at : at + _STEP], ones[at : at + _STEP]
+        a, b = part.compress(~one), part.compress(one)
+        out[low : low + len(a)], out[high : high + len(b)] = a, b
+        low, high = low + len(a), high + len(b)
+    return out
+
+
+def _undealt(order: np.ndarray, ones: np.ndarray, zeros: int) -> np.ndarray:
+    """What ``_dealt`` was given."""
+    out, low, high = np.empty_like(order), 0, zeros
+    for at in range(0, len(order), _STEP):
+        part, one = out[at : at + _STEP], ones[at : at + _STEP]
+        a, b = np.flatnonzero(~one), np.flatnonzero(one)
+        part[a], part[b] = order[low : low + len(a)], order[high : high + len(b)]
+        low, high = low + len(a), high + len(b)
+    return out
+
+
 def encode(tokens: np.ndarray, doc_ids: list, ends: np.ndarray) -> bytes:
     """File contents for the tokens of some documents; ``ends`` are running token counts."""
     tokens = tokens.astype(np.uint16 if not len(tokens) or tokens.max() < 1 << 16 else np.uint32)
@@ -38,9 +62,8 @@ def encode(tokens: np.ndarray, doc_ids: list, ends: np.ndarray) -> bytes:
         per = np.bitwise_count(padded.view("<u8")).reshape(-1, SUPER // 64).sum(axis=1, dtype=np.int64)
         before = np.concatenate(([0], np.cumsum(per)[:-1])) if len(per) else per
         sections += [_packed(padded), _packed(before.astype("<u4"))]
-        low = order[~ones]
-        zeros.append(len(low))
-        order = np.concatenate((low, order[ones]))
+        zeros.append(len(ones) - int(np.count_nonzero(ones)))
+        order = _dealt(order, ones, zeros[-1])
     header = json.dumps({"docs": len(doc_ids), "tokens": len(tokens), "bits": bits, "zeros": zeros, "sections": [[len(b), n] for b, n in sections]}).encode()
     return b"".join([MAGIC, struct.pack("<I", len(header)), header, *[b for b, _ in sections]])
 
@@ -152,9 +175,7 @@ class WaveletFile:
             plane, _ = self._plane(level)
             ones = np.unpackbits(plane, count=self.n, bitorder="little").view(bool)
             zeros = self.zeros[level]
-            up = np.empty(self.n, dtype=kind)
-            up[~ones] = order[:zeros]
-            up[ones] = order[zeros:] | kind(1 << (self.bits - 1 - level))
-            order = up
+            order[zeros:] |= kind(1 << (self.bits - 1 - level))
+            order = _undealt(order, ones, zeros)
             del self._planes[level]
         return order

@@ -148,6 +148,14 @@ def test_stretches_with_equal_keys_are_encoded_by_the_library(monkeypatch):
     assert encoder.encode(texts) == encoder.raw(texts) and encoder.encode(texts[::-1]) == encoder.raw(texts[::-1])
 
 
+@pytest.mark.parametrize("n", [1, 7, 8, 9, 16, 63, 64, 65, 200])
+def test_stretches_that_differ_in_one_byte_are_told_apart(monkeypatch, n):
+    monkeypatch.setattr(tokens.ByteHasher, "ranges", lambda self, line, first, last: (last - first).astype(np.uint64))
+    encoder = tokens.Encoder(None, tokens.VOCABULARY)
+    words = ["a" * n, "a" * (n - 1) + "b", "b" + "a" * (n - 1)]
+    assert encoder.encode(words) == encoder.raw(words) and encoder.encode(words[::-1]) == encoder.raw(words[::-1])
+
+
 def test_only_tokenizers_that_split_at_spaces_go_by_word():
     import json
 
@@ -159,6 +167,36 @@ def test_only_tokenizers_that_split_at_spaces_go_by_word():
         assert not tokens.by_word(said | change)
 
 
+def test_words_before_marks_are_not_learnt_again():
+    encoder = tokens.Encoder(None, tokens.VOCABULARY)
+    words = sorted({*prose(60, 9).split(), "größe", "été", "maß", "x1"})
+    encoder.encode([" ".join(words)])
+    known, tails = encoder.n, [".", ",", "%%%", ".,***", "'s", "-"]
+    texts = [" ".join(w + t for w in words) for t in tails]
+    assert encoder.encode(texts) == encoder.raw(texts) and encoder.n == known + len(tails)
+
+
+def test_pieces_that_end_elsewhere_are_left_to_the_library():
+    import json
+
+    said = json.loads(tokens.Encoder(None, tokens.VOCABULARY).library.to_str())
+    splitter = json.dumps(said["pre_tokenizer"])
+    letters, rest = r"[\\p{L}]+", r"[^\\s\\p{L}\\p{N}]+"
+    assert letters in splitter and rest in splitter
+    for old, new in ((letters, r"[\\p{L}]"), (rest, r"[^\\s]+"), (letters + "|", "")):
+        assert not tokens.by_word(said | {"pre_tokenizer": json.loads(splitter.replace(old, new))})
+    assert not tokens.by_word(said | {"added_tokens": [said["added_tokens"][0] | {"single_word": True}]})
+
+
+def test_encoder_equals_library_on_odd_pieces():
+    r = np.random.default_rng(12)
+    pieces = ["a", "tree", "é", "ß", "ÿ", "÷", "İ", "Σ", "Z", "7", "²", "'s", "'", "’", ".", ",", "%%", "<", "|", ">", "<|endoftext|>", "_", "=", "\u0338", "\u0301", "\u00a0", "\t", "\n", "\x00", " ", "  ", "日本", "\u3099", "か", "\U0001f600", "K", "ﬁ"]
+    encoder = tokens.Encoder(None, tokens.VOCABULARY)
+    for _ in range(20):
+        texts = ["".join(r.choice(pieces, r.integers(0, 30))) for _ in range(100)]
+        assert encoder.encode(texts) == encoder.raw(texts)
+
+
 @pytest.mark.parametrize("k", [1, 2, 3, 4, 5, 7])
 def test_runs_have_equal_numbers_only_if_equal(k):
     x = np.random.default_rng(k).integers(0, 3, 400)
@@ -400,6 +438,13 @@ def test_wavelet():
     assert WaveletFile.of(encode(np.empty(0, np.int64), [], np.empty(0, np.int64))).tokens().size == 0
 
 
+@pytest.mark.parametrize("n", [1 << 15, (1 << 16) + 1, 100_000])
+def test_wavelet_of_several_steps(n):
+    z = np.random.default_rng(n).integers(0, 50_000, n)
+    f = WaveletFile.of(encode(z, [1], np.array([n])))
+    assert (f.tokens() == z).all() and [f.access(i) for i in (0, 32_767, n - 1)] == z[[0, 32_767, n - 1]].tolist()
+
+
 def test_tokens(spark):
     docs = edge_docs() + [(200 + i, t, "a", "x", 1) for i, t in enumerate(["a., b", "x_. y", "don't. o'", "É. ÀB, ", "İa. b", "<|endoftext|>. a", "7. 8, 9", "...", "a\n.\nb, c.", "ΑΣ. x", "a . b,\tc. d", "\U0001f600, x"])]
     got = tokens.read_tokens(*tokens.write_tokens(frame(spark, docs), shard_tokens=500)).orderBy("start").collect()
